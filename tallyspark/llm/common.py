@@ -67,7 +67,7 @@ def id_filter(ids: DataFrame, col: str):
     def slot(x: pd.Series) -> pd.Series:
         return pd.Series(_slot(x.to_numpy()))
 
-    def pack(key, t: pa.Table) -> pa.Table:
+    def pack(key, t):
         bits = np.zeros(per, bool)
         bits[t.column("slot").to_numpy() % per] = True
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from tallyspark.llm.suffix_dedup import op9_suffix_array_dedup
 
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 SQL = {
