@@ -102,8 +102,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         after = cut(small.filter("u <> v").distinct(), "edges")
         # Stars are reached when no node is a leaf of two centres and no centre is a leaf.
-        heads = after.select("v").distinct()
-        if after.join(heads, after["u"] == heads["v"], "left_semi").isEmpty() and after.groupBy("u").count().filter("count > 1").isEmpty():
+        heads = after.select(F.col("v").alias("u")).distinct()
+        if after.join(heads, "u", "left_semi").isEmpty() and after.groupBy("u").count().filter("count > 1").isEmpty():
             e = after
             break
         e = after

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from tallyspark.llm.chat_format import OP4_SQL, op4_chat_format
 from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from tallyspark.llm.ngram_join import op3_ngram_jaccard_join
 from tallyspark.llm.suffix_dedup import op9_suffix_array_dedup
+from tallyspark.llm.warc_zip import OP2_SQL, op2_warc_zip
 
 QUERIES = {
+    "op2_warc_zip": op2_warc_zip,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_chat_format": op4_chat_format,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
 SQL = {
+    "op2_warc_zip": OP2_SQL,
+    "op4_chat_format": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
