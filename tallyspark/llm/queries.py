@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyspark.llm.chat_format import OP4_SQL, op4_chat_format
 from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from tallyspark.llm.language_id import op7_language_id
 from tallyspark.llm.ngram_join import op3_ngram_jaccard_join
 from tallyspark.llm.suffix_dedup import op9_suffix_array_dedup
 from tallyspark.llm.warc_zip import OP2_SQL, op2_warc_zip
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_chat_format": op4_chat_format,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 

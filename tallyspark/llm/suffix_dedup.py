@@ -31,8 +31,8 @@ GRAM = 32
 ANCHOR_BITS = 40
 WINDOW_BITS = 48
 FLUSH = 1 << 20
-#: Different windows of one anchor that a single suffix array takes.
-CROWD = 4096
+#: Different windows of one anchor that a single suffix array takes: 2.8 MB of text, about 150 MB of arrays.
+CROWD = 16384
 
 
 def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
@@ -179,24 +179,33 @@ def _settle(t):
     return pa.table({"kind": pa.array(kinds, pa.int32()), "doc_id": pa.array(docs, pa.int64()), "pos": pa.array(poss, pa.int64()), "anchor": pa.array(hashes, pa.int64()), "crowd": pa.array(crowds, pa.int64()), "body": pa.array(bodies, pa.binary())})
 
 
+def sort_index(key: np.ndarray, bits: int) -> np.ndarray:
+    """The stable order of keys below 2**bits; sorts the keys with their places in one word where that fits."""
+    wide = max(1, len(key).bit_length())
+    if bits + wide > 64:
+        return np.argsort(key, kind="stable")
+    x = np.sort((key << np.uint64(wide)) | np.arange(len(key), dtype=np.uint64))
+    return (x & np.uint64((1 << wide) - 1)).astype(np.int64)
+
+
 def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions in the order of their first `depth` symbols, rank of each position); data: uint16, 0 past the end."""
+    """(positions in the order of their first `depth` symbols, rank of each position); symbols are below 2**9, 0 past the end."""
     n = len(data)
-    x = np.zeros(n + depth + 8, np.uint64)
+    x = np.zeros(n + 4, np.uint64)
     x[:n] = data
-    key = (x[:n] << np.uint64(48)) | (x[1 : n + 1] << np.uint64(32)) | (x[2 : n + 2] << np.uint64(16)) | x[3 : n + 3]
-    have = 4
+    key = (x[:n] << np.uint64(27)) | (x[1 : n + 1] << np.uint64(18)) | (x[2 : n + 2] << np.uint64(9)) | x[3 : n + 3]
+    bits, have, wide = 36, 4, max(1, (n + 1).bit_length())
     while True:
-        order = np.argsort(key, kind="stable")
+        order = sort_index(key, bits)
         k = key[order]
-        new = np.zeros(n, np.uint64)
-        new[1:] = np.cumsum(k[1:] != k[:-1])
-        rank = np.zeros(n + depth + 8, np.uint64)
-        rank[order] = new + np.uint64(1)
-        if have >= depth or (n and int(new[-1]) == n - 1):
+        new = np.ones(n, np.uint64)
+        new[1:] += np.cumsum(k[1:] != k[:-1]).astype(np.uint64)
+        rank = np.zeros(n + depth, np.uint64)
+        rank[order] = new
+        if have >= depth or (n and int(new[-1]) == n):
             return order, rank[:n]
         step = min(have, depth - have)
-        key = (rank[:n] << np.uint64(32)) | rank[step : n + step]
+        key, bits = (rank[:n] << np.uint64(wide)) | rank[step : n + step], 2 * wide
         have += step
 
 
@@ -274,12 +283,15 @@ def _match(width: int):
             p, g = base[row][fits] + local[fits], group[row][fits]
             d, s = dr[row][fits], sr[row][fits] + local[fits]
             # only strings under the same anchor are compared: the rank is taken with the anchor's number
-            o = np.lexsort((s, d))
+            docs, dn = np.unique(dr, return_inverse=True)
+            place = max(1, int(s.max()).bit_length()) if len(s) else 1
+            o = sort_index((dn.astype(np.uint64)[row][fits] << np.uint64(place)) | s.astype(np.uint64), place + len(docs).bit_length())
             when = np.empty(len(o), np.int64)
             dd, ss = d[o], s[o]
             when[o] = np.cumsum(np.concatenate(([0], ((dd[1:] != dd[:-1]) | (ss[1:] != ss[:-1])).astype(np.int64)))) if len(o) else 0
-            joint = rank[p] * np.uint64(len(rows) + 1) + g.astype(np.uint64)
-            hit = lpf_reaches(np.argsort(joint, kind="stable"), joint, when)
+            few = max(1, len(rows).bit_length())
+            joint = (rank[p] << np.uint64(few)) | g.astype(np.uint64)
+            hit = lpf_reaches(sort_index(joint, few + len(data).bit_length()), joint, when)
             out_doc.append(d[hit])
             out_pos.append(s[hit])
             i = j
