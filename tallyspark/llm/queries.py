@@ -7,9 +7,11 @@ from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from tallyspark.llm.language_id import op7_language_id
 from tallyspark.llm.ngram_join import op3_ngram_jaccard_join
 from tallyspark.llm.suffix_dedup import op9_suffix_array_dedup
+from tallyspark.llm.toxicity import op1_toxicity
 from tallyspark.llm.warc_zip import OP2_SQL, op2_warc_zip
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_warc_zip": op2_warc_zip,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_chat_format": op4_chat_format,
