@@ -5,6 +5,8 @@ from __future__ import annotations
 from tallyspark.llm.chat_format import OP4_SQL, op4_chat_format
 from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from tallyspark.llm.language_id import op7_language_id
+from tallyspark.llm.merge_dropout import op8_sentencepiece_dropout
+from tallyspark.llm.mixing import OP6_SQL, op6_mixing
 from tallyspark.llm.ngram_join import op3_ngram_jaccard_join
 from tallyspark.llm.suffix_dedup import op9_suffix_array_dedup
 from tallyspark.llm.toxicity import op1_toxicity
@@ -16,7 +18,9 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_chat_format": op4_chat_format,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
+    "op8_sentencepiece_dropout": op8_sentencepiece_dropout,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 
@@ -24,4 +28,5 @@ SQL = {
     "op2_warc_zip": OP2_SQL,
     "op4_chat_format": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op6_mixing": OP6_SQL,
 }
