@@ -1,6 +1,60 @@
-STAGES = []
+"""The corpus pipeline: language ID, exact dedup, near-duplicate join, mixing, SentencePiece encoding.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+stage's docs. All stages but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyspark.llm.common import cut
+from tallyspark.llm.exact_dedup import drop_copies
+from tallyspark.llm.language_id import keep_identified
+from tallyspark.llm.merge_dropout import encode_pieces
+from tallyspark.llm.mixing import mixed
+from tallyspark.llm.ngram_join import keep_one_of_each
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    return keep_identified(docs)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return drop_copies(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample calibrated to the target weights of source, language and topic."""
+    return mixed(docs)
+
+
+def sentencepiece_dropout(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_pieces, ids) of the documents."""
+    return encode_pieces(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("mixing", mixing),
+    ("sentencepiece_dropout", sentencepiece_dropout),
+]
+
+#: A trained classifier, a similarity join and BPE merges can't be put in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs if k == 0 else cut(docs, f"stage{k}-{name}"), sf_dir)
+    return docs

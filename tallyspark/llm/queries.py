@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyspark.llm.chat_format import OP4_SQL, op4_chat_format
+from tallyspark.llm.chroma import op10_chroma_fingerprints
 from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from tallyspark.llm.language_id import op7_language_id
 from tallyspark.llm.merge_dropout import op8_sentencepiece_dropout
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_sentencepiece_dropout": op8_sentencepiece_dropout,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_chroma_fingerprints": op10_chroma_fingerprints,
 }
 
 SQL = {
