@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from tallyspark.plans import canonical, checks, measure, reconcile, relational, sequence, spatial, text  # noqa: F401
+from tallyspark.plans.registry import QUERIES, SQL  # noqa: F401
