@@ -67,8 +67,9 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Rows of write_csv(): NA becomes null, an empty field stays ''."""
     shape = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    raw = spark.read.option("header", True).option("nullValue", "NA").option("emptyValue", "").schema(StructType.fromDDL(", ".join(f"`{f.name}` string" for f in shape.fields))).csv(path)
-    return raw.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in shape.fields))
+    strings = StructType.fromDDL(", ".join(f"`{f.name}` string" for f in shape.fields))
+    raw = spark.read.option("header", True).option("nullValue", "\0").schema(strings).csv(path)
+    return raw.select(*(F.nullif(F.coalesce(f.name, F.lit("")), F.lit("NA")).try_cast(f.dataType).alias(f.name) for f in shape.fields))
 
 
 def nest(parents: DataFrame, children: DataFrame, key: Sequence[str], columns: Sequence[str], name: str, order: Sequence[str] = ()) -> DataFrame:
