@@ -32,6 +32,14 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Hold Arrow batches to 8 MB: rows are whole texts, and the default of 64 MB for each side of each worker adds up."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = (spark.conf.get(key, None) or "").lower().removesuffix("b")
+    if not (now.isdigit() and 0 < int(now) <= most):
+        spark.conf.set(key, str(most))
+
+
 def salted_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, salt_by: str, share: int = 256, salts: int = 64) -> DataFrame:
     """left join right on key, where right has one row for each key and `weight` holds how many left rows have it.
 
@@ -54,8 +62,28 @@ def _slot(x: np.ndarray) -> np.ndarray:
     return ((x.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def id_filter(ids: DataFrame, col: str):
-    """A pandas UDF that is true for each id in ids[col], and for few others.
+class IdFilter:
+    """Tells for each id whether it may be in a set; true for all that are, and for few others."""
+
+    def __init__(self, sent):
+        self.sent = sent
+
+    def holds(self, ids: np.ndarray) -> np.ndarray:
+        bits, s = np.frombuffer(self.sent.value, np.uint8), _slot(ids)
+        return ((bits[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1).astype(bool)
+
+    def __call__(self, col: str) -> Column:
+        holds = self.holds
+
+        @F.pandas_udf("boolean")
+        def may_hold(x: pd.Series) -> pd.Series:
+            return pd.Series(holds(x.fillna(-1).to_numpy()))
+
+        return may_hold(col)
+
+
+def id_filter(ids: DataFrame, col: str) -> IdFilter:
+    """An IdFilter for ids[col].
 
     The filter is a bit array of fixed size, gathered as 128 slices; an overfull one only lets more rows through to
     the join that follows it, so no result depends on it.
@@ -77,15 +105,7 @@ def id_filter(ids: DataFrame, col: str):
     packed = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in rows:
         packed[r["slice"] * per // 8 : (r["slice"] + 1) * per // 8] = np.frombuffer(r["bits"], np.uint8)
-    sent = ids.sparkSession.sparkContext.broadcast(packed.tobytes())
-
-    @F.pandas_udf("boolean")
-    def may_hold(x: pd.Series) -> pd.Series:
-        bits = np.frombuffer(sent.value, np.uint8)
-        s = _slot(x.fillna(-1).to_numpy())
-        return pd.Series(((bits[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1).astype(bool))
-
-    return may_hold
+    return IdFilter(ids.sparkSession.sparkContext.broadcast(packed.tobytes()))
 
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:

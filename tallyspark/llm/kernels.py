@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,15 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def release() -> None:
+    """Give freed memory back to the system; a reused worker would hold it beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: xor-shifts and odd multipliers."""
     x = x ^ (x >> np.uint64(30))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import crc_fold
+from tallyspark.llm.common import crc_fold, lean_batches
 
 BITS = 14
 SIZE = 1 << BITS
@@ -208,6 +208,7 @@ def identify(docs: DataFrame, **kw) -> DataFrame:
     learned from (a null id is held out). Repeated rows give repeated rows. Without a labelled row all is 'und'.
     Extra columns are not read.
     """
+    lean_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = train(docs.filter(crc_fold("doc_id") != 1), **kw)
     found = predict(docs, model)

@@ -18,12 +18,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut, id_filter
+from tallyspark.llm.common import cut, id_filter, lean_batches
 from tallyspark.llm.kernels import mix, pack, pack_sorted, powers, prefix_hash, range_hash, spans, unpack, unpack_sorted
 
 WIDTH = 100
@@ -355,6 +354,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed run cut a character in two. Extra columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    lean_batches(spark)
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("doc_id"), F.col(text_col).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(64, 4 * parts)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import crc_fold
+from tallyspark.llm.common import crc_fold, lean_batches
 
 MAX_ROWS = 12000
 # Fixed word lists of the grammar.
@@ -246,6 +246,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, **kw) -> DataFrame:
     mod 3 isn't 1; null labels and ids are left out, and of a document's differing labels toxic wins. A null id is
     held out. Repeated rows give repeated rows; extra columns are not read; empty tables give empty results.
     """
+    lean_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = train(docs, labels.select("doc_id", "toxic"), **kw)
     sent = docs.sparkSession.sparkContext.broadcast(model)
