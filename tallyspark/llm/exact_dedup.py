@@ -42,9 +42,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, **kw) -> DataFrame:
-    """docs without the rows that exact_dedup() drops; all columns stay."""
-    kept = exact_dedup(docs, **kw).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """docs without the rows that exact_dedup() drops; all columns stay.
+
+    Rows with a null id, and rows that repeat both id and text, can't be told apart and stay.
+    """
+    lost = exact_dedup(docs, **kw).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(lost, "doc_id", "left_anti")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

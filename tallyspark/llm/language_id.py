@@ -216,8 +216,11 @@ def identify(docs: DataFrame, **kw) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, **kw) -> DataFrame:
-    """docs without the rows whose language can't be told: no letter, or a score under `least`. All columns stay."""
-    lost = identify(docs, **kw).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least)).select("doc_id")
+    """docs without the rows whose language can't be told: no letter, or a score under `least`.
+
+    All columns stay, and so do rows with a null id, as a decision can't be joined back to them.
+    """
+    lost = identify(docs, **kw).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least)).select("doc_id").distinct()
     return docs.join(lost, "doc_id", "left_anti")
 
 

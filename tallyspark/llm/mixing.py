@@ -35,10 +35,10 @@ def topic(text: Column, tokens: Column) -> Column:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """docs with _source, _language, _topic and _tokens; a missing value is a category of its own, ''."""
+    """docs with _mx_source, _mx_language, _mx_topic and _mx_tokens; a missing value is a category of its own, ''."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumn("_tokens", F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"))
-    return out.withColumns({"_source": F.coalesce("source", F.lit("")), "_language": F.coalesce("lang", F.lit("")), "_topic": topic(text, F.col("_tokens"))})
+    out = docs.withColumn("_mx_tokens", F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"))
+    return out.withColumns({"_mx_source": F.coalesce("source", F.lit("")), "_mx_language": F.coalesce("lang", F.lit("")), "_mx_topic": topic(text, F.col("_mx_tokens"))})
 
 
 def _rake_here(cells: list[tuple], rounds: int, powers: dict[str, float]) -> list[float]:
@@ -62,57 +62,63 @@ def _rake_here(cells: list[tuple], rounds: int, powers: dict[str, float]) -> lis
 
 def _rake_windows(cells: DataFrame, rounds: int, powers: dict[str, float]) -> DataFrame:
     """The same as a plan: a window for each dimension and round."""
-    out = cells.withColumn("w", F.col("tokens").cast("double"))
-    dims = [f"_{d}" for d in powers]
+    out = cells.withColumn("_mx_w", F.col("_mx_cell").cast("double"))
+    dims = [f"_mx_{d}" for d in powers]
     for d, p in zip(dims, powers.values(), strict=True):
-        total = cells.groupBy(d).agg(F.pow(F.sum("tokens").cast("double"), F.lit(p)).alias(f"t{d}"))
+        total = cells.groupBy(d).agg(F.pow(F.sum("_mx_cell").cast("double"), F.lit(p)).alias(f"t{d}"))
         norm = total.agg(F.sum(f"t{d}").alias("n"))
         out = out.join(total.crossJoin(F.broadcast(norm)).select(d, (F.col(f"t{d}") / F.col("n")).alias(f"t{d}")), d)
     for _ in range(rounds):
         for d in dims:
-            out = out.withColumn("w", F.col("w") * F.col(f"t{d}") / F.sum("w").over(W.partitionBy(d)))
-    return out.select(*dims, "tokens", "w")
+            out = out.withColumn("_mx_w", F.col("_mx_w") * F.col(f"t{d}") / F.sum("_mx_w").over(W.partitionBy(d)))
+    return out.select(*dims, "_mx_cell", "_mx_w")
 
 
 def cell_weights(rows: DataFrame, rounds: int = ROUNDS, powers: dict[str, float] = POWERS, driver_cells: int = DRIVER_CELLS) -> DataFrame:
-    """(_source, _language, _topic, tokens, w) of the cells of described() rows that hold any token."""
-    cells = rows.groupBy("_source", "_language", "_topic").agg(F.sum("_tokens").alias("tokens")).filter("tokens > 0")
+    """(_mx_source, _mx_language, _mx_topic, _mx_cell, _mx_w): tokens and weight of the cells that hold any token."""
+    cells = rows.groupBy("_mx_source", "_mx_language", "_mx_topic").agg(F.sum("_mx_tokens").alias("_mx_cell")).filter("_mx_cell > 0")
     here = cells.limit(driver_cells + 1).collect()
     if len(here) > driver_cells:
         return _rake_windows(cells, rounds, powers)
     here = sorted(tuple(r) for r in here)
     rows_ = [(*c, w) for c, w in zip(here, _rake_here(here, rounds, powers), strict=True)]
-    made = rows.sparkSession.createDataFrame(rows_, "_source string, _language string, _topic string, tokens long, w double")
+    made = rows.sparkSession.createDataFrame(rows_, "_mx_source string, _mx_language string, _mx_topic string, _mx_cell long, _mx_w double")
     return F.broadcast(made)
 
 
+def _calibrated(docs: DataFrame, id_col: str, budget: float, seed: int, **kw) -> DataFrame:
+    """docs with _mx_topic, _mx_tokens, _mx_weight, _mx_keep_prob and _mx_kept."""
+    rows = described(docs)
+    cells = cell_weights(rows, **kw)
+    total = rows.agg(F.coalesce(F.sum("_mx_tokens"), F.lit(0))).first()[0]
+    joined = rows.join(cells, ["_mx_source", "_mx_language", "_mx_topic"], "left")
+    p = F.coalesce(F.least(F.lit(1.0), F.lit(float(budget * total)) * F.col("_mx_w") / F.col("_mx_cell")), F.lit(0.0))
+    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary"))
+    u = F.conv(F.substring(key, 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
+    out = joined.withColumn("_mx_weight", F.coalesce("_mx_w", F.lit(0.0))).withColumn("_mx_keep_prob", F.when(F.col("_mx_tokens") > 0, p).otherwise(F.lit(0.0)))
+    return out.withColumn("_mx_kept", u < F.col("_mx_keep_prob"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", budget: float = BUDGET, seed: int = SEED, **kw) -> DataFrame:
-    """docs with _source, _language, _topic, _tokens, weight, keep_prob and kept.
+    """(doc_id, topic, n_tokens, weight, keep_prob, kept) for every row of docs(doc_id, text, lang, source).
 
     weight is the calibrated token share of the document's cell; keep_prob = min(1, budget * all tokens * weight /
     the cell's tokens). A document is kept if a uniform number made from the md5 of its id lies below that, so that
     each row's fate depends on its id alone; rows that repeat an id share it. Documents without a token have
-    keep_prob 0. An empty table gives an empty result; other columns stay as they are.
+    keep_prob 0. An empty table gives an empty result; extra columns are not read.
     """
-    rows = described(docs)
-    cells = cell_weights(rows, **kw)
-    total = rows.agg(F.coalesce(F.sum("_tokens"), F.lit(0))).first()[0]
-    joined = rows.join(cells, ["_source", "_language", "_topic"], "left")
-    p = F.coalesce(F.least(F.lit(1.0), F.lit(float(budget * total)) * F.col("w") / F.col("tokens")), F.lit(0.0))
-    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary"))
-    u = F.conv(F.substring(key, 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
-    out = joined.withColumn("weight", F.coalesce("w", F.lit(0.0))).withColumn("keep_prob", F.when(F.col("_tokens") > 0, p).otherwise(F.lit(0.0)))
-    return out.withColumn("kept", u < F.col("keep_prob")).drop("w", "tokens")
+    out = _calibrated(docs, id_col, budget, seed, **kw)
+    return out.select(F.col(id_col).alias("doc_id"), *(F.col(f"_mx_{c}").alias(n) for c, n in (("topic", "topic"), ("tokens", "n_tokens"), ("weight", "weight"), ("keep_prob", "keep_prob"), ("kept", "kept"))))
 
 
-def mixed(docs: DataFrame, **kw) -> DataFrame:
-    """The documents that mix() keeps, with the columns of docs."""
-    return mix(docs, **kw).filter("kept").select(*docs.columns)
+def mixed(docs: DataFrame, id_col: str = "doc_id", budget: float = BUDGET, seed: int = SEED, **kw) -> DataFrame:
+    """The documents that mix() keeps, with all columns of docs."""
+    return _calibrated(docs, id_col, budget, seed, **kw).filter("_mx_kept").select(*docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.round("weight", 9).alias("weight"), F.round("keep_prob", 9).alias("keep_prob"), "kept")
+    return out.withColumns({"weight": F.round("weight", 9), "keep_prob": F.round("keep_prob", 9)})
 
 
 def mixing_sql(source: str = "documents", rounds: int = ROUNDS, powers: dict[str, float] = POWERS, budget: float = BUDGET, seed: int = SEED) -> str:

@@ -73,12 +73,14 @@ def anchors(data: np.ndarray, off: np.ndarray, width: int, gram: int) -> tuple[n
 
 
 def _firsts(anchor, window, doc, pos):
-    """The order by (anchor, window, doc, pos), and where in it a new (anchor, window) begins."""
+    """(order, first, again): the order by (anchor, window, doc, pos), where in it a new (anchor, window) begins, and the
+    entries that stand later than their window's first; a row that repeats the first's very place does not."""
     order = np.lexsort((pos, doc, window, anchor))
-    a, w = anchor[order], window[order]
+    a, w, d, p = anchor[order], window[order], doc[order], pos[order]
     first = np.ones(len(order), bool)
     first[1:] = (a[1:] != a[:-1]) | (w[1:] != w[:-1])
-    return order, first
+    head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+    return order, first, (d != d[head]) | (p != p[head])
 
 
 SENT = "part long, kind int, doc_id long, body binary"
@@ -89,9 +91,9 @@ def _scan(width: int, gram: int, ranges: int):
 
     def flush(held):
         doc, pos, anchor, window = (np.concatenate(x) for x in zip(*held, strict=True))
-        order, first = _firsts(anchor, window, doc, pos)
+        order, first, later = _firsts(anchor, window, doc, pos)
         part, body, ids = [], [], []
-        again = order[~first]
+        again = order[later]
         if len(again):
             again = again[np.lexsort((pos[again], doc[again]))]
             cuts = np.flatnonzero(np.diff(doc[again], prepend=doc[again][0] - 1))
@@ -155,8 +157,8 @@ def _settle(t):
             cols.append((unpack_sorted(a), unpack(w), unpack(d).view(np.int64), unpack(p).astype(np.int64)))
     if cols:
         anchor, window, doc, pos = (np.concatenate(x) for x in zip(*cols, strict=True))
-        order, first = _firsts(anchor, window, doc, pos)
-        again = order[~first]
+        order, first, later = _firsts(anchor, window, doc, pos)
+        again = order[later]
         if len(again):
             again = again[np.lexsort((pos[again], doc[again]))]
             cuts = np.flatnonzero(np.diff(doc[again], prepend=doc[again][0] - 1))
@@ -328,10 +330,11 @@ def _apply(width: int, gram: int, with_text: bool):
                 delta = np.zeros(n + 1, np.int32)
                 for b in whole or ():
                     p = unpack_sorted(b).astype(np.int64)
-                    np.add.at(delta, np.maximum(0, p - (width - gram)), 1)
+                    np.add.at(delta, np.clip(p - (width - gram), 0, n), 1)
                     np.add.at(delta, np.minimum(n, p + width), -1)
                 if single:
                     p = np.array(single, np.int64)
+                    p = p[p + width <= n]
                     np.add.at(delta, p, 1)
                     np.add.at(delta, p + width, -1)
                 gone = np.cumsum(delta[:-1]) > 0
@@ -349,13 +352,15 @@ def _apply(width: int, gram: int, with_text: bool):
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, with_text: bool = False, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept_text]) for every document.
 
-    Null and empty texts have 0 bytes and nothing removed. Ids must be unique and not null: rows that repeat an id
-    count as one document's text read twice, and a null id as -1. kept_text may hold a replacement character where a
-    removed run cut a character in two. Extra columns are not read. An empty table gives an empty result.
+    Null and empty texts have 0 bytes and nothing removed. Rows that repeat id and text are one document given twice,
+    and neither is a copy of the other; differing texts under one id are not told apart. Rows with a null id have no
+    place in the order: they match nothing and stay whole. kept_text may hold a replacement character where a removed
+    run cut a character in two. Extra columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     lean_batches(spark)
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1).cast("long")).alias("doc_id"), F.col(text_col).alias("text"))
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = given.filter("doc_id IS NOT NULL")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(64, 4 * parts)
     found = docs.mapInArrow(_scan(width, gram, ranges), SENT).groupBy("part").applyInArrow(_settle, FOUND)
@@ -378,7 +383,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = RESULT + (", kept_text string" if with_text else "")
     dirty = docs.filter(touched("doc_id")).join(gone, "doc_id", "left").mapInArrow(_apply(width, gram, with_text), schema)
     text = F.coalesce("text", F.lit(""))
-    clean = docs.filter(~touched("doc_id")).select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"), *([text.alias("kept_text")] if with_text else []))
+    clean = given.filter(F.col("doc_id").isNull() | ~touched("doc_id")).select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"), *([text.alias("kept_text")] if with_text else []))
     return dirty.unionByName(clean)
 
 
