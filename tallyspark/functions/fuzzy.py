@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -122,6 +123,43 @@ def relation_of(x: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(v or "") for v in x], columns=["name", "kind"])
 
 
+def unlooped(text: str, least: int = 20, times: int = 3) -> str:
+    """Text in which a stretch of `least` characters or more that repeats `times` times or more stands once.
+
+    The leftmost, shortest stretch goes first. Candidates are the places where a stretch's first characters come again,
+    looked up in an index, so that a text without loops costs one pass.
+    """
+    n, out, i = len(text), [], 0
+    places: dict[str, list[int]] = {}
+    for k in range(n - least + 1):
+        places.setdefault(text[k : k + least], []).append(k)
+    while i < n:
+        again = places.get(text[i : i + least], ()) if i + times * least <= n else ()
+        period = 0
+        for j in again[bisect_left(again, i + least) :] if len(again) > 1 else ():
+            if i + times * (j - i) > n:
+                break
+            unit = text[i:j]
+            if text.startswith(unit * (times - 1), j):
+                period = j - i
+                break
+        if not period:
+            out.append(text[i])
+            i += 1
+            continue
+        unit = text[i : i + period]
+        out.append(unit)
+        i += period
+        while text.startswith(unit, i):
+            i += period
+    return "".join(out)
+
+
+@F.pandas_udf(StringType())
+def without_loops(x: pd.Series) -> pd.Series:
+    return x.map(lambda v: unlooped(v or ""))
+
+
 def on_distinct(df: DataFrame, inputs: Sequence[str], output: str, fn: Callable[..., Column]) -> DataFrame:
     """df with output = fn(*inputs), computed once for each distinct input and joined back; nulls meet nulls."""
     seen = df.select(*inputs).distinct().withColumn(output, fn(*inputs))

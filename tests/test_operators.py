@@ -219,3 +219,29 @@ def test_json_schema(spark):
     got = S.json_schema(spark.createDataFrame([], "a int, b string, c array<struct<d: boolean>>").schema)
     assert got["properties"]["a"] == {"anyOf": [{"type": "integer"}, {"type": "null"}]}
     assert got["required"] == ["a", "b", "c"]
+
+
+def test_loops_go_as_the_backreference_would(spark):
+    import re
+
+    rnd = random.Random(4)
+    for _ in range(300):
+        unit = "".join(rnd.choice("ab") for _ in range(rnd.randint(5, 30)))
+        text = "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 40))) + unit * rnd.randint(1, 9) + "".join(rnd.choice("abc") for _ in range(rnd.randint(0, 40)))
+        assert fuzzy.unlooped(text) == re.sub(r"(?s)(.{20,}?)\1{2,}", r"\1", text)
+
+
+def test_rules_are_used_once(spark):
+    from tallyspark.operators import routing
+
+    found = spark.createDataFrame([(1, "f", "x"), (2, "f", "x"), (3, "g", "x"), (4, "g", "y")], "o int, failure string, feature string")
+    got = sorted((r.failure, r.feature, r.rule) for r in routing.first_rules(found, [("x", "f"), ("x", "*")], ["o"]).collect())
+    assert got == [("f", "x", 0), ("f", "x", 1)]
+
+
+def test_columns_without_dividers(spark):
+    from tallyspark.operators import grid
+
+    rules = [(1, x) for x in (39, 541, 554, 567, 1069, 1082, 1094, 1597, 1610)] + [(2, x) for x in (1, 2, 3)]
+    got = grid.box_columns(grid.rule_clusters(spark.createDataFrame(rules, "page int, at long"), ["page"], "at"), ["page"]).collect()
+    assert sorted((r.page, r.col, r.left, r.divider, r.right) for r in got) == [(1, 0, 39, 427, 541), (1, 1, 567, 955, 1069), (1, 2, 1094, 1482, 1597)]
