@@ -15,7 +15,7 @@ def _micros(stamp: Column | str) -> Column:
 
 
 def positional_serial(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "serial") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
+    return df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("long"))
 
 
 def sequence_breaks(df: DataFrame, by: Sequence[str], order: Sequence[str], serial: str) -> DataFrame:

@@ -88,13 +88,13 @@ def separation(spark, d):
     return M.separation(table(spark, d, "lineitem"), F.col("l_quantity") > 45, F.col("l_extendedprice") > 40000)
 
 
-@query("""WITH h AS (SELECT o_orderkey % 2 AS half, avg(o_totalprice) AS price, avg((o_orderstatus = 'F')::INTEGER) AS filled, count(*)::DOUBLE AS cost FROM orders GROUP BY 1), b AS (SELECT * FROM h WHERE half = 0), a AS (SELECT * FROM h WHERE half = 1)
+@query("""WITH h AS (SELECT o_orderkey % 2 AS half, round(avg(o_totalprice), 6) AS price, avg((o_orderstatus = 'F')::INTEGER) AS filled, count(*)::DOUBLE AS cost FROM orders GROUP BY 1), b AS (SELECT * FROM h WHERE half = 0), a AS (SELECT * FROM h WHERE half = 1)
  SELECT 'target' AS gate, 'filled' AS metric, b.filled AS "before", a.filled AS "after", a.filled - b.filled >= 0.01 AS passed FROM a, b UNION ALL SELECT 'guard', 'price', b.price, a.price, a.price - b.price >= -0.02 FROM a, b UNION ALL SELECT 'guard', 'absent', NULL, NULL, false UNION ALL SELECT 'cost', 'cost', b.cost, a.cost, a.cost <= b.cost * 1.1 FROM a, b""")
 def regression_gates(spark, d):
     o = table(spark, d, "orders")
 
     def metrics(half):
-        one = o.filter(F.col("o_orderkey") % 2 == half).agg(F.avg("o_totalprice").alias("price"), F.avg((F.col("o_orderstatus") == "F").cast("int")).alias("filled"), F.count("*").cast("double").alias("cost"))
+        one = o.filter(F.col("o_orderkey") % 2 == half).agg(F.round(F.avg("o_totalprice"), 6).alias("price"), F.avg((F.col("o_orderstatus") == "F").cast("int")).alias("filled"), F.count("*").cast("double").alias("cost"))
         return one.select(F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("price", "filled", "cost")))))
 
     return M.gates(metrics(0), metrics(1), "filled", 0.01, ["price", "absent"], cost="cost")

@@ -95,7 +95,7 @@ def populated_floor(spark, d):
     return reports.populated(table(spark, d, "lineitem"), ["l_suppkey"], ["l_discount", "l_tax"], 0.9)
 
 
-@query("""WITH g AS (SELECT o_orderpriority, sum(o_custkey % 50)::BIGINT AS pages, sum(ceil((o_custkey % 50) / 4))::BIGINT AS calls FROM orders GROUP BY 1) SELECT o_orderpriority, pages, calls, round(calls * 0.0015, 6) AS cost, round(round_even(921000.0::DOUBLE / (pages / greatest(calls, 1)), 0) * 0.0015, 6) AS projected FROM g""")
+@query("""WITH g AS (SELECT o_orderpriority, sum(o_custkey % 50)::BIGINT AS pages, sum(ceil((o_custkey % 50) / 4))::BIGINT AS calls FROM orders GROUP BY 1) SELECT o_orderpriority, pages, calls, round(calls * 0.0015::DOUBLE, 6) AS cost, round(round_even(921000.0::DOUBLE / (pages / greatest(calls, 1)), 0) * 0.0015, 6) AS projected FROM g""")
 def extrapolated_costs(spark, d):
     out = reports.extrapolated_cost(table(spark, d, "orders"), ["o_orderpriority"], F.col("o_custkey") % 50, 4, 0.0015, 921000)
     return out.withColumns({"cost": F.round("cost", 6), "projected": F.round("projected", 6)})
