@@ -6,8 +6,8 @@ the table gives its matched patterns (an insult aimed at a target, a negated one
 with a weight. A document's score is logistic in the summed weights of its clauses by pattern.
 
 Target, negation, report and threat words are fixed lists. Insult stems are learned from labels: stems of words that
-cover toxic documents and hardly occur in clean ones, taken greedily by how many uncovered documents they explain. The
-stems and the pattern weights are fitted on at most MAX_ROWS labelled rows; that bound is a parameter.
+lean to toxic documents in many contexts, taken greedily by how much they explain. The stems and the pattern weights are
+fitted on at most MAX_ROWS labelled rows; that bound is a parameter.
 """
 
 from __future__ import annotations
@@ -168,28 +168,37 @@ def _features(stems):
 
 
 def learn_stems(sample: DataFrame, shortest: int = 4, longest: int = 10, purity: float = 8.0) -> dict[str, float]:
-    """{stem: log-odds} from sample(doc_id, text, toxic) by greedy covering of its toxic documents."""
+    """{stem: log-odds} from sample(doc_id, text, toxic).
+
+    A candidate stem leans to toxic documents and stands between many different pairs of neighbouring words there; words
+    that only a group of copies shares have few such contexts. Of nested candidates the one is taken that explains most
+    words, weighted by its log-odds; then the next for what is left.
+    """
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     bad, good = n.get(1, 0), n.get(0, 0)
     if not bad or not good:
         return {}
-    words = sample.select("doc_id", "toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{3,})"), F.lit(1)))).alias("w"))
-    stem = words.select("doc_id", "toxic", F.explode(F.expr(f"transform(sequence({shortest}, least(length(w), {longest})), k -> substring(w, 1, k))")).alias("stem")).distinct()
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))
+    stems = F.expr(f"transform(sequence({shortest}, greatest({shortest}, least(length(w), {longest}))), k -> substring(w, 1, k))")
+    listed = sample.select("doc_id", "toxic", F.explode(F.array_distinct(words)).alias("w")).filter(F.length("w") >= shortest)
+    stem = listed.select("doc_id", "toxic", F.explode(stems).alias("stem")).distinct()
     least = max(5, bad // 100)
     seen = stem.groupBy("stem").agg(F.count_if(F.col("toxic") == 1).alias("pos"), F.count_if(F.col("toxic") == 0).alias("neg"))
     odds = (F.col("pos") + 0.5) / bad / ((F.col("neg") + 0.5) / good)
-    seen = seen.filter((F.col("pos") >= least) & (odds >= purity)).withColumn("weight", F.log(odds))
-    lists = stem.filter("toxic = 1").join(seen, "stem").groupBy("stem", "pos", "weight").agg(F.collect_set("doc_id").alias("docs")).collect()
-    left, out = {r["stem"]: (set(r["docs"]), r["weight"]) for r in lists}, {}
+    seen = seen.filter((F.col("pos") >= least) & (odds >= purity)).select("stem", F.log(odds).alias("weight"))
+
+    placed = sample.filter("toxic = 1").select("doc_id", words.alias("ws")).select("doc_id", "ws", F.posexplode("ws").alias("k", "w")).filter(F.length("w") >= shortest)
+    around = F.concat_ws(" ", F.get("ws", F.col("k") - 1), F.lit("_"), F.get("ws", F.col("k") + 1))
+    placed = placed.select(F.xxhash64("doc_id", "w").alias("item"), around.alias("context"), F.explode(stems).alias("stem")).join(seen, "stem")
+    found = placed.groupBy("stem", "weight").agg(F.count_distinct("context").alias("contexts"), F.collect_set("item").alias("items")).filter(F.col("contexts") >= least)
+    left, out = {r["stem"]: (set(r["items"]), r["weight"]) for r in found.collect()}, {}
     while left:
-        gain = {s: len(d) for s, (d, _) in left.items()}
+        gain = {s: len(d) * w for s, (d, w) in left.items()}
         most = max(gain.values())
-        if most < least:
-            break
         # of the stems that explain (nearly) as much, the longest: it stands for one word family and no more
         best = max((s for s, g in gain.items() if g >= 0.98 * most), key=lambda s: (len(s), s))
-        docs, out[best] = left.pop(best)
-        left = {s: (d - docs, w) for s, (d, w) in left.items() if len(d - docs) >= least}
+        items, out[best] = left.pop(best)
+        left = {s: (d - items, w) for s, (d, w) in left.items() if len(d - items) >= least}
     return out
 
 
