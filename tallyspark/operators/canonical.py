@@ -16,7 +16,7 @@ def clusters(df: DataFrame, field: str, scope: str, value: str, threshold: float
     """field, scope, variant, canonical, n: values by count, each to the first cluster whose head it resembles.
 
     Only values with the same digits can merge, so the digits join field and scope as a block; within a block values go
-    by falling count, then by value, and the reference order of the similarity is (new value, head).
+    by falling count, then by value; the similarity is taken of (new value, head), in that order.
     """
     counts = df.filter(F.coalesce(F.trim(F.col(value)), F.lit("")) != "").groupBy(F.col(field).alias("field"), F.col(scope).cast("string").alias("scope"), F.col(value).alias("variant")).agg(F.count("*").alias("n"))
     counts = counts.withColumn("digits", digit_signature("variant"))
