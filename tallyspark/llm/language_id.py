@@ -58,8 +58,8 @@ def grams(texts: list[str | None]):
         x3 = (x2[:-1] + code[2:]) * _MULTIPLY[2]
         shift = np.uint64(64 - BITS)
         places = [(x >> shift).astype(np.int32) for x in (x1 * _MULTIPLY[2], x2, x3)]
-        for a, b in zip(kept, kept[1:], strict=False):
-            if b - a < 3 or not (code[a:b] != 32).any():
+        for text, a, b in zip(lot, kept, kept[1:], strict=False):
+            if not any(map(str.isalpha, text)):
                 yield None
                 continue
             count = np.bincount(np.concatenate((places[0][a + 1 : b], places[1][a : b - 1], places[2][a : b - 2])), minlength=SIZE)

@@ -69,6 +69,8 @@ def test_language_id(odd, empty):
     got = language_id.identify(odd)
     assert got.count() == odd.count()
     assert {r.doc_id: r.lang_pred for r in got.collect() if r.doc_id in (1, 2, 9)} == {1: "und", 2: "und", 9: "und"}
+    assert list(language_id.grams(["\u0301 \u0302", "", None, "12."])) == [None] * 4
+    assert next(language_id.grams(["x"])) is not None
     assert language_id.identify(empty).count() == 0
     assert language_id.keep_identified(odd).columns == odd.columns
 
