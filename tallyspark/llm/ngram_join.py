@@ -35,6 +35,8 @@ FLUSH = 2 << 20
 #: Classes in a bucket that give all pairs at once.
 SMALL = 8
 LEAST_FREQUENT = 8
+#: Sets of fewer shingles link with equal sets only, which are their class: 3 of 4 is under 0.8, 4 of 5 is not.
+LEAST_INDEXED = 4
 
 
 def class_keys(s: np.ndarray) -> tuple[int, int]:
@@ -163,7 +165,7 @@ def _index_scan(ranges: int, sent):
         held, size = [], 0
         for batch in batches:
             for s in shingle_sets(batch.column(0), WIDTH):
-                if len(s) < 5:
+                if len(s) < LEAST_INDEXED:
                     continue
                 single, pairs, r = index_keys(s, bits)
                 k = len(single) + len(pairs)

@@ -75,6 +75,20 @@ def test_ngram_join(spark, monkeypatch, small, least, seed):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("least", [2, 8])
+def test_ngram_join_links_four_shingles_with_five(spark, monkeypatch, least):
+    monkeypatch.setattr(ngram_join, "LEAST_FREQUENT", least)
+    texts = []
+    for k in range(6):
+        w = [f"t{k}w{i}" for i in range(8)]
+        texts += [" ".join(w), " ".join([*w, f"end{k}"]), " ".join([f"front{k}", *w]), " ".join(w[:7]), " ".join(w[1:] + [f"other{k}"])]
+    rows = list(enumerate(texts))
+    want = brute_components(rows)
+    assert all(want[5 * k + 1] == (5, 5 * k) for k in range(6))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def brute_removed(rows, width=100):
     seen, out = set(), {}
     for d, t in sorted(rows):
