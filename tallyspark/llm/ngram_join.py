@@ -296,18 +296,19 @@ def _tile(t):
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def between_components(docs: DataFrame, members: DataFrame, tile_tokens: int = 1 << 18) -> DataFrame:
+def between_components(docs: DataFrame, members: DataFrame, tile_tokens: int = 1 << 18, tile_members: int = 1 << 10) -> DataFrame:
     """Links (a, b) between members(bucket, class_id, n, r, label) of a bucket that lie in different components.
 
     Components that share buckets form a region. A region's members are dealt into parts of about tile_tokens tokens
-    and each pair of parts is one task, so that no task grows with a region; pairs never leave a task, only links do.
+    or tile_members members, and each pair of parts is one task, so that no task grows with a region, nor its
+    arrays of members by members; pairs never leave a task, only links do.
     """
     low = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     open_ = cut(members.join(low, "bucket"), "open")
     regions = components(open_.filter("label <> lo").select(F.col("label").alias("a"), F.col("lo").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("region"))
     rows = open_.groupBy("class_id", "label", "n").agg(F.max("r").alias("r"), F.collect_set("bucket").alias("buckets"))
     rows = rows.join(regions, "label", "left").withColumn("region", F.coalesce("region", "label"))
-    parts = rows.groupBy("region").agg(F.ceil(F.sum("n") / tile_tokens).alias("parts"))
+    parts = rows.groupBy("region").agg(F.ceil(F.greatest(F.sum("n") / tile_tokens, F.count("*") / tile_members)).alias("parts"))
     near = id_filter(open_, "class_id")
     sets = docs.select("doc_id", "text").mapInArrow(_sets(near), "id long, tokens binary")
     rows = rows.join(parts, "region").join(sets.withColumnRenamed("id", "class_id"), "class_id")

@@ -11,6 +11,7 @@ import wave
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -89,6 +90,28 @@ def test_ngram_join_links_four_shingles_with_five(spark, monkeypatch, least):
     assert got == want
 
 
+def template_lines(spark, lines):
+    """Documents of one template whose 13th of 14 words differs, and their rows in one large bucket."""
+    docs = [(d, " ".join([f"p{i}" for i in range(12)] + [f"n{d // 2 if d < 20 else d}", "last" if d % 2 else "end"])) for d in range(lines)]
+    members = spark.createDataFrame([(1, d, 10, 0, d) for d, _ in docs], "bucket long, class_id long, n long, r long, label long")
+    return docs, spark.createDataFrame(docs, "doc_id long, text string"), members
+
+
+def test_tiles_are_bounded_in_members(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_tile", lambda t: pa.table({"a": pa.array([t.num_rows], pa.int64()), "b": pa.array([0], pa.int64())}))
+    _, docs, members = template_lines(spark, 6000)
+    sizes = [r.a for r in ngram_join.between_components(docs, members).collect()]
+    assert max(sizes) <= 1.2 * 2 * 1024
+
+
+def test_tiles_by_members_find_every_link(spark):
+    rows, docs, members = template_lines(spark, 300)
+    sets = {d: shingles(t) for d, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(want) == 10
+    assert {(r.a, r.b) for r in ngram_join.between_components(docs, members, tile_members=32).collect()} == want
+
+
 def brute_removed(rows, width=100):
     seen, out = set(), {}
     for d, t in sorted(rows):
