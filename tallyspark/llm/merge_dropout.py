@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding with seeded merge-dropout.
 
 Merges come from a public BPE model with byte fallback. Adjacent pairs wait in an agenda, best score first and leftmost
-where scores tie; a candidate that comes up is skipped if a hash keyed by seed, variant, word and place says so. With
-probability 0 the result is the model's own segmentation. Any result decodes to the text it came from.
+where scores tie; a candidate that comes up is skipped if a hash keyed by seed, document and the word's place in it
+says so. With probability 0 the result is the model's own segmentation. Any result decodes to the text it came from.
 """
 
 from __future__ import annotations
@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import lean_batches
-from tallyspark.llm.kernels import release
+from tallyspark.llm.kernels import mix, release
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 13
-#: Segmentations of one word that different documents may get.
-VARIANTS = 2
-#: Units whose segmentation a task remembers.
+#: Stands for a null document id.
+NAMELESS = 0x8000000000000001
+#: Units and segmentations that a task remembers.
 REMEMBERED = 1 << 19
 SPACE = "▁"
 _UNIT = re.compile("▁*[^▁]+|▁+")
@@ -76,13 +76,16 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def merge(word: str, p: Pieces, key: int, limit: int) -> list[int]:
-    """Ids of a word in which every two neighbours occur in some piece; limit: the dropout probability times 2**32."""
+def merge(word: str, p: Pieces, key: int, limit: int, dropped: tuple[int, ...] = ()) -> list[int]:
+    """Ids of a word in which every two neighbours occur in some piece; limit: the dropout probability times 2**32.
+
+    dropped: numbers of steps (candidates that come up) to skip whatever the key says.
+    """
     score = p.score
     part = list(word)
     n = len(part)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    agenda = []
+    agenda, step = [], -1
     for i in range(n - 1):
         s = score.get(part[i] + part[i + 1])
         if s is not None:
@@ -94,6 +97,9 @@ def merge(word: str, p: Pieces, key: int, limit: int) -> list[int]:
         j = after[i]
         if left is None or j >= n or len(left) + len(part[j]) != size:
             continue
+        step += 1
+        if step in dropped:
+            continue
         if limit:
             h = ((key ^ (i * 0x9E3779B97F4A7C15 + size * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) & _M
             if (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 >> 20 & 0xFFFFFFFF < limit:
@@ -178,8 +184,11 @@ def pair_table(path: str) -> Pairs:
     return Pairs(pieces(path))
 
 
-def merge_many(words: list[str], keys: np.ndarray, table: Pairs, limit: int) -> list[bytes | None]:
-    """merge() of many words at once, one agenda step for all of them at a time; None where a symbol isn't a piece."""
+def merge_many(words: list[str], keys: np.ndarray, table: Pairs, limit: int, dropped: np.ndarray | None = None, steps: np.ndarray | None = None) -> list[bytes | None]:
+    """merge() of many words at once, one agenda step for all of them at a time; None where a symbol isn't a piece.
+
+    dropped: for each word and step, whether it is skipped whatever the key says; steps takes the steps of each word.
+    """
     n = np.array([len(w) for w in words])
     wide = int(n.max())
     code = table.code[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
@@ -195,12 +204,16 @@ def merge_many(words: list[str], keys: np.ndarray, table: Pairs, limit: int) ->
     out: list = [None] * len(words)
     left = n.copy()
     columns = np.arange(wide + 1)
+    step = -1
     while len(live):
+        step += 1
         at = rank.argmin(1)
         rows = np.arange(len(live))
         best = rank[rows, at]
         done = best == NEVER
         if done.any():
+            if steps is not None:
+                steps[live[done]] = step
             x, size = symbols[done], left[done]
             raw = x[columns[None, :] < size[:, None]].astype("<i4").tobytes()
             ends = (4 * np.cumsum(size)).tolist()
@@ -221,6 +234,12 @@ def merge_many(words: list[str], keys: np.ndarray, table: Pairs, limit: int) ->
             rows, at = rows[~skip], at[~skip]
             if not len(rows):
                 continue
+        if dropped is not None and step < dropped.shape[1]:
+            skip = dropped[live[rows], step]
+            rank[rows[skip], at[skip]] = NEVER
+            rows, at = rows[~skip], at[~skip]
+            if not len(rows):
+                continue
         symbols[rows, at] = made[rows, at]
         shift = np.minimum(columns[None, :] + (columns[None, :] > at[:, None]), wide)
         symbols[rows] = np.take_along_axis(symbols[rows], shift, 1)
@@ -238,11 +257,26 @@ def merge_many(words: list[str], keys: np.ndarray, table: Pairs, limit: int) ->
 
 
 class Encoder:
-    """Remembers the ids of units (a word with its spaces) for each variant, as little-endian int32 bytes."""
+    """Segments each occurrence of a word on its own key.
+
+    What it remembers doesn't depend on keys: the stretches of units (a word with its spaces), and for each stretch a
+    node for every list of dropped steps met so far, with its ids as little-endian int32 bytes and the steps it takes.
+    An occurrence draws how many steps pass before its next drop and goes to that node, until the steps run out.
+    """
 
     def __init__(self, path: str, dropout: float, seed: int):
         self.p, self.path, self.limit, self.seed = pieces(path), path, int(dropout * (1 << 32)), seed
-        self.units: dict[int, dict[str, bytes]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.units: dict[str, int] = {}
+        self.first = self.count = self.flat = np.zeros(0, np.int64)
+        self.roots: dict[str, int] = {}
+        self.kids: dict[int, int] = {}
+        self.words: list[str] = []
+        self.drops: list[tuple[int, ...]] = []
+        self.ids: list[bytes] = []
+        self.steps = self.after = np.zeros(0, np.int64)
 
     def _split(self, units: list[str]) -> list[list[str]]:
         """The stretches of each unit between neighbours that no piece holds; no merge can cross those."""
@@ -262,46 +296,109 @@ class Encoder:
             out[k] += last[:c], last[c:]
         return out
 
-    def _learn(self, variant: int, units: set[str]) -> None:
-        listed = list(units)
-        split = dict(zip(listed, self._split(listed), strict=True))
-        words = {w for x in split.values() for w in x}
-        ids = {w: np.array(self.p.fallback(w), "<i4").tobytes() for w in words if len(w) == 1}
-        short = sorted((w for w in words if 1 < len(w) <= SHORT), key=len)
+    def _grow(self, words: list[str], drops: list[tuple[int, ...]]) -> range:
+        """New nodes. A word over SHORT gets none of its own ids while there is dropout: its occurrences are merged one by one."""
+        start = len(self.words)
+        ids: list = [b""] * len(words)
+        steps = np.zeros(len(words), np.int64)
+        short = sorted((k for k, w in enumerate(words) if 1 < len(w) <= SHORT), key=lambda k: len(words[k]))
         for i in range(0, len(short), 20_000):
             lot = short[i : i + 20_000]
-            keys = np.array([word_key(w, variant, self.seed) for w in lot], np.uint64)
-            for w, x in zip(lot, merge_many(lot, keys, pair_table(self.path), self.limit), strict=True):
-                if x is not None:
-                    ids[w] = x
-        for w in words:
-            if w not in ids:
-                ids[w] = np.array(merge(w, self.p, word_key(w, variant, self.seed), self.limit), "<i4").tobytes()
-        known = self.units.setdefault(variant, {})
-        for u, x in split.items():
-            known[u] = ids[x[0]] if len(x) == 1 else b"".join([ids[w] for w in x])
-
-    def encode_many(self, texts: list[str], variants: list[int]) -> list[bytes]:
+            dropped = np.zeros((len(lot), 1 + max((drops[k][-1] for k in lot if drops[k]), default=0)), bool)
+            for r, k in enumerate(lot):
+                dropped[r, list(drops[k])] = True
+            took = np.zeros(len(lot), np.int64)
+            for k, x in zip(lot, merge_many([words[k] for k in lot], np.zeros(len(lot), np.uint64), pair_table(self.path), 0, dropped, took), strict=True):
+                ids[k] = x if x is not None else np.array(merge(words[k], self.p, 0, 0, drops[k]), "<i4").tobytes()
+            steps[lot] = took
+        for k, w in enumerate(words):
+            if len(w) == 1:
+                ids[k] = np.array(self.p.fallback(w), "<i4").tobytes()
+            elif len(w) > SHORT and not self.limit:
+                ids[k] = np.array(merge(w, self.p, 0, 0), "<i4").tobytes()
+            elif len(w) > SHORT:
+                steps[k] = -1
+        self.words += words
+        self.drops += drops
+        self.ids += ids
+        self.steps = np.append(self.steps, steps)
+        self.after = np.append(self.after, np.array([d[-1] + 1 if d else 0 for d in drops], np.int64))
+        return range(start, len(self.words))
+
+    def _learn(self, fresh: list[str]) -> None:
+        split = self._split(fresh)
+        words = list({w for x in split for w in x} - self.roots.keys())
+        self.roots.update(zip(words, self._grow(words, [()] * len(words)), strict=True))
+        self.units.update(zip(fresh, range(len(self.units), len(self.units) + len(fresh)), strict=True))
+        count = np.array([len(x) for x in split], np.int64)
+        self.first = np.append(self.first, len(self.flat) + np.cumsum(count) - count)
+        self.count = np.append(self.count, count)
+        self.flat = np.append(self.flat, np.array([self.roots[w] for x in split for w in x], np.int64))
+
+    def _drop(self, node: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The node where each occurrence ends, by its key."""
+        node, live, level = node.copy(), np.flatnonzero(self.steps[node] > 0), 0
+        chance = self.limit / (1 << 32)
+        with np.errstate(divide="ignore"):
+            rate = np.log1p(-chance)
+        while len(live):
+            level += 1
+            u = ((mix(key[live] + np.uint64(level * 0xC2B2AE3D27D4EB4F & _M)) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+            step = self.after[node[live]] + np.minimum(np.log(u) / rate, 1 << 20).astype(np.int64)
+            on = step < self.steps[node[live]]
+            live = live[on]
+            wanted = node[live] << 20 | step[on]
+            listed = wanted.tolist()
+            if fresh := list(set(listed) - self.kids.keys()):
+                made = self._grow([self.words[k >> 20] for k in fresh], [(*self.drops[k >> 20], k & 0xFFFFF) for k in fresh])
+                self.kids.update(zip(fresh, made, strict=True))
+            node[live] = np.fromiter(map(self.kids.__getitem__, listed), np.int64, len(listed))
+        return node
+
+    def encode_many(self, texts: list[str], docs: list[int | None]) -> list[bytes]:
         """The ids of each text as int32 bytes. A literal U+2581 is spelt in bytes, so that it stays apart from a space."""
-        if sum(map(len, self.units.values())) > REMEMBERED:
-            self.units.clear()
+        if len(self.words) + len(self.units) > REMEMBERED:
+            self._forget()
         spelt = np.array([self.p.byte[b] for b in SPACE.encode()], "<i4").tobytes()
-        read: list[list[list[str]]] = []
-        wanted: dict[int, set[str]] = {}
-        for t, v in zip(texts, variants, strict=True):
-            read.append([_UNIT.findall(x.replace(" ", SPACE)) for x in (" " + t).split(SPACE)] if t else [[]])
-            wanted.setdefault(v, set()).update(*read[-1])
-        for v, units in wanted.items():
-            if fresh := units - self.units.get(v, {}).keys():
-                self._learn(v, fresh)
-        out = []
-        for stretches, v in zip(read, variants, strict=True):
-            get = self.units.get(v, {}).__getitem__
-            out.append(spelt.join([b"".join(map(get, x)) for x in stretches]))
+        units: list[str] = []
+        runs: list[list[int]] = []
+        for t in texts:
+            runs.append([])
+            for x in (" " + t).split(SPACE) if t else [""]:
+                found = _UNIT.findall(x.replace(" ", SPACE))
+                runs[-1].append(len(found))
+                units += found
+        if fresh := list(set(units) - self.units.keys()):
+            self._learn(fresh)
+        unit = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
+        count = self.count[unit]
+        ends = np.cumsum(count)
+        node = self.flat[np.repeat(self.first[unit] - (ends - count), count) + np.arange(count.sum())]
+        # where each run of a text between literal marks ends, and where each text does
+        cuts = np.append(0, ends)[np.cumsum([n for x in runs for n in x])].tolist()
+        lasts = np.array(cuts)[np.cumsum([len(x) for x in runs]) - 1]
+        size = np.diff(np.append(0, lasts))
+        key = mix(np.array([NAMELESS if d is None else d & _M for d in docs], np.uint64) + mix(np.array([self.seed & _M], np.uint64)))
+        place = (np.arange(len(node)) - np.repeat(lasts - size, size)).astype(np.uint64)
+        key = mix(np.repeat(key, size) + place * np.uint64(0x9E3779B97F4A7C15))
+        if self.limit:
+            node = self._drop(node, key)
+        ids = list(map(self.ids.__getitem__, node.tolist()))
+        for k in np.flatnonzero(self.steps[node] < 0).tolist():
+            w = self.words[node[k]]
+            ids[k] = np.array(merge(w, self.p, word_key(w, int(key[k]) & 0xFFFFFFFF, self.seed), self.limit), "<i4").tobytes()
+        out, at, c = [], 0, 0
+        for x in runs:
+            bodies = []
+            for end in cuts[c : c + len(x)]:
+                bodies.append(b"".join(ids[at:end]))
+                at = end
+            c += len(x)
+            out.append(spelt.join(bodies))
         return out
 
-    def encode(self, text: str, variant: int = 0) -> list[int]:
-        return np.frombuffer(self.encode_many([text], [variant])[0], "<i4").tolist()
+    def encode(self, text: str, doc: int = 0) -> list[int]:
+        return np.frombuffer(self.encode_many([text], [doc])[0], "<i4").tolist()
 
 
 def decode(ids: list[int], path: str = MODEL) -> str:
@@ -309,11 +406,7 @@ def decode(ids: list[int], path: str = MODEL) -> str:
     return b"".join([raw[i] for i in ids]).decode()[1:]
 
 
-def variant_of(doc_id: int | None, seed: int, variants: int) -> int:
-    return zlib.crc32(str(doc_id).encode(), seed) % variants
-
-
-def _encode(path: str, dropout: float, seed: int, variants: int, digest: bool, lot: int = 1 << 21):
+def _encode(path: str, dropout: float, seed: int, digest: bool, lot: int = 1 << 21):
     names = ["doc_id", "n_pieces", *(["ids_sha256", "decoded_sha256"] if digest else ["ids"])]
     types = [pa.int64(), pa.int64(), *([pa.string(), pa.string()] if digest else [pa.list_(pa.int32())])]
 
@@ -328,7 +421,7 @@ def _encode(path: str, dropout: float, seed: int, variants: int, digest: bool, l
                     size += len(texts[j])
                     j += 1
                 rows = []
-                for d, raw in zip(docs[i:j], e.encode_many(texts[i:j], [variant_of(d, seed, variants) for d in docs[i:j]]), strict=True):
+                for d, raw in zip(docs[i:j], e.encode_many(texts[i:j], docs[i:j]), strict=True):
                     ids = np.frombuffer(raw, "<i4")
                     rows.append((d, len(ids), *((hashlib.sha256(raw).hexdigest(), hashlib.sha256(decode(ids.tolist(), path).encode()).hexdigest()) if digest else (ids,))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -339,16 +432,16 @@ def _encode(path: str, dropout: float, seed: int, variants: int, digest: bool, l
     return run
 
 
-def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, digest: bool = False) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, digest: bool = False) -> DataFrame:
     """(doc_id, n_pieces, ids) for every row, or with `digest` (doc_id, n_pieces, ids_sha256, decoded_sha256).
 
     decoded_sha256 is over what the ids decode to, which is the text. Null texts count as empty and have no
-    piece. A document's variant follows from its id and the seed; null ids share one. Repeated rows give
-    repeated rows; extra columns are not read.
+    piece. Every occurrence of a word is cut on its own key of seed, document id and place in the document;
+    null ids count as one id. Repeated rows give repeated rows; extra columns are not read.
     """
     lean_batches(docs.sparkSession)
     schema = "doc_id long, n_pieces long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(path, dropout, seed, variants, digest), schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(path, dropout, seed, digest), schema)
 
 
 def op8_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,6 +250,26 @@ def test_dropout_round_trips_and_varies(dropout):
     assert len({tuple(merge_dropout.Encoder(merge_dropout.MODEL, 0.3, s).encode(text)) for s in range(4)}) > 1
 
 
+def test_every_occurrence_has_its_own_dropout():
+    e = merge_dropout.Encoder(merge_dropout.MODEL, 0.1, 13)
+    p, n, forms, word = e.p, 400, [], []
+    whole = merge_dropout.merge("▁understanding", p, 0, 0)
+    for i in np.frombuffer(e.encode_many([" ".join(["understanding"] * n)], [5])[0], "<i4").tolist():
+        word.append(i)
+        if b"".join(p.raw[k] for k in word) == b" understanding":
+            forms.append(tuple(word))
+            word = []
+    across = [tuple(e.encode("understanding", d)) for d in range(n)]
+    keyed = [tuple(merge_dropout.merge("▁understanding", p, merge_dropout.word_key("▁understanding", d, 13), e.limit)) for d in range(n)]
+    for got in (forms, across):
+        assert len(got) == n
+        assert len(set(got)) > 4
+        assert abs(got.count(tuple(whole)) - keyed.count(tuple(whole))) < 0.12 * n
+    e.encode_many(TEXTS * 50, list(range(50 * len(TEXTS))))
+    for w, dropped, x, steps in zip(e.words, e.drops, e.ids, e.steps, strict=True):
+        assert steps < 0 or np.frombuffer(x, "<i4").tolist() == merge_dropout.merge(w, p, 0, 0, dropped)
+
+
 def test_zip_both_ways():
     body = warc_zip.zip_stored([("a/b", b"x" * 1000), ("c", b"")])
     with zipfile.ZipFile(io.BytesIO(body)) as z:
