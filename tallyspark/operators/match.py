@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from tallyspark.functions.fuzzy import seq_ratio
 
 
-def scoped_best(targets: DataFrame, candidates: DataFrame, scope: Sequence[str], accept: float = 0.85, margin: float = 0.05, review: float = 0.7) -> DataFrame:
+def scoped_best(targets: DataFrame, candidates: DataFrame, scope: Sequence[str], accept: float = 0.85, margin: float = 0.05, review: float = 0.7, own: str | None = None) -> DataFrame:
     """scope..., target, candidate, score, runner_up, status for each target with candidates of its scope.
 
     status: accepted (score over accept, runner-up a margin below), review, or none; ties go to the smaller candidate.
+    own: a column of targets with a candidate that the target can't have, null for none.
     """
-    pairs = targets.select(*scope, "target").distinct().join(candidates.select(*scope, "candidate").distinct(), list(scope))
-    bound = 2 * F.least(F.length("target"), F.length("candidate")) / F.greatest(F.length("target") + F.length("candidate"), F.lit(1))
-    scored = pairs.withColumn("score", F.when(bound >= review, seq_ratio("target", "candidate")).otherwise(bound * 0))
+    wanted = targets.select(*scope, "target", *([F.col(own).alias("_own")] if own else [])).distinct()
+    pairs = wanted.join(candidates.select(*scope, "candidate").distinct(), list(scope))
+    if own:
+        pairs = pairs.filter(~F.col("candidate").eqNullSafe(F.col("_own")))
+    scored = pairs.withColumn("score", seq_ratio("target", "candidate"))
     w = W.partitionBy(*scope, "target").orderBy(F.desc("score"), "candidate")
     top = scored.withColumns({"_r": F.row_number().over(w), "runner_up": F.lead("score").over(w)}).filter("_r = 1")
     clear = F.col("runner_up").isNull() | (F.col("score") - F.col("runner_up") >= margin)

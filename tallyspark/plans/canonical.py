@@ -49,10 +49,14 @@ def vocabulary_summary(spark, d):
 
 @query()
 def scoped_match(spark, d):
-    """Part names against the names of the same brand and size, without the part's own."""
+    """Each part's name against the names of the other parts of its brand. Parts of one brand and name share their match;
+    their name is a candidate too unless a single part has it."""
     part = table(spark, d, "part")
-    targets = part.filter("p_partkey % 3 = 0").select("p_brand", F.concat("p_name", F.lit("s")).alias("target"))
-    return match.scoped_best(targets, part.filter("p_partkey % 3 <> 0").select("p_brand", F.col("p_name").alias("candidate")), ["p_brand"]).withColumns({"score": F.round("score", 9), "runner_up": F.round("runner_up", 9)})
+    target = F.concat("p_name", F.lit("s")).alias("target")
+    names = part.groupBy("p_brand", "p_name").agg(F.count("*").alias("n"))
+    targets = names.select("p_brand", target, F.when(F.col("n") == 1, F.col("p_name")).alias("own"))
+    best = match.scoped_best(targets, names.select("p_brand", F.col("p_name").alias("candidate")), ["p_brand"], own="own")
+    return part.select("p_partkey", "p_brand", target).join(best, ["p_brand", "target"]).withColumns({"score": F.round("score", 9), "runner_up": F.round("runner_up", 9)})
 
 
 @query("SELECT n_name AS native, list(DISTINCT c_mktsegment ORDER BY c_mktsegment) AS s FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1 HAVING count(DISTINCT c_mktsegment) > 1".replace("list(DISTINCT c_mktsegment ORDER BY c_mktsegment) AS s", "array_to_string(list(DISTINCT c_mktsegment ORDER BY c_mktsegment), ',') AS spellings"))

@@ -160,6 +160,30 @@ def test_scoped_match_needs_a_margin(spark):
     assert got == {"1": ("station road", "accepted"), "2": ("abcx", "review")}
 
 
+def test_scoped_match_scores_every_pair(spark):
+    t = spark.createDataFrame([("1", "abcdefgh")], "s string, target string")
+    c = spark.createDataFrame([("1", "aa"), ("1", "abc")], "s string, candidate string")
+    (r,) = match.scoped_best(t, c, ["s"]).collect()
+    assert (r.candidate, round(r.score, 6), round(r.runner_up, 6), r.status) == ("abc", round(6 / 11, 6), 0.2, "none")
+
+
+def test_scoped_match_covers_every_part(spark):
+    from tallyspark.functions.fuzzy import ratio
+    from tallyspark.plans.canonical import scoped_match
+    from tests.conftest import DATA
+
+    parts = spark.read.parquet(f"{DATA}/part.parquet").select("p_partkey", "p_brand", "p_name").collect()
+    want = {}
+    for p in parts:
+        others = {o.p_name for o in parts if o.p_brand == p.p_brand and o.p_partkey != p.p_partkey}
+        if others:
+            scores = sorted((-ratio(p.p_name + "s", o), o) for o in others)
+            want[p.p_partkey] = (scores[0][1], round(-scores[0][0], 9), round(-scores[1][0], 9) if len(scores) > 1 else None)
+    got = scoped_match(spark, DATA).collect()
+    assert len(got) == len(want)
+    assert {r.p_partkey: (r.candidate, r.score, r.runner_up) for r in got} == want
+
+
 @pytest.mark.parametrize(("right", "total"), [(0, 0), (0, 10), (10, 10), (7, 20)])
 def test_wilson(spark, right, total):
     r = one(spark, measure.wilson(F.lit(right), F.lit(total)))
