@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir; where it is unset, one of our own in local mode only."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tallyspark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -29,9 +31,22 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def discard(spark: SparkSession, keep: int = 0) -> None:
+    """Delete what cut() wrote, but for the last `keep` tables. Only once no plan that reads them will run again."""
+    gone = _written[: len(_written) - keep]
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _written[: len(gone)]
+
+
 def lean_batches(spark: SparkSession, most: int = 8 << 20) -> None:
     """Hold Arrow batches to 8 MB: rows are whole texts, and the default of 64 MB for each side of each worker adds up."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -54,22 +69,22 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, weight: str, total:
     return dealt.join(right.withColumn("_salt", F.explode(copies)), [key, "_salt"], "left").drop("_salt")
 
 
-#: Bits of the id filters: 1 MB, whatever the input.
-FILTER_BITS = 23
+#: Least and most bits of an id filter, as powers of two: 128 KB to 16 MB.
+FILTER_BITS = 20, 27
 
 
-def _slot(x: np.ndarray) -> np.ndarray:
-    return ((x.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _slot(x: np.ndarray, wide: int) -> np.ndarray:
+    return ((x.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - wide)).astype(np.int64)
 
 
 class IdFilter:
     """Tells for each id whether it may be in a set; true for all that are, and for few others."""
 
-    def __init__(self, sent):
-        self.sent = sent
+    def __init__(self, sent, wide: int):
+        self.sent, self.wide = sent, wide
 
     def holds(self, ids: np.ndarray) -> np.ndarray:
-        bits, s = np.frombuffer(self.sent.value, np.uint8), _slot(ids)
+        bits, s = np.frombuffer(self.sent.value, np.uint8), _slot(ids, self.wide)
         return ((bits[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1).astype(bool)
 
     def __call__(self, col: str) -> Column:
@@ -85,15 +100,16 @@ class IdFilter:
 def id_filter(ids: DataFrame, col: str) -> IdFilter:
     """An IdFilter for ids[col].
 
-    The filter is a bit array of fixed size, gathered as 128 slices; an overfull one only lets more rows through to
-    the join that follows it, so no result depends on it.
+    The filter is a bit array of eight bits or more for each row, up to 2**27 bits, gathered as 128 slices. Beyond some
+    16 million ids it lets ever more rows through to the join that follows it; no result depends on it.
     """
+    wide = min(FILTER_BITS[1], max(FILTER_BITS[0], (8 * ids.count()).bit_length()))
     slices = 128
-    per = (1 << FILTER_BITS) // slices
+    per = (1 << wide) // slices
 
     @F.pandas_udf("long")
     def slot(x: pd.Series) -> pd.Series:
-        return pd.Series(_slot(x.to_numpy()))
+        return pd.Series(_slot(x.to_numpy(), wide))
 
     def pack(key, t):
         bits = np.zeros(per, bool)
@@ -102,34 +118,33 @@ def id_filter(ids: DataFrame, col: str) -> IdFilter:
 
     found = ids.filter(F.col(col).isNotNull()).select(slot(col).alias("slot")).distinct()
     rows = found.withColumn("slice", F.floor(F.col("slot") / per)).groupBy("slice").applyInArrow(pack, "slice long, bits binary").collect()
-    packed = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    packed = np.zeros((1 << wide) // 8, np.uint8)
     for r in rows:
         packed[r["slice"] * per // 8 : (r["slice"] + 1) * per // 8] = np.frombuffer(r["bits"], np.uint8)
-    return IdFilter(ids.sparkSession.sparkContext.broadcast(packed.tobytes()))
+    return IdFilter(ids.sparkSession.sparkContext.broadcast(packed.tobytes()), wide)
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable from each node of edges(a, b); distributed large-star, small-star.
 
-    Edges stay in DataFrames; each round ends in a written table, so lost executors cost one round at most.
+    Edges stay in DataFrames; each round ends in a written table, so lost executors cost one round at most. The centre
+    of a large star is dealt over salted copies of its one row. Rounds go on until all is stars; their number grows
+    with the logarithm of the nodes.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    for _ in range(rounds):
+    while True:
+        n = e.count()
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        after = cut(small.filter("u <> v").distinct(), "edges")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        large = salted_join(both.filter("v > u"), low, "u", "n", 2 * n, "v").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = cut(large, "edges")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = salted_join(large, least, "u", "n", n, "v").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        e = cut(small.filter("u <> v").distinct(), "edges")
         # Stars are reached when no node is a leaf of two centres and no centre is a leaf.
-        heads = after.select(F.col("v").alias("u")).distinct()
-        if after.join(heads, "u", "left_semi").isEmpty() and after.groupBy("u").count().filter("count > 1").isEmpty():
-            e = after
-            break
-        e = after
-    else:
-        raise RuntimeError("components did not settle")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        heads = e.select(F.col("v").alias("u")).distinct()
+        if e.join(heads, "u", "left_semi").isEmpty() and e.groupBy("u").count().filter("count > 1").isEmpty():
+            return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def crc_fold(id_col: str, folds: int = 3) -> Column:

@@ -6,11 +6,15 @@ and an earlier start). Texts are whole and in UTF-8; matches never cross documen
 Any two equal strings of `width` bytes hold the same minimal `gram`-byte hash at the same place (winnowing), so every
 match lies around a shared anchor. An anchor's window is all bytes that such a string around it can reach.
   1. A scan emits each anchor with a hash of its window. Within a partition only the first of equal windows is sent;
-     the later ones are settled there, so that a hot passage sends one row for each partition.
-  2. Of equal windows under an anchor the first one stays, the others go whole.
-  3. What is left are anchors with several different windows (the borders of a repeat). Their windows are read, and a
-     suffix array with its LPF array over them tells which strings have an earlier match. Anchors with more different
-     windows than a task should hold go, string by string, through a grouped minimum instead, which is exact as well.
+     the later ones are settled there, so that a hot passage sends one row for each flush of a partition.
+  2. Of equal windows under an anchor the first one stays, the others go whole. Windows count as equal by 104 bits of
+     two hashes (40 of the anchor, 64 of the window).
+  3. What is left are anchors with several different windows (the borders of a repeat). Their bytes are read, and a
+     suffix array with its LPF array over them tells which strings have an earlier match. An anchor with more windows
+     than CROWD is dealt over lots of about that many. What is first in its lot then meets its equals from other lots
+     in blocks of strings, which go through suffix arrays again.
+
+Each task holds a range of anchors, a lot of windows or a block of strings; their numbers follow the input's bytes.
 """
 
 from __future__ import annotations
@@ -19,19 +23,22 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import cut, id_filter, lean_batches
-from tallyspark.llm.kernels import mix, pack, pack_sorted, powers, prefix_hash, range_hash, spans, unpack, unpack_sorted
+from tallyspark.llm.kernels import mix, pack, pack_sorted, powers, prefix_hash, range_hash, release, spans, unpack, unpack_sorted
 
 WIDTH = 100
 GRAM = 32
 ANCHOR_BITS = 40
-WINDOW_BITS = 48
-FLUSH = 1 << 20
-#: Different windows of one anchor that a single suffix array takes: 2.8 MB of text, about 150 MB of arrays.
-CROWD = 16384
+#: Anchors that a scan holds before it sends them on.
+FLUSH = 1 << 19
+#: Anchors in a range, windows in a group of suffix arrays, and strings in a block: what a task should hold at a time.
+RANGE, GROUP, BLOCK = 1 << 18, 1 << 15, 1 << 16
+#: Different windows of one anchor that a single suffix array takes: 0.7 MB of text.
+CROWD = 4096
 
 
 def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
@@ -69,7 +76,7 @@ def anchors(data: np.ndarray, off: np.ndarray, width: int, gram: int) -> tuple[n
     a = np.maximum(off[doc], hit - (width - gram))
     b = np.minimum(off[doc + 1], hit + width)
     window = mix(range_hash(s, a, b) + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + (hit - a).astype(np.uint64))
-    return doc, hit - off[doc], h[hit] >> np.uint64(64 - ANCHOR_BITS), window >> np.uint64(64 - WINDOW_BITS)
+    return doc, hit - off[doc], h[hit] >> np.uint64(64 - ANCHOR_BITS), window
 
 
 def _firsts(anchor, window, doc, pos):
@@ -128,6 +135,8 @@ def _scan(width: int, gram: int, ranges: int):
         if n:
             for t in flush(held):
                 yield from t.to_batches()
+        del held
+        release()
 
     return run
 
@@ -145,39 +154,39 @@ def _fields(body: bytes) -> list[bytes]:
 FOUND = "kind int, doc_id long, pos long, anchor long, crowd long, body binary"
 
 
+def _found(kind: int, doc, pos=None, anchor=None, crowd=None, body=None) -> pa.Table:
+    n = len(doc)
+    column = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(x, pa.int64())
+    return pa.table({"kind": pa.array(np.full(n, kind, np.int32)), "doc_id": pa.array(doc, pa.int64()), "pos": column(pos), "anchor": column(anchor), "crowd": column(crowd), "body": pa.nulls(n, pa.binary()) if body is None else pa.array(body, pa.binary())})
+
+
 def _settle(t):
     t = t.combine_chunks()
-    docs, poss, bodies, kinds, hashes, crowds = [], [], [], [], [], []
+    settled = t.filter(pa.compute.equal(t.column("kind"), 1))
+    parts = [_found(0, settled.column("doc_id").to_numpy(), body=settled.column("body").combine_chunks())]
     cols = []
-    for kind, doc, body in zip(*(t.column(c).to_pylist() for c in ("kind", "doc_id", "body")), strict=True):
-        if kind:
-            docs.append(doc), poss.append(None), bodies.append(body), kinds.append(0), hashes.append(None), crowds.append(None)
-        else:
-            a, w, d, p = _fields(body)
-            cols.append((unpack_sorted(a), unpack(w), unpack(d).view(np.int64), unpack(p).astype(np.int64)))
+    for body in t.filter(pa.compute.equal(t.column("kind"), 0)).column("body"):
+        a, w, d, p = _fields(body.as_py())
+        cols.append((unpack_sorted(a), unpack(w), unpack(d).view(np.int64), unpack(p).astype(np.int64)))
     if cols:
         anchor, window, doc, pos = (np.concatenate(x) for x in zip(*cols, strict=True))
+        del cols
         order, first, later = _firsts(anchor, window, doc, pos)
         again = order[later]
         if len(again):
             again = again[np.lexsort((pos[again], doc[again]))]
             cuts = np.flatnonzero(np.diff(doc[again], prepend=doc[again][0] - 1))
-            for a, b in zip(cuts, np.append(cuts[1:], len(again)), strict=True):
-                docs.append(int(doc[again[a]])), poss.append(None), kinds.append(0), hashes.append(None), crowds.append(None)
-                bodies.append(pack_sorted(pos[again[a:b]].astype(np.uint64)))
+            parts.append(_found(0, doc[again[cuts]], body=[pack_sorted(pos[x].astype(np.uint64)) for x in np.split(again, cuts[1:])]))
         lead = order[first]
         a = anchor[lead]
         edge = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
         size = np.diff(np.append(edge, len(a)))
         many = np.repeat(size, size)
         keep = lead[many > 1]
-        docs += doc[keep].tolist()
-        poss += pos[keep].tolist()
-        hashes += anchor[keep].astype(np.int64).tolist()
-        crowds += many[many > 1].tolist()
-        kinds += [1] * len(keep)
-        bodies += [None] * len(keep)
-    return pa.table({"kind": pa.array(kinds, pa.int32()), "doc_id": pa.array(docs, pa.int64()), "pos": pa.array(poss, pa.int64()), "anchor": pa.array(hashes, pa.int64()), "crowd": pa.array(crowds, pa.int64()), "body": pa.array(bodies, pa.binary())})
+        parts.append(_found(1, doc[keep], pos[keep], anchor[keep].astype(np.int64), many[many > 1]))
+        del anchor, window, doc, pos, order, first, later, again, lead, keep
+    release()
+    return pa.concat_tables(parts)
 
 
 def sort_index(key: np.ndarray, bits: int) -> np.ndarray:
@@ -234,38 +243,55 @@ def lpf_reaches(order: np.ndarray, rank: np.ndarray, when: np.ndarray) -> np.nda
     return out
 
 
-def _windows(width: int, gram: int):
-    """Windows of border anchors, from (doc_id, text, anchors, positions, crowds)."""
+WINDOWS = "anchor long, lot long, crowd long, doc_id long, start long, body binary"
+
+
+def _windows(width: int, gram: int, crowd: int):
+    """Windows of border anchors, from (doc_id, text, asked); a crowded anchor's are dealt over lots."""
 
     def run(batches):
         for batch in batches:
             docs = batch.column("doc_id").to_pylist()
             texts = batch.column("text").to_pylist()
-            cols = {k: [] for k in ("anchor", "doc_id", "start", "pos", "crowd", "body")}
+            cols = {k: [] for k in ("anchor", "lot", "crowd", "doc_id", "start", "body")}
             for d, t, asked in zip(docs, texts, batch.column("asked").to_pylist(), strict=True):
                 raw = (t or "").encode()
                 for x in asked:
                     a = max(0, x["pos"] - (width - gram))
-                    for k, v in (("anchor", x["anchor"]), ("doc_id", d), ("start", a), ("pos", x["pos"]), ("crowd", x["crowd"]), ("body", raw[a : x["pos"] + width])):
+                    lots = -(-x["crowd"] // crowd)
+                    lot = int(mix(np.array([d * 0x9E3779B9 + x["pos"] & 0xFFFFFFFFFFFFFFFF], np.uint64))[0] % np.uint64(lots))
+                    for k, v in (("anchor", x["anchor"]), ("lot", lot), ("crowd", x["crowd"]), ("doc_id", d), ("start", a), ("body", raw[a : x["pos"] + width])):
                         cols[k].append(v)
             types = {"body": pa.binary()}
             yield pa.RecordBatch.from_pydict({k: pa.array(v, types.get(k, pa.int64())) for k, v in cols.items()})
+        release()
 
     return run
 
 
-def _match(width: int):
-    """The starts in each window that have an earlier match under the same anchor."""
+MATCHED = "doc_id long, at long, string binary"
+
+
+def _match(width: int, crowd: int):
+    """The starts in each window that have an earlier match in the same lot of the same anchor, with a null string. Of
+    crowded anchors also the starts that have none, each with its string."""
+
+    def found(doc, at, body=None):
+        n = len(doc)
+        string = pa.nulls(n, pa.binary()) if body is None else pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * width, width, dtype=np.int32)), pa.py_buffer(body)])
+        return pa.table({"doc_id": pa.array(doc, pa.int64()), "at": pa.array(at, pa.int64()), "string": string})
 
     def run(t):
-        anchor, doc, start = (t.column(c).to_numpy() for c in ("anchor", "doc_id", "start"))
+        anchor, lot, many, doc, start = (t.column(c).to_numpy() for c in ("anchor", "lot", "crowd", "doc_id", "start"))
         body = t.column("body").to_pylist()
-        order = np.lexsort((start, doc, anchor))
-        out_doc, out_pos = [], []
+        order = np.lexsort((start, doc, lot, anchor))
+        same = np.ones(len(order), bool)
+        same[1:] = (anchor[order[1:]] == anchor[order[:-1]]) & (lot[order[1:]] == lot[order[:-1]])
+        out = [found(doc[:0], start[:0])]
         i = 0
         while i < len(order):
             j, size = i, 0
-            while j < len(order) and (size < 1 << 20 or anchor[order[j]] == anchor[order[j - 1]]):
+            while j < len(order) and (size < 1 << 19 or same[j]):
                 size += len(body[order[j]])
                 j += 1
             rows = order[i:j]
@@ -276,14 +302,14 @@ def _match(width: int):
             row = np.repeat(np.arange(len(rows)), lens)
             local = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
             data[base[row] + local] = np.frombuffer(b"".join(body[k] for k in rows), np.uint8).astype(np.uint16) + 1
-            sa, rank = suffix_array(data, width)
-            # windows are in (anchor, doc, start) order: a dense number of (doc, place) gives the position in the corpus
-            dr, sr, ar = doc[rows], start[rows], anchor[rows]
-            group = np.cumsum(np.concatenate(([0], (ar[1:] != ar[:-1]).astype(np.int64))))
+            _, rank = suffix_array(data, width)
+            # windows are in (anchor, lot, doc, start) order: a dense number of (doc, place) gives the position in the corpus
+            dr, sr = doc[rows], start[rows]
+            group = np.cumsum(~same[i:j])
             fits = local <= lens[row] - width
             p, g = base[row][fits] + local[fits], group[row][fits]
             d, s = dr[row][fits], sr[row][fits] + local[fits]
-            # only strings under the same anchor are compared: the rank is taken with the anchor's number
+            # only strings of one group are compared: the rank is taken with the group's number
             docs, dn = np.unique(dr, return_inverse=True)
             place = max(1, int(s.max()).bit_length()) if len(s) else 1
             o = sort_index((dn.astype(np.uint64)[row][fits] << np.uint64(place)) | s.astype(np.uint64), place + len(docs).bit_length())
@@ -293,25 +319,15 @@ def _match(width: int):
             few = max(1, len(rows).bit_length())
             joint = (rank[p] << np.uint64(few)) | g.astype(np.uint64)
             hit = lpf_reaches(sort_index(joint, few + len(data).bit_length()), joint, when)
-            out_doc.append(d[hit])
-            out_pos.append(s[hit])
+            out.append(found(d[hit], s[hit]))
+            first = np.flatnonzero(~hit & (many[rows][row][fits] > crowd))
+            if len(first):
+                text = np.lib.stride_tricks.sliding_window_view(data, width)[p[first]]
+                out.append(found(d[first], s[first], (text - 1).astype(np.uint8).tobytes()))
             i = j
-        d, s = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_doc, out_pos))
-        return pa.table({"doc_id": pa.array(d, pa.int64()), "at": pa.array(s, pa.int64())})
-
-    return run
-
-
-def _strings(width: int):
-    """Each string of a window of a crowded anchor: (anchor, hash, doc_id, start)."""
-
-    def run(batches):
-        for batch in batches:
-            for anchor, doc, start, body in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "start", "body")), strict=True):
-                n = len(body) - width + 1
-                if n > 0:
-                    hashes = [hashlib.blake2b(body[k : k + width], digest_size=16).digest() for k in range(n)]
-                    yield pa.RecordBatch.from_pydict({"anchor": pa.array([anchor] * n, pa.int64()), "string": pa.array(hashes, pa.binary()), "doc_id": pa.array([doc] * n, pa.int64()), "at": pa.array(range(start, start + n), pa.int64())})
+        del body
+        release()
+        return pa.concat_tables(out)
 
     return run
 
@@ -361,8 +377,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lean_batches(spark)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     docs = given.filter("doc_id IS NOT NULL")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(64, 4 * parts)
+    # winnowing takes two of the width - gram + 2 places of a window as anchors
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ranges = max(64, 2 * size // (width - gram + 2) // RANGE)
     found = docs.mapInArrow(_scan(width, gram, ranges), SENT).groupBy("part").applyInArrow(_settle, FOUND)
     found = cut(found, "anchors")
     border = found.filter("kind = 1").select("doc_id", "pos", "anchor", "crowd")
@@ -370,12 +387,16 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     holds_border = id_filter(border, "doc_id")
     asked = border.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "pos", "crowd")).alias("asked"))
     windows = docs.filter(holds_border("doc_id")).join(asked, "doc_id")
-    windows = cut(windows.mapInArrow(_windows(width, gram), "anchor long, doc_id long, start long, pos long, crowd long, body binary"), "windows")
-    few = windows.filter(F.col("crowd") <= crowd).groupBy(F.pmod("anchor", F.lit(ranges)).alias("block")).applyInArrow(_match(width), "doc_id long, at long")
-    strings = windows.filter(F.col("crowd") > crowd).mapInArrow(_strings(width), "anchor long, string binary, doc_id long, at long")
-    first = strings.groupBy("anchor", "string").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.collect_set(F.struct("doc_id", "at")).alias("all"))
-    crowded = first.select("first", F.explode("all").alias("x")).filter("x <> first").select("x.doc_id", "x.at")
-    single = few.unionByName(crowded).groupBy("doc_id").agg(F.collect_set("at").alias("single"))
+    windows = cut(windows.mapInArrow(_windows(width, gram, crowd), WINDOWS), "windows")
+    groups = max(64, windows.count() // GROUP)
+    matched = cut(windows.groupBy(F.pmod(F.xxhash64("anchor", "lot"), F.lit(groups)).alias("block")).applyInArrow(_match(width, crowd), MATCHED), "matched")
+    # what is first in its lot of a crowded anchor meets its equals of the other lots: a string is a window of its own
+    firsts = matched.filter("string IS NOT NULL")
+    blocks = max(1, firsts.count() // BLOCK)
+    zero = F.lit(0).cast("long")
+    strings = firsts.select(zero.alias("anchor"), zero.alias("lot"), zero.alias("crowd"), "doc_id", F.col("at").alias("start"), F.col("string").alias("body"))
+    later = strings.groupBy(F.pmod(F.xxhash64("body"), F.lit(blocks)).alias("block")).applyInArrow(_match(width, crowd), MATCHED)
+    single = matched.filter("string IS NULL").unionByName(later).groupBy("doc_id").agg(F.collect_set("at").alias("single"))
 
     whole = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_list("body").alias("whole"))
     gone = cut(whole.join(single, "doc_id", "full"), "gone")
