@@ -148,3 +148,18 @@ def unpack(b: bytes) -> np.ndarray:
     out = np.zeros((n, 8), np.uint8)
     out[:, :wide] = planes.T
     return out.view("<u8").reshape(-1)
+
+
+def joined(parts: list[bytes]) -> bytes:
+    """Byte strings as one, each after its length."""
+    return b"".join(len(x).to_bytes(5, "little") + x for x in parts)
+
+
+def fields(body: bytes) -> list[bytes]:
+    """What joined() was given."""
+    out, at = [], 0
+    while at < len(body):
+        n = int.from_bytes(body[at : at + 5], "little")
+        out.append(body[at + 5 : at + 5 + n])
+        at += 5 + n
+    return out

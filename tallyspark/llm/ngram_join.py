@@ -4,20 +4,26 @@ Documents with the same shingle set form a class; the join runs between classes.
 
 Global token order: rare tokens first, then frequent ones, each by hash. A token is frequent if at least `frequent`
 documents hold it (counted over all documents) or if it shares a slot of a fixed-size table with such a token; any
-fixed order gives the same result, so the table's size is a matter of speed alone. Let n = |x|, and let x have r rare
-tokens. Two sets with 100*|x&y| >= 80*|x|y| share one of the first n - ceil(0.8n) + 1 tokens of either.
+fixed order gives the same result, so the table's size is a matter of speed alone. Let n = |x|, m = |y|, s = |x&y|, and
+let x have r rare tokens. Two sets with 100*|x&y| >= 80*|x|y| have s >= 4(n+m)/9 and share one of the first
+n - ceil(0.8n) + 1 tokens of either.
   * The first shared token is rare: it is in both prefixes, and single tokens are indexed there.
-  * Else no rare token is shared, so r <= n/5, and all tokens that only one side holds split at most (n+m)/9 - r of
-    the gaps between neighbouring shared tokens. Among the first 2n/5 - 2r + 2 frequent tokens of each side there is
-    then a gap that nothing splits: two frequent tokens that are neighbours in both sets. Such pairs are indexed.
+  * Else no rare token is shared, so r <= n/5. Of the gaps between neighbouring shared tokens, the d <= n+m-2s-r
+    frequent tokens that only one side holds split at most d. Among (k-1)(d+1) gaps there are then k-1 in a row that
+    nothing splits: k frequent tokens that follow each other in both sets. They lie among the first
+    (k-1)(d+1) + 1 + (n-s-r) frequent tokens of x, at most 0.2k*n + k - k*r (m = 0.8n is the worst case). Such
+    combinations are indexed: k = 2 for all sets, where s tokens always leave enough gaps.
 Buckets of few classes give all their pairs. Large ones give a star around their smallest class. Stars are verified,
-and where a bucket's members then still lie in several components, the pairs between components are verified too:
-pairs within a component can't change it.
+and where a bucket's members then still lie in several components, longer combinations (k = 3, then 4, with their longer
+prefixes) of these members alone make smaller buckets. There must be s > (k-1)(d+1) shared tokens for that, which holds
+for all pairs with n+m >= 14 and 36; smaller sets keep their buckets. Of buckets that stay large, the pairs between
+components are verified: pairs within a component can't change it.
 """
 
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,38 +31,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import IdFilter, components, cut, id_filter, lean_batches, salted_join
-from tallyspark.llm.kernels import mix, pack, pack_sorted, release, shingle_sets, unpack, unpack_sorted
+from tallyspark.llm.kernels import fields, joined, mix, pack, pack_sorted, release, shingle_sets, unpack, unpack_sorted
 
 WIDTH = 5
 COUNT_BITS = 40
 SLOT_BITS = 25
 KEY_BITS = 44
-FLUSH = 2 << 20
+#: Index keys that a scan holds before it sends them on, tokens while it counts.
+FLUSH = 1 << 20, 2 << 20
 #: Classes in a bucket that give all pairs at once.
 SMALL = 8
 LEAST_FREQUENT = 8
 #: Sets of fewer shingles link with equal sets only, which are their class: 3 of 4 is under 0.8, 4 of 5 is not.
 LEAST_INDEXED = 4
+#: Combinations after the first, and the most shingles of sets that may find no common one: the larger of n+m <= 13, 35.
+LONGER = ((3, 7), (4, 19))
+#: Counters of a range of tokens, as a power of two, and index keys in a range.
+COUNTER_BITS, RANGE = 22, 1 << 19
 
 
-def class_keys(s: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit sums over a set, as signed integers."""
+def class_keys(s: np.ndarray, wide: int = 64) -> tuple[int, int]:
+    """Two independent 64-bit sums over a set, as signed integers; the first is cut to `wide` bits."""
     a = int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
     b = int(mix(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64))
+    a &= (1 << wide) - 1
     return a - (1 << 64) * (a >> 63), b - (1 << 64) * (b >> 63)
 
 
 DESCRIBED = "doc_id long, n_shingles long, class long, class2 long"
 
 
-def _describe(batches):
-    for batch in batches:
-        n, a, b = [], [], []
-        for s in shingle_sets(batch.column(1), WIDTH):
-            n.append(len(s))
-            x = class_keys(s)
-            a.append(x[0]), b.append(x[1])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["doc_id", "n_shingles", "class", "class2"])
+def _describe(wide: int):
+    def run(batches):
+        for batch in batches:
+            n, a, b = [], [], []
+            for s in shingle_sets(batch.column(1), WIDTH):
+                n.append(len(s))
+                x = class_keys(s, wide)
+                a.append(x[0]), b.append(x[1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["doc_id", "n_shingles", "class", "class2"])
+
+    return run
 
 
 def _by_range(keys: np.ndarray, bits: int, ranges: int) -> np.ndarray:
@@ -80,7 +95,7 @@ def _count_scan(ranges: int):
             for s in shingle_sets(batch.column(0), WIDTH):
                 held.append(s)
                 n += len(s)
-                if n >= FLUSH:
+                if n >= FLUSH[1]:
                     yield flush(held)
                     held, n = [], 0
         if n:
@@ -91,142 +106,200 @@ def _count_scan(ranges: int):
     return run
 
 
-def _levels(ranges: int):
+def _levels(ranges: int, frequent: int):
+    """For each range its slots' levels, from rows (part, body) that come range by range; one body is held at a time."""
     per = (1 << SLOT_BITS) // ranges
+    down = np.uint64(COUNT_BITS - COUNTER_BITS - ranges.bit_length() + 1)
+
+    def close(part: int, counters: np.ndarray) -> pa.RecordBatch:
+        most = counters.reshape(per, -1).max(1)
+        slots = np.where(most >= frequent, np.log2(np.maximum(most, 1)), 0).astype(np.uint8)
+        return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "body": pa.array([zlib.compress(slots.tobytes(), 1)], pa.binary())})
 
-    def run(key, t):
-        part = key[0].as_py()
-        x = np.sort(np.concatenate([unpack_sorted(b) for b in t.column("body").to_pylist()]))
-        first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-        count = np.diff(np.append(first, len(x)))
-        often = count >= LEAST_FREQUENT
-        slots = np.zeros(per, np.uint8)
-        level = np.log2(count[often]).astype(np.uint8)
-        np.maximum.at(slots, ((x[first[often]] >> np.uint64(COUNT_BITS - SLOT_BITS)).astype(np.int64) - part * per), level)
-        return pa.table({"part": pa.array([part], pa.int64()), "body": pa.array([zlib.compress(slots.tobytes(), 1)], pa.binary())})
+    def run(batches):
+        now, counters = None, np.zeros(1 << COUNTER_BITS, np.uint32)
+        for batch in batches:
+            for part, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if part != now:
+                    if now is not None:
+                        yield close(now, counters)
+                    now = part
+                    counters[:] = 0
+                x = (unpack_sorted(body.as_py()) >> down).astype(np.int64) - (part << COUNTER_BITS)
+                first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+                counters[x[first]] += np.diff(np.append(first, len(x))).astype(np.uint32)
+        if now is not None:
+            yield close(now, counters)
+        release()
 
     return run
 
 
-def frequent_slots(docs: DataFrame, parts: int) -> bytes:
+def frequent_slots(docs: DataFrame, tokens: int, frequent: int = LEAST_FREQUENT) -> bytes:
     """A bit for each of 2**SLOT_BITS hash slots: whether it holds a frequent token.
 
-    Counts cover every shingle of every document. The threshold doubles until an eighth of the slots or less is set.
-    What reaches the driver is one byte for each slot, whatever the input.
+    Counts cover every shingle of every document (`tokens` in all); tokens share counters of a bounded number. The
+    threshold doubles until an eighth of the slots or less is set. What reaches the driver is one byte for each slot.
     """
-    ranges = min(4096, 1 << max(6, (4 * parts - 1).bit_length()))
-    counted = docs.select("text").mapInArrow(_count_scan(ranges), "part long, body binary").groupBy("part").applyInArrow(_levels(ranges), "part long, body binary")
+    ranges = min(4096, 1 << max(6, (tokens >> (COUNTER_BITS - 1)).bit_length()))
+    counted = docs.select("text").mapInArrow(_count_scan(ranges), "part long, body binary").repartition("part").sortWithinPartitions("part").mapInArrow(_levels(ranges, frequent), "part long, body binary")
     slots = np.zeros(1 << SLOT_BITS, np.uint8)
     per = len(slots) // ranges
     for r in counted.toLocalIterator():
         slots[r["part"] * per : (r["part"] + 1) * per] = np.frombuffer(zlib.decompress(r["body"]), np.uint8)
-    least = int(np.log2(LEAST_FREQUENT))
+    least = int(np.log2(frequent))
     while np.count_nonzero(slots >= least) > len(slots) // 8:
         least += 1
     return np.packbits(slots >= least).tobytes()
 
 
-def index_keys(s: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(single-token keys, combination keys, rare tokens) of one set."""
+def index_keys(s: np.ndarray, bits: np.ndarray, k: int = 2) -> tuple[np.ndarray, np.ndarray, int]:
+    """(single-token keys, keys of combinations of k, rare tokens) of one set."""
     n = len(s)
     slot = (s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
     often = ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
     rare, freq = s[~often], s[often]
     r = len(rare)
     single = rare[: n - (4 * n + 4) // 5 + 1]
-    pairs = np.zeros(0, np.uint64)
+    keys = np.zeros(0, np.uint64)
     if 5 * r <= n:
-        head = freq[: max(0, 2 * n // 5 - 2 * r + 4)]
-        if len(head) > 1:
-            pairs = mix(head[:-1] * np.uint64(0xA0761D6478BD642F) + mix(head[1:] ^ np.uint64(0xE7037ED1A0B428DB)))
-    return single, pairs, r
+        head = freq[: max(0, k * n // 5 + k + 2 - k * r)]
+        if len(head) >= k:
+            count = len(head) - k + 1
+            keys = mix(head[:count] * np.uint64(0xA0761D6478BD642F))
+            for j in range(1, k):
+                keys = mix(keys + mix(head[j : j + count] ^ np.uint64(0xE7037ED1A0B428DB)))
+    return single, keys, r
+
+
+FOUND = "kind int, bucket long, a long, b long"
+
+
+def _table(kind: int, bucket, a, b) -> pa.Table:
+    n = len(a)
+    return pa.table({"kind": pa.array(np.full(n, kind, np.int32)), "bucket": pa.array(np.broadcast_to(bucket, n).astype(np.int64)), "a": pa.array(a), "b": pa.array(b)})
 
 
-def _index_scan(ranges: int, sent):
+def _sorted_entries(key, cls, n, r, large):
+    """Distinct entries of an index by key; the first of a key is the one with the least share of rare tokens: an original
+    before its edited copies. An entry is large if any of its equals is."""
+    order = np.lexsort((~large, r, n, cls, key))
+    key, cls, n, r, large = key[order], cls[order], n[order], r[order], large[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1]) | (n[1:] != n[:-1]) | (r[1:] != r[:-1])
+    key, cls, n, r, large = key[new], cls[new], n[new], r[new], large[new]
+    order = np.lexsort((cls, r / n, key))
+    return key[order], cls[order], n[order], r[order], large[order]
+
+
+def _stars(key, cls, n, r, large, small: int):
+    """(whether each sorted entry is in a large bucket, its bucket's first entry, pairs and members of the large buckets)."""
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.append(first, len(key)))
+    head = np.repeat(first, size)
+    crowded = np.repeat((size > small) | (np.add.reduceat(large, first) > 0), size)
+    i = np.flatnonzero(crowded & (np.arange(len(key)) > head))
+    i = i[_can_link(n[head[i]], r[head[i]], n[i], r[i])]
+    big = np.flatnonzero(crowded)
+    # a member: its class in a, its size and unshared rare tokens in b
+    return crowded, head, _table(0, 0, cls[head[i]], cls[i]), _table(1, key[big].astype(np.int64), cls[big], n[big] * (1 << 31) + r[big])
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How an index is cut: key ranges, classes in a small bucket, keys in a flush, bits of a class sum. No result
+    depends on these."""
+
+    ranges: int
+    small: int = SMALL
+    flush: int = FLUSH[0]
+    wide: int = 64
+
+
+def _index_scan(plan: Plan, sent, k: int = 2, near: IdFilter | None = None):
+    """Packed index entries by key range. A key that is crowded in a flush leaves its star and members at once, spread
+    over all ranges, and sends on its first entry alone, marked as large: no hot key reaches one task with all its rows."""
     shift = np.uint64(64 - KEY_BITS)
 
     def flush(held):
         key, cls, n, r = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((cls, key))
-        key, cls, n, r = key[order], cls[order], n[order], r[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-        key, cls, n, r = key[new], cls[new], n[new], r[new]
-        cuts = _by_range(key, KEY_BITS, ranges)
+        key, cls, n, r, large = _sorted_entries(key, cls, n, r, np.zeros(len(key), bool))
+        crowded, head, *found = _stars(key, cls, n, r, large, plan.small)
+        on = ~crowded | (head == np.arange(len(key)))
+        key, cls, n, r, large = key[on], cls[on], n[on], r[on], crowded[on]
+        cuts = _by_range(key, KEY_BITS, plan.ranges)
         full, body = np.flatnonzero(np.diff(cuts)), []
         for p in full:
             a, b = cuts[p], cuts[p + 1]
-            fields = [pack_sorted(key[a:b]), pack(cls[a:b]), pack(n[a:b]), pack(r[a:b])]
-            body.append(b"".join(len(f).to_bytes(5, "little") + f for f in fields))
-        return pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array(body, pa.binary())], names=["part", "body"])
+            body.append(joined([pack_sorted(key[a:b]), pack(cls[a:b].view(np.uint64)), pack((n[a:b] * 2 + large[a:b]).astype(np.uint64)), pack(r[a:b].astype(np.uint64))]))
+        none = pa.nulls(len(full), pa.int64())
+        yield pa.table({"part": pa.array(full, pa.int64()), "body": pa.array(body, pa.binary()), "kind": pa.nulls(len(full), pa.int32()), "bucket": none, "a": none, "b": none})
+        for t in found:
+            to = (t.column("a").to_numpy() ^ t.column("b").to_numpy()) % plan.ranges
+            yield pa.table({"part": pa.array(to, pa.int64()), "body": pa.nulls(len(to), pa.binary()), **{c: t.column(c) for c in t.column_names}})
 
     def run(batches):
         bits = np.frombuffer(sent.value, np.uint8)
         held, size = [], 0
         for batch in batches:
-            for s in shingle_sets(batch.column(0), WIDTH):
+            if near is not None:
+                batch = batch.filter(pa.array(near.holds(batch.column(0).to_numpy())))
+            for s in shingle_sets(batch.column(1), WIDTH):
                 if len(s) < LEAST_INDEXED:
                     continue
-                single, pairs, r = index_keys(s, bits)
-                k = len(single) + len(pairs)
+                single, combined, r = index_keys(s, bits, k)
+                if k > 2:
+                    single = single[:0]
+                m = len(single) + len(combined)
                 # the lowest bit of a key tells combinations from single tokens
-                keys = np.concatenate((single >> shift & ~np.uint64(1), pairs >> shift | np.uint64(1)))
-                cls = np.uint64(class_keys(s)[0] & 0xFFFFFFFFFFFFFFFF)
-                held.append((keys, np.full(k, cls), np.full(k, len(s), np.uint64), np.concatenate((np.zeros(len(single), np.uint64), np.full(len(pairs), r, np.uint64)))))
-                size += k
-                if size >= FLUSH // 2:
-                    yield flush(held)
+                keys = np.concatenate((single >> shift & ~np.uint64(1), combined >> shift | np.uint64(1)))
+                held.append((keys, np.full(m, class_keys(s, plan.wide)[0]), np.full(m, len(s)), np.concatenate((np.zeros(len(single), np.int64), np.full(len(combined), r)))))
+                size += m
+                if size >= plan.flush:
+                    for t in flush(held):
+                        yield from t.to_batches()
                     held, size = [], 0
         if size:
-            yield flush(held)
+            for t in flush(held):
+                yield from t.to_batches()
         del held
         release()
 
     return run
 
 
-FOUND = "kind int, bucket long, a long, b long"
-
-
 def _can_link(n1, r1, n2, r2) -> np.ndarray:
     """Whether sizes allow 100 * shared >= 80 * union; r: rare tokens that are known not to be shared (0 if unknown)."""
     shared = np.minimum(n1 - r1, n2 - r2)
     return 5 * shared >= 4 * (n1 + n2 - shared)
 
 
-def _buckets(t):
-    from tallyspark.llm.suffix_dedup import _fields
+def _buckets(small: int):
+    """Pairs of classes and members of large buckets, from the packed entries of a range and what was found before."""
+
+    def run(t):
+        before = t.filter(t.column("body").is_null()).select(["kind", "bucket", "a", "b"])
+        cols = []
+        for body in t.column("body").drop_null():
+            k, c, n, r = fields(body.as_py())
+            n = unpack(n).astype(np.int64)
+            cols.append((unpack_sorted(k), unpack(c).view(np.int64), n >> 1, unpack(r).astype(np.int64), (n & 1).astype(bool)))
+        if not cols:
+            return before
+        key, cls, n, r, large = _sorted_entries(*(np.concatenate(x) for x in zip(*cols, strict=True)))
+        del cols
+        crowded, head, pairs, members = _stars(key, cls, n, r, large, small)
+        left, right, at = [], [], np.arange(len(key))
+        for step in range(1, small):
+            i = np.flatnonzero(~crowded[:-step] & (head[step:] == head[:-step])) if step < len(key) else at[:0]
+            i = i[_can_link(n[i], r[i], n[i + step], r[i + step])]
+            left.append(cls[i]), right.append(cls[i + step])
+        left, right = np.concatenate([cls[:0], *left]), np.concatenate([cls[:0], *right])
+        once = np.unique(np.stack((np.minimum(left, right), np.maximum(left, right)), 1), axis=0)
+        release()
+        return pa.concat_tables([before, pairs, members, _table(0, 0, once[:, 0], once[:, 1])])
 
-    cols = []
-    for body in t.column("body").to_pylist():
-        k, c, n, r = _fields(body)
-        cols.append((unpack_sorted(k), unpack(c).view(np.int64), unpack(n).astype(np.int64), unpack(r).astype(np.int64)))
-    key, cls, n, r = (np.concatenate(x) for x in zip(*cols, strict=True))
-    order = np.lexsort((cls, key))
-    key, cls, n, r = key[order], cls[order], n[order], r[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-    key, cls, n, r = key[new], cls[new], n[new], r[new]
-    # a bucket's first member is the one with the least share of rare tokens: an original before its edited copies
-    order = np.lexsort((cls, r / n, key))
-    key, cls, n, r = key[order], cls[order], n[order], r[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.append(first, len(key)))
-    whole = np.repeat(size, size)
-    head = np.repeat(first, size)
-    left, right = [], []
-    for step in range(1, SMALL):
-        i = np.flatnonzero((whole <= SMALL) & (np.arange(len(key)) - head + step < whole))
-        left.append(i), right.append(i + step)
-    i = np.flatnonzero((whole > SMALL) & (np.arange(len(key)) > head))
-    left.append(head[i]), right.append(i)
-    left, right = np.concatenate(left), np.concatenate(right)
-    ok = _can_link(n[left], r[left], n[right], r[right])
-    pairs = np.unique(np.stack((cls[left[ok]], cls[right[ok]]), 1), axis=0) if ok.any() else np.zeros((0, 2), np.int64)
-    big = np.flatnonzero(whole > SMALL)
-    # a large bucket's member: its class in a, its size and unshared rare tokens in b
-    kind = np.concatenate((np.zeros(len(pairs), np.int32), np.ones(len(big), np.int32)))
-    return pa.table({"kind": pa.array(kind), "bucket": pa.array(np.concatenate((np.zeros(len(pairs), np.int64), key[big].astype(np.int64)))), "a": pa.array(np.concatenate((pairs[:, 0], cls[big]))), "b": pa.array(np.concatenate((pairs[:, 1], n[big] * (1 << 31) + r[big])))})
+    return run
 
 
 def _sets(near: IdFilter):
@@ -296,76 +369,111 @@ def _tile(t):
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """members(bucket, class_id, n, r) with their component's label, of buckets that span several components.
+
+    Left out are members that no other of their bucket can link with by size and unshared rare tokens r: a link takes
+    9 (n - r) >= 4 (n + m) of either side.
+    """
+    rows = members.join(labels.select(F.col("node").alias("class_id"), "label"), "class_id", "left")
+    rows = cut(rows.select("bucket", "class_id", "n", "r", F.coalesce("label", "class_id").alias("label"), (9 * (F.col("n") - F.col("r")) - 4 * F.col("n")).alias("reach")), "members")
+    low = rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("reach").alias("far"), F.min("n").alias("least"), F.count("*").alias("rows")).filter("lo <> hi")
+    near = salted_join(rows, low, "bucket", "rows", rows.count(), "class_id")
+    return cut(near.filter("lo IS NOT NULL AND 4 * n <= far AND 4 * least <= reach").select("bucket", "class_id", "n", "r", "label", "lo"), "open")
+
+
 def between_components(docs: DataFrame, members: DataFrame, tile_tokens: int = 1 << 18, tile_members: int = 1 << 10) -> DataFrame:
-    """Links (a, b) between members(bucket, class_id, n, r, label) of a bucket that lie in different components.
+    """Links (a, b) between members(bucket, class_id, n, r, label, lo) of a bucket that lie in different components.
 
-    Components that share buckets form a region. A region's members are dealt into parts of about tile_tokens tokens
-    or tile_members members, and each pair of parts is one task, so that no task grows with a region, nor its
-    arrays of members by members; pairs never leave a task, only links do.
+    lo: the least label of the bucket. Components that share buckets form a region. A region's members are dealt into
+    parts of about tile_tokens tokens or tile_members members, and each pair of parts is one task, so that no task
+    grows with a region, nor its arrays of members by members; pairs never leave a task, only links do.
     """
-    low = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    open_ = cut(members.join(low, "bucket"), "open")
-    regions = components(open_.filter("label <> lo").select(F.col("label").alias("a"), F.col("lo").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("region"))
-    rows = open_.groupBy("class_id", "label", "n").agg(F.max("r").alias("r"), F.collect_set("bucket").alias("buckets"))
-    rows = rows.join(regions, "label", "left").withColumn("region", F.coalesce("region", "label"))
-    parts = rows.groupBy("region").agg(F.ceil(F.greatest(F.sum("n") / tile_tokens, F.count("*") / tile_members)).alias("parts"))
-    near = id_filter(open_, "class_id")
+    regions = components(members.filter("label <> lo").select(F.col("label").alias("a"), F.col("lo").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("region"))
+    rows = members.groupBy("class_id", "label", "n").agg(F.max("r").alias("r"), F.collect_set("bucket").alias("buckets"))
+    rows = cut(rows.join(regions, "label", "left").withColumn("region", F.coalesce("region", "label")), "regions")
+    parts = rows.groupBy("region").agg(F.ceil(F.greatest(F.sum("n") / tile_tokens, F.count("*") / tile_members)).alias("parts"), F.count("*").alias("rows"))
+    near = id_filter(rows, "class_id")
     sets = docs.select("doc_id", "text").mapInArrow(_sets(near), "id long, tokens binary")
-    rows = rows.join(parts, "region").join(sets.withColumnRenamed("id", "class_id"), "class_id")
+    rows = salted_join(rows, parts, "region", "rows", rows.count(), "class_id").join(sets.withColumnRenamed("id", "class_id"), "class_id")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("class_id"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     tile = [F.least("part", "other").alias("i"), F.greatest("part", "other").alias("k")]
     return rows.select("region", *tile, "class_id", "label", "n", "r", "part", "buckets", "tokens").groupBy("region", "i", "k").applyInArrow(_tile, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _indexed(docs: DataFrame, ids: DataFrame, sent, plan: Plan, k: int, near: IdFilter | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links, members of large buckets) of the index with combinations of k, over the documents that `near` lets through."""
+    scan = docs.select("doc_id", "text").mapInArrow(_index_scan(plan, sent, k, near), f"part long, body binary, {FOUND}")
+    found = cut(scan.groupBy("part").applyInArrow(_buckets(plan.small), FOUND), "buckets")
+    named = found.filter("kind = 0").select("a", "b").distinct()
+    side = lambda c: ids.select(F.col("class").alias(c), F.col("class_id").alias(f"i{c}"))
+    named = named.join(side("a"), "a").join(side("b"), "b")
+    pairs = cut(named.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).filter("a <> b").distinct(), "pairs")
+    links = cut(verified(docs, pairs), "links")
+    members = found.filter("kind = 1").select("bucket", F.col("a").alias("class"), F.shiftright("b", 31).alias("n"), F.col("b").bitwiseAND((1 << 31) - 1).alias("r"))
+    return links, members.join(ids, ["class", "n"]).select("bucket", "class_id", "n", "r")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = LEAST_FREQUENT, **cuts) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id): documents linked by five-word shingles at Jaccard 0.8 or more.
 
     class_id is the smallest id with the same shingle set, component_id the smallest id reachable by links. Null and
     wordless texts have an empty set, link with nothing and are their own component. Rows that repeat an id are one
     document, which links by any of its texts. Rows with a null id link with nothing and keep null ids. Extra columns
-    are not read. An empty table gives an empty result.
+    are not read. An empty table gives an empty result. Texts of any length are read whole.
+    cuts are fields of Plan.
     """
     spark = docs.sparkSession
     lean_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     nameless, docs = docs.filter("doc_id IS NULL"), docs.filter("doc_id IS NOT NULL")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    described = cut(docs.mapInArrow(_describe, DESCRIBED), "sets")
-    some = described.filter("n_shingles > 0")
-    classes = cut(some.groupBy("class", "class2", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members")), "classes")
-    if not classes.groupBy("class").count().filter("count > 1").isEmpty():
-        raise ValueError("two shingle sets share a 64-bit sum; change the constants of class_keys()")
-
-    sent = spark.sparkContext.broadcast(frequent_slots(docs, parts))
-    ranges = max(64, 4 * parts)
-    found = docs.select("text").mapInArrow(_index_scan(ranges, sent), "part long, body binary").groupBy("part").applyInArrow(_buckets, FOUND)
-    found = cut(found, "buckets")
-    ids = classes.select("class", "class_id")
-    named = found.filter("kind = 0").select("a", "b").distinct()
-    named = named.join(ids.select(F.col("class").alias("a"), F.col("class_id").alias("ia")), "a").join(ids.select(F.col("class").alias("b"), F.col("class_id").alias("ib")), "b")
-    pairs = cut(named.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct(), "pairs")
-    links = cut(verified(docs, pairs), "links")
+    plan = Plan(0, **cuts)
+    described = cut(docs.mapInArrow(_describe(plan.wide), DESCRIBED), "sets")
+    total, tokens = described.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    same = ["class", "class2", "n_shingles"]
+    classes = cut(described.filter("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members")), "classes")
+    ids = classes.select("class", "class_id", F.col("n_shingles").alias("n"))
+
+    sent = spark.sparkContext.broadcast(frequent_slots(docs, tokens, frequent))
+    plan = replace(plan, ranges=max(64, tokens // (5 * RANGE)))
+    links, members = _indexed(docs, ids, sent, plan, 2)
+    # the index knows classes by one 64-bit sum; sets that share it meet here
+    alike = classes.groupBy("class").agg(F.array_sort(F.collect_list("class_id")).alias("c")).filter("size(c) > 1")
+    alike = alike.select(F.col("c")[0].alias("a"), F.explode(F.slice("c", 2, 1 << 30)).alias("b"))
+    if not alike.isEmpty():
+        links = links.unionByName(verified(docs, cut(alike, "alike")))
     labels = components(links)
-
-    members = found.filter("kind = 1").select("bucket", F.col("a").alias("class"), F.floor(F.col("b") / (1 << 31)).alias("n"), F.col("b").bitwiseAND((1 << 31) - 1).alias("r"))
-    members = members.join(ids, "class").join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
-    members = cut(members.select("bucket", "class_id", "n", "r", F.coalesce("label", "class_id").alias("label")), "members")
-    more = cut(between_components(docs, members), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
-
-    keyed = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select("class", "class_id", "members", F.coalesce("label", "class_id").alias("component_id"))
-    total = described.count()
-    out = salted_join(described.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class")).alias("class")), keyed, "class", "members", total, "doc_id")
+    crowd, kept = open_members(members, labels), None
+    for k, most in LONGER:
+        if crowd.isEmpty():
+            break
+        stays = crowd.filter(f"n <= {most} OR bucket % 2 = 0").select("bucket", "class_id", "n", "r")
+        kept = stays if kept is None else kept.unionByName(stays)
+        more, members = _indexed(docs, ids, sent, plan, k, id_filter(crowd, "class_id"))
+        links = links.unionByName(more)
+        labels = components(links)
+        crowd = open_members(members, labels)
+    if kept is not None:
+        crowd = crowd.unionByName(open_members(kept, labels))
+    if not crowd.isEmpty():
+        labels = components(links.unionByName(cut(between_components(docs, crowd), "links")))
+
+    keyed = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(F.struct(*same).alias("k"), "class_id", "members", F.coalesce("label", "class_id").alias("component_id"))
+    out = salted_join(described.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.struct(*same)).alias("k")), keyed, "k", "members", total, "doc_id")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
     none = F.lit(None).cast("long")
-    return out.unionByName(nameless.mapInArrow(_describe, DESCRIBED).select("doc_id", "n_shingles", none.alias("component_id"), none.alias("class_id")))
+    return out.unionByName(nameless.mapInArrow(_describe(plan.wide), DESCRIBED).select("doc_id", "n_shingles", none.alias("component_id"), none.alias("class_id")))
+
 
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
+    """docs with only the smallest id of each component; all columns stay, and so do rows with a null id.
 
-def keep_one_of_each(docs: DataFrame, **kw) -> DataFrame:
-    """docs with only the smallest id of each component; all columns stay, and so do rows with a null id."""
-    lost = jaccard_components(docs, **kw).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti")
+    Where rows with differing texts share an id, they go only if none of them stands for a component, so that no text
+    is lost that has no copy.
+    """
+    rows = jaccard_components(docs, id_col, **kw).filter("doc_id IS NOT NULL")
+    lost = rows.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("_all")).filter("_all")
+    return docs.join(lost.select(F.col("doc_id").alias("_lost")), F.col(id_col).cast("long") == F.col("_lost"), "left_anti")
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

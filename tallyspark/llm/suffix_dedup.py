@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import cut, id_filter, lean_batches
-from tallyspark.llm.kernels import mix, pack, pack_sorted, powers, prefix_hash, range_hash, release, spans, unpack, unpack_sorted
+from tallyspark.llm.kernels import fields, joined, mix, pack, pack_sorted, powers, prefix_hash, range_hash, release, spans, unpack, unpack_sorted
 
 WIDTH = 100
 GRAM = 32
@@ -115,9 +115,8 @@ def _scan(width: int, gram: int, ranges: int):
         part, body = [], []
         for r in np.flatnonzero(np.diff(cuts)):
             x = keep[cuts[r] : cuts[r + 1]]
-            fields = [pack_sorted(anchor[x]), pack(window[x]), pack(doc[x].astype(np.int64).view(np.uint64)), pack(pos[x].astype(np.uint64))]
             part.append(int(r))
-            body.append(b"".join(len(f).to_bytes(5, "little") + f for f in fields))
+            body.append(joined([pack_sorted(anchor[x]), pack(window[x]), pack(doc[x].astype(np.int64).view(np.uint64)), pack(pos[x].astype(np.uint64))]))
         yield pa.table({"part": pa.array(part, pa.int64()), "kind": pa.array([0] * len(part), pa.int32()), "doc_id": pa.nulls(len(part), pa.int64()), "body": pa.array(body, pa.binary())})
 
     def run(batches):
@@ -141,15 +140,6 @@ def _scan(width: int, gram: int, ranges: int):
     return run
 
 
-def _fields(body: bytes) -> list[bytes]:
-    out, at = [], 0
-    while at < len(body):
-        n = int.from_bytes(body[at : at + 5], "little")
-        out.append(body[at + 5 : at + 5 + n])
-        at += 5 + n
-    return out
-
-
 #: kind 0: body holds packed positions of anchors of doc_id whose whole window goes; kind 1: one border anchor.
 FOUND = "kind int, doc_id long, pos long, anchor long, crowd long, body binary"
 
@@ -166,7 +156,7 @@ def _settle(t):
     parts = [_found(0, settled.column("doc_id").to_numpy(), body=settled.column("body").combine_chunks())]
     cols = []
     for body in t.filter(pa.compute.equal(t.column("kind"), 0)).column("body"):
-        a, w, d, p = _fields(body.as_py())
+        a, w, d, p = fields(body.as_py())
         cols.append((unpack_sorted(a), unpack(w), unpack(d).view(np.int64), unpack(p).astype(np.int64)))
     if cols:
         anchor, window, doc, pos = (np.concatenate(x) for x in zip(*cols, strict=True))

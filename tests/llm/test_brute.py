@@ -67,33 +67,77 @@ def near_copies(seed, groups=6, copies=14, words=60):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize(("small", "least", "seed"), [(8, 8, 1), (2, 2, 2), (2, 8, 3), (1, 4, 4)])
-def test_ngram_join(spark, monkeypatch, small, least, seed):
-    monkeypatch.setattr(ngram_join, "SMALL", small)
-    monkeypatch.setattr(ngram_join, "LEAST_FREQUENT", least)
-    rows = near_copies(seed)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == brute_components(rows)
+def joined(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df, **kw).collect()}
 
 
-@pytest.mark.parametrize("least", [2, 8])
-def test_ngram_join_links_four_shingles_with_five(spark, monkeypatch, least):
-    monkeypatch.setattr(ngram_join, "LEAST_FREQUENT", least)
-    texts = []
-    for k in range(6):
-        w = [f"t{k}w{i}" for i in range(8)]
-        texts += [" ".join(w), " ".join([*w, f"end{k}"]), " ".join([f"front{k}", *w]), " ".join(w[:7]), " ".join(w[1:] + [f"other{k}"])]
-    rows = list(enumerate(texts))
-    want = brute_components(rows)
-    assert all(want[5 * k + 1] == (5, 5 * k) for k in range(6))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == want
+@pytest.mark.parametrize(("small", "least", "flush", "seed"), [(8, 8, 1 << 20, 1), (2, 2, 300, 2), (1, 4, 300, 4)])
+def test_ngram_join(spark, small, least, flush, seed):
+    rows = near_copies(seed)
+    assert joined(spark, rows, small=small, frequent=least, flush=flush) == brute_components(rows)
+
+
+def nested_texts(most=12):
+    """Texts of 1 to `most` shingles, each the one before it and one word more, at either end and over several stems."""
+    out = []
+    for k in range(4):
+        w = [f"s{k}x{i}" for i in range(most + 4)]
+        out += [" ".join(w[:i]) for i in range(1, most + 5)] + [" ".join(w[-i:]) for i in range(1, most + 5)]
+        out += [" ".join([*w[:i], "tail"]) for i in range(3, most + 4)]
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize(("small", "least"), [(8, 8), (1, 2)])
+def test_ngram_join_of_nested_sets(spark, small, least):
+    rows = nested_texts()
+    rows += [(len(rows) + d, t) for d, t in enumerate(f"{x} {y}" for _, x in rows[:30] for y in ("", "late"))]
+    assert joined(spark, rows, small=small, frequent=least) == brute_components(rows)
+
+
+def test_ngram_join_of_mosaics(spark, monkeypatch):
+    """Texts made of shared passages: all tokens are frequent, pairs of them crowd many components, longer ones tell them apart."""
+    rnd = random.Random(11)
+    passages = [" ".join(f"p{k}w{i}" for i in range(rnd.randint(5, 18))) for k in range(7)]
+    rows = list(enumerate(" ".join(rnd.choice(passages) for _ in range(rnd.randint(1, 6))) for _ in range(260)))
+    seen = []
+    monkeypatch.setattr(ngram_join, "_indexed", lambda *a, f=ngram_join._indexed, **k: seen.append(a[4]) or f(*a, **k))
+    assert joined(spark, rows, small=2, flush=600) == brute_components(rows)
+    assert seen[:2] == [2, 3]
+
+
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_linked_sets_share_a_combination(k):
+    rnd = np.random.default_rng(k)
+    bits = np.full(1 << (ngram_join.SLOT_BITS - 3), 0, np.uint8)
+    for _ in range(4000):
+        n = int(rnd.integers(4, 60))
+        x = rnd.integers(0, 1 << 63, n, dtype=np.uint64)
+        drop, add = int(rnd.integers(0, n // 5 + 1)), int(rnd.integers(0, n // 5 + 1))
+        y = np.concatenate((x[drop:], rnd.integers(0, 1 << 63, add, dtype=np.uint64)))
+        x, y = np.sort(x), np.sort(y)
+        if not ngram_join._linked(x, y) or (k > 2 and len(x) + len(y) < {3: 14, 4: 36}[k]):
+            continue
+        often = rnd.random() < 0.6
+        bits[:] = 255 if often else 0
+        if not often:
+            for t in np.concatenate((x, y)):
+                if rnd.random() < 0.9:
+                    slot = int(t >> np.uint64(64 - ngram_join.SLOT_BITS))
+                    bits[slot >> 3] |= 128 >> (slot & 7)
+        a, b = ngram_join.index_keys(x, bits, k), ngram_join.index_keys(y, bits, k)
+        assert set(a[0].tolist()) & set(b[0].tolist()) or set(a[1].tolist()) & set(b[1].tolist())
+
+
+def test_sets_that_share_a_class_sum_meet(spark):
+    rows = near_copies(6, groups=3, copies=8)
+    assert joined(spark, rows, wide=3) == brute_components(rows)
 
 
 def template_lines(spark, lines):
     """Documents of one template whose 13th of 14 words differs, and their rows in one large bucket."""
     docs = [(d, " ".join([f"p{i}" for i in range(12)] + [f"n{d // 2 if d < 20 else d}", "last" if d % 2 else "end"])) for d in range(lines)]
-    members = spark.createDataFrame([(1, d, 10, 0, d) for d, _ in docs], "bucket long, class_id long, n long, r long, label long")
+    members = spark.createDataFrame([(1, d, 10, 0, d, 0) for d, _ in docs], "bucket long, class_id long, n long, r long, label long, lo long")
     return docs, spark.createDataFrame(docs, "doc_id long, text string"), members
 
 
