@@ -10,6 +10,7 @@ languages; that bound is a parameter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -159,7 +160,7 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS, epochs: int = 3, alpha:
     for k, v in df.items():
         idf[k] = np.log((docs + 1) / (v + 1)) + 1
 
-    each = max_rows // len(sizes)
+    each = max(1, max_rows // len(sizes))
     share = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, each / n)))))
     picked = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
     languages = sorted(sizes)
@@ -178,19 +179,30 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS, epochs: int = 3, alpha:
     return model
 
 
+def _best(model: Model | None, texts: list[str | None]) -> Iterator[tuple[str, float]]:
+    """(language, score) of each text."""
+    for x in grams(texts):
+        if x is None or model is None:
+            yield UNDETERMINED, 0.0
+            continue
+        p = softmax(model.logits(*x).astype(np.float64) / model.temperature)
+        k = int(p.argmax())
+        yield model.languages[k], float(p[k])
+
+
 def _predict(sent):
     def run(batches):
-        model: Model | None = sent.value
         for batch in batches:
-            lang, score = [], []
-            for x in grams(batch.column(1).to_pylist()):
-                if x is None or model is None:
-                    lang.append(UNDETERMINED), score.append(0.0)
-                    continue
-                p = softmax(model.logits(*x).astype(np.float64) / model.temperature)
-                k = int(p.argmax())
-                lang.append(model.languages[k]), score.append(float(p[k]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+            found = list(_best(sent.value, batch.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
+
+    return run
+
+
+def _identified(sent, place: int, least: float):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([x != UNDETERMINED and s >= least for x, s in _best(sent.value, batch.column(place).to_pylist())], pa.bool_()))
 
     return run
 
@@ -201,27 +213,30 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_predict(sent), "doc_id long, lang_pred string, score double")
 
 
+def fitted(docs: DataFrame, **kw) -> Model | None:
+    """A model from the rows of docs(doc_id, text, lang) that aren't held out."""
+    lean_batches(docs.sparkSession)
+    return train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(crc_fold("doc_id") != 1), **kw)
+
+
 def identify(docs: DataFrame, **kw) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of docs(doc_id, text, lang).
 
     Only rows whose crc32(doc_id) mod 3 isn't 1 are learned from; rows with a null id or language are predicted but not
-    learned from (a null id is held out). Repeated rows give repeated rows. Without a labelled row all is 'und'.
-    Extra columns are not read.
+    learned from (a null id is held out). Repeated rows give repeated rows. Without a labelled row all is 'und'; an
+    empty table gives an empty result. Texts of any length are read whole. Extra columns are not read.
     """
-    lean_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    model = train(docs.filter(crc_fold("doc_id") != 1), **kw)
-    found = predict(docs, model)
+    found = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fitted(docs, **kw))
     return found.select("doc_id", F.coalesce(crc_fold("doc_id") == 1, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, **kw) -> DataFrame:
     """docs without the rows whose language can't be told: no letter, or a score under `least`.
 
-    All columns stay, and so do rows with a null id, as a decision can't be joined back to them.
+    Each row is judged by its own text where it lies, whatever its id; all columns stay.
     """
-    lost = identify(docs, **kw).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least)).select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti")
+    sent = docs.sparkSession.sparkContext.broadcast(fitted(docs, **kw))
+    return docs.mapInArrow(_identified(sent, docs.columns.index("text"), least), docs.schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

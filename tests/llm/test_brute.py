@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
-from tallyspark.llm import chat_format, chroma, language_id, merge_dropout, mixing, ngram_join, suffix_dedup, toxicity, warc_zip
+from tallyspark.llm import chat_format, chroma, exact_dedup, language_id, merge_dropout, mixing, ngram_join, suffix_dedup, toxicity, warc_zip
 from tallyspark.llm.queries import QUERIES, SQL
 from tests.conftest import DATA, rows_of
 
@@ -203,6 +203,40 @@ def test_against_sql(spark, duck, name):
     assert rows_of(QUERIES[name](spark, DATA).toPandas()) == rows_of(duck.execute(SQL[name]).df())
 
 
+@pytest.mark.parametrize("fan_in", [2, 3, 8])
+def test_exact_dedup_merges_sorted_runs(spark, monkeypatch, fan_in):
+    monkeypatch.setattr(exact_dedup, "RANGE", 64)
+    rnd = random.Random(fan_in)
+    rows = [(rnd.choice((None, rnd.randrange(10_000))), " ".join(rnd.choice("ab") for _ in range(rnd.randint(0, 6)))) for _ in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    kept, runs = [], []
+    monkeypatch.setattr(exact_dedup, "merged_runs", lambda r, n, f=exact_dedup.merged_runs: runs.append(r) or kept.append(f(r, n)) or kept[-1])
+    got = exact_dedup.exact_dedup(docs, fan_in=fan_in)
+    groups = collections.defaultdict(list)
+    for d, t in rows:
+        groups[t].append(d)
+    least = {t: min((d for d in ds if d is not None), default=None) for t, ds in groups.items()}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = collections.Counter((d, least[t], len(groups[t]), d == least[t], digest(t)) for d, t in rows)
+    assert collections.Counter(tuple(r) for r in got.collect()) == want
+    for df, most in ((runs[0], 11), (kept[0], 1)):
+        bodies = df.collect()
+        assert len({r.range for r in bodies}) == 10
+        assert max(collections.Counter(r.range for r in bodies).values()) <= most
+        for r in bodies:
+            keys = [row[:3] for row in np.frombuffer(r.body, exact_dedup.RUN).tolist()]
+            assert keys == sorted(set(keys))
+    plan = exact_dedup.digest_runs(docs.select("doc_id", *(docs.text.cast(t).alias(c) for c, t in (("digest", "binary"), ("bytes", "long"), ("second", "long")))), 700)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [" in plan
+
+
+def test_language_id_learns_many_languages_and_scores_each_row(spark):
+    rows = [(i, chr(0x4E00 + i // 6) * 30, f"l{i // 6}") for i in range(180)]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_rows=20, epochs=1).collect()
+    assert len(got) == 180
+    assert len({r.lang_pred for r in got}) > 5
+
+
 def test_language_id_held_out(spark):
     rnd = random.Random(5)
     make = {"xa": "aeiou lmn", "xb": "äöü schpf", "xc": "ñóí rrdoqu"}

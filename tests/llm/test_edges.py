@@ -42,6 +42,16 @@ def test_exact_dedup(odd, empty):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 3, 5, None, None, 9], key=repr)
 
 
+def test_rows_of_one_id_with_differing_texts(spark):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, words, "en", "a"), (2, words, "en", "a"), (2, "only here, in this row of the id", "en", "a"), (3, "... 12", "en", "b"), (3, words + " and more", "en", "b")]
+    docs = docs_of(spark, rows)
+    assert sorted((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()) == sorted((i, t) for i, t, *_ in rows if (i, t) != (2, words))
+    assert sorted((r.doc_id, r.text) for r in language_id.keep_identified(docs, least=0.0).collect()) == sorted((i, t) for i, t, *_ in rows if t != "... 12")
+    kept = ngram_join.keep_one_of_each(docs.withColumnRenamed("doc_id", "number"), "number")
+    assert {r.text for r in kept.collect()} >= {t for i, t, *_ in rows if i != 3}
+
+
 def test_ngram_join(odd, empty):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(odd).collect()}
     assert got == {1: (0, 1), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5), None: (1, None), 9: (1, 9)}
