@@ -12,6 +12,7 @@ import re
 import zlib
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ DROPOUT = 0.1
 SEED = 13
 #: Stands for a null document id.
 NAMELESS = 0x8000000000000001
-#: Units and segmentations that a task remembers.
-REMEMBERED = 1 << 19
+#: Units and segmentations that a worker remembers, some 400 bytes each.
+REMEMBERED = 1 << 20
 SPACE = "▁"
 _UNIT = re.compile("▁*[^▁]+|▁+")
 _M = (1 << 64) - 1
@@ -189,70 +190,61 @@ def merge_many(words: list[str], keys: np.ndarray, table: Pairs, limit: int, dro
 
     dropped: for each word and step, whether it is skipped whatever the key says; steps takes the steps of each word.
     """
-    n = np.array([len(w) for w in words])
+    n = np.fromiter(map(len, words), np.int64, len(words))
     wide = int(n.max())
     code = table.code[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+    # a part stands where it begins, -1 where none does; a row's last place stays empty
     symbols = np.full((len(words), wide + 1), -1, np.int32)
     row = np.repeat(np.arange(len(words)), n)
     symbols[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)] = code
-    start = np.tile(np.arange(wide + 1, dtype=np.int16), (len(words), 1))
-    start[np.arange(wide + 1)[None, :] >= n[:, None]] = -1
-    np.put_along_axis(start, n[:, None], n[:, None].astype(np.int16), 1)
-    made, rank = table.find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
-    made, rank = made.reshape(len(words), wide), rank.reshape(len(words), wide)
-    live = np.arange(len(words))
+    after = np.tile(np.arange(1, wide + 2, dtype=np.int32), (len(words), 1))
+    before = np.tile(np.arange(-1, wide, dtype=np.int32), (len(words), 1))
+    made, rank = (x.reshape(len(words), wide) for x in table.find(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()))
+    live, open_ = np.arange(len(words)), np.ones(len(words), bool)
     out: list = [None] * len(words)
-    left = n.copy()
-    columns = np.arange(wide + 1)
     step = -1
     while len(live):
         step += 1
         at = rank.argmin(1)
         rows = np.arange(len(live))
-        best = rank[rows, at]
-        done = best == NEVER
-        if done.any():
+        ended = rank[rows, at] == NEVER
+        done = np.flatnonzero(ended & open_)
+        if len(done):
+            open_[done] = False
             if steps is not None:
                 steps[live[done]] = step
-            x, size = symbols[done], left[done]
-            raw = x[columns[None, :] < size[:, None]].astype("<i4").tobytes()
-            ends = (4 * np.cumsum(size)).tolist()
+            x = symbols[done]
+            held = x >= 0
+            raw, ends = x[held].astype("<i4").tobytes(), (4 * np.cumsum(held.sum(1))).tolist()
             for k, a, b, odd in zip(live[done].tolist(), [0, *ends], ends, (x >= table.pieces).any(1).tolist(), strict=False):
                 out[k] = None if odd else raw[a:b]
-        go = ~done
-        live, symbols, start, made, rank, left, keys, at = (x[go] for x in (live, symbols, start, made, rank, left, keys, at))
-        rows = np.arange(len(live))
-        if not len(live):
+        rows = rows[~ended]
+        if 2 * len(rows) < len(live):
+            live, open_, symbols, after, before, made, rank, keys, at = (x[rows] for x in (live, open_, symbols, after, before, made, rank, keys, at))
+            rows = np.arange(len(live))
+        if not len(rows):
             break
+        at = at[rows]
+        skip = np.zeros(len(rows), bool)
         if limit:
-            place = start[rows, at].astype(np.uint64)
-            size = np.where(at + 2 <= wide, start[rows, np.minimum(at + 2, wide)], 0).astype(np.uint64) - place
-            h = (keys ^ (place * np.uint64(0x9E3779B97F4A7C15) + size * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xD6E8FEB86659FD93)
+            place = at.astype(np.uint64)
+            size = after[rows, after[rows, at]].astype(np.uint64) - place
+            h = (keys[rows] ^ (place * np.uint64(0x9E3779B97F4A7C15) + size * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xD6E8FEB86659FD93)
             h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20) & np.uint64(0xFFFFFFFF)
-            skip = h < np.uint64(limit)
-            rank[rows[skip], at[skip]] = NEVER
-            rows, at = rows[~skip], at[~skip]
-            if not len(rows):
-                continue
+            skip |= h < np.uint64(limit)
         if dropped is not None and step < dropped.shape[1]:
-            skip = dropped[live[rows], step]
-            rank[rows[skip], at[skip]] = NEVER
-            rows, at = rows[~skip], at[~skip]
-            if not len(rows):
-                continue
-        symbols[rows, at] = made[rows, at]
-        shift = np.minimum(columns[None, :] + (columns[None, :] > at[:, None]), wide)
-        symbols[rows] = np.take_along_axis(symbols[rows], shift, 1)
-        symbols[rows, wide] = -1
-        start[rows] = np.take_along_axis(start[rows], shift, 1)
-        shift = np.minimum(columns[None, :-1] + (columns[None, :-1] >= at[:, None]), wide - 1)
-        made[rows], rank[rows] = np.take_along_axis(made[rows], shift, 1), np.take_along_axis(rank[rows], shift, 1)
-        rank[rows, wide - 1] = NEVER
-        left[rows] -= 1
-        made[rows, at], rank[rows, at] = table.find(symbols[rows, at], symbols[rows, at + 1])
-        inner = at > 0
-        r, a = rows[inner], at[inner] - 1
-        made[r, a], rank[r, a] = table.find(symbols[r, a], symbols[r, a + 1])
+            skip |= dropped[live[rows], step]
+        rank[rows[skip], at[skip]] = NEVER
+        rows, at = rows[~skip], at[~skip]
+        gone = after[rows, at]
+        symbols[rows, at], symbols[rows, gone], rank[rows, gone] = made[rows, at], -1, NEVER
+        after[rows, at] = end = after[rows, gone]
+        before[rows, end] = at
+        made[rows, at], rank[rows, at] = table.find(symbols[rows, at], symbols[rows, end])
+        inner = before[rows, at] >= 0
+        rows, at = rows[inner], at[inner]
+        left = before[rows, at]
+        made[rows, left], rank[rows, left] = table.find(symbols[rows, left], symbols[rows, at])
     return out
 
 
@@ -260,7 +252,8 @@ class Encoder:
     """Segments each occurrence of a word on its own key.
 
     What it remembers doesn't depend on keys: the stretches of units (a word with its spaces), and for each stretch a
-    node for every list of dropped steps met so far, with its ids as little-endian int32 bytes and the steps it takes.
+    node for every list of dropped steps met so far, with its ids as little-endian int32 bytes, the steps it takes and
+    a place for the node that each further drop leads to.
     An occurrence draws how many steps pass before its next drop and goes to that node, until the steps run out.
     """
 
@@ -272,11 +265,12 @@ class Encoder:
         self.units: dict[str, int] = {}
         self.first = self.count = self.flat = np.zeros(0, np.int64)
         self.roots: dict[str, int] = {}
-        self.kids: dict[int, int] = {}
+        self.kids = np.zeros(0, np.int32)
         self.words: list[str] = []
         self.drops: list[tuple[int, ...]] = []
         self.ids: list[bytes] = []
-        self.steps = self.after = np.zeros(0, np.int64)
+        self.steps = self.after = self.base = np.zeros(0, np.int64)
+        self.spared = np.zeros(0, np.uint64)
 
     def _split(self, units: list[str]) -> list[list[str]]:
         """The stretches of each unit between neighbours that no piece holds; no merge can cross those."""
@@ -301,28 +295,39 @@ class Encoder:
         start = len(self.words)
         ids: list = [b""] * len(words)
         steps = np.zeros(len(words), np.int64)
-        short = sorted((k for k, w in enumerate(words) if 1 < len(w) <= SHORT), key=lambda k: len(words[k]))
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        short = np.flatnonzero((size > 1) & (size <= SHORT))
+        short = short[np.argsort(size[short], kind="stable")]
         for i in range(0, len(short), 20_000):
             lot = short[i : i + 20_000]
-            dropped = np.zeros((len(lot), 1 + max((drops[k][-1] for k in lot if drops[k]), default=0)), bool)
-            for r, k in enumerate(lot):
-                dropped[r, list(drops[k])] = True
+            skips = [drops[k] for k in lot.tolist()]
+            count = np.fromiter(map(len, skips), np.int64, len(lot))
+            flat = np.fromiter(chain.from_iterable(skips), np.int64, int(count.sum()))
+            dropped = np.zeros((len(lot), 1 + (int(flat.max()) if len(flat) else 0)), bool)
+            dropped[np.repeat(np.arange(len(lot)), count), flat] = True
             took = np.zeros(len(lot), np.int64)
-            for k, x in zip(lot, merge_many([words[k] for k in lot], np.zeros(len(lot), np.uint64), pair_table(self.path), 0, dropped, took), strict=True):
+            asked = [words[k] for k in lot.tolist()]
+            for k, x in zip(lot.tolist(), merge_many(asked, np.zeros(len(lot), np.uint64), pair_table(self.path), 0, dropped, took), strict=True):
                 ids[k] = x if x is not None else np.array(merge(words[k], self.p, 0, 0, drops[k]), "<i4").tobytes()
             steps[lot] = took
-        for k, w in enumerate(words):
-            if len(w) == 1:
-                ids[k] = np.array(self.p.fallback(w), "<i4").tobytes()
-            elif len(w) > SHORT and not self.limit:
-                ids[k] = np.array(merge(w, self.p, 0, 0), "<i4").tobytes()
-            elif len(w) > SHORT:
+        for k in np.flatnonzero(size == 1).tolist():
+            ids[k] = np.array(self.p.fallback(words[k]), "<i4").tobytes()
+        for k in np.flatnonzero(size > SHORT).tolist():
+            if self.limit:
                 steps[k] = -1
+            else:
+                ids[k] = np.array(merge(words[k], self.p, 0, 0), "<i4").tobytes()
         self.words += words
         self.drops += drops
         self.ids += ids
         self.steps = np.append(self.steps, steps)
-        self.after = np.append(self.after, np.array([d[-1] + 1 if d else 0 for d in drops], np.int64))
+        after = np.array([d[-1] + 1 if d else 0 for d in drops], np.int64)
+        self.after = np.append(self.after, after)
+        room = np.maximum(steps - after, 0)
+        self.base = np.append(self.base, len(self.kids) + np.cumsum(room) - room)
+        self.kids = np.append(self.kids, np.full(int(room.sum()), -1, np.int32))
+        chance = (1 - self.limit / (1 << 32)) ** room
+        self.spared = np.append(self.spared, np.where(steps > after, chance * (1 << 53), 1 << 53).astype(np.uint64))
         return range(start, len(self.words))
 
     def _learn(self, fresh: list[str]) -> None:
@@ -336,23 +341,31 @@ class Encoder:
         self.flat = np.append(self.flat, np.array([self.roots[w] for x in split for w in x], np.int64))
 
     def _drop(self, node: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """The node where each occurrence ends, by its key."""
-        node, live, level = node.copy(), np.flatnonzero(self.steps[node] > 0), 0
-        chance = self.limit / (1 << 32)
+        """The node where each occurrence ends, by its key: a uniform number above (1 - dropout)**steps means a drop."""
+        node, level = node.copy(), 0
         with np.errstate(divide="ignore"):
-            rate = np.log1p(-chance)
+            rate = np.log1p(-self.limit / (1 << 32))
+        live = np.flatnonzero((key >> np.uint64(11)) > self.spared[node])
         while len(live):
             level += 1
-            u = ((mix(key[live] + np.uint64(level * 0xC2B2AE3D27D4EB4F & _M)) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
-            step = self.after[node[live]] + np.minimum(np.log(u) / rate, 1 << 20).astype(np.int64)
-            on = step < self.steps[node[live]]
-            live = live[on]
-            wanted = node[live] << 20 | step[on]
-            listed = wanted.tolist()
-            if fresh := list(set(listed) - self.kids.keys()):
-                made = self._grow([self.words[k >> 20] for k in fresh], [(*self.drops[k >> 20], k & 0xFFFFF) for k in fresh])
-                self.kids.update(zip(fresh, made, strict=True))
-            node[live] = np.fromiter(map(self.kids.__getitem__, listed), np.int64, len(listed))
+            at = node[live]
+            u = key[live] if level == 1 else mix(key[live] + np.uint64(level * 0xC2B2AE3D27D4EB4F & _M))
+            u = ((u >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+            step = self.after[at] + np.minimum(np.log(u) / rate, 1 << 20).astype(np.int64)
+            on = step < self.steps[at]
+            live, at = live[on], at[on]
+            step = step[on]
+            slot = self.base[at] + step - self.after[at]
+            new = np.flatnonzero(self.kids[slot] < 0)
+            if len(new):
+                _, once = np.unique(slot[new], return_index=True)
+                new = new[once]
+                parents = at[new].tolist()
+                made = self._grow([self.words[k] for k in parents], [(*self.drops[k], x) for k, x in zip(parents, step[new].tolist(), strict=True)])
+                self.kids[slot[new]] = np.arange(made.start, made.stop)
+            at = self.kids[slot].astype(np.int64)
+            node[live] = at
+            live = live[self.steps[at] > self.after[at]]
         return node
 
     def encode_many(self, texts: list[str], docs: list[int | None]) -> list[bytes]:
@@ -368,9 +381,12 @@ class Encoder:
                 found = _UNIT.findall(x.replace(" ", SPACE))
                 runs[-1].append(len(found))
                 units += found
-        if fresh := list(set(units) - self.units.keys()):
-            self._learn(fresh)
-        unit = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
+        unit = np.fromiter(map(self.units.get, units, repeat(-1)), np.int64, len(units))
+        new = np.flatnonzero(unit < 0)
+        if len(new):
+            new_units = [units[k] for k in new.tolist()]
+            self._learn(list(dict.fromkeys(new_units)))
+            unit[new] = np.fromiter(map(self.units.__getitem__, new_units), np.int64, len(new))
         count = self.count[unit]
         ends = np.cumsum(count)
         node = self.flat[np.repeat(self.first[unit] - (ends - count), count) + np.arange(count.sum())]
@@ -401,6 +417,12 @@ class Encoder:
         return np.frombuffer(self.encode_many([text], [doc])[0], "<i4").tolist()
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str, dropout: float, seed: int) -> Encoder:
+    """A worker's encoder: what it remembers, REMEMBERED entries at most, serves all tasks of the worker."""
+    return Encoder(path, dropout, seed)
+
+
 def decode(ids: list[int], path: str = MODEL) -> str:
     raw = pieces(path).raw
     return b"".join([raw[i] for i in ids]).decode()[1:]
@@ -411,7 +433,7 @@ def _encode(path: str, dropout: float, seed: int, digest: bool, lot: int = 1 <<
     types = [pa.int64(), pa.int64(), *([pa.string(), pa.string()] if digest else [pa.list_(pa.int32())])]
 
     def run(batches):
-        e = Encoder(path, dropout, seed)
+        e = encoder(path, dropout, seed)
         for batch in batches:
             docs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             i = 0
@@ -426,7 +448,6 @@ def _encode(path: str, dropout: float, seed: int, digest: bool, lot: int = 1 <<
                     rows.append((d, len(ids), *((hashlib.sha256(raw).hexdigest(), hashlib.sha256(decode(ids.tolist(), path).encode()).hexdigest()) if digest else (ids,))))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names=names)
                 i = j
-        del e
         release()
 
     return run
