@@ -259,17 +259,17 @@ def _windows(width: int, gram: int, crowd: int):
     return run
 
 
-MATCHED = "doc_id long, at long, string binary"
+MATCHED = "doc_id long, a long, b long, string binary"
 
 
 def _match(width: int, crowd: int):
-    """The starts in each window that have an earlier match in the same lot of the same anchor, with a null string. Of
-    crowded anchors also the starts that have none, each with its string."""
+    """The spans (a, b) of bytes in each window under strings that have an earlier match in the same lot of the same
+    anchor, with a null string. Of crowded anchors also each string that has none."""
 
-    def found(doc, at, body=None):
+    def found(doc, a, b, body=None):
         n = len(doc)
         string = pa.nulls(n, pa.binary()) if body is None else pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * width, width, dtype=np.int32)), pa.py_buffer(body)])
-        return pa.table({"doc_id": pa.array(doc, pa.int64()), "at": pa.array(at, pa.int64()), "string": string})
+        return pa.table({"doc_id": pa.array(doc, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "string": string})
 
     def run(t):
         anchor, lot, many, doc, start = (t.column(c).to_numpy() for c in ("anchor", "lot", "crowd", "doc_id", "start"))
@@ -277,7 +277,7 @@ def _match(width: int, crowd: int):
         order = np.lexsort((start, doc, lot, anchor))
         same = np.ones(len(order), bool)
         same[1:] = (anchor[order[1:]] == anchor[order[:-1]]) & (lot[order[1:]] == lot[order[:-1]])
-        out = [found(doc[:0], start[:0])]
+        out = [found(doc[:0], start[:0], start[:0])]
         i = 0
         while i < len(order):
             j, size = i, 0
@@ -309,11 +309,15 @@ def _match(width: int, crowd: int):
             few = max(1, len(rows).bit_length())
             joint = (rank[p] << np.uint64(few)) | g.astype(np.uint64)
             hit = lpf_reaches(sort_index(joint, few + len(data).bit_length()), joint, when)
-            out.append(found(d[hit], s[hit]))
+            # strings that start side by side in a window cover one span
+            hit_p, hit_s, hit_d = p[hit], s[hit], d[hit]
+            edge = np.flatnonzero(np.diff(hit_p, prepend=-2) != 1)
+            last = np.flatnonzero(np.diff(hit_p, append=-2) != 1)
+            out.append(found(hit_d[edge], hit_s[edge], hit_s[last] + width))
             first = np.flatnonzero(~hit & (many[rows][row][fits] > crowd))
             if len(first):
                 text = np.lib.stride_tricks.sliding_window_view(data, width)[p[first]]
-                out.append(found(d[first], s[first], (text - 1).astype(np.uint8).tobytes()))
+                out.append(found(d[first], s[first], s[first] + width, (text - 1).astype(np.uint8).tobytes()))
             i = j
         del body
         release()
@@ -330,19 +334,17 @@ def _apply(width: int, gram: int, with_text: bool):
         for batch in batches:
             rows = []
             texts = batch.column("text").to_pylist()
-            for d, t, whole, single in zip(batch.column("doc_id").to_pylist(), texts, batch.column("whole").to_pylist(), batch.column("single").to_pylist(), strict=True):
+            for d, t, whole, a, b in zip(batch.column("doc_id").to_pylist(), texts, *(batch.column(c) for c in ("whole", "a", "b")), strict=True):
                 raw = np.frombuffer((t or "").encode(), np.uint8)
                 n = len(raw)
                 delta = np.zeros(n + 1, np.int32)
-                for b in whole or ():
-                    p = unpack_sorted(b).astype(np.int64)
+                for x in whole.as_py() or ():
+                    p = unpack_sorted(x).astype(np.int64)
                     np.add.at(delta, np.clip(p - (width - gram), 0, n), 1)
                     np.add.at(delta, np.minimum(n, p + width), -1)
-                if single:
-                    p = np.array(single, np.int64)
-                    p = p[p + width <= n]
-                    np.add.at(delta, p, 1)
-                    np.add.at(delta, p + width, -1)
+                if a.is_valid:
+                    np.add.at(delta, a.values.to_numpy(), 1)
+                    np.add.at(delta, b.values.to_numpy(), -1)
                 gone = np.cumsum(delta[:-1]) > 0
                 left = raw[~gone].tobytes()
                 spans_ = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
@@ -384,9 +386,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = matched.filter("string IS NOT NULL")
     blocks = max(1, firsts.count() // BLOCK)
     zero = F.lit(0).cast("long")
-    strings = firsts.select(zero.alias("anchor"), zero.alias("lot"), zero.alias("crowd"), "doc_id", F.col("at").alias("start"), F.col("string").alias("body"))
+    strings = firsts.select(zero.alias("anchor"), zero.alias("lot"), zero.alias("crowd"), "doc_id", F.col("a").alias("start"), F.col("string").alias("body"))
     later = strings.groupBy(F.pmod(F.xxhash64("body"), F.lit(blocks)).alias("block")).applyInArrow(_match(width, crowd), MATCHED)
-    single = matched.filter("string IS NULL").unionByName(later).groupBy("doc_id").agg(F.collect_set("at").alias("single"))
+    single = matched.filter("string IS NULL").unionByName(later).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("s")).select("doc_id", "s.a", "s.b")
 
     whole = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_list("body").alias("whole"))
     gone = cut(whole.join(single, "doc_id", "full"), "gone")
