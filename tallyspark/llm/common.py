@@ -56,13 +56,13 @@ def lean_batches(spark: SparkSession, most: int = 8 << 20) -> None:
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, weight: str, total: int, salt_by: str, share: int = 256, salts: int = 64) -> DataFrame:
-    """left join right on key, where right has one row for each key and `weight` holds how many left rows have it.
+    """left join right on key, where `weight` of right holds how many left rows have its key.
 
     Keys with over total/share rows are at most `share` many, so that their list can be broadcast; their rows are
-    dealt over `salts` copies of the one right row. All other keys join as they are.
+    dealt over `salts` copies of the right rows. All other keys join as they are.
     """
     most = max(64, total // share)
-    hot = right.filter(F.col(weight) > most).select(F.col(key).alias("_hot"))
+    hot = right.filter(F.col(weight) > most).select(F.col(key).alias("_hot")).distinct()
     dealt = left.join(F.broadcast(hot), left[key].eqNullSafe(F.col("_hot")), "left")
     dealt = dealt.withColumn("_salt", F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(salt_by), F.lit(salts))).otherwise(F.lit(0).cast("long"))).drop("_hot")
     copies = F.when(F.col(weight) > most, F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
