@@ -21,11 +21,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut, salted_join, shared_dir
+from tallyspark.llm.common import cut, lean_batches, salted_join, shared_dir
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 #: An archive is closed once its records take this much.
 ARCHIVE_BYTES = 24 << 20
+#: Tasks that read archives at most.
+READERS = 20_000
 _MAX32, _MAX16 = 0xFFFFFFFF, 0xFFFF
 
 
@@ -199,24 +201,31 @@ def write_warc_zip(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     """Write a record for each row and return the manifest (path, records), itself a written table.
 
     Of rows with equal payloads of at least revisit_bytes bytes, that with the largest id is the response and the
-    others revisit it; rows that repeat that id are responses too. Null html is an empty payload, null ids sort first
-    and give 'null'. Archives have names of their own, so that a task that runs again leaves no half archive behind
+    others revisit it; rows that repeat that id are responses too. Payloads are equal if SHA-1, length and a second hash
+    are, so that a collision of SHA-1 alone makes no revisit. Null html is an empty payload, null ids sort first
+    and give 'null'. A record is held whole; an archive is closed at archive_bytes, so that one long page makes an
+    archive of its own. Archives have names of their own, so that a task that runs again leaves no half archive behind
     in the manifest. Extra columns are not read. No rows give no archive.
     """
+    lean_batches(pages.sparkSession)
     folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     fs, base = pafs.FileSystem.from_uri(folder)
     fs.create_dir(base, recursive=True)
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("sha1"))
-    same = rows.filter(F.octet_length("html") >= revisit_bytes).groupBy("sha1").agg(F.max("page_id").alias("ref"), F.count("*").alias("n")).filter("n > 1")
-    marked = salted_join(rows, same, "sha1", "n", max(1, pages.count()), "page_id")
+    rows = rows.withColumn("same", F.struct("sha1", F.octet_length("html").alias("bytes"), F.xxhash64("html").alias("second")))
+    same = rows.filter(F.octet_length("html") >= revisit_bytes).groupBy("same").agg(F.max("page_id").alias("ref"), F.count("*").alias("n")).filter("n > 1")
+    marked = salted_join(rows, same, "same", "n", max(1, pages.count()), "page_id").select("page_id", "url", "html", "sha1", "ref")
     return cut(marked.mapInArrow(_write(folder, archive_bytes), "path string, records long"), "manifest")
 
 
 def read_warc_zip(manifest: DataFrame, folder: str | None = None) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all records in a manifest's archives."""
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all records in a manifest's archives.
+
+    Archives are dealt over READERS tasks at most, and one is read a record at a time.
+    """
     spark = manifest.sparkSession
-    n = max(1, manifest.count())
+    n = min(READERS, max(1, manifest.count()))
     return manifest.repartition(n).mapInArrow(_read(folder or shared_dir(spark)), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
