@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut
+from tallyspark.llm.common import cut, lean_batches
 
 #: Reserved strings; their ids follow the vocabulary in this order. Fixed values.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]")
@@ -69,68 +69,87 @@ def turn_tokens(role: str, text: str, path: str) -> tuple[np.ndarray, np.ndarray
 
 def _format(path: str):
     def run(batches):
-        last, seq = object(), 0
         for batch in batches:
-            conv, seqs, ids, masks = batch.column("conv_id").to_pylist(), [], [], []
-            for c, role, text in zip(conv, batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                seq = seq + 1 if c == last else 0
-                last = c
+            ids, masks = [], []
+            for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 x, m = turn_tokens(role or "", text or "", path)
-                seqs.append(seq), ids.append(x), masks.append(m)
-            yield pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(seqs, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.int8()))], names=["conv_id", "seq", "ids", "loss_mask"])
+                ids.append(x), masks.append(m)
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("turn"), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.int8()))], names=["conv_id", "turn", "ids", "loss_mask"])
 
     return run
 
 
 def format_chat(conversations: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """(conv_id, seq, ids, loss_mask): the token ids of each turn in order, and 1 where an assistant's text stands.
+    """(conv_id, turn, ids, loss_mask): the token ids of each turn, and 1 where an assistant's text stands.
 
-    Turns go by turn, then role and text where it ties or is null. Null role or text counts as empty; a null conv_id
-    is one more conversation. A repeated row is a turn of its own. Extra columns are not read.
+    Turns are encoded where they lie, so that a long conversation is the work of many tasks. Null role or text counts
+    as empty; a null conv_id is one more conversation. A repeated row is a turn of its own; texts of any length are
+    encoded whole. Extra columns are not read. An empty table gives an empty result.
     """
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return rows.mapInArrow(_format(path), "conv_id long, seq long, ids array<int>, loss_mask array<tinyint>")
+    lean_batches(conversations.sparkSession)
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return rows.mapInArrow(_format(path), "conv_id long, turn long, ids array<int>, loss_mask array<tinyint>")
 
 
-def _read_back(path: str):
+DECODED = "conv_id long, turn long, role string, text string, lost string, chars long"
+
+
+def _decode(path: str):
     def run(batches):
         enc, control = encoder(path)
         names = {i: s for s, i in control.items()}
         openers = {control[a]: role for role, (a, _) in TURN.items()}
         first = min(names)
-        conv, state = None, None
-
-        def done():
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((conv, pa.int64()), (state["n"], pa.int64()), (state["turns"].hexdigest(), pa.string()), (state["loss"], pa.int64()), (state["lost"].hexdigest(), pa.string()), (state["chars"], pa.int64()))], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
         for batch in batches:
-            for c, ids, mask in zip(batch.column("conv_id").to_pylist(), batch.column("ids"), batch.column("loss_mask"), strict=True):
+            rows = []
+            for ids, mask in zip(batch.column("ids"), batch.column("loss_mask"), strict=True):
                 ids, mask = ids.values.to_numpy(), mask.values.to_numpy()
-                if state is None or c != conv:
-                    if state is not None:
-                        yield done()
-                    conv, state = c, {"n": 0, "turns": hashlib.sha256(), "loss": 0, "lost": hashlib.sha256(), "chars": 0}
                 at = np.flatnonzero(ids >= first)
                 segments = [enc.decode(ids[a + 1 : b].tolist()) for a, b in zip(at, at[1:], strict=False)]
                 role = openers.get(int(ids[0]))
                 role, text = (unescape(segments[0]), segments[1]) if role is None else (role, segments[0])
-                text = unescape(text)
-                lost = unescape(enc.decode(ids[mask == 1].tolist()))
-                state["n"] += 1
-                state["turns"].update(f"{role}\n{text}\n".encode())
-                state["loss"] += len(lost)
-                state["lost"].update(lost.encode())
-                state["chars"] += sum(map(len, segments)) + sum(len(names[int(ids[k])]) for k in at)
-        if state is not None:
-            yield done()
+                chars = sum(map(len, segments)) + sum(len(names[int(ids[k])]) for k in at)
+                rows.append((role, unescape(text), unescape(enc.decode(ids[mask == 1].tolist())), chars))
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            types = (pa.string(), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("turn"), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=["conv_id", "turn", "role", "text", "lost", "chars"])
 
     return run
 
 
+READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+
+
+def _digest(batches):
+    """One row for each conversation from its turns in order, which are held one batch at a time."""
+    conv, state = None, None
+
+    def done():
+        row = (conv, state["n"], state["turns"].hexdigest(), state["loss"], state["lost"].hexdigest(), state["chars"])
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+    for batch in batches:
+        for c, role, text, lost, chars in zip(*(batch.column(k).to_pylist() for k in ("conv_id", "role", "text", "lost", "chars")), strict=True):
+            if state is None or c != conv:
+                if state is not None:
+                    yield done()
+                conv, state = c, {"n": 0, "turns": hashlib.sha256(), "loss": 0, "lost": hashlib.sha256(), "chars": 0}
+            state["n"] += 1
+            state["turns"].update(f"{role}\n{text}\n".encode())
+            state["loss"] += len(lost)
+            state["lost"].update(lost.encode())
+            state["chars"] += chars
+    if state is not None:
+        yield done()
+
+
 def read_back(formatted: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """Digests of the conversations in formatted token ids, one row for each; a turn at a time is held in memory."""
-    rows = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-    return rows.mapInArrow(_read_back(path), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    """Digests of the conversations in formatted token ids, one row for each, turns by number, role and text.
+
+    Turns are decoded where they lie; only their order and the digest over it are one task's work for a conversation.
+    """
+    rows = formatted.mapInArrow(_decode(path), DECODED).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return rows.mapInArrow(_digest, READ)
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
