@@ -67,7 +67,7 @@ def _make_runs(batches):
     release()
 
 
-def _merge(key, t: pa.Table) -> pa.Table:
+def _merge(key, t):
     """One round: the runs of a range that meet become one."""
     runs = [np.frombuffer(body.as_buffer(), RUN).tolist() for body in t.column("body").combine_chunks()]
     return pa.table({"range": pa.array([key[0].as_py()], pa.int64()), "run": pa.array([key[1].as_py()], pa.int64()), "body": pa.array([_packed(merge_runs(runs))], pa.binary())})
@@ -98,7 +98,7 @@ def merged_runs(runs: DataFrame, fan_in: int) -> DataFrame:
     """One run for each range, after as many rounds of merging as the runs need."""
     left = runs.agg(F.coalesce(F.max("run"), F.lit(0)) + 1).first()[0]
     while left > 1:
-        runs = runs.groupBy("range", F.floor(F.col("run") / fan_in).alias("run")).applyInArrow(_merge, RUNS)
+        runs = runs.groupBy("range", F.floor(F.col("run") / fan_in).alias("meet")).applyInArrow(_merge, RUNS)
         left = -(-left // fan_in)
     return runs
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 
 import numpy as np
@@ -119,6 +120,16 @@ def test_warc_zip(spark):
     assert warc_zip.read_warc_zip(warc_zip.write_warc_zip(pages.limit(0))).count() == 0
 
 
+def test_warc_zip_with_long_records_over_many_archives(spark):
+    rnd = np.random.default_rng(3)
+    pages = spark.createDataFrame([(k, f"u{k}", rnd.bytes(3000 if k % 5 else 90_000).hex()) for k in range(40)], "page_id long, url string, html string").coalesce(2)
+    manifest = warc_zip.write_warc_zip(pages, archive_bytes=20_000)
+    assert manifest.count() > 8
+    got = {r.page_id: (r.url, r.payload_bytes, r.payload_digest) for r in warc_zip.read_warc_zip(manifest).collect()}
+    want = {r.page_id: (r.url, len(r.html), base64.b32encode(hashlib.sha1(r.html.encode()).digest()).decode()) for r in pages.collect()}
+    assert got == want
+
+
 def test_chat_format(spark):
     rows = [(1, 0, "user", "<s>[INST]"), (1, 1, "assistant", None), (1, 1, None, "x"), (1, 1, None, "x"), (None, None, "tool", r"\</s> [\INST] [/ROLE]"), (2, 5, "assistant", LONG)]
     talks = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, ids string")
