@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructType
+from pyspark.sql.types import DoubleType, StringType
 
 
 def ratio(a: str, b: str) -> float:
@@ -43,86 +43,6 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
-_FURNITURE, _ENDS = re.compile(r"[|\[\]{}_~`^*=<>]+"), " :;.,'\"-‘’"
-_MARKS = "়ািীুূেৈোৌ্"
-_ORPHAN = re.compile(f"[{re.escape(_ENDS)}][{_MARKS}]+$")
-_FOREIGN, _NATIVE = re.compile(r"[A-Za-z0-9০-৯]+"), re.compile(r"[ঀ-৿]")
-
-
-def clean(text: str) -> str:
-    """A value without the debris around it; stripping goes on until nothing more comes off."""
-    now, before = " ".join(_FURNITURE.sub(" ", text).split()), None
-    while now != before:
-        before = now
-        now = _ORPHAN.sub("", now).strip(_ENDS).lstrip(_MARKS + " ")
-    return now
-
-
-def without_foreign(text: str) -> tuple[str, bool]:
-    """(value without Latin letters and digits, whether one stood inside a word); only where native letters are."""
-    runs = list(_FOREIGN.finditer(text))
-    if not runs:
-        return text, False
-    if not _NATIVE.search(text):
-        return clean(text), False
-    padded = f" {text} "
-    inside = any(_NATIVE.match(padded[m.start()]) and _NATIVE.match(padded[m.end() + 1]) for m in runs)
-    return clean(_FOREIGN.sub("", text)), inside
-
-
-@F.pandas_udf(StringType())
-def clean_value(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: clean(v or ""))
-
-
-@F.pandas_udf(StructType().add("value", "string").add("uncertain", "boolean"))
-def strip_foreign(x: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([without_foreign(v or "") for v in x], columns=["value", "uncertain"])
-
-
-# The words of the sex field and the relatives a label can name.
-SEX_WORDS = (("পুৰুষ", "M"), ("মহিলা", "F"), ("তৃতীয়", "T"))
-RELATIVES = (("পিতাৰ", "father"), ("স্বামীৰ", "husband"), ("মাতাৰ", "mother"), ("মাতৃৰ", "mother"))
-
-
-def closest_ending(text: str, words: Sequence[tuple[str, str]], least: float = 0.5, tail: int = 12, keep: str = "ঀ-৿") -> str:
-    """The code of the word that some ending of the text resembles best, '' below `least`; the first word wins ties."""
-    end = re.sub(f"[^{keep}]", "", text)[-tail:]
-    if len(end) < 2:
-        return ""
-    scored = [(max(ratio(end[-k:], w) for k in range(2, len(end) + 1)), code) for w, code in words]
-    best = max(s for s, _ in scored)
-    return next(c for s, c in scored if s == best) if best >= least else ""
-
-
-def labelled_relation(line: str, relatives: Sequence[tuple[str, str]] = RELATIVES, shape: str = r"(\S{2,12}?)\s*নাম", least: float = 0.5, sure: float = 0.7) -> tuple[int, str] | None:
-    """(where the label ends, which relative) for the first label-shaped start that resembles a relative."""
-    for m in re.finditer(shape, line[:48]):
-        word = m.group(1).lstrip("৷| ")
-        if word:
-            score, kind = max((ratio(word, w), k) for w, k in relatives)
-            if score >= least:
-                return m.end(), kind if score >= sure else ""
-    return None
-
-
-@F.pandas_udf(StringType())
-def sex_of(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: closest_ending(v or "", SEX_WORDS))
-
-
-@F.pandas_udf(StructType().add("name", "string").add("kind", "string"))
-def relation_of(x: pd.Series) -> pd.DataFrame:
-    def one(line: str) -> tuple[str, str]:
-        found = labelled_relation(line)
-        if found:
-            return clean(line[found[0] :].lstrip(" :;'‘’")), found[1]
-        rest = next((clean(line.split(s, 1)[1]) for s in (":", "'", "‘", "’") if s in line and len(clean(line.split(s, 1)[1])) >= 3), "")
-        return rest, ""
-
-    return pd.DataFrame([one(v or "") for v in x], columns=["name", "kind"])
-
-
 def unlooped(text: str, least: int = 20, times: int = 3) -> str:
     """Text in which a stretch of `least` characters or more that repeats `times` times or more stands once.
 

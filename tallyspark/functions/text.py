@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # Bengali and Devanagari digits, and the letters that a reader puts where a digit belongs.
 NATIVE_DIGITS = "০১২৩৪৫৬৭৮৯०१२३४५६७८९"
 LOOKALIKES, LOOKALIKE_DIGITS = "OQDILSBZG", "000115826"
+# What stands around a value as debris, and vowel signs, which belong to a value only after a letter of it.
+FURNITURE, ENDS, MARKS = r"[|\[\]{}_~`^*=<>]+", r" :;.,'\"\-‘’", "়ািীুূেৈোৌ্"
+FOREIGN, NATIVE, NATIVE_LETTER = "[A-Za-z0-9০-৯]+", "[ঀ-৿]", "[ঀ-৥ৰ-৿]"
 STRICT_ID, LOOSE_ID = r"^[A-Z]{3}[0-9]{7}$", r"^[A-Z]{2,4}[0-9]{6,9}$"
 
 
@@ -117,6 +120,32 @@ def age_is_ambiguous(c: Column | str) -> Column:
     return F.length(F.regexp_extract(normalize_digits(c), "([0-9]+)", 1)) > 2
 
 
+def clean_value(c: Column | str) -> Column:
+    """A value without the debris around it.
+
+    Furniture counts as space. What goes at the end is the longest run of end marks, each with the vowel signs that hang
+    on it; at the start, any run of end marks and vowel signs.
+    """
+    s = F.trim(F.regexp_replace(F.regexp_replace(_text(c), FURNITURE, " "), r"\s+", " "))
+    return F.regexp_replace(F.regexp_replace(s, f"(?:[{ENDS}][{MARKS}]*)+$", ""), f"^[{ENDS}{MARKS}]+", "")
+
+
+def without_foreign(c: Column | str) -> Column:
+    """struct(value, uncertain): a native value without Latin letters and digits; uncertain where such a run stood between
+    two native letters, as it may have taken a letter's place. Values without a native character are only cleaned."""
+    s = _text(c)
+    foreign, native = s.rlike(FOREIGN), s.rlike(NATIVE)
+    value = F.when(foreign & native, clean_value(F.regexp_replace(s, FOREIGN, ""))).when(foreign, clean_value(s)).otherwise(s)
+    return F.struct(value.alias("value"), (foreign & native & s.rlike(NATIVE_LETTER + FOREIGN + NATIVE_LETTER)).alias("uncertain"))
+
+
+def rest_after(c: Column | str, label: Column | str) -> Column:
+    """The cleaned text after the first place of a label, '' without it."""
+    s, label = _text(c), F.lit(label) if isinstance(label, str) else label
+    at = F.instr(s, label)
+    return F.when(at > 0, clean_value(F.substring(s, at + F.length(label), F.length(s)))).otherwise("")
+
+
 def house_number(c: Column | str, labels: Sequence[str] = ()) -> Column:
     """What follows the first label that gives a value, else the first digit group such as 12-3/4, else ''."""
     s = normalize_digits(c)

@@ -143,20 +143,3 @@ def name_similarity(spark, d):
     part = table(spark, d, "part")
     first = part.groupBy("p_brand").agg(F.min("p_name").alias("head"))
     return fuzzy.on_distinct(part.join(first, "p_brand").select("p_partkey", "p_name", "head"), ["p_name", "head"], "score", fuzzy.seq_ratio).select("p_partkey", F.round("score", 9).alias("score"))
-
-
-@query()
-def cleaned_values(spark, d):
-    """Names without furniture, and without Latin debris where native letters are."""
-    raw = F.concat(F.lit("| "), "c_name", F.lit(" :'"))
-    out = table(spark, d, "customer").select("c_custkey", raw.alias("raw"))
-    return out.select("c_custkey", fuzzy.clean_value("raw").alias("clean"), fuzzy.strip_foreign(F.concat("raw", F.lit("নেম2্ৰা"))).alias("s")).select("c_custkey", "clean", "s.value", "s.uncertain")
-
-
-@query()
-def relations_and_sexes(spark, d):
-    """Relation and sex read from lines whose labels lost a letter."""
-    label = F.when(F.col("c_custkey") % 3 == 0, "পিতাৰ").when(F.col("c_custkey") % 3 == 1, "স্বামীৰ").otherwise("মাতাৰ")
-    word = F.when(F.col("c_custkey") % 2 == 0, "পুৰুষ").otherwise("মহিল")
-    out = table(spark, d, "customer").select("c_custkey", F.concat(label, F.lit(" নাম : "), "c_name").alias("line"), F.concat(F.lit("লিঙ্গ : "), word).alias("sex_line"))
-    return out.select("c_custkey", fuzzy.relation_of("line").alias("r"), fuzzy.sex_of("sex_line").alias("sex")).select("c_custkey", F.col("r.name").alias("name"), F.col("r.kind").alias("kind"), "sex")

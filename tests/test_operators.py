@@ -51,14 +51,14 @@ def test_small_texts(spark):
     assert one(spark, T.roman_repair(F.lit("- Xaabc । | "))) == "Sabc"
 
 
-def test_values_without_debris():
-    assert fuzzy.clean(" ' | abc :") == "abc"
-    assert fuzzy.without_foreign("নেম2্ৰা") == ("নেম্ৰা", True)
-    assert fuzzy.without_foreign("JOHN 1") == ("JOHN 1", False)
-    assert fuzzy.closest_ending("লিঙ্গ : পুৰুষ", fuzzy.SEX_WORDS) == "M"
-    assert fuzzy.closest_ending("x", fuzzy.SEX_WORDS) == ""
-    assert fuzzy.labelled_relation("পিতাৰ নাম : ক")[1] == "father"
-    assert fuzzy.labelled_relation("ঘৰ নং 5") is None
+def test_values_without_debris(spark):
+    assert one(spark, T.clean_value(F.lit(" ' | abc :"))) == "abc"
+    assert one(spark, T.clean_value(F.lit("ু ' বাসন্তা ৰাভা"))) == "বাসন্তা ৰাভা"
+    assert one(spark, T.clean_value(F.lit("ৰেহমাত বসমাতাৰা .ে"))) == "ৰেহমাত বসমাতাৰা"
+    assert tuple(one(spark, T.without_foreign(F.lit("নেম2্ৰা")))) == ("নেম্ৰা", True)
+    assert tuple(one(spark, T.without_foreign(F.lit("JOHN 1")))) == ("JOHN 1", False)
+    assert tuple(one(spark, T.without_foreign(F.lit("ৰাভা 1")))) == ("ৰাভা", False)
+    assert one(spark, T.rest_after(F.lit("নাম :' ক খ ."), "নাম")) == "ক খ"
 
 
 def test_mode_ties_take_the_first(spark):
