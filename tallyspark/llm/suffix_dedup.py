@@ -36,9 +36,9 @@ ANCHOR_BITS = 40
 #: Anchors that a scan holds before it sends them on.
 FLUSH = 1 << 19
 #: Anchors in a range, windows in a group of suffix arrays, and strings in a block: what a task should hold at a time.
-RANGE, GROUP, BLOCK = 1 << 18, 1 << 15, 1 << 16
-#: Different windows of one anchor that a single suffix array takes: 0.7 MB of text.
-CROWD = 4096
+RANGE, GROUP, BLOCK = 1 << 18, 1 << 15, 1 << 13
+#: Different windows of one anchor that a single suffix array takes: 1.4 MB of text.
+CROWD = 8192
 
 
 def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
