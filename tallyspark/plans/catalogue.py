@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import canonical, checks, measure, parts, reconcile, records, relational, reports, sequence, spatial, text  # noqa: F401
+from tallyspark.plans import canonical, checks, datasets, measure, parts, reconcile, records, relational, reports, sequence, spatial, text  # noqa: F401
 from tallyspark.plans.registry import QUERIES, SQL  # noqa: F401

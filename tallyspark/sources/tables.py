@@ -18,25 +18,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def zip_members(spark: SparkSession, glob: str, pattern: str | None = None) -> DataFrame:
-    """archive, member, size, sha256, matched for each entry of the archives; members are hashed in 1 MiB steps."""
+    """members_of() the archives under a glob."""
+    return members_of(spark.read.format("binaryFile").load(glob).select("path", "content"), pattern)
+
+
+def members_of(archives: DataFrame, pattern: str | None = None, bodies: bool = False) -> DataFrame:
+    """archive, member, size, sha256, matched[, body] for each entry of archives(path, content).
+
+    Members are read in 1 MiB steps and never extracted; without bodies none is held whole. An archive is one row: what
+    doesn't fit a row is read by range instead, as the training-data package does.
+    """
     import hashlib
 
     def walk(batches):
         for pdf in batches:
-            rows = []
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                rows = []
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for info in z.infolist():
-                        h = hashlib.sha256()
+                        h, held = hashlib.sha256(), []
                         with z.open(info) as f:
                             while step := f.read(1 << 20):
                                 h.update(step)
-                        rows.append((path, info.filename, info.file_size, h.hexdigest()))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size", "sha256"])
+                                if bodies:
+                                    held.append(step)
+                        rows.append((path, info.filename, info.file_size, h.hexdigest(), b"".join(held) if bodies else None))
+                yield pd.DataFrame(rows, columns=["archive", "member", "size", "sha256", "body"])
 
-    files = spark.read.format("binaryFile").load(glob).select("path", "content")
-    out = files.mapInPandas(walk, "archive string, member string, size long, sha256 string")
-    return out.withColumn("matched", F.col("member").rlike(pattern) if pattern else F.lit(True))
+    out = archives.select("path", "content").mapInPandas(walk, "archive string, member string, size long, sha256 string, body binary")
+    return (out if bodies else out.drop("body")).withColumn("matched", F.col("member").rlike(pattern) if pattern else F.lit(True))
 
 
 def jsonl(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
