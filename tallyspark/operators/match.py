@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -86,3 +86,37 @@ def propagate(lookup: DataFrame, official: str = "official") -> DataFrame:
 def inconsistent(lookup: DataFrame) -> DataFrame:
     """native, spellings (sorted) of native strings with more than one."""
     return lookup.filter("roman <> ''").groupBy("native").agg(F.array_sort(F.collect_set("roman")).alias("spellings")).filter(F.size("spellings") > 1)
+
+
+def confirm(lookup: DataFrame, confirmed: DataFrame, key: Sequence[str], authority: str = "manual") -> DataFrame:
+    """lookup where the confirmed keys have that authority; nothing else changes."""
+    marks = confirmed.select(*key).distinct().withColumn("_ok", F.lit(True))
+    return lookup.join(marks, list(key), "left").withColumn("authority", F.when(F.col("_ok"), authority).otherwise(F.col("authority"))).drop("_ok").select(*lookup.columns)
+
+
+def candidate_scopes(rows: DataFrame, places: DataFrame, value: str, key: str, name: str) -> DataFrame:
+    """value, candidate: for each value the distinct names of the places under any key that it occurs with."""
+    scopes = rows.filter((F.coalesce(F.col(value), F.lit("")) != "") & F.col(key).isNotNull()).select(value, key).distinct()
+    return scopes.join(places.select(key, F.col(name).alias("candidate")).filter("candidate IS NOT NULL").distinct(), key).select(value, "candidate").distinct()
+
+
+def best_per_native(found: DataFrame, native: str, rank: str, score: str, roman: str) -> DataFrame:
+    """native and its roman of the least (rank, -score, roman)."""
+    return found.groupBy(native).agg(F.min(F.struct(F.col(rank), (-F.col(score)).alias("_s"), F.col(roman))).alias("_b")).select(native, F.col(f"_b.{roman}").alias(roman))
+
+
+#: Stands for a run that goes, until the separator before it is gone too.
+_DROPPED = "\ue000"
+
+
+def apply_official(native: Column, official: Column, generic: dict[str, str], script: str = "[ঀ-৿]+") -> Column:
+    """native with the official spelling in place of its core: the first run of the script that isn't generic becomes the
+    official name, later ones go with the separator before them, generic ones are translated; all else stays."""
+    runs, gaps = F.regexp_extract_all(native, F.lit(f"({script})"), F.lit(1)), F.split(native, script)
+    known = F.create_map(*(F.lit(x) for kv in generic.items() for x in kv)) if generic else F.create_map().cast("map<string,string>")
+    core = F.filter(F.transform(runs, lambda r, i: F.when(known[r].isNull(), i)), lambda i: i.isNotNull())
+    first = F.get(core, F.lit(0))
+    put = F.transform(runs, lambda r, i: F.coalesce(known[r], F.when(i == first, official), F.lit("")))
+    joined = F.concat(F.get(gaps, F.lit(0)), F.array_join(F.transform(put, lambda r, i: F.concat(r, F.coalesce(F.get(gaps, i + 1), F.lit("")))), ""))
+    closed = F.regexp_replace(F.regexp_replace(F.when(F.size(runs) == 0, native).otherwise(joined), f"[\\s\\-–—]*{_DROPPED}", ""), r"[(\[{]\s*[)\]}]", "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(closed, r"\s{2,}", " "), r"^[|,;:_\s-]+", ""), r"[|,;:_\s-]+$", "")

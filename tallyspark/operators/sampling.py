@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,3 +25,9 @@ def systematic_sample(df: DataFrame, stratum: str, order: Sequence[str], step: i
     """Every step-th row of each stratum, and at most `most` of them."""
     w = W.partitionBy(stratum).orderBy(*order)
     return df.withColumn("_r", F.row_number().over(w) - 1).filter((F.col("_r") % step == 0) & (F.col("_r") < step * most)).drop("_r")
+
+
+def half_and_half(df: DataFrame, interesting: Column, order: Sequence[str], n: int) -> DataFrame:
+    """n/2 rows that are interesting and n/2 that aren't, the first of each by order."""
+    hit = F.coalesce(interesting, F.lit(False))
+    return df.filter(hit).orderBy(*order).limit(n // 2).unionByName(df.filter(~hit).orderBy(*order).limit(n - n // 2))
