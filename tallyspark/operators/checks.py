@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.functions import text as T
+
 
 @dataclass(frozen=True)
 class Check:
@@ -62,3 +64,36 @@ def problem_list(named: Sequence[tuple[str, Column]]) -> Column:
 def battery_counts(df: DataFrame, problems: str = "problems") -> DataFrame:
     """(problem, n), the most common first and by name where it ties."""
     return df.select(F.explode(problems).alias("problem")).groupBy("problem").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "problem")
+
+
+def part_battery(context: dict[str, Column]) -> list[Check]:
+    """The checks of a part record, in their order; a check that can't run is left out of the row's results.
+
+    context: columns of the rows with what a record is held against: parts_per_ac, qualifying_date, publication_date,
+    revision_year (modes of the corpus) and district (mode of the record's ac), null where there is none.
+    """
+    c = F.col
+    number = T.as_int
+    blank = lambda name: F.coalesce(F.trim(c(name)), F.lit("")) == ""
+    total, start, end = c("electors_total"), c("start_serial"), c("end_serial")
+    pin = F.trim(F.coalesce("pin_code", F.lit("")))
+    template = c("template_match").cast("string")
+    out = [Check(f"{n}_matches_filename", "hard", number(n) == number(F.col(f"{n}_file").cast("string"))) for n in ("ac_no", "part_no")]
+    out += [
+        Check("gender_sum_matches_total", "hard", c("electors_male") + c("electors_female") + c("electors_third_gender") == total),
+        Check("serial_order", "hard", end >= start),
+        Check("serial_span_covers_total", "soft", end - start + 1 >= total, total.isNotNull() & start.isNotNull() & end.isNotNull()),
+        Check("pin_code_plausible", "soft", pin.rlike("^7[89][0-9]{4}$")),
+        Check("ac_no_in_range", "soft", number("ac_no").between(1, 126)),
+        Check("part_no_within_ac", "soft", number("part_no").between(1, context["parts_per_ac"]), context["parts_per_ac"].isNotNull() & number("part_no").isNotNull()),
+    ]
+    out += [Check(f"{n}_matches_corpus", "soft", c(n) == context[n], context[n].isNotNull()) for n in ("qualifying_date", "publication_date", "revision_year")]
+    out.append(Check("district_matches_ac_mode", "soft", c("district") == context["district"], context["district"].isNotNull()))
+    out += [Check(f"{n}_present", "soft", ~blank(n)) for n in ("ps_name", "district", "ps_address")]
+    out.append(Check("template_match", "soft", template.isin("true", "True", "")))
+    out.append(Check("confidence_not_low", "soft", F.upper(F.coalesce("extraction_confidence", F.lit(""))) != "LOW"))
+    return out
+
+
+#: Soft checks whose failure sends a record to review all the same.
+REVIEWED = ("template_match", "confidence_not_low")

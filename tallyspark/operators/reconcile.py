@@ -92,3 +92,44 @@ def not_unique(df: DataFrame, cols: Sequence[str], invariant: str) -> DataFrame:
 def shared_across(df: DataFrame, value: str, owner: str, invariant: str) -> DataFrame:
     """(invariant, key) for each value that more than one owner has."""
     return df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count_distinct(owner).alias("n")).filter("n > 1").select(F.lit(invariant).alias("invariant"), F.col(value).cast("string").alias("key"))
+
+
+def outside(df: DataFrame, column: str, domain: Sequence, invariant: str) -> DataFrame:
+    """(invariant, key) for each value that isn't in a domain."""
+    return df.select(column).distinct().filter(~F.coalesce(F.col(column).isin(*domain), F.lit(False))).select(F.lit(invariant).alias("invariant"), F.coalesce(F.col(column).cast("string"), F.lit("null")).alias("key"))
+
+
+def mixed_within(df: DataFrame, group: Sequence[str], column: str, invariant: str) -> DataFrame:
+    """(invariant, key) for each group with more than one value."""
+    return df.groupBy(*group).agg(F.count_distinct(column).alias("n")).filter("n > 1").select(F.lit(invariant).alias("invariant"), F.concat_ws("/", *group).alias("key"))
+
+
+def not_one_to_one(df: DataFrame, one: str, other: str, invariant: str) -> DataFrame:
+    """(invariant, key) for each value of either column that goes with several of the other."""
+    pairs = df.select(F.col(one).cast("string").alias("a"), F.col(other).cast("string").alias("b")).distinct()
+    both = pairs.groupBy("a").count().select(F.col("a").alias("key"), "count").unionByName(pairs.groupBy("b").count().select(F.col("b").alias("key"), "count"))
+    return both.filter("count > 1").select(F.lit(invariant).alias("invariant"), "key")
+
+
+def broken_sequence(df: DataFrame, group: Sequence[str], number: str, invariant: str) -> DataFrame:
+    """(invariant, key) for each group whose numbers aren't 1 to n, each once."""
+    out = df.groupBy(*group).agg(F.min(number).alias("lo"), F.max(number).alias("hi"), F.count("*").alias("n"), F.count_distinct(number).alias("d"))
+    return out.filter("lo <> 1 OR hi <> n OR d <> n").select(F.lit(invariant).alias("invariant"), F.concat_ws("/", *group).alias("key"))
+
+
+def below_floor(df: DataFrame, group: Sequence[str], column: str, floor: float, invariant: str) -> DataFrame:
+    """(invariant, key) for each group in which fewer rows than the floor have a value."""
+    rate = F.avg(F.when(F.coalesce(F.col(column).cast("string"), F.lit("")) != "", 1.0).otherwise(0.0))
+    return df.groupBy(*group).agg(rate.alias("r")).filter(F.col("r") < floor).select(F.lit(invariant).alias("invariant"), F.concat_ws("/", *group).alias("key"))
+
+
+def counts_differ(rows: DataFrame, entries: DataFrame, key: Sequence[str], claimed: str, invariant: str) -> DataFrame:
+    """(invariant, key) for each entry whose claimed number of rows isn't the number there is; no rows are 0."""
+    have = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    out = entries.join(have, list(key), "full").filter(~F.coalesce("n", F.lit(0)).eqNullSafe(F.col(claimed)))
+    return out.select(F.lit(invariant).alias("invariant"), F.concat_ws("/", *key).alias("key"))
+
+
+def not_covered(left: DataFrame, right: DataFrame, key: Sequence[str], invariant: str) -> DataFrame:
+    """(invariant, key) for each key that only one side has."""
+    return set_difference(left.select(*key).distinct(), right.select(*key).distinct()).select(F.lit(invariant).alias("invariant"), F.concat_ws("/", *key).alias("key"))

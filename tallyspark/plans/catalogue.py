@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import canonical, checks, datasets, lookups, measure, parts, reconcile, records, relational, reports, rollups, sequence, spatial, text  # noqa: F401
+from tallyspark.plans import canonical, checks, datasets, lookups, measure, parts, reconcile, records, relational, release, reports, rollups, sequence, spatial, text  # noqa: F401
 from tallyspark.plans.registry import QUERIES, SQL  # noqa: F401
