@@ -1,13 +1,15 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-A lexical transducer turns the words of a clause into classes: insult, threat, target, negation, report, other. Small
-transducers for negation, reported speech and targets are composed with it into one table; reading a clause through
-the table gives its matched patterns (an insult aimed at a target, a negated one, one in reported speech, ...), each
-with a weight. A document's score is logistic in the summed weights of its clauses by pattern.
-
-Target, negation, report and threat words are fixed lists. Insult stems are learned from labels: stems of words that
-lean to toxic documents in many contexts, taken greedily by how much they explain. The stems and the pattern weights are
-fitted on at most MAX_ROWS labelled rows; that bound is a parameter.
+A lexicon turns the words of a clause into symbols. Five small transducers read these and are composed into one table:
+threats (a verb of violence, stronger within reach of an intention), insults (stronger within reach of an intensifier or
+another insult), negation, reported speech, and targets before a match. A sixth, for targets that follow, reads the
+result from its end, so that a match is aimed whichever side its target stands on. What a clause's path through them
+writes are its patterns (an insult aimed at a target, a negated one, one in reported speech, ...), each with the path's
+weight. A document's score is logistic in the summed weights of its clauses by pattern.
+
+Target, negation, report, intention and threat words are fixed lists. Insult stems are learned from labels: stems of words
+that lean to toxic documents in many contexts, taken greedily by how much they explain. The stems and the pattern weights
+are fitted on at most MAX_ROWS labelled rows; that bound is a parameter.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ TARGET = frozenset("you your u he she they him her them people du dich dir ihr s
 NEGATION = frozenset("not no never isn't aren't don't nicht kein keine nie ne pas jamais nunca jamás".split())
 REPORT = frozenset("said says told wrote claimed called quoted sagte sagt schrieb dit disait écrit dijo dice escribió".split())
 THREAT = frozenset("kill hurt destroy punch murder shoot töten umbringen tuer frapper matar golpear".split())
+INTENT = frozenset("will shall gonna going want werde will wirst vais va veux voy va quiero".split())
+INTENSE = frozenset("such very so fucking total totally sehr total so très si vraiment muy tan".split())
 CLAUSE = re.compile(r"[.!?;:\n\r…]+")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”«»]")
 #: What a clause can match, in the order of the pattern weights.
@@ -63,29 +67,72 @@ def compose(first: Transducer, second: Transducer, alphabet: list[str]) -> Trans
     return Transducer((first.start, second.start), step)
 
 
-def grammar(scope: int = 3) -> Transducer:
-    """Negation (within `scope` words), reported speech (from a report word or a quote on) and targets, composed."""
-    classes = ["insult", "threat", "target", "negation", "report", "quote", "other"]
-    negation = {}
+#: What the lexicon writes.
+SYMBOLS = ("insult", "threat", "target", "negation", "report", "quote", "intent", "intense", "other")
+#: What a path weighs more: a threat that is meant, an insult that is laid on, a match that is aimed.
+MEANT, LAID_ON, AIMED = 1.5, 1.25, 1.25
+
+
+def within(scope: int, opens: tuple[str, ...], match: str, become: str, weight: float, swallow: bool = True) -> Transducer:
+    """Writes `become` for a match that comes within `scope` symbols of one that opens the reach; openers become 'other'."""
+    step = {}
+    for k in range(scope + 1):
+        for symbol in (*SYMBOLS, "insult negated", "threat negated"):
+            step[k, symbol] = max(0, k - 1), symbol, 1.0
+        for symbol in opens:
+            step[k, symbol] = scope, "other" if swallow else symbol, 1.0
+        if k:
+            step[k, match] = (scope if match in opens else k - 1), become, weight
+    return Transducer(0, step)
+
+
+def threats(scope: int = 3) -> Transducer:
+    return within(scope, ("intent",), "threat", "threat", MEANT)
+
+
+def insults(scope: int = 3) -> Transducer:
+    return within(scope, ("intense", "insult"), "insult", "insult", LAID_ON, swallow=False)
+
+
+def negations(scope: int = 3) -> Transducer:
+    """A negation word turns the next match within `scope` words into its negated form."""
+    step = {}
     for k in range(scope + 1):
-        negation[k, "negation"] = scope, "other", 1.0
-        for c in ("target", "report", "quote", "other"):
-            negation[k, c] = max(0, k - 1), c, 1.0
+        for symbol in SYMBOLS:
+            step[k, symbol] = max(0, k - 1), symbol, 1.0
+        step[k, "negation"] = scope, "other", 1.0
         for c in ("insult", "threat"):
-            negation[k, c] = 0, f"{c} negated" if k else c, 1.0
-    report = {}
-    for k, c in product((0, 1), ("insult", "threat", "insult negated", "threat negated")):
-        report[k, c] = k, f"{c.split()[0]} reported" if k else c, 1.0
+            step[k, c] = 0, f"{c} negated" if k else c, 1.0
+    return Transducer(0, step)
+
+
+def reports() -> Transducer:
+    """From a report word or a quote on, matches are reported; the next quote ends that."""
+    step = {}
     for k in (0, 1):
-        report[k, "report"] = 1, "other", 1.0
-        report[k, "quote"] = 1 - k, "other", 1.0
-    aim = {}
+        for c in ("insult", "threat", "insult negated", "threat negated"):
+            step[k, c] = k, f"{c.split()[0]} reported" if k else c, 1.0
+        step[k, "report"] = 1, "other", 1.0
+        step[k, "quote"] = 1 - k, "other", 1.0
+    return Transducer(0, step)
+
+
+def targets() -> Transducer:
+    """Once a target was read, a plain match is aimed."""
+    step = {}
     for k in (0, 1):
-        aim[k, "target"] = 1, "target", 1.0
+        step[k, "target"] = 1, "target", 1.0
         for c in ("insult", "threat"):
-            aim[k, c] = k, f"{c} at target" if k else c, 1.25 if k else 1.0
-    one = compose(Transducer(0, negation), Transducer(0, report), classes)
-    return compose(one, Transducer(0, aim), classes)
+            step[k, c] = k, f"{c} at target" if k else c, AIMED if k else 1.0
+    return Transducer(0, step)
+
+
+def grammar() -> tuple[Transducer, Transducer]:
+    """(the composed table that reads a clause from its start, the table that reads what it wrote from the end)."""
+    table = threats()
+    for t in (insults(), negations(), reports(), targets()):
+        table = compose(table, t, list(SYMBOLS))
+    return table, targets()
 
 
 class Lexicon:
@@ -100,7 +147,7 @@ class Lexicon:
             w = self.stems.get(word[:n])
             if w is not None and len(word) >= n:
                 return "insult", w
-        for c, words in (("threat", THREAT), ("target", TARGET), ("negation", NEGATION), ("report", REPORT)):
+        for c, words in (("threat", THREAT), ("target", TARGET), ("negation", NEGATION), ("report", REPORT), ("intent", INTENT), ("intense", INTENSE)):
             if word in words:
                 return c, 1.0
         return ("quote", 1.0) if not word[0].isalpha() else ("other", 1.0)
@@ -124,16 +171,20 @@ def _trigger(stems):
     return a
 
 
-def clause_matches(clause: str, lexicon: Lexicon, machine: Transducer) -> list[tuple[str, float]]:
-    """(pattern, weight) of a clause's matches; a target that follows still aims a match."""
-    state, out, aimed = machine.start, [], False
+def clause_matches(clause: str, lexicon: Lexicon, machines: tuple[Transducer, Transducer]) -> list[tuple[str, float]]:
+    """(pattern, weight) of a clause's matches: one pass from its start, one from its end over what the first wrote."""
+    ahead, back = machines
+    state, written = ahead.start, []
     for word in WORD.findall(clause):
-        c, w = lexicon.read(word)
-        state, name, v = machine.read(state, c)
-        if name in PATTERNS:
-            out.append((name, w * v))
-        aimed |= name == "target"
-    return [(f"{p} at target", w * 1.25) if aimed and p in ("insult", "threat") else (p, w) for p, w in out]
+        symbol, w = lexicon.read(word)
+        state, symbol, v = ahead.read(state, symbol)
+        written.append((symbol, w * v))
+    state, out = back.start, []
+    for symbol, w in reversed(written):
+        state, symbol, v = back.read(state, symbol)
+        if symbol in PATTERNS:
+            out.append((symbol, w * v))
+    return out[::-1]
 
 
 def vectors(texts: list[str | None], stems: dict[str, float]):
@@ -167,10 +218,10 @@ def _features(stems):
     return run
 
 
-def learn_stems(sample: DataFrame, shortest: int = 4, longest: int = 10, purity: float = 8.0) -> dict[str, float]:
+def learn_stems(sample: DataFrame, shortest: int = 4, longest: int = 10, purity: float = 8.0, surely: float = 3.0) -> dict[str, float]:
     """{stem: log-odds} from sample(doc_id, text, toxic).
 
-    A candidate stem leans to toxic documents and stands between many different pairs of neighbouring words there; words
+    A candidate stem leans to toxic documents (by odds of `purity`, and of `surely` at two standard errors below) and stands between many different pairs of neighbouring words there; words
     that only a group of copies shares have few such contexts. Of nested candidates the one is taken that explains most
     words, weighted by its log-odds; then the next for what is left.
     """
@@ -182,10 +233,12 @@ def learn_stems(sample: DataFrame, shortest: int = 4, longest: int = 10, purity:
     stems = F.expr(f"transform(sequence({shortest}, greatest({shortest}, least(length(w), {longest}))), k -> substring(w, 1, k))")
     listed = sample.select("doc_id", "toxic", F.explode(F.array_distinct(words)).alias("w")).filter(F.length("w") >= shortest)
     stem = listed.select("doc_id", "toxic", F.explode(stems).alias("stem")).distinct()
-    least = max(5, bad // 100)
     seen = stem.groupBy("stem").agg(F.count_if(F.col("toxic") == 1).alias("pos"), F.count_if(F.col("toxic") == 0).alias("neg"))
     odds = (F.col("pos") + 0.5) / bad / ((F.col("neg") + 0.5) / good)
-    seen = seen.filter((F.col("pos") >= least) & (odds >= purity)).select("stem", F.log(odds).alias("weight"))
+    # of many candidates some lean by chance or in a group of copies: a hundredth of the toxic sample must hold a stem
+    least = max(5, bad // 100)
+    sure = F.log(odds) - 2 * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
+    seen = seen.filter((F.col("pos") >= least) & (odds >= purity) & (sure >= F.log(F.lit(surely)))).select("stem", F.log(odds).alias("weight"))
 
     placed = sample.filter("toxic = 1").select("doc_id", words.alias("ws")).select("doc_id", "ws", F.posexplode("ws").alias("k", "w")).filter(F.length("w") >= shortest)
     around = F.concat_ws(" ", F.get("ws", F.col("k") - 1), F.lit("_"), F.get("ws", F.col("k") + 1))

@@ -283,6 +283,13 @@ def test_grammar():
     assert read("she said scum") == ["insult reported"]
     assert read("i will kill you") == ["threat at target"]
     assert read("nothing here") == []
+    assert read("scum that you are") == read("you scum") == ["insult at target"]
+    assert read('"scum" and scum') == ["insult reported", "insult"]
+    weigh = lambda s: [w for _, w in toxicity.clause_matches(s, lexicon, machine)]
+    assert weigh("kill it") == [1.0]
+    assert weigh("i will kill it") == [toxicity.MEANT]
+    assert weigh("such scum") == [5 * toxicity.LAID_ON]
+    assert weigh("you such scum") == [5 * toxicity.LAID_ON * toxicity.AIMED]
 
 
 def mixture(spark, n=4000):
