@@ -38,13 +38,20 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
 _written: list[str] = []
 
 
-def discard(spark: SparkSession, keep: int = 0) -> None:
-    """Delete what cut() wrote, but for the last `keep` tables. Only once no plan that reads them will run again."""
-    gone = _written[: len(_written) - keep]
-    for path in gone:
+def mark() -> int:
+    """How many tables cut() has written so far; see discard()."""
+    return len(_written)
+
+
+def discard(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Delete what cut() wrote after mark() gave `since`, but for the last `keep` tables. Only where no plan that reads them
+    will run again."""
+    end = len(_written) - keep
+    for path in _written[since:end]:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    del _written[: len(gone)]
+    if end > since:
+        del _written[since:end]
 
 
 def lean_batches(spark: SparkSession, most: int = 8 << 20) -> None:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from tallyspark.llm import chat_format, chroma, exact_dedup, language_id, merge_dropout, mixing, ngram_join, suffix_dedup, toxicity, warc_zip
+from tallyspark.llm.common import cut, discard, mark
 
 LONG = "word " * 60_000
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, keep_id string, w double, tokens string, run int, score string, weight string, label string"
@@ -151,3 +152,28 @@ def test_chroma(spark):
     assert members[100] == members[1] == members[None] == 1
     assert (members[2], members[3]) == (2, 3)
     assert chroma.search(media.limit(0), "id", "v", chroma.melody_pcm).count() == 0
+
+
+def test_pipeline_stages(spark, odd, empty):
+    """Nulls, empty and long texts, repeated rows and clashing columns through all stages; an empty table stays empty."""
+    import corpus_pipeline
+
+    for docs in (odd, empty):
+        rows = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            rows = cut(stage(spark, rows, ""), name)
+            assert rows.columns == docs.columns
+        out = corpus_pipeline.STAGES[-1][1](spark, rows, "").collect()
+        assert len(out) == rows.count() <= docs.count()
+    assert len(out) == 0
+
+
+def test_discard_deletes_what_was_written_since(spark, tmp_path):
+    df = spark.range(3)
+    first = cut(df, "a")
+    since = mark()
+    second, third = cut(df, "b"), cut(df, "c")
+    discard(spark, since, keep=1)
+    assert first.count() == third.count() == 3
+    with pytest.raises(Exception, match="(?i)not.*exist|no such"):
+        second.count()
