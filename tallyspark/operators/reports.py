@@ -12,11 +12,13 @@ from tallyspark.operators.modes import filled
 
 def flag_rates(df: DataFrame, flags: Column, watched: Sequence[str]) -> DataFrame:
     """flag, n, rate for every flag seen and every watched one; the rate is over all rows, at least one."""
-    total = df.count()
-    seen = df.select(F.explode(F.filter(flags, lambda x: x != "")).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
+    # each row counts once under '', which is no flag, so that one pass has the total too
+    counts = df.select(F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.array(F.lit("")), flags))).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
+    total = counts.agg(F.greatest(F.coalesce(F.sum(F.when(F.col("flag") == "", F.col("n"))), F.lit(0)), F.lit(1)).alias("total"))
     wanted = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, watched))).alias("flag"))
-    both = seen.join(wanted, "flag", "full")
-    return both.select("flag", F.coalesce("n", F.lit(0)).cast("long").alias("n"), (F.coalesce("n", F.lit(0)) / F.lit(max(1, total))).alias("rate"))
+    both = counts.filter("flag <> ''").join(wanted, "flag", "full").join(F.broadcast(total))
+    n = F.coalesce("n", F.lit(0)).cast("long")
+    return both.select("flag", n.alias("n"), (n / F.col("total")).alias("rate"))
 
 
 def shapes(df: DataFrame, value: str, short: int, k: int) -> DataFrame:

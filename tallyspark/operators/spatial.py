@@ -13,17 +13,21 @@ from pyspark.sql import functions as F
 def point_in_rect(points: DataFrame, rects: DataFrame, key: Sequence[str], x: str, y: str, order: str, point_id: str, cell: float | None = None) -> DataFrame:
     """points with the first rectangle (by `order`) of the same key that holds them: left <= x < right, top <= y < bottom.
 
-    Points in none are left out. With `cell`, key and a grid row both join, so that one crowded key spreads.
+    Points in none are left out, and points of equal key and place share their rectangle, so places are joined once. With
+    `cell`, key and a grid cell both join: a rectangle stands in each cell that it touches, a place in one. Of a place's
+    rectangles the first is a grouped minimum, which combines before it is shuffled.
     """
-    p, r, on = points, rects, list(key)
+    places, r, on = points.select(*key, x, y).distinct(), rects, list(key)
     if cell:
-        p = p.withColumn("_cell", F.floor(F.col(y) / cell))
-        r = r.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("top") / cell), F.floor((F.col("bottom")) / cell))))
-        on = [*on, "_cell"]
+        places = places.withColumns({"_cx": F.floor(F.col(x) / cell), "_cy": F.floor(F.col(y) / cell)})
+        for c, low, high in (("_cx", "left", "right"), ("_cy", "top", "bottom")):
+            r = r.withColumn(c, F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))))
+        on = [*on, "_cx", "_cy"]
     inside = (F.col(x) >= F.col("left")) & (F.col(x) < F.col("right")) & (F.col(y) >= F.col("top")) & (F.col(y) < F.col("bottom"))
-    hits = p.join(r, on).filter(inside)
-    w = W.partitionBy(point_id).orderBy(order)
-    return hits.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "_cell")
+    kept = [c for c in rects.columns if c not in key]
+    hits = places.join(r, on).filter(inside)
+    first = hits.groupBy(*key, x, y).agg(F.min(F.struct(order, *(c for c in kept if c != order))).alias("_r"))
+    return points.join(first, [*key, x, y]).select(*points.columns, *(F.col(f"_r.{c}").alias(c) for c in kept))
 
 
 def band_overlap(words: DataFrame, bands: DataFrame, key: Sequence[str], least: float = 0.5) -> DataFrame:
@@ -58,22 +62,36 @@ def on_every_page(rules: DataFrame, by: Sequence[str], page: str, value: str, to
 
 def group_lines(words: DataFrame, by: Sequence[str], least: float = 0.7) -> DataFrame:
     """by..., line, text, top, bottom: words into lines by top; a word joins the current line while its overlap with the
-    line's running extent is `least` of the shorter. The extent depends on earlier words, so each group is folded."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["top", "left", "text"], kind="stable")
-        lines: list[list] = []
-        for w in pdf.itertuples():
-            if lines:
-                top, bottom, members = lines[-1]
-                shared = min(bottom, w.bottom) - max(top, w.top)
-                if shared >= least * max(1e-9, min(bottom - top, w.bottom - w.top)):
-                    lines[-1] = [min(top, w.top), max(bottom, w.bottom), [*members, w]]
-                    continue
-            lines.append([w.top, w.bottom, [w]])
-        keys = [pdf[c].iloc[0] for c in by]
-        rows = [(*keys, k, " ".join(str(m.text) for m in sorted(ms, key=lambda m: (m.left, m.top))), float(t), float(b)) for k, (t, b, ms) in enumerate(lines)]
-        return pd.DataFrame(rows, columns=[*by, "line", "text", "top", "bottom"])
+    line's running extent is `least` of the shorter.
+
+    The extent depends on earlier words, so a group's words are folded in order as they stream by: one line is held at a
+    time, however many words its group has.
+    """
+    names = [*by, "line", "text", "top", "bottom"]
+
+    def fold(batches):
+        group, number, line = None, 0, None
+
+        def close():
+            top, bottom, members = line
+            return (*group, number, " ".join(str(t) for _, _, t in sorted(members, key=lambda m: m[:2])), float(top), float(bottom))
+
+        for pdf in batches:
+            rows = []
+            for *keys, top, left, text, bottom in pdf[[*by, "top", "left", "text", "bottom"]].itertuples(index=False, name=None):
+                if line is not None and tuple(keys) == group:
+                    shared = min(line[1], bottom) - max(line[0], top)
+                    if shared >= least * max(1e-9, min(line[1] - line[0], bottom - top)):
+                        line = (min(line[0], top), max(line[1], bottom), [*line[2], (left, top, text)])
+                        continue
+                if line is not None:
+                    rows.append(close())
+                number = number + 1 if tuple(keys) == group else 0
+                group, line = tuple(keys), (top, bottom, [(left, top, text)])
+            yield pd.DataFrame(rows, columns=names)
+        if line is not None:
+            yield pd.DataFrame([close()], columns=names)
 
     kinds = {f.name: f.dataType.simpleString() for f in words.schema}
-    return words.groupBy(*by).applyInPandas(fold, ", ".join(f"{c} {kinds[c]}" for c in by) + ", line long, text string, top double, bottom double")
+    rows = words.select(*by, "top", "left", "text", "bottom").repartition(*by).sortWithinPartitions(*by, "top", "left", "text")
+    return rows.mapInPandas(fold, ", ".join(f"{c} {kinds[c]}" for c in by) + ", line long, text string, top double, bottom double")

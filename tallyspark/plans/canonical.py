@@ -35,15 +35,15 @@ def contested_constants(spark, d):
     return canonical.dominant(canonical.clusters(_noisy(spark, d), "field", "p_brand", "value"), ["type"])
 
 
-@query("""WITH f AS (SELECT lang, unnest(['source', 'lead']) AS field, unnest([source, substr(text, 1, 3)]) AS native FROM documents), g AS (SELECT field, native, lang, count(*) AS n FROM f WHERE trim(native) <> '' GROUP BY ALL)
+@query("""WITH f AS (SELECT lang, unnest(['source', 'lead']) AS field, unnest([source, regexp_extract(text, '[^ \t\r\n]+', 0)]) AS native FROM documents), g AS (SELECT field, native, lang, count(*) AS n FROM f WHERE trim(native) <> '' GROUP BY ALL)
  SELECT field, native, sum(n)::BIGINT AS frequency, first(lang ORDER BY n DESC, lang) AS lang FROM g GROUP BY ALL""")
 def vocabulary(spark, d):
-    return canonical.vocabulary(table(spark, d, "documents").withColumn("lead", F.substring("text", 1, 3)), ["source", "lead"], "lang", "en")
+    return canonical.vocabulary(table(spark, d, "documents").withColumn("lead", F.regexp_extract("text", "[^ \\t\\r\\n]+", 0)), ["source", "lead"], "lang", "en")
 
 
-@query("""WITH f AS (SELECT unnest(['source', 'lead']) AS field, unnest([source, substr(text, 1, 3)]) AS native FROM documents) SELECT field, count(DISTINCT native) AS values, count(*) AS rows FROM f WHERE trim(native) <> '' GROUP BY 1""")
+@query("""WITH f AS (SELECT unnest(['source', 'lead']) AS field, unnest([source, regexp_extract(text, '[^ \t\r\n]+', 0)]) AS native FROM documents) SELECT field, count(DISTINCT native) AS values, count(*) AS rows FROM f WHERE trim(native) <> '' GROUP BY 1""")
 def vocabulary_summary(spark, d):
-    v = canonical.vocabulary(table(spark, d, "documents").withColumn("lead", F.substring("text", 1, 3)), ["source", "lead"], "lang", "en")
+    v = canonical.vocabulary(table(spark, d, "documents").withColumn("lead", F.regexp_extract("text", "[^ \\t\\r\\n]+", 0)), ["source", "lead"], "lang", "en")
     return v.groupBy("field").agg(F.count("*").alias("values"), F.sum("frequency").alias("rows"))
 
 

@@ -8,14 +8,14 @@ from tallyspark.operators import spatial as P
 from tallyspark.plans.registry import query
 from tallyspark.sources.tables import table
 
-_POINTS = "pt AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pid, l_suppkey % 10 AS img, l_quantity AS x, l_discount * 500 AS y FROM lineitem WHERE l_orderkey % 3 = 0)"
+_POINTS = "pt AS (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pid, l_suppkey % 10 AS img, l_quantity AS x, l_discount * 500 AS y FROM lineitem)"
 _RECTS = "rc AS (SELECT p_partkey AS ord, p_partkey % 10 AS img, (p_size % 40)::DOUBLE AS \"left\", (p_partkey % 37)::DOUBLE AS top, (p_size % 40 + 6)::DOUBLE AS \"right\", (p_partkey % 37 + 5)::DOUBLE AS bottom FROM part)"
 
 
 def _points(spark, d):
     c = F.col
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    return table(spark, d, "lineitem").filter("l_orderkey % 3 = 0").select(F.struct(*keys).alias("pid"), (c("l_suppkey") % 10).alias("img"), c("l_quantity").alias("x"), (c("l_discount") * 500).alias("y"))
+    return table(spark, d, "lineitem").select(F.struct(*keys).alias("pid"), (c("l_suppkey") % 10).alias("img"), c("l_quantity").alias("x"), (c("l_discount") * 500).alias("y"))
 
 
 def _rects(spark, d):

@@ -83,10 +83,10 @@ def plausible_serials(spark, d):
     return table(spark, d, "events").select("event_id", T.plausible_serial(F.regexp_extract("props", '"k": *([0-9]+)', 1), 50).alias("serial"))
 
 
-@query("""WITH r AS (SELECT conv_id, turn, role, list_filter([substr(text, 1, 12), CASE WHEN turn % 2 = 0 THEN substr(text, 1, 12) ELSE substr(text, 1, 9) END, ''], lambda x: x <> '') AS f FROM conversations)
+@query("""WITH r AS (SELECT conv_id, turn, role, list_filter([text, CASE WHEN turn % 2 = 0 THEN text ELSE replace(text, 'e', '') END, ''], lambda x: x <> '') AS f FROM conversations)
  SELECT conv_id, turn, role, list_reduce(list_concat([''], f), lambda a, x: CASE WHEN length(x) > length(a) THEN x ELSE a END) AS value, len(list_distinct(f)) <= 1 AS agreed FROM r""")
 def reading_consensus(spark, d):
-    a, b = F.substring("text", 1, 12), F.when(F.col("turn") % 2 == 0, F.substring("text", 1, 12)).otherwise(F.substring("text", 1, 9))
+    a, b = F.col("text"), F.when(F.col("turn") % 2 == 0, F.col("text")).otherwise(F.replace("text", F.lit("e"), F.lit("")))
     return table(spark, d, "conversations").select("conv_id", "turn", "role", T.longest_reading(a, b, F.lit("")).alias("x")).select("conv_id", "turn", "role", "x.*")
 
 
