@@ -27,7 +27,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut, id_filter, lean_batches
+from tallyspark.llm.common import cut, lean_batches
 from tallyspark.llm.kernels import fields, joined, mix, pack, pack_sorted, powers, prefix_hash, range_hash, release, spans, unpack, unpack_sorted
 
 WIDTH = 100
@@ -353,6 +353,7 @@ def _apply(width: int, gram: int, with_text: bool):
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types, strict=True)][: 6 if with_text else 5], names=list(names[: 6 if with_text else 5]))
+        release()
 
     return run
 
@@ -376,9 +377,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = cut(found, "anchors")
     border = found.filter("kind = 1").select("doc_id", "pos", "anchor", "crowd")
 
-    holds_border = id_filter(border, "doc_id")
     asked = border.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "pos", "crowd")).alias("asked"))
-    windows = docs.filter(holds_border("doc_id")).join(asked, "doc_id")
+    windows = docs.join(asked, "doc_id")
     windows = cut(windows.mapInArrow(_windows(width, gram, crowd), WINDOWS), "windows")
     groups = max(64, windows.count() // GROUP)
     matched = cut(windows.groupBy(F.pmod(F.xxhash64("anchor", "lot"), F.lit(groups)).alias("block")).applyInArrow(_match(width, crowd), MATCHED), "matched")
@@ -392,12 +392,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     whole = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_list("body").alias("whole"))
     gone = cut(whole.join(single, "doc_id", "full"), "gone")
-    touched = id_filter(gone, "doc_id")
     schema = RESULT + (", kept_text string" if with_text else "")
-    dirty = docs.filter(touched("doc_id")).join(gone, "doc_id", "left").mapInArrow(_apply(width, gram, with_text), schema)
-    text = F.coalesce("text", F.lit(""))
-    clean = given.filter(F.col("doc_id").isNull() | ~touched("doc_id")).select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"), *([text.alias("kept_text")] if with_text else []))
-    return dirty.unionByName(clean)
+    return given.join(gone, "doc_id", "left").select("doc_id", "text", "whole", "a", "b").mapInArrow(_apply(width, gram, with_text), schema)
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
