@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.fuzzy import ratio
+from tallyspark.functions.fuzzy import seq_ratio
 from tallyspark.functions.text import digit_signature
 
 
@@ -16,24 +17,32 @@ def clusters(df: DataFrame, field: str, scope: str, value: str, threshold: float
     """field, scope, variant, canonical, n: values by count, each to the first cluster whose head it resembles.
 
     Only values with the same digits can merge, so the digits join field and scope as a block; within a block values go
-    by falling count, then by value; the similarity is taken of (new value, head), in that order.
+    by falling count, then by value; the similarity is taken of (new value, head), in that order. Twice the shorter length
+    over both bounds it from above, so only values of near lengths are paired. Pairs are scored wherever they lie; the fold
+    that depends on order sees the pairs that pass, and a value without one is a cluster's head.
     """
     counts = df.filter(F.coalesce(F.trim(F.col(value)), F.lit("")) != "").groupBy(F.col(field).alias("field"), F.col(scope).cast("string").alias("scope"), F.col(value).alias("variant")).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("digits", digit_signature("variant"))
+    size = F.length("variant")
+    counts = counts.withColumns({"digits": digit_signature("variant"), "band": F.floor(F.log(size) / math.log((2 - threshold) / threshold))})
+    block = ["field", "scope", "digits"]
+    heads = counts.select(*block, F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"), F.col("variant").alias("head"), F.col("n").alias("head_n"))
+    long, short = F.greatest(size, F.length("head")), F.least(size, F.length("head"))
+    earlier = (F.col("head_n") > F.col("n")) | ((F.col("head_n") == F.col("n")) & (F.col("head") < F.col("variant")))
+    pairs = counts.join(heads, [*block, "band"]).filter(earlier & (2 * short >= threshold * (long + short))).select(*block, "variant", "n", "head", "head_n")
+    alike = pairs.withColumn("score", seq_ratio("variant", "head")).filter(F.col("score") >= threshold)
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "variant"], ascending=[False, True], kind="stable")
-        heads: list[str] = []
-        out = []
-        for v in pdf["variant"]:
-            # twice the shorter length over both bounds the ratio from above
-            head = next((h for h in heads if 2 * min(len(h), len(v)) >= threshold * (len(h) + len(v)) and ratio(v, h) >= threshold), None)
-            if head is None:
-                heads.append(v)
-            out.append(head or v)
-        return pdf.assign(canonical=out)[["field", "scope", "variant", "canonical", "n"]]
-
-    return counts.groupBy("field", "scope", "digits").applyInPandas(fold, "field string, scope string, variant string, canonical string, n long")
+        pdf = pdf.sort_values(["n", "variant", "head_n", "head"], ascending=[False, True, False, True], kind="stable")
+        joined: dict[str, str] = {}
+        for v, h in zip(pdf["variant"], pdf["head"], strict=True):
+            if v not in joined and h not in joined:
+                joined[v] = h
+        first = pdf[block].iloc[0]
+        return pd.DataFrame({**{c: first[c] for c in block[:2]}, "variant": list(joined), "canonical": list(joined.values())}, columns=["field", "scope", "variant", "canonical"])
+
+    found = alike.groupBy(*block).applyInPandas(fold, "field string, scope string, variant string, canonical string")
+    rows = counts.join(found, ["field", "scope", "variant"], "left")
+    return rows.select("field", "scope", "variant", F.coalesce("canonical", "variant").alias("canonical"), "n")
 
 
 def dominant(found: DataFrame, constant_fields: Sequence[str], margin: float = 2.0) -> DataFrame:
