@@ -225,3 +225,43 @@ def balancing(numbers: Column, width: int = 3, least: int = 20) -> Column:
     zero = F.lit(0).cast("bigint")
     good = F.filter(whole, lambda r: (F.aggregate(F.slice(r, 1, width - 1), zero, lambda a, x: a + x) == F.get(r, F.lit(width - 1))) & (F.get(r, F.lit(width - 1)) >= least))
     return F.get(good, F.size(good) - 1)
+
+
+def fold_ra(c: Column | str) -> Column:
+    """One form for both letters ra, and no white space: what two readings are compared by."""
+    return F.regexp_replace(F.translate(_text(c), "র", "ৰ"), r"\s+", "")
+
+
+def has_native_digit(c: Column | str) -> Column:
+    return _text(c).rlike(f"[{NATIVE_DIGITS}]")
+
+
+def mapped(c: Column | str, names: dict[str, str], rest: str = "") -> Column:
+    """The name that a profile gives a cleaned, lower-cased value, `rest` for others."""
+    known = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+    return F.coalesce(known[F.lower(clean_text(c))], F.lit(rest))
+
+
+def section_or_main(c: Column | str, default: str = "main") -> Column:
+    """A section's name, the default where it is null or blank."""
+    return F.coalesce(F.nullif(F.trim(_text(c)), F.lit("")), F.lit(default))
+
+
+def comparable(field: Column, c: Column | str) -> Column:
+    """A field's value as readings of it are compared: house numbers without spaces, unknown as blank, others as they are."""
+    s = F.trim(_text(c))
+    s = F.when(F.lower(s) == "unknown", "").otherwise(s)
+    return F.when(field == "house", F.regexp_replace(s, r"\s+", "")).otherwise(s)
+
+
+def reading_fields(c: Column | str) -> Column:
+    """struct(name, age, house, sex) of a labelled answer, in HTML or with bars between its fields; what isn't there or
+    isn't plausible is null. The first name label that no relation stands before counts."""
+    s = F.regexp_replace(F.regexp_replace(_text(c), r"(?i)<br\s*/?>|</?(?:p|div|tr|li)>", "|"), r"<[^>]+>", "")
+    s = F.concat(F.lit("|"), F.translate(s, " ", " "))
+    part = lambda label: F.trim(F.regexp_extract(s, rf"\|\s*{label}\s*[:：]\s*([^|]*)", 1))
+    age = normalize_digits(F.regexp_extract(s, r"বয়স\s*[:：]?\s*([0-9০-৯]{1,3})", 1)).try_cast("int")
+    sex = F.upper(part("লিঙ্গ"))
+    code = F.when(sex.contains("FEMALE") | sex.contains("মহিলা"), "F").when(sex.contains("MALE") | sex.contains("পুৰুষ"), "M").when(sex.contains("THIRD") | sex.contains("তৃতীয়"), "T")
+    filled = lambda x: F.nullif(x, F.lit(""))
+    return F.struct(filled(part("নাম")).alias("name"), F.when(age.between(18, 120), age).alias("age"), filled(normalize_digits(part("ঘৰ নং"))).alias("house"), code.alias("sex"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,21 @@ def first_listed(c: Column | str, words: Sequence[tuple[str, str]]) -> Column:
 def minted(number: Column) -> Column:
     """Digits as letters: a name that can only come from its own number."""
     return F.translate(number.cast("string"), "0123456789", "ABCDEFGHIJ")
+
+
+def merged_lexicon(parts: Sequence[DataFrame]) -> DataFrame:
+    """(word, roman) of several lexicons; of entries for one word the later lexicon's wins."""
+    rows = parts[0].withColumn("_p", F.lit(0))
+    for k, p in enumerate(parts[1:], 1):
+        rows = rows.unionByName(p.withColumn("_p", F.lit(k)))
+    return rows.groupBy("word").agg(F.max(F.struct("_p", "roman")).alias("_m")).select("word", F.col("_m.roman").alias("roman"))
+
+
+def by_lexicon(df: DataFrame, key: Sequence[str], column: str, lexicon: DataFrame, script: str = "[ঀ-৿]+") -> DataFrame:
+    """key..., roman, known: the text with each run of the script that the lexicon has in its place, and how many it has."""
+    pieces = df.select(*key, F.split(F.coalesce(column, F.lit("")), script).alias("_g"), F.posexplode_outer(runs(column, script)).alias("_k", "word"))
+    found = pieces.join(lexicon, "word", "left")
+    after = F.coalesce(F.get("_g", F.col("_k") + 1), F.lit(""))
+    each = F.struct("_k", F.concat(F.coalesce("roman", "word", F.lit("")), after).alias("t"))
+    out = found.groupBy(*key, "_g").agg(F.array_sort(F.collect_list(each)).alias("_t"), F.count("roman").alias("known"))
+    return out.select(*key, F.concat(F.get("_g", F.lit(0)), F.array_join(F.transform("_t", lambda x: x["t"]), "")).alias("roman"), "known")

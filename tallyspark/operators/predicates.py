@@ -69,3 +69,15 @@ def marked(rows: DataFrame, marks: DataFrame, crop: str) -> DataFrame:
     parts = ["part", "page", "row", "col"]
     at = at.select(*(F.col(f"_k.{c}").cast(rows.schema[c].dataType).alias(c) for c in parts), *(c for c in marks.columns if c != crop))
     return rows.join(at, parts, "left")
+
+
+def with_dimension(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """df with a dimension's columns; a key that the dimension lacks fails the query instead of losing its row."""
+    out = df.join(dimension.withColumn("_known", F.lit(True)), key, "left")
+    ok = F.when(F.col("_known"), True).otherwise(F.raise_error(F.concat(F.lit("unknown code "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean"))
+    return out.filter(ok).drop("_known")
+
+
+def profile_problems(labels: Sequence[str], fields: Sequence[str], anchors: Sequence[str], least: int = 4) -> list[str]:
+    """What is wrong with a form's profile: label and field lists of unequal length, too few anchors."""
+    return [p for p, bad in (("labels and fields differ in length", len(labels) != len(fields)), ("too few anchors", len(anchors) < least)) if bad]

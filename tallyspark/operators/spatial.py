@@ -95,3 +95,13 @@ def group_lines(words: DataFrame, by: Sequence[str], least: float = 0.7) -> Data
     kinds = {f.name: f.dataType.simpleString() for f in words.schema}
     rows = words.select(*by, "top", "left", "text", "bottom").repartition(*by).sortWithinPartitions(*by, "top", "left", "text")
     return rows.mapInPandas(fold, ", ".join(f"{c} {kinds[c]}" for c in by) + ", line long, text string, top double, bottom double")
+
+
+def words_within(words: DataFrame, rects: DataFrame, key: Sequence[str], slack: float = 2.0, cell: float = 50.0) -> DataFrame:
+    """Every (word, rectangle) of a key where the word lies between the rectangle's sides, give or take the slack, and its
+    middle height within it; words meet only the rectangles of their grid row."""
+    middle = (F.col("top") + F.col("bottom")) / 2
+    w = words.withColumns({"_mid": middle, "_row": F.floor(middle / cell)})
+    r = rects.withColumn("_row", F.explode(F.sequence(F.floor(F.col("rect_top") / cell), F.floor(F.col("rect_bottom") / cell))))
+    inside = (F.col("left") >= F.col("rect_left") - slack) & (F.col("right") <= F.col("rect_right") + slack) & (F.col("_mid") >= F.col("rect_top")) & (F.col("_mid") < F.col("rect_bottom"))
+    return w.join(r, [*key, "_row"]).filter(inside).drop("_mid", "_row")

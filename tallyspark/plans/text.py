@@ -143,3 +143,11 @@ def name_similarity(spark, d):
     part = table(spark, d, "part")
     first = part.groupBy("p_brand").agg(F.min("p_name").alias("head"))
     return fuzzy.on_distinct(part.join(first, "p_brand").select("p_partkey", "p_name", "head"), ["p_name", "head"], "score", fuzzy.seq_ratio).select("p_partkey", F.round("score", 9).alias("score"))
+
+
+@query("""WITH q AS (SELECT l_orderkey, list(CAST(l_quantity AS BIGINT) ORDER BY l_quantity, l_partkey, l_suppkey) AS q FROM lineitem GROUP BY 1),
+ r AS (SELECT l_orderkey, list_filter(list_transform(range(1, greatest(len(q) - 2, 1)), lambda i: q[i:i + 3]), lambda x: len(x) = 4 AND x[1] + x[2] + x[3] = x[4] AND x[4] >= 20) AS g FROM q)
+ SELECT l_orderkey, array_to_string(g[len(g)], ',') AS run FROM r""")
+def balancing_fours(spark, d):
+    q = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_quantity", "l_partkey", "l_suppkey"))), lambda x: x["l_quantity"].cast("long")).alias("q"))
+    return q.select("l_orderkey", F.array_join(T.balancing(F.col("q"), 4), ",").alias("run"))

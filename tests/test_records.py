@@ -95,3 +95,25 @@ def test_every_key_has_its_rows(spark, name):
     got = getattr(plans, name)(spark, DATA)
     assert got.count() > 0
     assert got.columns
+
+
+def test_what_fails_a_query(spark):
+    from pyspark.errors import PySparkException
+
+    from tallyspark.operators import predicates as P
+    from tallyspark.sources import sinks as S
+
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(PySparkException, match="duplicate key 1"):
+        S.keyed(twice, ["k"]).collect()
+    assert S.keyed(twice.filter("v <> 'b'"), ["k"]).count() == 2
+    codes = spark.createDataFrame([(1, "x")], "k int, name string")
+    with pytest.raises(PySparkException, match="unknown code 2"):
+        P.with_dimension(twice, codes, "k").collect()
+    at = S.scratch(spark, "refused")
+    with pytest.raises(ValueError, match="refused"):
+        S.write_if_sound(codes, twice, at)
+    with pytest.raises(PySparkException):
+        spark.read.parquet(at).count()
+    assert P.profile_problems(["a"], ["a", "b"], ["x"]) == ["labels and fields differ in length", "too few anchors"]
+    assert P.ordered_columns(["a", "b"], ["b", "c"], without=["a"]) == ["b", "c"]
