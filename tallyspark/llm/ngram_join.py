@@ -207,13 +207,14 @@ def _stars(key, cls, n, r, large, small: int):
 
 @dataclass(frozen=True)
 class Plan:
-    """How an index is cut: key ranges, classes in a small bucket, keys in a flush, bits of a class sum. No result
-    depends on these."""
+    """How an index is cut: key ranges, classes in a small bucket, keys in a flush, bits of a class sum, and the rows of
+    open buckets that tiles settle at once, without longer combinations. No result depends on these."""
 
     ranges: int
     small: int = SMALL
     flush: int = FLUSH[0]
     wide: int = 64
+    tiled: int = 1 << 13
 
 
 def _index_scan(plan: Plan, sent, k: int = 2, near: IdFilter | None = None):
@@ -401,6 +402,11 @@ def between_components(docs: DataFrame, members: DataFrame, tile_tokens: int = 1
     return rows.select("region", *tile, "class_id", "label", "n", "r", "part", "buckets", "tokens").groupBy("region", "i", "k").applyInArrow(_tile, "a long, b long")
 
 
+def _stars_of(labels: DataFrame) -> DataFrame:
+    """What is known of the components, as edges; new links are added to these instead of to all links before."""
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
 def _indexed(docs: DataFrame, ids: DataFrame, sent, plan: Plan, k: int, near: IdFilter | None = None) -> tuple[DataFrame, DataFrame]:
     """(links, members of large buckets) of the index with combinations of k, over the documents that `near` lets through."""
     scan = docs.select("doc_id", "text").mapInArrow(_index_scan(plan, sent, k, near), f"part long, body binary, {FOUND}")
@@ -445,18 +451,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labels = components(links)
     crowd, kept = open_members(members, labels), None
     for k, most in LONGER:
-        if crowd.isEmpty():
+        if crowd.count() <= plan.tiled:
             break
         stays = crowd.filter(f"n <= {most} OR bucket % 2 = 0").select("bucket", "class_id", "n", "r")
         kept = stays if kept is None else kept.unionByName(stays)
         more, members = _indexed(docs, ids, sent, plan, k, id_filter(crowd, "class_id"))
-        links = links.unionByName(more)
-        labels = components(links)
+        labels = components(_stars_of(labels).unionByName(more))
         crowd = open_members(members, labels)
     if kept is not None:
         crowd = crowd.unionByName(open_members(kept, labels))
     if not crowd.isEmpty():
-        labels = components(links.unionByName(cut(between_components(docs, crowd), "links")))
+        labels = components(_stars_of(labels).unionByName(cut(between_components(docs, crowd), "links")))
 
     keyed = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(F.struct(*same).alias("k"), "class_id", "members", F.coalesce("label", "class_id").alias("component_id"))
     out = salted_join(described.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.struct(*same)).alias("k")), keyed, "k", "members", total, "doc_id")

@@ -102,7 +102,7 @@ def test_ngram_join_of_mosaics(spark, monkeypatch):
     rows = list(enumerate(" ".join(rnd.choice(passages) for _ in range(rnd.randint(1, 6))) for _ in range(260)))
     seen = []
     monkeypatch.setattr(ngram_join, "_indexed", lambda *a, f=ngram_join._indexed, **k: seen.append(a[4]) or f(*a, **k))
-    assert joined(spark, rows, small=2, flush=600) == brute_components(rows)
+    assert joined(spark, rows, small=2, flush=600, tiled=0) == brute_components(rows)
     assert seen[:2] == [2, 3]
 
 
