@@ -56,6 +56,8 @@ def test_clusters(spark, rows):
     assert {(r.scope, r.variant): (r.canonical, r.n) for r in got(spark, "canonical_clusters")} == want
     assert len({c for c, _ in want.values()}) < len(want)
     assert {r.p_partkey: r.canonical for r in got(spark, "canonical_applied")} == {p.p_partkey: want[p.p_brand, noisy(p)][0] for p in rows("part")}
+    moved = {(brand, v, head, n) for (brand, v), (head, n) in want.items() if head != v}
+    assert {(r.scope, r.variant, r.target, r.n) for r in got(spark, "substitutions")} == moved
     totals = collections.defaultdict(collections.Counter)
     for (brand, _), (head, n) in want.items():
         totals[brand][head] += n
