@@ -259,17 +259,35 @@ def _windows(width: int, gram: int, crowd: int):
     return run
 
 
-MATCHED = "doc_id long, a long, b long, string binary"
+MATCHED = "doc_id long, a long, b long, block long, strings binary"
 
 
-def _match(width: int, crowd: int):
+def _block_of(text: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of each row of bytes: equal rows have the same one."""
+    wide = np.zeros((len(text), -(-text.shape[1] // 8) * 8), np.uint8)
+    wide[:, : text.shape[1]] = text
+    h = np.zeros(len(text), np.uint64)
+    for column in wide.view(np.uint64).T:
+        h = mix(h ^ column)
+    return (h % np.uint64(blocks)).astype(np.int64)
+
+
+def _match(width: int, crowd: int, blocks: int):
     """The spans (a, b) of bytes in each window under strings that have an earlier match in the same lot of the same
-    anchor, with a null string. Of crowded anchors also each string that has none."""
+    anchor. Of crowded anchors also the strings that have none, packed by block."""
 
-    def found(doc, a, b, body=None):
+    def spans_of(doc, a, b):
         n = len(doc)
-        string = pa.nulls(n, pa.binary()) if body is None else pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * width, width, dtype=np.int32)), pa.py_buffer(body)])
-        return pa.table({"doc_id": pa.array(doc, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "string": string})
+        return pa.table({"doc_id": pa.array(doc, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "block": pa.nulls(n, pa.int64()), "strings": pa.nulls(n, pa.binary())})
+
+    def packed(doc, a, text):
+        block = _block_of(text, blocks)
+        order = np.argsort(block, kind="stable")
+        edge = np.flatnonzero(np.diff(block[order], prepend=-1))
+        lots = np.split(order, edge[1:])
+        body = [joined([pack(doc[x].view(np.uint64)), pack(a[x].astype(np.uint64)), pa.compress(text[x].tobytes(), codec="zstd", asbytes=True)]) for x in lots]
+        none = pa.nulls(len(lots), pa.int64())
+        return pa.table({"doc_id": none, "a": none, "b": none, "block": pa.array(block[order][edge], pa.int64()), "strings": pa.array(body, pa.binary())})
 
     def run(t):
         anchor, lot, many, doc, start = (t.column(c).to_numpy() for c in ("anchor", "lot", "crowd", "doc_id", "start"))
@@ -277,7 +295,7 @@ def _match(width: int, crowd: int):
         order = np.lexsort((start, doc, lot, anchor))
         same = np.ones(len(order), bool)
         same[1:] = (anchor[order[1:]] == anchor[order[:-1]]) & (lot[order[1:]] == lot[order[:-1]])
-        out = [found(doc[:0], start[:0], start[:0])]
+        out = [spans_of(doc[:0], start[:0], start[:0])]
         i = 0
         while i < len(order):
             j, size = i, 0
@@ -313,11 +331,11 @@ def _match(width: int, crowd: int):
             hit_p, hit_s, hit_d = p[hit], s[hit], d[hit]
             edge = np.flatnonzero(np.diff(hit_p, prepend=-2) != 1)
             last = np.flatnonzero(np.diff(hit_p, append=-2) != 1)
-            out.append(found(hit_d[edge], hit_s[edge], hit_s[last] + width))
+            out.append(spans_of(hit_d[edge], hit_s[edge], hit_s[last] + width))
             first = np.flatnonzero(~hit & (many[rows][row][fits] > crowd))
             if len(first):
                 text = np.lib.stride_tricks.sliding_window_view(data, width)[p[first]]
-                out.append(found(d[first], s[first], s[first] + width, (text - 1).astype(np.uint8).tobytes()))
+                out.append(packed(d[first], s[first], (text - 1).astype(np.uint8)))
             i = j
         del body
         release()
@@ -326,6 +344,25 @@ def _match(width: int, crowd: int):
     return run
 
 
+def _match_strings(width: int):
+    """_match() of a block's strings, each a window of its own."""
+    match = _match(width, 1 << 62, 1)
+
+    def run(t):
+        docs, starts, texts = [], [], []
+        for body in t.column("strings"):
+            d, a, text = fields(body.as_py())
+            docs.append(unpack(d).view(np.int64)), starts.append(unpack(a).astype(np.int64))
+            texts.append(pa.decompress(text, len(docs[-1]) * width, codec="zstd", asbytes=True))
+        doc, start = np.concatenate(docs), np.concatenate(starts)
+        at = pa.py_buffer(np.arange(0, (len(doc) + 1) * width, width, dtype=np.int32))
+        zero = pa.array(np.zeros(len(doc), np.int64))
+        body = pa.Array.from_buffers(pa.binary(), len(doc), [None, at, pa.py_buffer(b"".join(texts))])
+        return match(pa.table({"anchor": zero, "lot": zero, "crowd": zero, "doc_id": pa.array(doc), "start": pa.array(start), "body": body}))
+
+    return run
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -380,15 +417,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     asked = border.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "pos", "crowd")).alias("asked"))
     windows = docs.join(asked, "doc_id")
     windows = cut(windows.mapInArrow(_windows(width, gram, crowd), WINDOWS), "windows")
-    groups = max(64, windows.count() // GROUP)
-    matched = cut(windows.groupBy(F.pmod(F.xxhash64("anchor", "lot"), F.lit(groups)).alias("block")).applyInArrow(_match(width, crowd), MATCHED), "matched")
-    # what is first in its lot of a crowded anchor meets its equals of the other lots: a string is a window of its own
-    firsts = matched.filter("string IS NOT NULL")
-    blocks = max(1, firsts.count() // BLOCK)
-    zero = F.lit(0).cast("long")
-    strings = firsts.select(zero.alias("anchor"), zero.alias("lot"), zero.alias("crowd"), "doc_id", F.col("a").alias("start"), F.col("string").alias("body"))
-    later = strings.groupBy(F.pmod(F.xxhash64("body"), F.lit(blocks)).alias("block")).applyInArrow(_match(width, crowd), MATCHED)
-    single = matched.filter("string IS NULL").unionByName(later).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("s")).select("doc_id", "s.a", "s.b")
+    count, crowded = windows.agg(F.count("*"), F.count_if(F.col("crowd") > crowd)).first()
+    groups, blocks = max(64, count // GROUP), max(1, crowded * (width - gram + 1) // BLOCK)
+    matched = cut(windows.groupBy(F.pmod(F.xxhash64("anchor", "lot"), F.lit(groups)).alias("part")).applyInArrow(_match(width, crowd, blocks), MATCHED), "matched")
+    # what is first in its lot of a crowded anchor meets its equals of the other lots
+    later = matched.filter("block IS NOT NULL").select("block", "strings").groupBy("block").applyInArrow(_match_strings(width), MATCHED)
+    single = matched.filter("block IS NULL").unionByName(later).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("s")).select("doc_id", "s.a", "s.b")
 
     whole = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_list("body").alias("whole"))
     gone = cut(whole.join(single, "doc_id", "full"), "gone")
