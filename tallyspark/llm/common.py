@@ -154,6 +154,13 @@ def components(edges: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
+def take(docs: DataFrame, **cols: str) -> DataFrame:
+    """docs[cols] under new names, by the exact name: columns that differ in case alone, or repeat another's name, don't clash."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    return plain.select(*(F.col(f"c{names.index(old)}").alias(new) for new, old in cols.items()))
+
+
 def crc_fold(id_col: str, folds: int = 3) -> Column:
     """crc32 of the id as text, modulo folds; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)).cast("int")
