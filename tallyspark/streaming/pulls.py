@@ -52,6 +52,14 @@ def heartbeat_owners(beats: DataFrame, key: str, host: str, stamp: str, takeover
     return beats.groupBy(key).applyInPandasWithState(step, f"{key} {kinds[key]}, owner string, since double, takeovers long", "owner string, since double, last double, takeovers long", "update", GroupStateTimeout.NoTimeout)
 
 
+def landed(stream: DataFrame, at: str) -> DataFrame:
+    """What an append-mode stream gives for all input that is there now, through Parquet files below a path; run again, it
+    adds what has come since."""
+    q = stream.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/rows")
+
+
 def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """What a stream gives for all input that is there now; for tests and small results, as it lands in memory."""
     q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
