@@ -28,7 +28,7 @@ COUNTS = "lang string, source string, term string, n long, docs long"
 #: Bytes of text that are split at a time, and distinct partial counts that a task holds before it sends them on.
 SPLIT, HELD = 1 << 20, 1 << 18
 #: Cells (terms by sources) of a shard.
-CELLS = 1 << 20
+CELLS = 1 << 17
 MERGE = [("n", "sum"), ("docs", "sum")]
 
 

@@ -239,7 +239,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["class", "class2", "n_shingles"]
     classes = cut(named.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("members"), F.first("bands").alias("bands")), "classes")
-    members = classes.filter("bands IS NOT NULL").select(F.explode("bands").alias("bucket"), "class_id", F.col("n_shingles").alias("n")).distinct()
+    members = classes.filter("bands IS NOT NULL").select(F.explode("bands").alias("bucket"), "class_id", F.col("n_shingles").alias("n"))
     total = bands * max(1, classes.count())
     pairs, large = bucket_pairs(members, total, small)
     wanted = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id"))).unionByName(large.select("class_id")).distinct()
