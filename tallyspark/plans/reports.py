@@ -200,3 +200,18 @@ def recovered_pages(spark, d):
     boxes = grid.box_columns(grid.rule_clusters(_rules(spark, d).filter("page % 7 <> 0 OR at < 900"), ["part", "page"], "at"), ["part", "page"])
     pages = _rules(spark, d).select("part", "page").distinct()
     return grid.recovered_columns(boxes, pages, ["part"], "page", 2.0)
+
+
+@query("""SELECT s_suppkey // 11 AS part, s_suppkey AS page, CASE WHEN s_suppkey % 11 = 3 THEN 'left' WHEN s_suppkey % 11 = 5 AND s_suppkey % 2 = 0 THEN 'left' WHEN s_suppkey % 11 = 5 THEN 'promoted' WHEN s_suppkey % 11 = 7 THEN 'left' WHEN s_suppkey % 11 = 9 THEN 'inherited' ELSE 'own' END AS how FROM supplier""")
+def promoted_pages(spark, d):
+    """Pages of parts: full ones, closing tables, a last page that draws only the first column (and, on every second one,
+    no rows), info pages, and pages with a stray rule for a divider."""
+    k = F.col("s_suppkey")
+    jitter = (k % 3).cast("double")
+    rules = lambda *at: F.transform(F.array(*map(F.lit, at)), lambda x: x + jitter)
+    full = rules(39.0, 427.0, 541.0, 554.0, 567.0, 955.0, 1069.0, 1082.0, 1094.0, 1483.0, 1597.0, 1610.0)
+    stray = rules(39.0, 101.0, 541.0, 554.0, 567.0, 955.0, 1069.0, 1082.0, 1094.0, 1483.0, 1597.0, 1610.0)
+    v = F.when(k % 11 == 3, rules(300.0, 800.0, 1400.0)).when(k % 11 == 5, rules(39.0, 427.0, 554.0)).when(k % 11 == 9, stray).otherwise(full)
+    h = F.when((k % 11 == 5) & (k % 2 == 0), F.array(F.lit(100.0), F.lit(180.0))).otherwise(F.array(*map(F.lit, (500.0, 915.0, 940.0, 1355.0))))
+    pages = table(spark, d, "supplier").select(F.floor(k / 11).alias("part"), k.alias("page"), (k % 11).alias("m"), h.alias("h"), v.alias("v"))
+    return grid.recover_pages(pages, "part", "page", ~F.col("m").isin(3, 5, 7), F.col("m") == 7, "h", "v").select("part", "page", "how")
