@@ -74,10 +74,10 @@ def dataset_of_three(spark, d):
     sections = table(spark, d, "nation").select(F.col("n_regionkey").alias("k"), "n_nationkey", "n_name")
     at = S.scratch(spark, "dataset")
     S.write_dataset(parts, sections, ["k"], at)
-    nested = spark.read.schema("k long, r_name string, sections array<struct<n_nationkey: long, n_name: string>>").json(f"{at}/nested")
+    nested = spark.read.schema("k long, r_name string, sections array<struct<n_nationkey: long, n_name: string>>").json(f"{at}/output=nested")
     out = nested.agg(F.lit("nested").alias("output"), F.count("*").alias("rows"), F.sum(F.size("sections")).cast("long").alias("children"))
     for name in ("parts", "sections"):
-        rows = T.read_csv(spark, f"{at}/{name}", "k long, n_nationkey long" if name == "sections" else "k long, r_name string")
+        rows = T.read_csv(spark, f"{at}/output={name}", "k long, n_nationkey long" if name == "sections" else "k long, r_name string")
         out = out.unionByName(rows.filter("k IS NOT NULL").agg(F.lit(name).alias("output"), F.count("*").alias("rows"), F.lit(None).cast("long").alias("children")))
     return out
 

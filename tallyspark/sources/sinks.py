@@ -6,11 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
-from tallyspark.sources.tables import csv_text, nest
+from tallyspark.sources.tables import csv_value
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -68,11 +69,48 @@ def merged_entries(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.withColumn("entry", F.regexp_extract(F.col("_metadata.file_path"), "entry=([0-9]+)", 1).cast("long")).orderBy("entry")
 
 
-def write_dataset(parts: DataFrame, sections: DataFrame, key: Sequence[str], path: str) -> None:
-    """Three outputs of one dataset: parts with their sections nested (JSON lines), parts (CSV) and sections (CSV)."""
-    nest(parts, sections, key, [c for c in sections.columns if c not in key], "sections").write.option("ignoreNullFields", False).json(f"{path}/nested")
-    for name, df in (("parts", parts), ("sections", sections)):
-        csv_text(df, df.columns).write.option("header", True).option("emptyValue", "").csv(f"{path}/{name}")
+#: A byte order mark, which spreadsheet programs look for at the head of a CSV file.
+MARK = "\ufeff"
+
+
+def dataset_lines(parts: DataFrame, sections: DataFrame, key: Sequence[str], mark: bool = True) -> DataFrame:
+    """output, place, value: the lines of three outputs of one dataset, from one scan of either source.
+
+    nested: a JSON line for each part with its sections; parts and sections: CSV lines, with a head (place 0, after a byte
+    order mark if asked for) in each partition. A section without its part is a line of sections alone.
+    """
+    inner = [c for c in sections.columns if c not in key]
+    children = sections.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*inner))).alias("_children"))
+    empty = F.array().cast(children.schema["_children"].dataType)
+    both = parts.withColumn("_part", F.lit(True)).join(children, list(key), "full").withColumn("_children", F.coalesce("_children", empty))
+
+    def as_csv(kinds: dict[str, DataType], at) -> Column:
+        return F.to_csv(F.struct(*(csv_value(at(c), t).alias(c) for c, t in kinds.items())), {"emptyValue": ""})
+
+    types = {f.name: f.dataType for f in parts.schema.fields}
+    child = {f.name: f.dataType for f in sections.schema.fields}
+    line = lambda name, value: F.struct(F.lit(name).alias("output"), F.lit(1).alias("place"), value.alias("value"))
+    whole = F.to_json(F.struct(*parts.columns, F.col("_children").alias("sections")), {"ignoreNullFields": "false"})
+    own = F.when(F.col("_part"), F.array(line("nested", whole), line("parts", as_csv(types, F.col)))).otherwise(F.array().cast("array<struct<output:string,place:int,value:string>>"))
+    below = F.transform("_children", lambda s: line("sections", as_csv(child, lambda c: F.col(c) if c in key else s[c])))
+    lines = both.select(F.inline(F.concat(own, below)))
+    head = (MARK if mark else "")
+    heads = [("parts", 0, head + ",".join(parts.columns)), ("sections", 0, head + ",".join(sections.columns))]
+
+    def with_heads(batches):
+        columns = zip(*heads, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string()), strict=True)], names=["output", "place", "value"])
+        yield from batches
+
+    return lines.mapInArrow(with_heads, "output string, place int, value string")
+
+
+def write_dataset(parts: DataFrame, sections: DataFrame, key: Sequence[str], path: str, mark: bool = True) -> None:
+    """Three outputs of one dataset by one job: nested (JSON lines), parts and sections (CSV), each a folder output=name.
+
+    The rows carry the name of their output, and the sort that the writer needs for its folders puts heads first.
+    """
+    dataset_lines(parts, sections, key, mark).sortWithinPartitions("output", "place").select("output", "value").write.partitionBy("output").text(path)
 
 
 def write_shard(df: DataFrame, path: str, schema: str) -> None:

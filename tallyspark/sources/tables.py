@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
 import io
 import zipfile
 from collections.abc import Sequence
@@ -10,7 +9,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StructType, TimestampType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StructType, TimestampType
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -58,16 +57,16 @@ def jsonl(spark: SparkSession, path: str, schema: StructType | str) -> tuple[Dat
     return good, parsed.filter("r._corrupt IS NOT NULL").select(F.col("value").alias("line"))
 
 
-def csv_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """df as strings under the CSV convention: NA for null, true and false, columns in the order asked for."""
+def csv_value(x: Column, kind: DataType) -> Column:
+    """A value as the CSV convention writes it: NA for null, true and false."""
+    if isinstance(kind, BooleanType):
+        x = F.when(x, "true").when(~x, "false")
+    return F.coalesce(x.cast("string"), F.lit("NA"))
 
-    def one(c: str) -> Column:
-        x = F.col(c)
-        if isinstance(df.schema[c].dataType, BooleanType):
-            x = F.when(x, "true").when(~x, "false")
-        return F.coalesce(x.cast("string"), F.lit("NA")).alias(c)
 
-    return df.select(*(one(c) for c in columns))
+def csv_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """df as strings under the CSV convention, columns in the order asked for."""
+    return df.select(*(csv_value(F.col(c), df.schema[c].dataType).alias(c) for c in columns))
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -146,8 +145,3 @@ def json_schema(struct: StructType) -> dict:
 
     props = {f.name: {"anyOf": [one(f.dataType), {"type": "null"}]} if f.nullable and not isinstance(f.dataType, (StructType, ArrayType)) else one(f.dataType) for f in struct.fields}
     return {"type": "object", "properties": props, "required": [f.name for f in struct.fields], "additionalProperties": False}
-
-
-def packs_identically(raw: bytes) -> bool:
-    """Whether gzip at level 9 gives the same bytes back."""
-    return gzip.decompress(gzip.compress(raw, 9, mtime=0)) == raw
