@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyspark.functions.fuzzy import seq_ratio
+from tallyspark.functions.text import parse_crop_key, reading_fields
 
 
 def scoped_best(targets: DataFrame, candidates: DataFrame, scope: Sequence[str], accept: float = 0.85, margin: float = 0.05, review: float = 0.7, own: str | None = None) -> DataFrame:
@@ -62,6 +63,29 @@ def adopt(lookup: DataFrame, official: DataFrame, human: Sequence[str] = ("manua
     return rows.select("field", "native", "frequency", F.when(new, F.col("spelling")).otherwise(F.col("roman")).alias("roman"), F.when(new, "official").otherwise(F.col("source")).alias("source"), variant.alias("variant"), F.when(new, "official").otherwise(F.col("authority")).alias("authority"), "note")
 
 
+def needs_second_pass(age: Column, house: Column, sex: Column) -> Column:
+    """Whether a record is worth a second reading: its age is missing, or its house or sex is missing or blank."""
+    return age.isNull() | (F.coalesce(house.cast("string"), F.lit("")) == "") | (F.coalesce(sex.cast("string"), F.lit("")) == "")
+
+
+def readings_arm(readings: DataFrame, name: str, text: str, arm: str) -> DataFrame:
+    """arm, part, page, row, col, and the fields of each reading whose name is a crop's; others are left out.
+
+    All arms are read by the one parser, so that a comparison of arms measures the readers; of a crop that was read twice
+    the greater text counts. Blank house and sex are ''.
+    """
+    rows = readings.withColumn("_k", parse_crop_key(name)).filter(F.col("_k.part").isNotNull() & F.col("_k.band").isNull())
+    key = [F.col(f"_k.{c}").alias(c) for c in ("part", "page", "row", "col")]
+    once = rows.groupBy(*key).agg(F.max(F.coalesce(text, F.lit(""))).alias("_t")).withColumn("_f", reading_fields("_t"))
+    blank = lambda c: F.coalesce(f"_f.{c}", F.lit("")).alias(c)
+    return once.select(F.lit(arm).alias("arm"), "part", "page", "row", "col", blank("name"), F.col("_f.age").alias("age"), blank("house"), blank("sex"))
+
+
+def review_queue(lookup: DataFrame, order: Column | str) -> DataFrame:
+    """The rows without a spelling, the most frequent first; equals keep the order that they came in, by `order`."""
+    return lookup.filter(F.coalesce(F.trim("roman"), F.lit("")) == "").orderBy(F.desc("frequency"), order)
+
+
 def second_pass(first: DataFrame, second: DataFrame, key: Sequence[str]) -> DataFrame:
     """first with gaps in age, house and sex filled from the second reading, and age overruled where they differ.
 

@@ -32,10 +32,16 @@ def modal(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = (
     return counts.withColumn("share", F.col("n") / total).withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(*by, name, "n", "share")
 
 
-def upper_median(c: str) -> Column:
-    """sorted(x)[n // 2], an aggregate."""
-    x = F.array_sort(F.collect_list(c))
-    return F.get(x, F.floor(F.size(x) / 2).cast("int"))
+def upper_medians(df: DataFrame, by: Sequence[str], value: str, name: str = "upper_median") -> DataFrame:
+    """by..., n, and sorted(x)[n // 2] of each group's values that aren't null; groups without any are left out.
+
+    Equal values are counted first; what a group sorts is its distinct values, and none are gathered in an array.
+    """
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
+    g = W.partitionBy(*by)
+    ranked = counted.withColumns({"_upto": F.sum("_c").over(g.orderBy(value).rowsBetween(W.unboundedPreceding, 0)), "n": F.sum("_c").over(g)})
+    middle = F.floor(F.col("n") / 2)
+    return ranked.filter((F.col("_upto") > middle) & (F.col("_upto") - F.col("_c") <= middle)).select(*by, "n", F.col(value).alias(name))
 
 
 def tolerance_mode(df: DataFrame, value: str, by: Sequence[str], tolerance: float, order: str) -> DataFrame:

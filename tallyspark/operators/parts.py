@@ -20,6 +20,14 @@ def part_checks(rows: DataFrame, totals: DataFrame, closing: DataFrame, key: Seq
     return out.withColumns({"gap": F.col("extracted") - t, "matches": F.when(t.isNotNull(), F.col("extracted") == t)})
 
 
+def part_shares(checks: DataFrame, extracted: str, expected: str, male: str, female: str, expected_male: str, expected_female: str) -> DataFrame:
+    """checks with shortfall, male_share and expected_male_share: null where what they are taken of wasn't measured, or is 0."""
+    def part(a: str, b: str) -> Column:
+        return F.when(F.col(a) + F.col(b) != 0, F.col(a) / (F.col(a) + F.col(b)))
+
+    return checks.withColumns({"shortfall": F.col(extracted) - F.col(expected), "male_share": part(male, female), "expected_male_share": part(expected_male, expected_female)})
+
+
 def field_report(df: DataFrame, ratios: dict[str, Column], identity: str) -> DataFrame:
     """metric, value: the share of rows that meet each condition, and distinct over non-empty values of the identity."""
     known = F.coalesce(F.trim(F.col(identity).cast("string")), F.lit("")) != ""

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyspark.operators.modes import upper_medians
+
 
 def _micros(stamp: Column | str) -> Column:
     """Microseconds of a stamp with or without a zone."""
@@ -85,8 +87,7 @@ def restore_short(bands: DataFrame, by: Sequence[str], first: str = "first", las
     It never passes its neighbours' original ends; groups of fewer than `least` bands stay as they are.
     """
     height = F.col(last) - F.col(first)
-    sizes = bands.withColumn("_h", height).groupBy(*by).agg(F.array_sort(F.collect_list("_h")).alias("_a"))
-    sizes = sizes.select(*by, F.size("_a").alias("_n"), F.get("_a", F.floor(F.size("_a") / 2).cast("int")).alias("_m"))
+    sizes = upper_medians(bands.withColumn("_h", height), by, "_h", "_m").withColumnRenamed("n", "_n")
     w = W.partitionBy(*by).orderBy(first)
     rows = bands.join(sizes, list(by)).withColumns({"_p": F.coalesce(F.lag(last).over(w), F.lit(0)), "_q": F.lead(first).over(w)})
     pad = F.floor((F.col("_m") - height) / 2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -30,10 +30,24 @@ def point_in_rect(points: DataFrame, rects: DataFrame, key: Sequence[str], x: st
     return points.join(first, [*key, x, y]).select(*points.columns, *(F.col(f"_r.{c}").alias(c) for c in kept))
 
 
-def band_overlap(words: DataFrame, bands: DataFrame, key: Sequence[str], least: float = 0.5) -> DataFrame:
-    """Every (word, band) of a key whose vertical overlap is `least` of the word's height or more."""
+def cells(low: Column | str, high: Column | str, cell: float) -> Column:
+    """The numbers of the grid cells that a stretch touches; none for nulls or where its end lies before its start."""
+    a, b = (F.floor((F.col(x) if isinstance(x, str) else x) / cell) for x in (low, high))
+    return F.when(b >= a, F.sequence(a, b))
+
+
+def band_overlap(words: DataFrame, bands: DataFrame, key: Sequence[str], least: float = 0.5, cell: float = 32.0) -> DataFrame:
+    """Every (word, band) of a key whose vertical overlap is `least` (over 0) of the word's height or more.
+
+    Key and a grid cell of height join, so that a key with many words and bands is dealt over its cells and words meet
+    nearby bands alone; a pair that shares several cells counts in the first of them. No result depends on `cell`.
+    """
+    w = words.withColumn("_cell", F.explode(cells("top", "bottom", cell)))
+    b = bands.withColumn("_cell", F.explode(cells("band_top", "band_bottom", cell)))
     shared = F.greatest(F.lit(0), F.least("bottom", "band_bottom") - F.greatest("top", "band_top"))
-    return words.join(bands, list(key)).withColumn("overlap", shared / F.greatest(F.col("bottom") - F.col("top"), F.lit(1e-9))).filter(F.col("overlap") >= least)
+    once = F.col("_cell") == F.floor(F.greatest("top", "band_top") / cell)
+    near = w.join(b, [*key, "_cell"]).filter(once).withColumn("overlap", shared / F.greatest(F.col("bottom") - F.col("top"), F.lit(1e-9)))
+    return near.filter(F.col("overlap") >= least).drop("_cell")
 
 
 def neighbour_overlaps(rects: DataFrame, by: Sequence[str], order: Sequence[str], ahead: int = 3) -> DataFrame:
@@ -46,18 +60,45 @@ def neighbour_overlaps(rects: DataFrame, by: Sequence[str], order: Sequence[str]
 
 
 def nearest_within(expected: DataFrame, found: DataFrame, key: Sequence[str], want: str, have: str, tolerance: float) -> DataFrame:
-    """expected with the closest found value of its key, null where none lies within the tolerance; the smaller wins ties."""
-    near = expected.join(found, list(key)).withColumn("_d", F.abs(F.col(want) - F.col(have))).filter(F.col("_d") <= tolerance)
-    best = near.groupBy(*key, want).agg(F.min(F.struct("_d", have)).alias("_m")).select(*key, want, F.col(f"_m.{have}").alias(have))
+    """expected with the closest found value of its key, null where none lies within the tolerance; the smaller wins ties.
+
+    Found values stand in their bucket of one tolerance's width and its neighbours, expected ones in their own. Within a
+    bucket both are sorted together and each expected value looks at the found ones next to it: no value meets all others.
+    """
+    wide = tolerance or 1.0
+    at = lambda v: F.floor(F.col(v) / wide)
+    asked = expected.filter(F.col(want).isNotNull()).select(*key, F.col(want).alias("_v"), at(want).alias("_b")).distinct()
+    given = found.filter(F.col(have).isNotNull()).select(*key, F.col(have).alias("_h"), at(have).alias("_b")).distinct()
+    given = given.withColumn("_b", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
+    both = asked.withColumns({"_at": F.col("_v").cast("double"), "_h": F.lit(None).cast(found.schema[have].dataType)}).unionByName(given.withColumns({"_at": F.col("_h").cast("double"), "_v": F.lit(None).cast(expected.schema[want].dataType)}))
+    w = W.partitionBy(*key, "_b").orderBy("_at")
+    below, above = F.last("_h", ignorenulls=True).over(w.rangeBetween(W.unboundedPreceding, W.currentRow)), F.first("_h", ignorenulls=True).over(w.rangeBetween(W.currentRow, W.unboundedFollowing))
+    rows = both.withColumns({"_below": below, "_above": above}).filter(F.col("_v").isNotNull())
+    near = lambda c: F.when(F.abs(F.col("_v") - F.col(c)) <= tolerance, F.struct(F.abs(F.col("_v") - F.col(c)).alias("d"), F.col(c).alias("h")))
+    best = rows.withColumn("_m", F.least(near("_below"), near("_above"))).filter(F.col("_m").isNotNull()).select(*key, F.col("_v").alias(want), F.col("_m.h").alias(have))
     return expected.join(best, [*key, want], "left")
 
 
 def on_every_page(rules: DataFrame, by: Sequence[str], page: str, value: str, tolerance: float) -> DataFrame:
-    """by..., value: values of the first page that every page has within the tolerance."""
+    """by..., value: values of the first page that every page has within the tolerance.
+
+    A page's values are reduced to the ends of each bucket of one tolerance's width; a value looks at the ends of its own
+    and the two next to it, one row for each page, however many values a page has.
+    """
+    wide = tolerance or 1.0
+    rows = rules.filter(F.col(value).isNotNull())
     pages = rules.groupBy(*by).agg(F.count_distinct(page).alias("_pages"), F.min(page).alias("_first"))
-    first = rules.join(pages, list(by)).filter(F.col(page) == F.col("_first")).select(*by, F.col(value).alias("_v"), "_pages").distinct()
-    near = first.join(rules.select(*by, page, value), list(by)).filter(F.abs(F.col(value) - F.col("_v")) <= tolerance)
-    return near.groupBy(*by, "_v", "_pages").agg(F.count_distinct(page).alias("_n")).filter("_n = _pages").select(*by, F.col("_v").alias(value))
+    ends = rows.groupBy(*by, page, F.floor(F.col(value) / wide).alias("_b")).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    first = rows.join(pages, list(by)).filter(F.col(page) == F.col("_first")).select(*by, F.col(value).alias("_v"), "_pages").distinct()
+    own = F.floor(F.col("_v") / wide)
+    first = first.withColumn("_b", F.explode(F.array(own - 1, own, own + 1)))
+    near = (F.abs(F.col("_v") - F.col("_lo")) <= tolerance) | (F.abs(F.col("_v") - F.col("_hi")) <= tolerance)
+    if not tolerance:
+        exact = rows.groupBy(*by, page, F.col(value).alias("_v")).agg(F.count("*"))
+        hits = first.select(*by, "_v", "_pages").distinct().join(exact, [*by, "_v"])
+    else:
+        hits = first.join(ends, [*by, "_b"]).filter(near)
+    return hits.groupBy(*by, "_v", "_pages").agg(F.count_distinct(page).alias("_n")).filter("_n = _pages").select(*by, F.col("_v").alias(value))
 
 
 def group_lines(words: DataFrame, by: Sequence[str], least: float = 0.7) -> DataFrame:
@@ -99,9 +140,10 @@ def group_lines(words: DataFrame, by: Sequence[str], least: float = 0.7) -> Data
 
 def words_within(words: DataFrame, rects: DataFrame, key: Sequence[str], slack: float = 2.0, cell: float = 50.0) -> DataFrame:
     """Every (word, rectangle) of a key where the word lies between the rectangle's sides, give or take the slack, and its
-    middle height within it; words meet only the rectangles of their grid row."""
+    middle height within it; words, by left side and middle, meet only the rectangles of their grid cell."""
     middle = (F.col("top") + F.col("bottom")) / 2
-    w = words.withColumns({"_mid": middle, "_row": F.floor(middle / cell)})
-    r = rects.withColumn("_row", F.explode(F.sequence(F.floor(F.col("rect_top") / cell), F.floor(F.col("rect_bottom") / cell))))
+    w = words.withColumns({"_mid": middle, "_row": F.floor(middle / cell), "_col": F.floor(F.col("left") / cell)})
+    r = rects.withColumn("_row", F.explode(cells("rect_top", "rect_bottom", cell)))
+    r = r.withColumn("_col", F.explode(cells(F.col("rect_left") - slack, F.col("rect_right") + slack, cell)))
     inside = (F.col("left") >= F.col("rect_left") - slack) & (F.col("right") <= F.col("rect_right") + slack) & (F.col("_mid") >= F.col("rect_top")) & (F.col("_mid") < F.col("rect_bottom"))
-    return w.join(r, [*key, "_row"]).filter(inside).drop("_mid", "_row")
+    return w.join(r, [*key, "_row", "_col"]).filter(inside).drop("_mid", "_row", "_col")

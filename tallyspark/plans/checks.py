@@ -167,7 +167,7 @@ def last_digit_spread(spark, d):
 
 @query("WITH a AS (SELECT o_custkey, list(o_totalprice ORDER BY o_totalprice) AS x FROM orders GROUP BY 1) SELECT o_custkey, len(x) AS n, x[len(x) // 2 + 1] AS upper_median FROM a")
 def upper_medians(spark, d):
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), modes.upper_median("o_totalprice").alias("upper_median"))
+    return modes.upper_medians(table(spark, d, "orders"), ["o_custkey"], "o_totalprice")
 
 
 @query("""WITH v AS (SELECT p_brand, p_partkey, p_retailprice, (SELECT count(*) FROM part q WHERE q.p_brand = p.p_brand AND q.p_retailprice BETWEEN p.p_retailprice - 25 AND p.p_retailprice + 25) AS neighbours FROM part p)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyspark.functions import text as T
 from tallyspark.functions import tokens as K
-from tallyspark.operators import grid, spatial
+from tallyspark.operators import grid, match, parts, spatial
 from tallyspark.operators import predicates as P
 from tallyspark.plans.registry import query
-from tallyspark.sources.tables import table
+from tallyspark.sources.tables import json_schema, table
 
 _ANSWER = "concat('<p>পিতাৰ নাম: ', c_name, '</p>নাম: N', CAST(c_custkey AS STRING), '<br/>বয়স: ', CAST(c_custkey % 140 AS STRING), '|ঘৰ নং: ', CAST(c_custkey % 30 AS STRING), ' | লিঙ্গ: ', CASE c_custkey % 4 WHEN 0 THEN 'Female' WHEN 1 THEN 'male' WHEN 2 THEN 'তৃতীয়' ELSE '?' END)"
 
@@ -92,3 +93,58 @@ def row_pitch(spark, d):
     rows = F.flatten(F.transform(F.sequence(F.lit(0), (1 + F.col("s_suppkey") % 4).cast("int")), lambda i: F.filter(F.array(500.0 + 440 * i, F.when(i > 0, 654.0 + 440 * i), 915.0 + 440 * i), lambda x: x.isNotNull())))
     pages = table(spark, d, "supplier").select("s_suppkey", F.concat(F.array(F.lit(410.0)), rows).alias("rules"))
     return grid.row_bands(pages, ["s_suppkey"], "rules")
+
+
+@query("""WITH c AS (SELECT *, c_custkey % 140 AS age FROM customer WHERE c_custkey % 6 > 1) SELECT 'second' AS arm, c_custkey::INTEGER AS part, (c_custkey % 7)::INTEGER AS page, (c_custkey % 10)::INTEGER AS row, (c_custkey % 3)::INTEGER AS col, 'N' || c_custkey AS name, CASE WHEN age BETWEEN 18 AND 120 THEN age::INTEGER END AS age, (c_custkey % 30)::VARCHAR AS house, CASE c_custkey % 4 WHEN 0 THEN 'F' WHEN 1 THEN 'M' WHEN 2 THEN 'T' ELSE '' END AS sex FROM c""")
+def second_reading_arm(spark, d):
+    """Answers by crop as an arm to compare; names that are no crop's, and those of bands, are left out."""
+    k = F.col("c_custkey")
+    crop = T.crop_key(k, k % 7, k % 10, k % 3)
+    name = F.when(k % 6 == 0, F.concat(F.lit("x"), crop)).when(k % 6 == 1, F.concat(crop, F.lit("_b2"))).otherwise(crop)
+    return match.readings_arm(table(spark, d, "customer").select(name.alias("name"), F.expr(_ANSWER).alias("answer")), "name", "answer", "second")
+
+
+@query("""SELECT doc_id FROM documents WHERE doc_id % 3 = 0 OR (CASE WHEN doc_id % 4 = 0 THEN '' ELSE source END) = '' OR source IS NULL OR doc_id % 5 = 0""")
+def wanted_again(spark, d):
+    """Records that a second reading can help: no age, or a blank house or sex."""
+    k = F.col("doc_id")
+    age, house, sex = F.when(k % 3 != 0, k % 90), F.when(k % 4 == 0, "").otherwise(F.col("source")), F.when(k % 5 != 0, F.lit("F"))
+    return table(spark, d, "documents").filter(match.needs_second_pass(age, house, sex)).select("doc_id")
+
+
+@query("""WITH c AS (SELECT o_custkey AS k, count(*) AS extracted, count(*) FILTER (o_orderstatus = 'F') AS male, count(*) FILTER (o_orderstatus = 'O') AS female, CASE WHEN o_custkey % 4 > 0 THEN 5 END AS expected, o_custkey % 3 AS em, CASE WHEN o_custkey % 5 > 0 THEN o_custkey % 2 END AS ef FROM orders GROUP BY o_custkey)
+ SELECT k, extracted - expected AS shortfall, CASE WHEN male + female <> 0 THEN male / (male + female) END AS male_share, CASE WHEN em + ef <> 0 THEN em / (em + ef) END AS expected_male_share FROM c""")
+def part_shares(spark, d):
+    c, k = F.col, F.col("k")
+    counts = table(spark, d, "orders").groupBy(c("o_custkey").alias("k")).agg(F.count("*").alias("extracted"), F.count_if(c("o_orderstatus") == "F").alias("male"), F.count_if(c("o_orderstatus") == "O").alias("female"))
+    counts = counts.withColumns({"expected": F.when(k % 4 > 0, 5), "em": k % 3, "ef": F.when(k % 5 > 0, k % 2)})
+    return parts.part_shares(counts, "extracted", "expected", "male", "female", "em", "ef").select("k", "shortfall", "male_share", "expected_male_share")
+
+
+@query("""WITH l AS (SELECT c_mktsegment AS field, c_name AS native, c_custkey, c_custkey % 9 AS frequency FROM customer WHERE c_custkey % 4 = 0) SELECT field, native, frequency, row_number() OVER (PARTITION BY field ORDER BY frequency DESC, c_custkey)::INTEGER AS place FROM l""")
+def review_queue(spark, d):
+    """What still needs a spelling, by field: the most frequent first, equals as they came."""
+    k = F.col("c_custkey")
+    lookup = table(spark, d, "customer").select(F.col("c_mktsegment").alias("field"), F.col("c_name").alias("native"), (k % 9).alias("frequency"), F.when(k % 4 == 0, F.when(k % 8 == 0, " ")).otherwise("r").alias("roman"), "c_custkey")
+    place = F.row_number().over(W.partitionBy("field").orderBy(F.desc("frequency"), "c_custkey"))
+    return match.review_queue(lookup, "c_custkey").withColumn("place", place).select("field", "native", "frequency", "place")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, c_nationkey, upper(c_mktsegment) AS segment FROM customer")
+def columns_in_order(spark, d):
+    """Groups of columns in order, each once, without one and with its derived form at the end."""
+    rows = table(spark, d, "customer").withColumn("segment", F.upper("c_mktsegment"))
+    return rows.select(*P.ordered_columns(["c_custkey", "c_name"], ["c_acctbal", "c_name", "c_nationkey"], rows.columns, without=["c_mktsegment"]))
+
+
+@query("""SELECT t AS "table", column_name AS "column", CASE WHEN column_type IN ('BIGINT', 'INTEGER') THEN 'integer' WHEN column_type = 'DOUBLE' THEN 'number' ELSE 'string' END AS kind, true AS nullable, true AS required FROM (SELECT 'orders' AS t, * FROM (DESCRIBE orders) UNION ALL SELECT 'customer', * FROM (DESCRIBE customer))""")
+def schemas_emitted(spark, d):
+    """The closed JSON Schemas of two tables, property by property."""
+    out = None
+    for name in ("orders", "customer"):
+        rows = table(spark, d, name)
+        told = json_schema(rows.schema)
+        each = [F.struct(F.lit(name).alias("table"), F.lit(c).alias("column"), F.lit(p["anyOf"][0]["type"]).alias("kind"), F.lit({"type": "null"} in p["anyOf"]).alias("nullable"), F.lit(c in told["required"]).alias("required")) for c, p in told["properties"].items()]
+        one = rows.limit(1).select(F.inline(F.array(*each)))
+        out = one if out is None else out.unionByName(one)
+    return out
