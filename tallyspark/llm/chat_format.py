@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +33,29 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Characters that the splitter is given at a time: runs of a million of one class are too deep for it.
+LOT = 1 << 16
+#: Where the split pattern always breaks: before a space between two other characters.
+_BREAK = re.compile(r"(?<=\S) (?=\S)")
+
+
+def lots(text: str) -> Iterator[str]:
+    """A text in stretches of at most LOT characters, which encode as the whole does: they end where the pattern breaks. A run
+    of over LOT characters without such a place, one word or white space alone, is cut within."""
+    at = 0
+    while len(text) - at > LOT:
+        end = at + LOT
+        for m in _BREAK.finditer(text, at + 1, at + LOT):
+            end = m.start()
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def encoded(enc, text: str) -> list[int]:
+    return [i for lot in lots(text) for i in enc.encode_ordinary(lot)]
+
+
 def escape(text: str) -> str:
     return _ESCAPE.sub(r"\1\2\\", text)
 
@@ -54,11 +78,11 @@ def encoder(path: str):
 def turn_tokens(role: str, text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids, loss mask) of one turn."""
     enc, control = encoder(path)
-    body = enc.encode_ordinary(escape(text))
+    body = encoded(enc, escape(text))
     if role in TURN:
         segments = [[control[TURN[role][0]]], body, [control[TURN[role][1]]]]
     else:
-        segments = [[control[OTHER[0]]], enc.encode_ordinary(escape(role)), [control[OTHER[1]]], body, [control[OTHER[2]]]]
+        segments = [[control[OTHER[0]]], encoded(enc, escape(role)), [control[OTHER[1]]], body, [control[OTHER[2]]]]
     ends = np.cumsum([len(s) for s in segments])
     mark = np.zeros(ends[-1] + 1, np.int8)
     if role == "assistant":
@@ -84,7 +108,7 @@ def format_chat(conversations: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
     Turns are encoded where they lie, so that a long conversation is the work of many tasks. Null role or text counts
     as empty; a null conv_id is one more conversation. A repeated row is a turn of its own; texts of any length are
-    encoded whole. Extra columns are not read. An empty table gives an empty result.
+    encoded whole, in stretches (see lots). Extra columns are not read. An empty table gives an empty result.
     """
     lean_batches(conversations.sparkSession)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")

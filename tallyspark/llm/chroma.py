@@ -4,6 +4,9 @@ Audio becomes frames, each frame twelve pitch-class energies. Over the integral
 are read at every step; each gives two Gray-coded bits, so that a step of audio is one 32-bit integer. Recordings are
 aligned by an index on pairs of those integers: the offsets at which two recordings share pairs form a histogram, and
 the best offsets are settled by the share of differing bits.
+
+Two recordings of one sound are rarely cut at the same phase of a step. A query is therefore fingerprinted at PHASES
+phases of the hop, one of which lies within an eighth of a step of the index's own grid, and asks with all of them.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut, lean_batches, salted_join
+from tallyspark.llm.common import cut, lean_batches, salted_join, take
 from tallyspark.llm.kernels import mix
 
 RATE = 4000
@@ -30,6 +33,12 @@ STEPS = (-0.35, 0.0, 0.35)
 _GRAY = np.array([0, 1, 3, 2], np.uint32)
 #: An index key is two integers this many steps apart, hashed together.
 APART = 2
+#: Phases of the hop at which a query asks.
+PHASES = 4
+#: Recordings whose index entries may share a block.
+BLOCK = 1 << 15
+#: The column of the audio inside this module.
+MEDIUM = "medium"
 #: Frames transformed and samples fingerprinted at a time, so that long audio takes no more memory than short.
 FRAMES, SAMPLES = 4096, 1 << 20
 
@@ -110,6 +119,16 @@ def melody_pcm(batch: pa.RecordBatch, column: str, note: int = 400) -> list[np.n
     return out
 
 
+def _codes(pcm: list[np.ndarray]) -> list[bytes]:
+    """Fingerprints of recordings as bytes, equally long ones together."""
+    codes: list = [None] * len(pcm)
+    for n in {len(x) for x in pcm}:
+        same = [k for k, x in enumerate(pcm) if len(x) == n]
+        for k, code in zip(same, integers(chroma(np.stack([pcm[k] for k in same]))), strict=True):
+            codes[k] = code.astype("<u4").tobytes()
+    return codes
+
+
 def _fingerprint(pcm_of, column: str):
     def run(batches):
         for batch in batches:
@@ -117,44 +136,71 @@ def _fingerprint(pcm_of, column: str):
             lot = max(1, min(64, SAMPLES // max(1, size)))
             for i in range(0, batch.num_rows, lot):
                 part = batch.slice(i, lot)
-                pcm = pcm_of(part, column)
-                codes: list = [None] * len(pcm)
-                for n in {len(x) for x in pcm}:
-                    same = [k for k, x in enumerate(pcm) if len(x) == n]
-                    for k, code in zip(same, integers(chroma(np.stack([pcm[k] for k in same]))), strict=True):
-                        codes[k] = code.astype("<u4").tobytes()
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary())], names=["id", "code"])
+                pcm, ids = pcm_of(part, column), part.column(0).to_pylist()
+                phases: list = [None] * len(pcm)
+                asking = [k for k, d in enumerate(ids) if d is not None and d % 100 == 0]
+                for p in range(1, PHASES):
+                    for k, code in zip(asking, _codes([pcm[k][p * HOP // PHASES :] for k in asking]), strict=True):
+                        phases[k] = [*(phases[k] or []), code]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_codes(pcm), pa.binary()), pa.array(phases, pa.list_(pa.binary()))], names=["id", "code", "phases"])
 
     return run
 
 
 def fingerprints(media: DataFrame, id_col: str, column: str, pcm_of=wav_pcm) -> DataFrame:
-    """(id, code): each row's fingerprint integers as little-endian bytes; empty for null, broken or very short audio."""
-    return media.select(F.col(id_col).cast("long").alias("id"), column).mapInArrow(_fingerprint(pcm_of, column), "id long, code binary")
+    """(id, code, phases): each row's fingerprint integers as little-endian bytes, empty for null, broken or very short
+    audio; and of those that ask (id divisible by 100) the same at the later phases of the hop."""
+    return take(media, id=id_col, **{MEDIUM: column}).select(F.col("id").cast("long").alias("id"), MEDIUM).mapInArrow(_fingerprint(pcm_of, MEDIUM), "id long, code binary, phases array<binary>")
+
 
+def code_keys(raw: bytes, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, steps) of a fingerprint: a key for each pair of integers APART steps apart, or if exact, for each integer.
 
-def _keys(exact: bool, thin: int, few: int = 8):
-    """(id, key, at, asks) of each recording: a key for each pair of integers APART steps apart, or if exact, for each integer.
-    A query asks with one in `thin` of its keys, by the key itself, and with all where that leaves under `few`.
+    A held tone repeats its key; unless exact, its first step stands for it. A fingerprint of APART steps or fewer has its
+    whole code as its key."""
+    x = np.frombuffer(raw, "<u4").astype(np.uint64)
+    x = mix(x) if exact else mix(mix(x[:-APART]) + x[APART:]) if len(x) > APART else mix(np.array([sum(int(v) << (32 * k) for k, v in enumerate(x)) & 0xFFFFFFFFFFFFFFFF], np.uint64))
+    new = np.ones(len(x), bool)
+    if not exact:
+        new[1:] &= x[1:] != x[:-1]
+    return (x[new] >> np.uint64(1)).astype(np.int64), np.flatnonzero(new)
 
-    A held tone repeats its key; unless exact, its first step stands for it. A recording of APART steps or fewer has
-    its whole code as its key."""
+
+def _keys(exact: bool):
+    """(id, key, at) of rows (id, codes): the keys of each recording at each phase, and where they stand in steps of the first
+    phase, to the nearest one."""
 
     def run(batches):
         for batch in batches:
-            ids, keys, at, asks = [], [], [], []
-            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(raw, "<u4").astype(np.uint64)
-                x = mix(x) if exact else mix(mix(x[:-APART]) + x[APART:]) if len(x) > APART else mix(np.array([sum(int(v) << (32 * k) for k, v in enumerate(x)) & 0xFFFFFFFFFFFFFFFF], np.uint64))
-                new = np.ones(len(x), bool)
-                if not exact:
-                    new[1:] &= x[1:] != x[:-1]
-                key = (x[new] >> np.uint64(1)).astype(np.int64)
-                asking = key % thin == 0
-                asks.append(asking if asking.sum() >= few and not exact else np.ones(len(key), bool))
-                keys.append(key), at.append(np.flatnonzero(new)), ids.append(np.full(len(key), i))
+            ids, keys, at = [], [], []
+            for i, codes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for p, raw in enumerate(codes or ()):
+                    k, a = code_keys(raw, exact)
+                    keys.append(k), at.append(a + (2 * p > PHASES)), ids.append(np.full(len(k), i))
             if ids:
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x), pa.int64()) for x in (ids, keys, at)), pa.array(np.concatenate(asks))], names=["id", "key", "at", "asks"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (ids, keys, at)], names=["id", "key", "at"])
+
+    return run
+
+
+def _histograms(votes: int, tries: int, exact: bool):
+    """Of a query's hits in one lot of recordings, each recording's most voted offsets; of as many votes, those nearest to 0."""
+
+    def run(key, t):
+        where = t.column("at").combine_chunks()
+        size = np.diff(where.offsets.to_numpy())
+        m, ma = t.column("m").combine_chunks().flatten().to_numpy(), where.flatten().to_numpy()
+        offset = ma - np.repeat(t.column("qa").to_numpy(), size)
+        other = m != key[0].as_py()
+        (m, offset), n = np.unique(np.stack((m[other], offset[other])), axis=1, return_counts=True)
+        enough = n >= votes
+        m, offset, n = m[enough], offset[enough], n[enough]
+        order = np.lexsort((-offset, np.abs(offset), -n, m))
+        m, offset = m[order], offset[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(m)), bool), m[1:] != m[:-1])))
+        ends = np.append(first[1:], len(m))[: len(first)]
+        kept = [offset[a : b if exact else min(b, a + tries)] for a, b in zip(first, ends, strict=True)]
+        return pa.table({"q": pa.array(np.full(len(first), key[0].as_py()), pa.int64()), "m": pa.array(m[first], pa.int64()), "offsets": pa.array(kept, pa.list_(pa.int64()))})
 
     return run
 
@@ -167,13 +213,15 @@ def bit_error(x: np.ndarray, y: np.ndarray, offset: int) -> tuple[float, int]:
     return float(np.bitwise_count(x[a:b] ^ y[a + offset : b + offset]).mean()) / 32, b - a
 
 
-def _settle(least: float, overlap: float):
+def _settle(least: float, overlap: float, reach: int):
+    """Pairs under `least` differing bits at the best of their offsets, each tried with its `reach` neighbours on both sides."""
+
     def run(batches):
         for batch in batches:
             rows = []
             for q, m, offsets, x, y in zip(*(batch.column(c).to_pylist() for c in ("q", "m", "offsets", "x", "y")), strict=True):
                 x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                tried = [(*bit_error(x, y, o), o) for o in offsets]
+                tried = [(*bit_error(x, y, o), o) for o in sorted({o + r for o in offsets for r in range(-reach, reach + 1)})]
                 tried = [(e, -n, abs(o), o) for e, n, o in tried if n >= overlap * min(len(x), len(y))]
                 if tried and min(tried)[0] <= least:
                     e, n, _, o = min(tried)
@@ -185,29 +233,33 @@ def _settle(least: float, overlap: float):
 
 
 def classes_of(prints: DataFrame) -> DataFrame:
-    """(code, class_id, members): rows with the same non-empty fingerprint form a class, named by its smallest id."""
-    return prints.filter(F.octet_length("code") > 0).groupBy("code").agg(F.min("id").alias("class_id"), F.count("*").alias("members"), F.max((F.pmod("id", F.lit(100)) == 0)).alias("asked"))
+    """(code, class_id, members, asked, phases): rows with the same non-empty fingerprint form a class, named by its smallest
+    id; it asks if any member does, with the phases of the first that does."""
+    asks = F.pmod("id", F.lit(100)) == 0
+    return prints.filter(F.octet_length("code") > 0).groupBy("code").agg(F.min("id").alias("class_id"), F.count("*").alias("members"), F.max(asks).alias("asked"), F.min_by("phases", F.when(asks, F.col("id"))).alias("phases"))
 
 
-def match(classes: DataFrame, votes: int = 1, tries: int = 3, least: float = 0.2, overlap: float = 0.6, thin: int = 2, exact: bool = False) -> DataFrame:
+def match(classes: DataFrame, votes: int = 1, tries: int = 3, least: float = 0.2, overlap: float = 0.6, exact: bool = False) -> DataFrame:
     """(query, match, offset, bit_error, steps): for each asked class, the other classes that align with it.
 
-    The index holds every key of every class; a query asks with one in `thin` of its own. A pair is tried at its `tries` most voted offsets with at least `votes`
-    shared keys, of offsets with as many votes at the nearest to 0. `exact` makes a key of each integer and tries every
-    offset at which one is shared: it finds whatever aligns with one step without an error, at many more candidates.
-    A key that a large share of the classes has is dealt over salted copies of the asked side.
+    The index holds every key of every class; a query asks with all keys of its code and of its later phases, where it has
+    them. A pair is tried around its `tries` most voted offsets with at least `votes` shared keys, of offsets with as many
+    votes at the nearest to 0. `exact` makes a key of each integer and tries every offset at which one is shared: it finds
+    whatever aligns with one step without an error, at many more candidates.
+
+    Entries of a key lie in blocks of at most BLOCK recordings, dealt by hash; a query's hits in one lot of recordings meet
+    in one task, which counts their offsets. No key and no query has all its hits in one task.
     """
-    keyed = cut(classes.select(F.col("class_id").alias("id"), "code").mapInArrow(_keys(exact, thin), "id long, key long, at long, asks boolean"), "keys")
-    asked = classes.filter("asked").select(F.col("class_id").alias("id"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("rows"))
-    left = keyed.filter("asks").join(asked, "id", "left_semi").select(F.col("id").alias("q"), "key", F.col("at").alias("qa")).join(sizes, "key")
-    hits = salted_join(keyed.select(F.col("id").alias("m"), "key", F.col("at").alias("ma")), left, "key", "rows", keyed.count(), "m").filter("q <> m")
-    histogram = hits.groupBy("q", "m", (F.col("ma") - F.col("qa")).alias("offset")).count().filter(F.col("count") >= votes)
-    ranked = F.reverse(F.array_sort(F.collect_list(F.struct("count", (-F.abs("offset")).alias("near"), "offset"))))
-    best = histogram.groupBy("q", "m").agg((ranked if exact else F.slice(ranked, 1, tries)).alias("o"))
-    best = best.select("q", "m", F.col("o.offset").alias("offsets"))
-    pairs = best.join(classes.select(F.col("class_id").alias("q"), F.col("code").alias("x")), "q").join(classes.select(F.col("class_id").alias("m"), F.col("code").alias("y")), "m")
-    return pairs.select("q", "m", "offsets", "x", "y").mapInArrow(_settle(least, overlap), "query long, match long, offset long, bit_error double, steps long")
+    phases = F.col("phases") if "phases" in classes.columns else F.lit(None).cast("array<binary>")
+    codes = F.array("code") if exact else F.concat(F.array("code"), F.coalesce(phases, F.array().cast("array<binary>")))
+    lots = max(1, classes.count() // BLOCK)
+    keyed = classes.select(F.col("class_id").alias("id"), F.array("code").alias("codes")).mapInArrow(_keys(exact), "id long, key long, at long")
+    index = keyed.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(lots)).alias("lot")).agg(F.collect_list(F.struct("id", "at")).alias("e")).select("key", "lot", F.col("e.id").alias("m"), F.col("e.at").alias("at"))
+    asked = classes.filter("asked").select(F.col("class_id").alias("id"), codes.alias("codes")).mapInArrow(_keys(exact), "id long, key long, at long").distinct()
+    hits = asked.select(F.col("id").alias("q"), "key", F.col("at").alias("qa")).join(index, "key")
+    best = hits.select("q", "lot", "qa", "m", "at").groupBy("q", "lot").applyInArrow(_histograms(votes, tries, exact), "q long, m long, offsets array<long>")
+    pairs = cut(best, "offsets").join(classes.select(F.col("class_id").alias("q"), F.col("code").alias("x")), "q").join(classes.select(F.col("class_id").alias("m"), F.col("code").alias("y")), "m")
+    return pairs.select("q", "m", "offsets", "x", "y").mapInArrow(_settle(least, overlap, 0 if exact else 1), "query long, match long, offset long, bit_error double, steps long")
 
 
 def search(media: DataFrame, id_col: str, column: str, pcm_of=wav_pcm, **kw) -> DataFrame:
@@ -234,3 +286,14 @@ def search(media: DataFrame, id_col: str, column: str, pcm_of=wav_pcm, **kw) ->
 
 def op10_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", melody_pcm)
+
+
+def cut_recordings_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10 over recordings that do match: beside each embedding's melody, under the id that follows all others by as much, one
+    that begins some tones later and has a few tones altered. Members and matches as search() gives them."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    after = rows.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).first()[0]
+    late = F.slice("v", (F.col("id") % 11 + 2).cast("int"), F.size("v"))
+    altered = F.transform(late, lambda x, k: F.when(k % 19 == F.col("id") % 19, -x).otherwise(x))
+    other = rows.filter("id IS NOT NULL AND v IS NOT NULL").select((F.col("id") + after).alias("id"), altered.alias("v"))
+    return search(rows.unionByName(other), "id", "v", melody_pcm)

@@ -161,6 +161,18 @@ def take(docs: DataFrame, **cols: str) -> DataFrame:
     return plain.select(*(F.col(f"c{names.index(old)}").alias(new) for new, old in cols.items()))
 
 
+def packed(docs: DataFrame, **cols: str) -> DataFrame:
+    """docs with each row's columns in one, `body`, beside take(docs, **cols): an operator's own names can't meet theirs."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    return plain.select(F.struct(*plain.columns).alias("body"), *(F.col(f"c{names.index(old)}").alias(new) for new, old in cols.items()))
+
+
+def unpacked(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns that packed() has put away, as they were."""
+    return rows.select(*(F.col(f"body.c{k}").alias(n) for k, n in enumerate(names)))
+
+
 def crc_fold(id_col: str, folds: int = 3) -> Column:
     """crc32 of the id as text, modulo folds; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)).cast("int")

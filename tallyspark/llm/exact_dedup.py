@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut, salted_join
+from tallyspark.llm.common import cut, packed, salted_join, take, unpacked
 from tallyspark.llm.kernels import release
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -111,7 +111,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again. Rows that repeat an id each give a row; a null id never stays where the group has another. Texts of any
     length are read whole. An empty table gives an empty result. Other columns of docs are not read.
     """
-    signed = docs.select(F.col(id_col).cast("long").alias("doc_id"), normal(F.col(text_col)).alias("t"))
+    signed = take(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), normal(F.col("text")).alias("t"))
     signed = cut(signed.select("doc_id", F.unhex(F.sha2("t", 256)).alias("digest"), F.octet_length("t").cast("long").alias("bytes"), F.xxhash64("t").alias("second")), "digests")
     total = signed.count()
     merged = merged_runs(cut(digest_runs(signed, total), "runs"), fan_in).mapInArrow(_unpack, "digest binary, bytes long, second long, keep_id long, group_size long")
@@ -126,8 +126,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A row goes by its id and its text, so that another text under the same id stays. Rows with a null id, and rows that
     repeat both id and text, can't be told apart and stay.
     """
-    lost = exact_dedup(docs, id_col, text_col, **kw).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_lost"), F.col("text_sha256").alias("_digest")).distinct()
-    return docs.join(lost, (F.col(id_col).cast("long") == F.col("_lost")) & (F.sha2(normal(F.col(text_col)), 256) == F.col("_digest")), "left_anti")
+    lost = exact_dedup(docs, id_col, text_col, **kw).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id", F.col("text_sha256").alias("digest")).distinct()
+    rows = packed(docs, doc_id=id_col, text=text_col).select("body", F.col("doc_id").cast("long").alias("doc_id"), F.sha2(normal(F.col("text")), 256).alias("digest"))
+    return unpacked(rows.join(lost, ["doc_id", "digest"], "left_anti"), docs.columns)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import crc_fold, lean_batches
+from tallyspark.llm.common import crc_fold, lean_batches, take
 
 BITS = 14
 SIZE = 1 << BITS
@@ -216,7 +216,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 def fitted(docs: DataFrame, **kw) -> Model | None:
     """A model from the rows of docs(doc_id, text, lang) that aren't held out."""
     lean_batches(docs.sparkSession)
-    return train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(crc_fold("doc_id") != 1), **kw)
+    rows = take(docs, doc_id="doc_id", text="text", lang="lang").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return train(rows.filter(crc_fold("doc_id") != 1), **kw)
 
 
 def identify(docs: DataFrame, **kw) -> DataFrame:
@@ -226,7 +227,8 @@ def identify(docs: DataFrame, **kw) -> DataFrame:
     learned from (a null id is held out). Repeated rows give repeated rows. Without a labelled row all is 'und'; an
     empty table gives an empty result. Texts of any length are read whole. Extra columns are not read.
     """
-    found = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), fitted(docs, **kw))
+    rows = take(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    found = predict(rows, fitted(docs, **kw))
     return found.select("doc_id", F.coalesce(crc_fold("doc_id") == 1, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
@@ -236,7 +238,8 @@ def keep_identified(docs: DataFrame, least: float = 0.5, **kw) -> DataFrame:
     Each row is judged by its own text where it lies, whatever its id; all columns stay.
     """
     sent = docs.sparkSession.sparkContext.broadcast(fitted(docs, **kw))
-    return docs.mapInArrow(_identified(sent, docs.columns.index("text"), least), docs.schema)
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    return plain.mapInArrow(_identified(sent, docs.columns.index("text"), least), plain.schema).toDF(*docs.columns)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import lean_batches
+from tallyspark.llm.common import lean_batches, take
 from tallyspark.llm.kernels import mix, release
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -462,7 +462,8 @@ def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT,
     """
     lean_batches(docs.sparkSession)
     schema = "doc_id long, n_pieces long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(path, dropout, seed, digest), schema)
+    rows = take(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInArrow(_encode(path, dropout, seed, digest), schema)
 
 
 def op8_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ evaluations, and as one shingle is seldom both, its variance is below that of as
 alone or of maxima alone, so that no band holds both ends of one permutation. With B bands of R values, a pair of
 similarity s shares no band with probability (1 - s**R)**B: at 0.8, with 40 bands of 5, about 1 in 8 million.
 
-Classes that share a band make a bucket. Small buckets give all their pairs. Large ones give stars, in two rounds with
-centres in different orders; what then still lies in several components of a bucket is compared in tiles of bounded
-size. Every link is confirmed on the full shingle sets, which are written once for the classes that share a band.
+Classes that share a band make a bucket. Small buckets give all their pairs, large ones a star. What then still lies in
+several components of a large bucket gives a second star, around a centre in another order, where that is much, and is
+compared in tiles of bounded size. Every link is confirmed on the full shingle sets, which are written once for the classes that share a band.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ BANDS, ROWS = 40, 5
 SMALL = 8
 #: Sets of fewer shingles link with equal sets only, which are their class: 3 of 4 is under 0.8.
 LEAST_INDEXED = 4
+#: Members of open buckets that tiles settle without a second star.
+FEW = 1 << 16
 #: Shingles that are hashed at a time.
 RUN = 1 << 17
 #: Shingles and members of a part of a region; a tile is a pair of parts.
@@ -223,14 +225,14 @@ def _and(labels: DataFrame, links: DataFrame) -> DataFrame:
     return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links))
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, small: int = SMALL, tile: tuple[int, int] = TILE) -> DataFrame:
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, small: int = SMALL, few: int = FEW, tile: tuple[int, int] = TILE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents linked at Jaccard 0.8 or more of their two-word shingles.
 
     component_id is the smallest id reachable by links, kept whether it is the row's own. Null and wordless texts have an
     empty set, link with nothing and are kept. Rows that repeat an id are one document, which links by any of its texts.
     Rows with a null id link with nothing, have a null component_id and are kept. Texts of any length are read whole, an
-    empty table gives an empty result, and columns other than the two named are not read. `bands` is even; small and tile
-    change no result.
+    empty table gives an empty result, and columns other than the two named are not read. `bands` is even; small, few and
+    tile change no result.
     """
     spark = docs.sparkSession
     lean_batches(spark)
@@ -246,11 +248,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = class_sets(docs.filter("doc_id IS NOT NULL"), wanted)
     labels = components(confirmed(pairs, sets))
     crowd = open_members(large, labels, total)
-    if not crowd.isEmpty():
+    if crowd.count() > few:
         labels = _and(labels, confirmed(second_stars(crowd, total), sets))
         crowd = open_members(crowd, labels, total)
-        if not crowd.isEmpty():
-            labels = _and(labels, between_components(crowd, sets, tile))
+    if not crowd.isEmpty():
+        labels = _and(labels, between_components(crowd, sets, tile))
     keyed = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(F.struct(*same).alias("k"), "members", F.coalesce("label", "class_id").alias("component_id"))
     described = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.struct(*same)).alias("k"))
     out = salted_join(described, keyed, "k", "members", described.count(), "doc_id")

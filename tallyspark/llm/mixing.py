@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut
+from tallyspark.llm.common import cut, packed, unpacked
 
 #: Power of each dimension's token shares that makes its targets.
 POWERS = {"source": 0.5, "language": 0.7, "topic": 0.9}
@@ -40,14 +40,17 @@ def topic(text: Column, tokens: Column) -> Column:
     return kind.when(tokens < 100, "note").when(tokens < 500, "article").otherwise("essay")
 
 
-def described(docs: DataFrame, topic_col: str | None = None) -> DataFrame:
-    """docs with _mx_source, _mx_language, _mx_topic and _mx_tokens; a missing value is a category of its own, ''.
+def described(docs: DataFrame, id_col: str = "doc_id", topic_col: str | None = None) -> DataFrame:
+    """body (all of docs' columns), _mx_id, _mx_source, _mx_language, _mx_topic and _mx_tokens of docs; a missing value is a
+    category of its own, ''.
 
     topic_col names a column with the topic; without one it is the text's content class.
     """
+    rows = packed(docs, **{"_mx_id": id_col, "text": "text", "source": "source", "lang": "lang"}, **({"topic": topic_col} if topic_col else {}))
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.withColumn("_mx_tokens", F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"))
-    return out.withColumns({"_mx_source": F.coalesce("source", F.lit("")), "_mx_language": F.coalesce("lang", F.lit("")), "_mx_topic": F.coalesce(topic_col, F.lit("")) if topic_col else topic(text, F.col("_mx_tokens"))})
+    out = rows.withColumn("_mx_tokens", F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"))
+    kind = F.coalesce("topic", F.lit("")) if topic_col else topic(text, F.col("_mx_tokens"))
+    return out.select("body", "_mx_id", F.coalesce("source", F.lit("")).alias("_mx_source"), F.coalesce("lang", F.lit("")).alias("_mx_language"), kind.alias("_mx_topic"), "_mx_tokens")
 
 
 def targets_of(cells: list[tuple], powers: Mapping[str, float], named: Targets) -> list[dict[str, float]]:
@@ -104,11 +107,11 @@ def cell_weights(rows: DataFrame, budget: float = BUDGET, rounds: int = ROUNDS,
     return (F.broadcast(made) if len(here) <= 100_000 else made), sum(c[3] for c in here), gap
 
 
-def _calibrated(rows: DataFrame, cells: DataFrame, total: int, id_col: str, budget: float, seed: int) -> DataFrame:
+def _calibrated(rows: DataFrame, cells: DataFrame, total: int, budget: float, seed: int) -> DataFrame:
     """rows of described() with _mx_weight, _mx_keep_prob and _mx_kept."""
     joined = rows.join(cells, ["_mx_source", "_mx_language", "_mx_topic"], "left")
     p = F.coalesce(F.least(F.lit(1.0), F.lit(float(budget * total)) * F.col("_mx_w") / F.col("_mx_cell")), F.lit(0.0))
-    key = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary"))
+    key = F.md5(F.concat(F.coalesce(F.col("_mx_id").cast("string"), F.lit("null")), F.lit(f":{seed}")).cast("binary"))
     u = F.conv(F.substring(key, 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
     out = joined.withColumn("_mx_weight", F.coalesce("_mx_w", F.lit(0.0))).withColumn("_mx_keep_prob", F.when(F.col("_mx_tokens") > 0, p).otherwise(F.lit(0.0)))
     return out.withColumn("_mx_kept", u < F.col("_mx_keep_prob"))
@@ -125,17 +128,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", budget: float = BUDGET, seed: i
     each row's fate depends on its id alone; rows that repeat an id share it. Documents without a token have
     keep_prob 0. Texts are read once, whole. An empty table gives an empty result; extra columns are not read.
     """
-    rows = cut(described(docs, topic_col).select(F.col(id_col).alias("_mx_id"), *DESCRIBED), "described")
+    rows = cut(described(docs, id_col, topic_col).select("_mx_id", *DESCRIBED), "described")
     cells, total, _ = cell_weights(rows, budget, **kw)
-    out = _calibrated(rows, cells, total, "_mx_id", budget, seed)
+    out = _calibrated(rows, cells, total, budget, seed)
     return out.select(F.col("_mx_id").alias("doc_id"), *(F.col(f"_mx_{c}").alias(n) for c, n in (("topic", "topic"), ("tokens", "n_tokens"), ("weight", "weight"), ("keep_prob", "keep_prob"), ("kept", "kept"))))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", budget: float = BUDGET, seed: int = SEED, topic_col: str | None = None, **kw) -> DataFrame:
     """The documents that mix() keeps, with all columns of docs."""
-    rows = described(docs, topic_col)
+    rows = described(docs, id_col, topic_col)
     cells, total, _ = cell_weights(rows, budget, **kw)
-    return _calibrated(rows, cells, total, id_col, budget, seed).filter("_mx_kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return unpacked(_calibrated(rows, cells, total, budget, seed).filter("_mx_kept"), docs.columns)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import IdFilter, components, cut, id_filter, lean_batches, salted_join
+from tallyspark.llm.common import IdFilter, components, cut, id_filter, lean_batches, packed, salted_join, take, unpacked
 from tallyspark.llm.kernels import fields, joined, mix, pack, pack_sorted, release, shingle_sets, unpack, unpack_sorted
 
 WIDTH = 5
@@ -431,7 +431,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     lean_batches(spark)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = take(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     nameless, docs = docs.filter("doc_id IS NULL"), docs.filter("doc_id IS NOT NULL")
     plan = Plan(0, **cuts)
     described = cut(docs.mapInArrow(_describe(plan.wide), DESCRIBED), "sets")
@@ -477,8 +477,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame
     is lost that has no copy.
     """
     rows = jaccard_components(docs, id_col, **kw).filter("doc_id IS NOT NULL")
-    lost = rows.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("_all")).filter("_all")
-    return docs.join(lost.select(F.col("doc_id").alias("_lost")), F.col(id_col).cast("long") == F.col("_lost"), "left_anti")
+    lost = rows.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("all")).filter("all").select("doc_id")
+    return unpacked(packed(docs, doc_id=id_col).withColumn("doc_id", F.col("doc_id").cast("long")).join(lost, "doc_id", "left_anti"), docs.columns)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyspark.llm.chat_format import OP4_SQL, op4_chat_format
-from tallyspark.llm.chroma import op10_chroma_fingerprints
+from tallyspark.llm.chroma import cut_recordings_aligned, op10_chroma_fingerprints
 from tallyspark.llm.divergence import OP11_SQL, op11_source_divergence
 from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from tallyspark.llm.language_id import op7_language_id
@@ -27,6 +27,7 @@ QUERIES = {
     "op8_sentencepiece_dropout": op8_sentencepiece_dropout,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_chroma_fingerprints": op10_chroma_fingerprints,
+    "cut_recordings_aligned": cut_recordings_aligned,
     "op11_source_divergence": op11_source_divergence,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_minmax_near_dedup": op13_minmax_near_dedup,

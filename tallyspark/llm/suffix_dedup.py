@@ -27,7 +27,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import cut, lean_batches
+from tallyspark.llm.common import cut, lean_batches, take
 from tallyspark.llm.kernels import fields, joined, mix, pack, pack_sorted, powers, prefix_hash, range_hash, release, spans, unpack, unpack_sorted
 
 WIDTH = 100
@@ -395,20 +395,38 @@ def _apply(width: int, gram: int, with_text: bool):
     return run
 
 
+def _keyed(given: DataFrame) -> tuple[DataFrame, int]:
+    """(given with `key`, bytes of text): a number for each document that follows the order of ids.
+
+    It is the id itself unless rows of one id have differing texts: those are documents of their own, and numbers are then
+    dealt to the distinct pairs of id and text, in the order of ids, then of two hashes of the text.
+    """
+    marked = given.filter("doc_id IS NOT NULL").select("doc_id", F.octet_length("text").alias("n"), F.xxhash64("text").alias("h"))
+    per_id = marked.groupBy("doc_id").agg(F.sum("n").alias("n"), (F.min("h") != F.max("h")).alias("differ"))
+    size, differ = per_id.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.bool_or("differ"), F.lit(False))).first()
+    if not differ:
+        return given.withColumn("key", F.col("doc_id")), size
+    text = F.coalesce("text", F.lit(""))
+    rows = given.withColumns({"h": F.xxhash64(text), "h2": F.xxhash64(F.lit("second"), text)})
+    pairs = rows.filter("doc_id IS NOT NULL").select("doc_id", "h", "h2").distinct().repartitionByRange("doc_id", "h", "h2").sortWithinPartitions("doc_id", "h", "h2")
+    keys = cut(pairs.withColumn("key", F.monotonically_increasing_id()), "keys")
+    return rows.join(keys, ["doc_id", "h", "h2"], "left").select("doc_id", "text", "key"), size
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, with_text: bool = False, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept_text]) for every document.
 
     Null and empty texts have 0 bytes and nothing removed. Rows that repeat id and text are one document given twice,
-    and neither is a copy of the other; differing texts under one id are not told apart. Rows with a null id have no
-    place in the order: they match nothing and stay whole. kept_text may hold a replacement character where a removed
-    run cut a character in two. Extra columns are not read. An empty table gives an empty result.
+    and neither is a copy of the other; differing texts under one id are documents of their own, each judged by its own
+    text, in an order among themselves that their hashes fix. Rows with a null id have no place in the order: they match
+    nothing and stay whole. kept_text may hold a replacement character where a removed run cut a character in two. Texts
+    of any length are read whole. Extra columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     lean_batches(spark)
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    docs = given.filter("doc_id IS NOT NULL")
+    given, size = _keyed(take(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")))
+    docs = given.filter("key IS NOT NULL").select(F.col("key").alias("doc_id"), "text")
     # winnowing takes two of the width - gram + 2 places of a window as anchors
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     ranges = max(64, 2 * size // (width - gram + 2) // RANGE)
     found = docs.mapInArrow(_scan(width, gram, ranges), SENT).groupBy("part").applyInArrow(_settle, FOUND)
     found = cut(found, "anchors")
@@ -427,7 +445,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = found.filter("kind = 0").groupBy("doc_id").agg(F.collect_list("body").alias("whole"))
     gone = cut(whole.join(single, "doc_id", "full"), "gone")
     schema = RESULT + (", kept_text string" if with_text else "")
-    return given.join(gone, "doc_id", "left").select("doc_id", "text", "whole", "a", "b").mapInArrow(_apply(width, gram, with_text), schema)
+    return given.join(gone.withColumnRenamed("doc_id", "key"), "key", "left").select("doc_id", "text", "whole", "a", "b").mapInArrow(_apply(width, gram, with_text), schema)
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,10 +224,10 @@ def near(spark, rows, **kw):
     return sorted(map(tuple, got.collect()), key=repr)
 
 
-@pytest.mark.parametrize(("small", "tile", "seed"), [(8, (1 << 17, 1 << 10), 1), (1, (400, 8), 2), (2, (1 << 17, 5), 3)])
-def test_near_components(spark, small, tile, seed):
+@pytest.mark.parametrize(("small", "few", "tile", "seed"), [(8, 1 << 16, (1 << 17, 1 << 10), 1), (1, 0, (400, 8), 2), (2, 1 << 16, (1 << 17, 5), 3)])
+def test_near_components(spark, small, few, tile, seed):
     rows = near_copies(seed)
-    assert near(spark, rows, small=small, tile=tile) == sorted(brute_components(rows), key=repr)
+    assert near(spark, rows, small=small, few=few, tile=tile) == sorted(brute_components(rows), key=repr)
 
 
 def test_near_components_of_chains_and_short_texts(spark):
@@ -235,8 +235,8 @@ def test_near_components_of_chains_and_short_texts(spark):
     words = [f"c{k}" for k in range(60)]
     rows = [" ".join(words[k : k + 24]) for k in range(0, 36)] + [" ".join(words[:k]) for k in range(7)] + [" ".join(words[:k]) + " x" for k in range(7)] + ["a a a a", "A a a", "a"]
     rows = list(enumerate(rows))
-    for small, tile in ((1, (60, 4)), (8, (1 << 17, 1 << 10))):
-        assert near(spark, rows, small=small, tile=tile) == sorted(brute_components(rows), key=repr)
+    for small, few, tile in ((1, 0, (60, 4)), (8, 1 << 16, (1 << 17, 1 << 10))):
+        assert near(spark, rows, small=small, few=few, tile=tile) == sorted(brute_components(rows), key=repr)
 
 
 def test_near_components_of_one_template(spark):

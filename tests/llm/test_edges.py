@@ -77,6 +77,35 @@ def test_rows_that_repeat_an_id_stay(spark):
     assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (1, 0), (2, len(text))]
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    """Whatever repeats is removed once, and nothing of a text that is like no other."""
+    p, q = (" ".join(f"{k}{i * 7919 % 1000}" for i in range(100)) for k in "pq")
+    rows = [(1, p, "en", "a"), (2, p, "en", "a"), (2, q, "en", "a"), (2, q, "en", "a"), (3, q, "en", "a"), (None, q, "en", "a"), (4, None, "en", "a"), (4, "", "en", "a")]
+    got = suffix_dedup.suffix_dedup(docs_of(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed) for r in got), key=repr) == sorted([(1, len(p), 0), (2, len(p), len(p)), (2, len(q), 0), (2, len(q), 0), (3, len(q), len(q)), (None, len(q), 0), (4, 0, 0), (4, 0, 0)], key=repr)
+
+
+INNER = ["_lost", "_digest", "body", "digest", "key", "h", "h2", "all", "c0", "class", "class2", "label", "node", "n_shingles", "component_id", "t", "_mx_tokens", "_mx_kept", "_mx_id", "_mx_source", "topic", "doc", "whole", "a"]
+
+
+@pytest.mark.parametrize("upper", [False, True])
+def test_stages_keep_columns_of_any_name(spark, upper):
+    """Columns named as the stages' own, and columns that differ from theirs in case alone, go along as they are."""
+    import corpus_pipeline
+
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, words, "en", "a"), (2, words, "en", "a"), (3, f"{words} more", "en", "b"), (4, "some other text of an english kind", "en", "b")]
+    more = ["TEXT", "Doc_Id", "LANG", "Source"] if upper else INNER
+    docs = spark.createDataFrame([(*r, *(f"{c}-{r[0]}" for c in more)) for r in rows], ", ".join(["doc_id long", "text string", "lang string", "source string", *(f"`{c}` string" for c in more)]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        found = [tuple(r) for r in got.collect()]
+        assert found or name == "mixing"
+        assert all(r[4:] == tuple(f"{c}-{r[0]}" for c in more) for r in found)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 4
+
+
 def test_language_id(odd, empty):
     got = language_id.identify(odd)
     assert got.count() == odd.count()
@@ -143,6 +172,25 @@ def test_chat_format(spark):
     assert chat_format.read_back(chat_format.format_chat(talks.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("body", [" " * 5_000_000, "\n" * 1_500_000 + "end", "x" * 5_000_000, "[INST]" * 300_000, "word " * 500_000 + "\t" * 200_000, "<" + "\\" * 300_000 + "s>"])
+def test_chat_of_very_long_runs(body):
+    ids, mask = chat_format.turn_tokens("assistant", body, chat_format.VOCABULARY)
+    enc, control = chat_format.encoder(chat_format.VOCABULARY)
+    assert chat_format.unescape(enc.decode(ids[mask == 1].tolist())) == body
+    assert (ids[0], ids[-1], int(mask[0]), int(mask[-1])) == (control["<s>"], control["</s>"], 0, 0)
+    assert max(ids[1:-1]) < min(control.values())
+
+
+def test_stretches_encode_as_the_whole():
+    enc, _ = chat_format.encoder(chat_format.VOCABULARY)
+    rng = np.random.default_rng(2)
+    bits = ["don't", " ", "  ", "\n", "\t", "word", "12", "é名", "...", " x", "[INST]", " \n "]
+    text = "".join(bits[k] for k in rng.integers(0, len(bits), 120_000))
+    assert len(text) > 3 * chat_format.LOT
+    assert "".join(chat_format.lots(text)) == text
+    assert chat_format.encoded(enc, text) == enc.encode_ordinary(text)
+
+
 def test_chroma(spark):
     v = [float(x) for x in np.random.default_rng(1).normal(size=64)]
     rows = [(100, v), (1, v), (2, None), (3, []), (None, v), (4, [0.0] * 64), (5, [None, float("nan")] + v[2:])]
