@@ -1,15 +1,14 @@
 """SentencePiece encoding and decoding with seeded merge-dropout.
 
 Merges come from a public BPE model with byte fallback. Adjacent pairs wait in an agenda, best score first and leftmost
-where scores tie; a candidate that comes up is skipped if a hash keyed by seed, document and the word's place in it
-says so. With probability 0 the result is the model's own segmentation. Any result decodes to the text it came from.
+where scores tie; each candidate that comes up is skipped if a hash of its number in the agenda, keyed by seed, document
+and the word's place in it, says so: one rule for words of any length. With probability 0 the result is the model's own segmentation. Any result decodes to the text it came from.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain, repeat
@@ -72,6 +71,15 @@ class Pieces:
         return [got] if got is not None else [self.byte[b] for b in piece.encode()]
 
 
+def step_hash(key, step):
+    """32 bits for a candidate by its key and its number; of 64-bit arrays, or of Python integers."""
+    if isinstance(key, int):
+        h = ((key ^ (step * 0x9E3779B97F4A7C15 & _M)) * 0xD6E8FEB86659FD93) & _M
+        return (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 >> 20 & 0xFFFFFFFF
+    h = (key ^ (step.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20) & np.uint64(0xFFFFFFFF)
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
@@ -99,12 +107,8 @@ def merge(word: str, p: Pieces, key: int, limit: int, dropped: tuple[int, ...] =
         if left is None or j >= n or len(left) + len(part[j]) != size:
             continue
         step += 1
-        if step in dropped:
+        if step in dropped or (limit and step_hash(key, step) < limit):
             continue
-        if limit:
-            h = ((key ^ (i * 0x9E3779B97F4A7C15 + size * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) & _M
-            if (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 >> 20 & 0xFFFFFFFF < limit:
-                continue
         part[i] = left = left + part[j]
         part[j] = None
         k = after[i] = after[j]
@@ -125,11 +129,6 @@ def merge(word: str, p: Pieces, key: int, limit: int, dropped: tuple[int, ...] =
     return out
 
 
-def word_key(word: str, variant: int, seed: int) -> int:
-    raw = word.encode()
-    return zlib.crc32(raw, seed) << 32 | zlib.crc32(raw, seed + 1 + variant)
-
-
 class Pairs:
     """Two symbols to the piece they make and its place in the order of scores: an open-addressing table in arrays."""
 
@@ -176,7 +175,7 @@ class Pairs:
 
 
 NEVER = np.int32(1 << 30)
-#: Words up to this length are merged side by side.
+#: Words up to this length are merged side by side and remembered; no result depends on it.
 SHORT = 24
 
 
@@ -227,11 +226,7 @@ def merge_many(words: list[str], keys: np.ndarray, table: Pairs, limit: int, dro
         at = at[rows]
         skip = np.zeros(len(rows), bool)
         if limit:
-            place = at.astype(np.uint64)
-            size = after[rows, after[rows, at]].astype(np.uint64) - place
-            h = (keys[rows] ^ (place * np.uint64(0x9E3779B97F4A7C15) + size * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0xD6E8FEB86659FD93)
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20) & np.uint64(0xFFFFFFFF)
-            skip |= h < np.uint64(limit)
+            skip |= step_hash(keys[rows], np.array([step])) < np.uint64(limit)
         if dropped is not None and step < dropped.shape[1]:
             skip |= dropped[live[rows], step]
         rank[rows[skip], at[skip]] = NEVER
@@ -254,7 +249,7 @@ class Encoder:
     What it remembers doesn't depend on keys: the stretches of units (a word with its spaces), and for each stretch a
     node for every list of dropped steps met so far, with its ids as little-endian int32 bytes, the steps it takes and
     a place for the node that each further drop leads to.
-    An occurrence draws how many steps pass before its next drop and goes to that node, until the steps run out.
+    An occurrence goes through the steps of its node; where the hash skips one, it goes on from the node with that drop.
     """
 
     def __init__(self, path: str, dropout: float, seed: int):
@@ -270,7 +265,6 @@ class Encoder:
         self.drops: list[tuple[int, ...]] = []
         self.ids: list[bytes] = []
         self.steps = self.after = self.base = np.zeros(0, np.int64)
-        self.spared = np.zeros(0, np.uint64)
 
     def _split(self, units: list[str]) -> list[list[str]]:
         """The stretches of each unit between neighbours that no piece holds; no merge can cross those."""
@@ -326,8 +320,6 @@ class Encoder:
         room = np.maximum(steps - after, 0)
         self.base = np.append(self.base, len(self.kids) + np.cumsum(room) - room)
         self.kids = np.append(self.kids, np.full(int(room.sum()), -1, np.int32))
-        chance = (1 - self.limit / (1 << 32)) ** room
-        self.spared = np.append(self.spared, np.where(steps > after, chance * (1 << 53), 1 << 53).astype(np.uint64))
         return range(start, len(self.words))
 
     def _learn(self, fresh: list[str]) -> None:
@@ -341,31 +333,25 @@ class Encoder:
         self.flat = np.append(self.flat, np.array([self.roots[w] for x in split for w in x], np.int64))
 
     def _drop(self, node: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """The node where each occurrence ends, by its key: a uniform number above (1 - dropout)**steps means a drop."""
-        node, level = node.copy(), 0
-        with np.errstate(divide="ignore"):
-            rate = np.log1p(-self.limit / (1 << 32))
-        live = np.flatnonzero((key >> np.uint64(11)) > self.spared[node])
+        """The node where each occurrence ends, by its key: all go through their steps side by side."""
+        node = node.copy()
+        live = np.flatnonzero(self.steps[node] > self.after[node])
+        step = self.after[node[live]]
         while len(live):
-            level += 1
-            at = node[live]
-            u = key[live] if level == 1 else mix(key[live] + np.uint64(level * 0xC2B2AE3D27D4EB4F & _M))
-            u = ((u >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
-            step = self.after[at] + np.minimum(np.log(u) / rate, 1 << 20).astype(np.int64)
-            on = step < self.steps[at]
-            live, at = live[on], at[on]
-            step = step[on]
-            slot = self.base[at] + step - self.after[at]
+            hit = np.flatnonzero(step_hash(key[live], step) < np.uint64(self.limit))
+            at, on = node[live[hit]], step[hit]
+            slot = self.base[at] + on - self.after[at]
             new = np.flatnonzero(self.kids[slot] < 0)
             if len(new):
                 _, once = np.unique(slot[new], return_index=True)
                 new = new[once]
                 parents = at[new].tolist()
-                made = self._grow([self.words[k] for k in parents], [(*self.drops[k], x) for k, x in zip(parents, step[new].tolist(), strict=True)])
+                made = self._grow([self.words[k] for k in parents], [(*self.drops[k], x) for k, x in zip(parents, on[new].tolist(), strict=True)])
                 self.kids[slot[new]] = np.arange(made.start, made.stop)
-            at = self.kids[slot].astype(np.int64)
-            node[live] = at
-            live = live[self.steps[at] > self.after[at]]
+            node[live[hit]] = self.kids[slot]
+            step = step + 1
+            more = step < self.steps[node[live]]
+            live, step = live[more], step[more]
         return node
 
     def encode_many(self, texts: list[str], docs: list[int | None]) -> list[bytes]:
@@ -401,8 +387,7 @@ class Encoder:
             node = self._drop(node, key)
         ids = list(map(self.ids.__getitem__, node.tolist()))
         for k in np.flatnonzero(self.steps[node] < 0).tolist():
-            w = self.words[node[k]]
-            ids[k] = np.array(merge(w, self.p, word_key(w, int(key[k]) & 0xFFFFFFFF, self.seed), self.limit), "<i4").tobytes()
+            ids[k] = np.array(merge(self.words[node[k]], self.p, int(key[k]), self.limit), "<i4").tobytes()
         out, at, c = [], 0, 0
         for x in runs:
             bodies = []
@@ -458,7 +443,8 @@ def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT,
 
     decoded_sha256 is over what the ids decode to, which is the text. Null texts count as empty and have no
     piece. Every occurrence of a word is cut on its own key of seed, document id and place in the document;
-    null ids count as one id. Repeated rows give repeated rows; extra columns are not read.
+    null ids count as one id. Repeated rows give repeated rows; extra columns are not read. Texts of any length are read
+    whole, and an empty table gives an empty result.
     """
     lean_batches(docs.sparkSession)
     schema = "doc_id long, n_pieces long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")

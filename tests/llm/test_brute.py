@@ -351,7 +351,7 @@ def test_dropout_round_trips_and_varies(dropout):
     for t in TEXTS:
         assert merge_dropout.decode(e.encode(t, 1)) == t
     words = sorted({w for k in range(300) for w in e._split([f"▁tion{k}ingness"])[0] if 1 < len(w) <= merge_dropout.SHORT})
-    keys = np.array([merge_dropout.word_key(w, 1, 3) for w in words], np.uint64)
+    keys = np.random.default_rng(1).integers(0, 1 << 63, len(words), dtype=np.uint64)
     table, p = merge_dropout.pair_table(merge_dropout.MODEL), merge_dropout.pieces(merge_dropout.MODEL)
     for w, k, x in zip(words, keys, merge_dropout.merge_many(words, keys, table, e.limit), strict=True):
         assert np.frombuffer(x, "<i4").tolist() == merge_dropout.merge(w, p, int(k), e.limit)
@@ -369,7 +369,8 @@ def test_every_occurrence_has_its_own_dropout():
             forms.append(tuple(word))
             word = []
     across = [tuple(e.encode("understanding", d)) for d in range(n)]
-    keyed = [tuple(merge_dropout.merge("▁understanding", p, merge_dropout.word_key("▁understanding", d, 13), e.limit)) for d in range(n)]
+    rnd = random.Random(5)
+    keyed = [tuple(merge_dropout.merge("▁understanding", p, rnd.getrandbits(64), e.limit)) for d in range(n)]
     for got in (forms, across):
         assert len(got) == n
         assert len(set(got)) > 4
@@ -379,6 +380,27 @@ def test_every_occurrence_has_its_own_dropout():
         assert steps < 0 or np.frombuffer(x, "<i4").tolist() == merge_dropout.merge(w, p, 0, 0, dropped)
 
 
+@pytest.mark.parametrize("dropout", [0.1, 0.6])
+def test_whole_texts_against_the_plain_agenda(dropout):
+    """Each stretch of a text by its own key, through the agenda alone, and words of every length by the one rule."""
+    rnd = random.Random(6)
+    e = merge_dropout.Encoder(merge_dropout.MODEL, dropout, 13)
+    p = merge_dropout.pieces(merge_dropout.MODEL)
+    vocabulary = ["the", "understanding", "internationalisation", "x" * 30, "donaudampfschifffahrtsgesellschaft", "naïve,", "日本語", "12.5", "\n", "ab" * 40, "a" * 24, "a" * 25]
+    texts = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(0, 60))) for _ in range(30)]
+    docs = [rnd.choice([None, rnd.randint(-9, 1 << 40)]) for _ in texts]
+    long = 0
+    for text, doc, raw in zip(texts, docs, e.encode_many(texts, docs), strict=True):
+        units = merge_dropout._UNIT.findall((" " + text).replace(" ", "▁")) if text else []
+        stretches = [w for x in (e._split(units) if units else []) for w in x]
+        key = merge_dropout.mix(np.array([merge_dropout.NAMELESS if doc is None else doc & (1 << 64) - 1], np.uint64) + merge_dropout.mix(np.array([13], np.uint64)))
+        keys = merge_dropout.mix(key + np.arange(len(stretches), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).tolist()
+        want = [i for w, k in zip(stretches, keys, strict=True) for i in merge_dropout.merge(w, p, k, e.limit)]
+        assert np.frombuffer(raw, "<i4").tolist() == want
+        long += sum(len(w) > merge_dropout.SHORT for w in stretches)
+    assert long > 20
+
+
 def test_zip_both_ways():
     body = warc_zip.zip_stored([("a/b", b"x" * 1000), ("c", b"")])
     with zipfile.ZipFile(io.BytesIO(body)) as z:
