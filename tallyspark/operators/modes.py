@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -32,6 +32,16 @@ def modal(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str] = (
     return counts.withColumn("share", F.col("n") / total).withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(*by, name, "n", "share")
 
 
+def modal_table(df: DataFrame, fields: Mapping[str, str | None], order: Sequence[str]) -> DataFrame:
+    """field, scope, mode, n: the commonest filled value of each field as a string, within each value of its scope column (''
+    for a field without one), from one scan; of equals, the one that comes first by `order`."""
+    each = [F.struct(F.lit(f).alias("field"), (F.col(s).cast("string") if s else F.lit("")).alias("scope"), F.when(filled(f), F.col(f).cast("string")).alias("mode")) for f, s in fields.items()]
+    rows = df.select(F.struct(*order).alias("_o"), F.inline(F.array(*each))).filter(F.col("mode").isNotNull())
+    counts = rows.groupBy("field", "scope", "mode").agg(F.count("*").alias("n"), F.min("_o").alias("_first"))
+    best = counts.groupBy("field", "scope").agg(F.min(F.struct((-F.col("n")).alias("m"), "_first", "mode")).alias("b"))
+    return best.select("field", "scope", F.col("b.mode").alias("mode"), (-F.col("b.m")).alias("n"))
+
+
 def upper_medians(df: DataFrame, by: Sequence[str], value: str, name: str = "upper_median") -> DataFrame:
     """by..., n, and sorted(x)[n // 2] of each group's values that aren't null; groups without any are left out.
 

@@ -123,6 +123,14 @@ def below_floor(df: DataFrame, group: Sequence[str], column: str, floor: float,
     return df.groupBy(*group).agg(rate.alias("r")).filter(F.col("r") < floor).select(F.lit(invariant).alias("invariant"), F.concat_ws("/", *group).alias("key"))
 
 
+def by_group(df: DataFrame, group: Sequence[str], rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """(invariant, key, n) for each group in which a rule's aggregate counts n findings, n over 0: any number of rules in one
+    grouped pass. A row rule is F.count_if(~ok), a rule of the group F.when(broken, 1)."""
+    out = df.groupBy(*group).agg(*(F.coalesce(c.cast("long"), F.lit(0)).alias(f"_r{k}") for k, (_, c) in enumerate(rules)))
+    found = F.array(*(F.when(F.col(f"_r{k}") > 0, F.struct(F.lit(n).alias("invariant"), F.col(f"_r{k}").alias("n"))) for k, (n, _) in enumerate(rules)))
+    return out.select(F.concat_ws("/", *group).alias("key"), F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x")).select("x.invariant", "key", "x.n")
+
+
 def counts_differ(rows: DataFrame, entries: DataFrame, key: Sequence[str], claimed: str, invariant: str) -> DataFrame:
     """(invariant, key) for each entry whose claimed number of rows isn't the number there is; no rows are 0."""
     have = rows.groupBy(*key).agg(F.count("*").alias("n"))
