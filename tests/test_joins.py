@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import match, modes, parts, spatial
+from tallyspark.operators import canonical, match, modes, parts, spatial
 
 
 @pytest.mark.parametrize("cell", [3.0, 32.0, 1000.0])
@@ -69,6 +71,33 @@ def test_upper_medians(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("threshold", [0.89, 0.75, 0.6])
+def test_clusters_of_one_block(spark, threshold):
+    """Values of one block, short, long and with repeated pairs, each to the first head that is alike; the bound of shared
+    pairs loses none."""
+    rnd = random.Random(threshold)
+    bases = ["a", "ab", "aba", "abab", "banana", "bananas", "north east", "aaaaaaaa", "the old market place", "x" * 30] + ["".join(rnd.choice("abcde ") for _ in range(rnd.randint(1, 25))).strip() or "q" for _ in range(12)]
+    values = []
+    for b in bases:
+        for _ in range(rnd.randint(1, 6)):
+            v = list(b)
+            for _ in range(rnd.randint(0, 3)):
+                i = rnd.randrange(len(v) + 1)
+                v[i : i + rnd.randint(0, 1)] = rnd.choice(["", "a", "b", "z"])
+            values += ["".join(v)] * rnd.randint(1, 3)
+    values = [v for v in values if v.strip()]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (" ",)], "v string").selectExpr("'f' AS f", "1 AS s", "v")
+    got = {r.variant: (r.canonical, r.n) for r in canonical.clusters(df, "f", "s", "v", threshold).collect()}
+    counts, heads, want = Counter(values), [], {}
+    for v, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
+        head = next((h for h in heads if SequenceMatcher(None, v, h, autojunk=False).ratio() >= threshold), None)
+        if head is None:
+            heads.append(v)
+        want[v] = head or v, n
+    assert got == want
+    assert len(heads) < len(want)
+
+
 def test_small_operators_of_second_readings(spark):
     rows = [(1, 30, "12", "F"), (2, None, "12", "F"), (3, 30, "", "F"), (4, 30, None, "F"), (5, 30, "1", ""), (6, 0, "1", "M")]
     df = spark.createDataFrame(rows, "k int, age int, house string, sex string")
