@@ -131,23 +131,34 @@ def id_filter(ids: DataFrame, col: str) -> IdFilter:
     return IdFilter(ids.sparkSession.sparkContext.broadcast(packed.tobytes()), wide)
 
 
+#: Rows of a table that one task handles sooner than a shuffle.
+SMALL_TABLE = 1 << 17
+
+
+def tight(df: DataFrame, rows: int) -> DataFrame:
+    """df in one partition if it has few rows: grouping and joining it with its like then take no shuffle. Larger tables stay
+    as they are dealt."""
+    return df.coalesce(1) if rows <= SMALL_TABLE else df
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable from each node of edges(a, b); distributed large-star, small-star.
 
     Edges stay in DataFrames; each round ends in a written table, so lost executors cost one round at most. The centre
     of a large star is dealt over salted copies of its one row. Rounds go on until all is stars; their number grows
-    with the logarithm of the nodes.
+    with the logarithm of the nodes. A few edges are one partition, and their rounds take no shuffle.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
     while True:
         n = e.count()
-        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        e = tight(e, n)
+        both = e.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
         large = salted_join(both.filter("v > u"), low, "u", "n", 2 * n, "v").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = cut(large, "edges")
+        large = tight(cut(large, "edges"), n)
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = salted_join(large, least, "u", "n", n, "v").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = cut(small.filter("u <> v").distinct(), "edges")
+        e = tight(cut(tight(small, n).filter("u <> v").distinct(), "edges"), n)
         # Stars are reached when no node is a leaf of two centres and no centre is a leaf.
         heads = e.select(F.col("v").alias("u")).distinct()
         if e.join(heads, "u", "left_semi").isEmpty() and e.groupBy("u").count().filter("count > 1").isEmpty():
