@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -11,19 +10,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from tallyspark.session import shared_folder
 from tallyspark.sources.tables import csv_value
 
 
+_scratched: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the driver and all executors share, spark.checkpoint.dir; one of our own in local mode
-    where that is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="tallyspark-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; see sweep()."""
+    _scratched.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _scratched[-1]
+
+
+def sweep(spark: SparkSession) -> int:
+    """Delete what was written under all paths of scratch() so far, once no plan that reads it will run again."""
+    n = len(_scratched)
+    while _scratched:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_scratched.pop() + "*")
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in fs.globStatus(at) or ():
+            fs.delete(found.getPath(), True)
+    return n
 
 
 LOOKUP = "field string, native string, frequency long, roman string, source string, variant string, authority string, note string"

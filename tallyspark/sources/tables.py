@@ -69,8 +69,12 @@ def csv_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*(csv_value(F.col(c), df.schema[c].dataType).alias(c) for c in columns))
 
 
-def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    csv_text(df, columns).write.option("header", True).option("emptyValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, columns: Sequence[str], mark: bool = False) -> None:
+    """df under the CSV convention with a head in each file, which begins with a byte order mark if asked for."""
+    text = csv_text(df, columns)
+    if mark:
+        text = text.withColumnRenamed(columns[0], "\ufeff" + columns[0])
+    text.write.option("header", True).option("emptyValue", "").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -217,6 +217,14 @@ def test_csv_keeps_null_and_blank_apart(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_csv_with_a_byte_order_mark(spark, tmp_path):
+    rows = [("1,2", None), ("", True)]
+    S.write_csv(spark.createDataFrame(rows, "a string, b boolean").coalesce(1), str(tmp_path / "m"), ["a", "b"], mark=True)
+    raw = next((tmp_path / "m").glob("*.csv")).read_bytes()
+    assert raw.startswith(b"\xef\xbb\xbfa,b")
+    assert sorted(tuple(r) for r in S.read_csv(spark, str(tmp_path / "m"), "a string, b boolean").collect()) == sorted(rows)
+
+
 def test_jsonl_and_zip(spark, tmp_path):
     import zipfile
 

@@ -118,3 +118,15 @@ def test_versions_of_a_step(spark):
     assert got == {("early", "sum", 6.0, 5.0, -1.0), ("late", "sum", 6.0, 4.0, -2.0), ("combined", "sum", 12.0, 9.0, -3.0), ("none", None, None, None, None)}
     assert [r.passed for r in replay.judged(measured, "a", "b", "sum", 0.1, [], lower_is_better=["sum"]).collect()] == [True]
     assert [r.passed for r in replay.judged(measured, "a", "b", "sum", 0.1, ["gone"]).collect()] == [False, False]
+
+
+def test_scratch_files_go(spark):
+    at = sinks.scratch(spark, "here")
+    spark.range(2).write.parquet(at)
+    spark.range(2).write.parquet(f"{at}-more")
+    before = spark.conf.get("spark.checkpoint.dir")
+    assert sinks.sweep(spark) >= 1
+    assert spark.conf.get("spark.checkpoint.dir") == before
+    for path in (at, f"{at}-more"):
+        with pytest.raises(Exception, match="(?i)exist"):
+            spark.read.parquet(path).count()
