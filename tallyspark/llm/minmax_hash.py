@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.common import components, cut, id_filter, lean_batches, salted_join, take
 from tallyspark.llm.kernels import mix, release, shingle_sets
-from tallyspark.llm.ngram_join import class_keys
+from tallyspark.llm.ngram_join import class_keys, jaccard_sql
 
 WIDTH = 2
 BANDS, ROWS = 40, 5
@@ -262,3 +262,6 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op13_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP13_SQL = jaccard_sql(WIDTH, ", doc_id = component_id AS kept")

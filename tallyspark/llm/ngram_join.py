@@ -483,3 +483,24 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def jaccard_sql(width: int, more: str = "") -> str:
+    """Documents, the sizes of their shingle sets and their components as SQL: pairs by shared shingles, links by counts, and
+    the ids that links reach. `more` adds columns."""
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i + {width - 1}], ' '))) END AS g FROM w),
+s AS (SELECT doc_id, unnest(g) AS g FROM g),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN g a ON a.doc_id = x JOIN g b ON b.doc_id = y WHERE 100 * c >= 80 * (len(a.g) + len(b.g) - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM g UNION SELECT r.a, e.y FROM r JOIN e ON e.x = r.b),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, len(g.g)::BIGINT AS n_shingles, component_id{more} FROM g JOIN m USING (doc_id)
+"""
+
+
+OP3_SQL = jaccard_sql(WIDTH, ", CASE WHEN len(g.g) > 0 THEN min(doc_id) OVER (PARTITION BY list_sort(g.g)) ELSE doc_id END AS class_id")

@@ -8,9 +8,9 @@ from tallyspark.llm.divergence import OP11_SQL, op11_source_divergence
 from tallyspark.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from tallyspark.llm.language_id import op7_language_id
 from tallyspark.llm.merge_dropout import op8_sentencepiece_dropout
-from tallyspark.llm.minmax_hash import op13_minmax_near_dedup
+from tallyspark.llm.minmax_hash import OP13_SQL, op13_minmax_near_dedup
 from tallyspark.llm.mixing import OP6_SQL, op6_mixing
-from tallyspark.llm.ngram_join import op3_ngram_jaccard_join
+from tallyspark.llm.ngram_join import OP3_SQL, op3_ngram_jaccard_join
 from tallyspark.llm.suffix_dedup import op9_suffix_array_dedup
 from tallyspark.llm.toxicity import op1_toxicity
 from tallyspark.llm.warc_zip import OP2_SQL, op2_warc_zip
@@ -35,8 +35,10 @@ QUERIES = {
 
 SQL = {
     "op2_warc_zip": OP2_SQL,
+    "op3_ngram_jaccard_join": OP3_SQL,
     "op4_chat_format": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op6_mixing": OP6_SQL,
     "op11_source_divergence": OP11_SQL,
+    "op13_minmax_near_dedup": OP13_SQL,
 }
