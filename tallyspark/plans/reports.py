@@ -194,7 +194,11 @@ def box_columns(spark, d):
     return out.select("page", F.col("col").cast("long").alias("col"), "left", "divider", "right")
 
 
-@query()
+@query("""WITH b AS (SELECT s_suppkey % 10 AS part, s_suppkey AS page, c::INTEGER AS col, CASE c WHEN 0 THEN 39 WHEN 1 THEN 567 ELSE 1094 END + s_suppkey % 3 AS "left", CASE WHEN c = 0 THEN 427 WHEN c = 1 THEN 955 WHEN s_suppkey % 5 = 0 THEN 1482 ELSE 1483 END + s_suppkey % 3 AS divider, CASE c WHEN 0 THEN 541 WHEN 1 THEN 1069 ELSE 1597 END + s_suppkey % 3 AS "right" FROM supplier, range(3) t(c) WHERE s_suppkey % 7 <> 0),
+ u AS (SELECT part, col, 'left' AS side, "left" AS v FROM b UNION ALL SELECT part, col, 'divider', divider FROM b UNION ALL SELECT part, col, 'right', "right" FROM b),
+ n AS (SELECT a.part, a.col, a.side, a.v, count(*) AS n FROM (SELECT DISTINCT * FROM u) a JOIN u o ON o.part = a.part AND o.col = a.col AND o.side = a.side AND abs(a.v - o.v) <= 2 GROUP BY ALL),
+ t AS (SELECT part, col, side, first(v ORDER BY n DESC, v) AS v FROM n GROUP BY ALL), w AS (SELECT part, col, max(v) FILTER (side = 'left') AS "left", max(v) FILTER (side = 'divider') AS divider, max(v) FILTER (side = 'right') AS "right" FROM t GROUP BY ALL)
+ SELECT part, page, col, "left", divider, "right", true AS own FROM b UNION ALL SELECT w.part, s_suppkey, col, "left", divider, "right", false FROM supplier JOIN w ON w.part = s_suppkey % 10 WHERE s_suppkey % 7 = 0""")
 def recovered_pages(spark, d):
     """Pages whose columns can't be read take the ones that their part's full pages share."""
     boxes = grid.box_columns(grid.rule_clusters(_rules(spark, d).filter("page % 7 <> 0 OR at < 900"), ["part", "page"], "at"), ["part", "page"])
