@@ -14,7 +14,7 @@ match lies around a shared anchor. An anchor's window is all bytes that such a s
      than CROWD is dealt over lots of about that many. What is first in its lot then meets its equals from other lots
      in blocks of strings, which go through suffix arrays again.
 
-Each task holds a range of anchors, a lot of windows or a block of strings; their numbers follow the input's bytes.
+Each task holds a range of (hashed) anchors, a lot of windows or a block of strings; their numbers follow the input's bytes.
 """
 
 from __future__ import annotations
@@ -110,7 +110,10 @@ def _scan(width: int, gram: int, ranges: int):
                 body.append(pack_sorted(pos[again[a:b]].astype(np.uint64)))
         yield pa.table({"part": pa.array(part, pa.int64()), "kind": pa.array([1] * len(part), pa.int32()), "doc_id": pa.array(ids, pa.int64()), "body": pa.array(body, pa.binary())})
         keep = order[first]
-        to = ((anchor[keep] * np.uint64(ranges)) >> shift).astype(np.int64)
+        # minima are small numbers, so that they are dealt by another hash; within a range they stay sorted
+        to = (((mix(anchor[keep]) >> np.uint64(64 - ANCHOR_BITS)) * np.uint64(ranges)) >> shift).astype(np.int64)
+        dealt = np.argsort(to, kind="stable")
+        keep, to = keep[dealt], to[dealt]
         cuts = np.searchsorted(to, np.arange(ranges + 1))
         part, body = [], []
         for r in np.flatnonzero(np.diff(cuts)):
