@@ -33,11 +33,11 @@ def reissued_rows(spark, d):
  SELECT user_id, 'h' || user_id AS owner, 'claimed' AS event, a::BIGINT AS "at" FROM x UNION ALL SELECT user_id, 'h' || user_id, 'dropped', b::BIGINT FROM x WHERE i < last OR b <= mark""")
 def leases(spark, d):
     """Users who hold themselves by an event every ten hours, and lose themselves by a timer where none comes."""
-    L.use_timers(spark)
+    own, at = L.with_timers(spark), scratch(spark, "leases")
     shape = table(spark, d, "events").schema
-    beats = spark.readStream.schema(shape).parquet(f"{d}/events.parquet*").select("user_id", F.concat(F.lit("h"), F.col("user_id").cast("string")).alias("host"), F.col("ts").cast("timestamp").alias("ts"))
-    out = pulls.landed(L.lease_events(beats, "user_id", "host", "ts", 36_000), scratch(spark, "leases"))
-    return out.select("user_id", "owner", "event", F.unix_millis("at").alias("at"))
+    beats = own.readStream.schema(shape).parquet(f"{d}/events.parquet*").select("user_id", F.concat(F.lit("h"), F.col("user_id").cast("string")).alias("host"), F.col("ts").cast("timestamp").alias("ts"))
+    held = pulls.landed(L.lease_events(beats, "user_id", "host", "ts", 36_000), at)
+    return spark.read.schema(held.schema).parquet(f"{at}/rows").select("user_id", "owner", "event", F.unix_millis("at").alias("at"))
 
 
 @query("""WITH n AS (SELECT user_id, ts, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), i AS (SELECT user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS i FROM n),

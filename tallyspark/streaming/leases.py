@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -66,13 +66,17 @@ def lease_events(beats: DataFrame, key: str, host: str, stamp: str, lease: int =
     A free key goes to the first host to beat; a holder keeps it by beating again within `lease` seconds, and other hosts'
     beats count for nothing meanwhile. When the watermark passes the end of a lease its holder is dropped by a timer and
     the key's state is gone, whether or not anyone beats again. Beats older than the watermark are left out. What is kept
-    is one row for each key that is held. The session needs the state store that timers ask for; see use_timers().
+    is one row for each key that is held. Beats come from a session of with_timers().
     """
     kind = beats.schema[key].dataType.simpleString()
     rows = beats.select(key, host, stamp).withWatermark(stamp, late)
     return rows.groupBy(key).transformWithStateInPandas(_Leases(key, host, stamp, lease), f"{key} {kind}, owner string, event string, at timestamp", "append", "eventTime")
 
 
-def use_timers(spark) -> None:
-    """Let the session keep state where timers can be kept."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+def with_timers(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's that keeps state where timers can be kept, in as many partitions as there are cores, each
+    of which is a Python worker; streams of leases start from it."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    return own

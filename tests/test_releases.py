@@ -152,17 +152,14 @@ def test_a_stream_stopped_between_write_and_commit(spark, tmp_path):
 
 
 def test_an_owner_is_dropped_by_a_timer(spark, tmp_path):
+    for n, rows in enumerate([[("x", "h1", 0), ("y", "h1", 0)], [("y", "h1", 600), ("x", "h2", 900)], [("y", "h1", 2000), ("y", "h2", 3900)], [("y", "h2", 9000)]]):
+        df = spark.createDataFrame(rows, "k string, host string, s long").withColumn("t", F.timestamp_seconds(F.col("s") + 1_000_000))
+        df.coalesce(1).write.parquet(str(tmp_path / f"beats{n}" / "x"))
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    leases.use_timers(spark)
-    try:
-        for n, rows in enumerate([[("x", "h1", 0), ("y", "h1", 0)], [("y", "h1", 600), ("x", "h2", 900)], [("y", "h1", 2000), ("y", "h2", 3900)], [("y", "h2", 9000)]]):
-            df = spark.createDataFrame(rows, "k string, host string, s long").withColumn("t", F.timestamp_seconds(F.col("s") + 1_000_000))
-            df.coalesce(1).write.parquet(str(tmp_path / f"beats{n}" / "x"))
-        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "beats*" / "x"))
-        got = pulls.landed(leases.lease_events(stream, "k", "host", "t", 1800, "0 seconds"), folder(tmp_path, "leases"))
-        rows = {(r.k, r.owner, r.event, r.s - 1_000_000) for r in got.select("*", F.unix_timestamp("at").alias("s")).collect()}
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    stream = leases.with_timers(spark).readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "beats*" / "x"))
+    got = pulls.landed(leases.lease_events(stream, "k", "host", "t", 1800, "0 seconds"), folder(tmp_path, "leases"))
+    rows = {(r.k, r.owner, r.event, r.s - 1_000_000) for r in got.select("*", F.unix_timestamp("at").alias("s")).collect()}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
     # x is dropped though nobody asks for it again; y's last claim is still held
     assert rows == {("x", "h1", "claimed", 0), ("x", "h1", "dropped", 1800), ("y", "h1", "claimed", 0), ("y", "h1", "dropped", 3800), ("y", "h2", "claimed", 3900), ("y", "h2", "dropped", 5700), ("y", "h2", "claimed", 9000)}
 
