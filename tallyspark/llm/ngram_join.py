@@ -253,7 +253,8 @@ def _index_scan(plan: Plan, sent, k: int = 2, near: IdFilter | None = None):
                     single = single[:0]
                 m = len(single) + len(combined)
                 # the lowest bit of a key tells combinations from single tokens
-                keys = np.concatenate((single >> shift & ~np.uint64(1), combined >> shift | np.uint64(1)))
+                # prefixes are the small ones of a set's tokens; hashed once more, they fill all ranges alike
+                keys = np.concatenate((mix(single) >> shift & ~np.uint64(1), combined >> shift | np.uint64(1)))
                 held.append((keys, np.full(m, class_keys(s, plan.wide)[0]), np.full(m, len(s)), np.concatenate((np.zeros(len(single), np.int64), np.full(len(combined), r)))))
                 size += m
                 if size >= plan.flush:
