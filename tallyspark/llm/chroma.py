@@ -33,6 +33,8 @@ STEPS = (-0.35, 0.0, 0.35)
 _GRAY = np.array([0, 1, 3, 2], np.uint32)
 #: An index key is two integers this many steps apart, hashed together.
 APART = 2
+#: A recording with fewer distinct keys has one for each step.
+FEW_KEYS = 8
 #: Phases of the hop at which a query asks.
 PHASES = 4
 #: Recordings whose index entries may share a block.
@@ -156,51 +158,59 @@ def fingerprints(media: DataFrame, id_col: str, column: str, pcm_of=wav_pcm) ->
 def code_keys(raw: bytes, exact: bool) -> tuple[np.ndarray, np.ndarray]:
     """(keys, steps) of a fingerprint: a key for each pair of integers APART steps apart, or if exact, for each integer.
 
-    A held tone repeats its key; unless exact, its first step stands for it. A fingerprint of APART steps or fewer has its
-    whole code as its key."""
+    A held tone repeats its key; unless exact, its first step stands for it, or all do where few keys are left. A fingerprint
+    of APART steps or fewer has its whole code as its key."""
     x = np.frombuffer(raw, "<u4").astype(np.uint64)
     x = mix(x) if exact else mix(mix(x[:-APART]) + x[APART:]) if len(x) > APART else mix(np.array([sum(int(v) << (32 * k) for k, v in enumerate(x)) & 0xFFFFFFFFFFFFFFFF], np.uint64))
     new = np.ones(len(x), bool)
     if not exact:
         new[1:] &= x[1:] != x[:-1]
+        new |= new.sum() < FEW_KEYS
     return (x[new] >> np.uint64(1)).astype(np.int64), np.flatnonzero(new)
 
 
 def _keys(exact: bool):
-    """(id, key, at) of rows (id, codes): the keys of each recording at each phase, and where they stand in steps of the first
-    phase, to the nearest one."""
+    """(id, key, at, n) of rows (id, codes): the keys of each recording at each phase, where they stand in steps of the first
+    phase, to the nearest one, and how many its first phase has."""
 
     def run(batches):
         for batch in batches:
-            ids, keys, at = [], [], []
+            ids, keys, at, sizes = [], [], [], []
             for i, codes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                n = 0
                 for p, raw in enumerate(codes or ()):
                     k, a = code_keys(raw, exact)
-                    keys.append(k), at.append(a + (2 * p > PHASES)), ids.append(np.full(len(k), i))
+                    n = n or len(k)
+                    keys.append(k), at.append(a + (2 * p > PHASES)), ids.append(np.full(len(k), i)), sizes.append(np.full(len(k), n))
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (ids, keys, at)], names=["id", "key", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (ids, keys, at, sizes)], names=["id", "key", "at", "n"])
 
     return run
 
 
-def _histograms(votes: int, tries: int, exact: bool):
-    """Of a query's hits in one lot of recordings, each recording's most voted offsets; of as many votes, those nearest to 0."""
+def _histograms(votes: int, tries: int, reach: int):
+    """Of a query's hits in one lot of recordings, each recording's most voted offsets; of as many votes, those nearest to 0.
+
+    A place of the index votes for the offset of its hit and for those within `reach`, once for each. `votes` places are
+    asked for, or as many as the smaller of the two recordings has keys.
+    """
 
     def run(key, t):
-        where = t.column("at").combine_chunks()
+        q, where = key[0].as_py(), t.column("at").combine_chunks()
         size = np.diff(where.offsets.to_numpy())
-        m, ma = t.column("m").combine_chunks().flatten().to_numpy(), where.flatten().to_numpy()
-        offset = ma - np.repeat(t.column("qa").to_numpy(), size)
-        other = m != key[0].as_py()
-        (m, offset), n = np.unique(np.stack((m[other], offset[other])), axis=1, return_counts=True)
-        enough = n >= votes
-        m, offset, n = m[enough], offset[enough], n[enough]
-        order = np.lexsort((-offset, np.abs(offset), -n, m))
+        m, at, n = t.column("m").combine_chunks().flatten().to_numpy(), where.flatten().to_numpy(), t.column("n").combine_chunks().flatten().to_numpy()
+        offset = at - np.repeat(t.column("qa").to_numpy(), size)
+        least = np.minimum(np.minimum(n, np.repeat(t.column("qn").to_numpy(), size)), votes)
+        cast = np.unique(np.concatenate([np.stack((m, offset + r, least, at)) for r in range(-reach, reach + 1)], axis=1)[:, np.tile(m != q, 2 * reach + 1)], axis=1)
+        (m, offset, least), count = np.unique(cast[:3], axis=1, return_counts=True)
+        enough = count >= least
+        m, offset, count = m[enough], offset[enough], count[enough]
+        order = np.lexsort((-offset, np.abs(offset), -count, m))
         m, offset = m[order], offset[order]
         first = np.flatnonzero(np.concatenate((np.ones(min(1, len(m)), bool), m[1:] != m[:-1])))
         ends = np.append(first[1:], len(m))[: len(first)]
-        kept = [offset[a : b if exact else min(b, a + tries)] for a, b in zip(first, ends, strict=True)]
-        return pa.table({"q": pa.array(np.full(len(first), key[0].as_py()), pa.int64()), "m": pa.array(m[first], pa.int64()), "offsets": pa.array(kept, pa.list_(pa.int64()))})
+        kept = [offset[a : min(b, a + tries)] for a, b in zip(first, ends, strict=True)]
+        return pa.table({"q": pa.array(np.full(len(first), q), pa.int64()), "m": pa.array(m[first], pa.int64()), "offsets": pa.array(kept, pa.list_(pa.int64()))})
 
     return run
 
@@ -239,13 +249,14 @@ def classes_of(prints: DataFrame) -> DataFrame:
     return prints.filter(F.octet_length("code") > 0).groupBy("code").agg(F.min("id").alias("class_id"), F.count("*").alias("members"), F.max(asks).alias("asked"), F.min_by("phases", F.when(asks, F.col("id"))).alias("phases"))
 
 
-def match(classes: DataFrame, votes: int = 1, tries: int = 3, least: float = 0.2, overlap: float = 0.6, exact: bool = False) -> DataFrame:
+def match(classes: DataFrame, votes: int = 2, tries: int = 3, least: float = 0.2, overlap: float = 0.6, exact: bool = False) -> DataFrame:
     """(query, match, offset, bit_error, steps): for each asked class, the other classes that align with it.
 
     The index holds every key of every class; a query asks with all keys of its code and of its later phases, where it has
-    them. A pair is tried around its `tries` most voted offsets with at least `votes` shared keys, of offsets with as many
-    votes at the nearest to 0. `exact` makes a key of each integer and tries every offset at which one is shared: it finds
-    whatever aligns with one step without an error, at many more candidates.
+    them. A pair is tried around its `tries` most voted offsets, give or take a step, with at least `votes` votes (or as many
+    as there are keys), of offsets with as many votes at the nearest to 0. One shared key is what strangers have, at a rate
+    that more rows don't lower; two at one offset are rare. `exact` makes a key of each integer and tries every offset at
+    which one is shared: it finds whatever aligns with one step without an error, at many more candidates.
 
     Entries of a key lie in blocks of at most BLOCK recordings, dealt by hash; a query's hits in one lot of recordings meet
     in one task, which counts their offsets. No key and no query has all its hits in one task.
@@ -253,11 +264,11 @@ def match(classes: DataFrame, votes: int = 1, tries: int = 3, least: float = 0.2
     phases = F.col("phases") if "phases" in classes.columns else F.lit(None).cast("array<binary>")
     codes = F.array("code") if exact else F.concat(F.array("code"), F.coalesce(phases, F.array().cast("array<binary>")))
     lots = max(1, classes.count() // BLOCK)
-    keyed = classes.select(F.col("class_id").alias("id"), F.array("code").alias("codes")).mapInArrow(_keys(exact), "id long, key long, at long")
-    index = keyed.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(lots)).alias("lot")).agg(F.collect_list(F.struct("id", "at")).alias("e")).select("key", "lot", F.col("e.id").alias("m"), F.col("e.at").alias("at"))
-    asked = classes.filter("asked").select(F.col("class_id").alias("id"), codes.alias("codes")).mapInArrow(_keys(exact), "id long, key long, at long").distinct()
-    hits = asked.select(F.col("id").alias("q"), "key", F.col("at").alias("qa")).join(index, "key")
-    best = hits.select("q", "lot", "qa", "m", "at").groupBy("q", "lot").applyInArrow(_histograms(votes, tries, exact), "q long, m long, offsets array<long>")
+    keyed = classes.select(F.col("class_id").alias("id"), F.array("code").alias("codes")).mapInArrow(_keys(exact), "id long, key long, at long, n long")
+    index = keyed.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(lots)).alias("lot")).agg(F.collect_list(F.struct("id", "at", "n")).alias("e")).select("key", "lot", F.col("e.id").alias("m"), F.col("e.at").alias("at"), F.col("e.n").alias("n"))
+    asked = classes.filter("asked").select(F.col("class_id").alias("id"), codes.alias("codes")).mapInArrow(_keys(exact), "id long, key long, at long, n long").distinct()
+    hits = asked.select(F.col("id").alias("q"), "key", F.col("at").alias("qa"), F.col("n").alias("qn")).join(index, "key")
+    best = hits.select("q", "lot", "qa", "qn", "m", "at", "n").groupBy("q", "lot").applyInArrow(_histograms(*((1, 1 << 62, 0) if exact else (votes, tries, 1))), "q long, m long, offsets array<long>")
     pairs = cut(best, "offsets").join(classes.select(F.col("class_id").alias("q"), F.col("code").alias("x")), "q").join(classes.select(F.col("class_id").alias("m"), F.col("code").alias("y")), "m")
     return pairs.select("q", "m", "offsets", "x", "y").mapInArrow(_settle(least, overlap, 0 if exact else 1), "query long, match long, offset long, bit_error double, steps long")
 

@@ -495,6 +495,19 @@ def test_cut_recordings_are_found(spark):
     assert len(got) >= 0.9 * len(want)
 
 
+def test_held_tones_and_short_recordings_keep_their_links(spark):
+    """One tone throughout has one key, three steps have one pair of steps: fewer keys than votes that are asked for."""
+    t = np.arange(40 * chroma.HOP) / chroma.RATE
+    tone = lambda n, hz=220: (0.8 * np.sin(2 * np.pi * hz * t[:n])).astype(np.float32)
+    three = chroma.FRAME + (chroma.SPAN + 1) * chroma.HOP
+    code = lambda y: chroma.integers(chroma.chroma(np.stack([y])))[0]
+    codes = {100: code(tone(40 * chroma.HOP)), 1: code(tone(30 * chroma.HOP)), 200: code(tone(three, 311)), 2: np.append(code(tone(three, 311)), np.uint32(7))}
+    assert len(codes[200]) == chroma.APART + 1
+    rows = [(k, c.astype("<u4").tobytes(), k % 100 == 0) for k, c in codes.items()]
+    got = chroma.match(spark.createDataFrame(rows, "class_id long, code binary, asked boolean")).collect()
+    assert {(r.query, r.match) for r in got} == aligned(codes, [100, 200]) == {(100, 1), (200, 2)}
+
+
 def test_chroma_of_long_audio_and_equal_votes(spark):
     rng = np.random.default_rng(4)
     t = np.arange(800) / chroma.RATE
