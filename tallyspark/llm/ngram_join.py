@@ -201,8 +201,27 @@ def _stars(key, cls, n, r, large, small: int):
     i = np.flatnonzero(crowded & (np.arange(len(key)) > head))
     i = i[_can_link(n[head[i]], r[head[i]], n[i], r[i])]
     big = np.flatnonzero(crowded)
-    # a member: its class in a, its size and unshared rare tokens in b
-    return crowded, head, _table(0, 0, cls[head[i]], cls[i]), _table(1, key[big].astype(np.int64), cls[big], n[big] * (1 << 31) + r[big])
+    return crowded, head, (cls[head[i]], cls[i]), (key[big].astype(np.int64), cls[big], n[big], r[big])
+
+
+def _distinct(*cols: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows of equally long columns, sorted."""
+    order = np.lexsort(cols[::-1])
+    cols = [c[order] for c in cols]
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in cols], 0)
+    return [c[new] for c in cols]
+
+
+def _pairs_once(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    return _distinct(np.minimum(a, b), np.maximum(a, b))
+
+
+def _dealt(to: np.ndarray, ranges: int, *cols: np.ndarray) -> list[list[np.ndarray]]:
+    """For each range the rows that go to it, in the order in which they come."""
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(ranges + 1))
+    return [[c[order[x:y]] for c in cols] for x, y in zip(cuts, cuts[1:], strict=False)]
 
 
 @dataclass(frozen=True)
@@ -218,26 +237,32 @@ class Plan:
 
 
 def _index_scan(plan: Plan, sent, k: int = 2, near: IdFilter | None = None):
-    """Packed index entries by key range. A key that is crowded in a flush leaves its star and members at once, spread
-    over all ranges, and sends on its first entry alone, marked as large: no hot key reaches one task with all its rows."""
+    """Packed index entries by key range, one row for each range and flush. A key that is crowded in a flush leaves its star
+    and members at once, each pair once, spread over all ranges in their rows, and sends on its first entry alone, marked
+    as large: no hot key reaches one task with all its rows, and a crowd makes no more rows than other texts."""
     shift = np.uint64(64 - KEY_BITS)
 
     def flush(held):
         key, cls, n, r = (np.concatenate(x) for x in zip(*held, strict=True))
         key, cls, n, r, large = _sorted_entries(key, cls, n, r, np.zeros(len(key), bool))
-        crowded, head, *found = _stars(key, cls, n, r, large, plan.small)
+        crowded, head, pairs, members = _stars(key, cls, n, r, large, plan.small)
         on = ~crowded | (head == np.arange(len(key)))
         key, cls, n, r, large = key[on], cls[on], n[on], r[on], crowded[on]
         cuts = _by_range(key, KEY_BITS, plan.ranges)
-        full, body = np.flatnonzero(np.diff(cuts)), []
-        for p in full:
-            a, b = cuts[p], cuts[p + 1]
-            body.append(joined([pack_sorted(key[a:b]), pack(cls[a:b].view(np.uint64)), pack((n[a:b] * 2 + large[a:b]).astype(np.uint64)), pack(r[a:b].astype(np.uint64))]))
-        none = pa.nulls(len(full), pa.int64())
-        yield pa.table({"part": pa.array(full, pa.int64()), "body": pa.array(body, pa.binary()), "kind": pa.nulls(len(full), pa.int32()), "bucket": none, "a": none, "b": none})
-        for t in found:
-            to = (t.column("a").to_numpy() ^ t.column("b").to_numpy()) % plan.ranges
-            yield pa.table({"part": pa.array(to, pa.int64()), "body": pa.nulls(len(to), pa.binary()), **{c: t.column(c) for c in t.column_names}})
+        a, b = _pairs_once(*pairs)
+        pairs = _dealt((a ^ b) % plan.ranges, plan.ranges, a, b)
+        bucket, c, m, q = members
+        at = np.lexsort((bucket, c))
+        members = _dealt(c[at] % plan.ranges, plan.ranges, c[at], bucket[at], m[at], q[at])
+        part, body = [], []
+        for p in range(plan.ranges):
+            x, y = cuts[p], cuts[p + 1]
+            (a, b), (c, *rest) = pairs[p], members[p]
+            if x < y or len(a) or len(c):
+                part.append(p)
+                entries = [pack_sorted(key[x:y]), *(pack(z.astype(np.uint64)) for z in (cls[x:y], n[x:y] * 2 + large[x:y], r[x:y]))]
+                body.append(joined([*entries, *(f(z.astype(np.uint64)) for f, z in ((pack_sorted, a), (pack, b), (pack_sorted, c), *((pack, z) for z in rest)))]))
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(body, pa.binary())], names=["part", "body"])
 
     def run(batches):
         bits = np.frombuffer(sent.value, np.uint8)
@@ -258,12 +283,10 @@ def _index_scan(plan: Plan, sent, k: int = 2, near: IdFilter | None = None):
                 held.append((keys, np.full(m, class_keys(s, plan.wide)[0]), np.full(m, len(s)), np.concatenate((np.zeros(len(single), np.int64), np.full(len(combined), r)))))
                 size += m
                 if size >= plan.flush:
-                    for t in flush(held):
-                        yield from t.to_batches()
+                    yield flush(held)
                     held, size = [], 0
         if size:
-            for t in flush(held):
-                yield from t.to_batches()
+            yield flush(held)
         del held
         release()
 
@@ -280,26 +303,29 @@ def _buckets(small: int):
     """Pairs of classes and members of large buckets, from the packed entries of a range and what was found before."""
 
     def run(t):
-        before = t.filter(t.column("body").is_null()).select(["kind", "bucket", "a", "b"])
-        cols = []
-        for body in t.column("body").drop_null():
-            k, c, n, r = fields(body.as_py())
+        entries, pairs, members = [], [], []
+        for body in t.column("body"):
+            k, c, n, r, a, b, m, *rest = fields(body.as_py())
             n = unpack(n).astype(np.int64)
-            cols.append((unpack_sorted(k), unpack(c).view(np.int64), n >> 1, unpack(r).astype(np.int64), (n & 1).astype(bool)))
-        if not cols:
-            return before
-        key, cls, n, r, large = _sorted_entries(*(np.concatenate(x) for x in zip(*cols, strict=True)))
-        del cols
-        crowded, head, pairs, members = _stars(key, cls, n, r, large, small)
-        left, right, at = [], [], np.arange(len(key))
-        for step in range(1, small):
-            i = np.flatnonzero(~crowded[:-step] & (head[step:] == head[:-step])) if step < len(key) else at[:0]
+            entries.append((unpack_sorted(k), unpack(c).view(np.int64), n >> 1, unpack(r).astype(np.int64), (n & 1).astype(bool)))
+            pairs.append((unpack_sorted(a).view(np.int64), unpack(b).view(np.int64)))
+            members.append([x.view(np.int64) for x in (unpack_sorted(m), *map(unpack, rest))])
+        key, cls, n, r, large = _sorted_entries(*(np.concatenate(x) for x in zip(*entries, strict=True)))
+        del entries
+        crowded = np.zeros(0, bool)
+        if len(key):
+            crowded, head, star, (bucket, *rest) = _stars(key, cls, n, r, large, small)
+            pairs.append(star)
+            members.append((rest[0], bucket, *rest[1:]))
+        for step in range(1, min(small, len(key))):
+            i = np.flatnonzero(~crowded[:-step] & (head[step:] == head[:-step]))
             i = i[_can_link(n[i], r[i], n[i + step], r[i + step])]
-            left.append(cls[i]), right.append(cls[i + step])
-        left, right = np.concatenate([cls[:0], *left]), np.concatenate([cls[:0], *right])
-        once = np.unique(np.stack((np.minimum(left, right), np.maximum(left, right)), 1), axis=0)
+            pairs.append((cls[i], cls[i + step]))
+        a, b = _pairs_once(*(np.concatenate(x) for x in zip(*pairs, strict=True)))
+        c, bucket, n, r = _distinct(*(np.concatenate(x) for x in zip(*members, strict=True)))
         release()
-        return pa.concat_tables([before, pairs, members, _table(0, 0, once[:, 0], once[:, 1])])
+        # a member: its class in a, its size and unshared rare tokens in b
+        return pa.concat_tables([_table(0, 0, a, b), _table(1, bucket, c, n * (1 << 31) + r)])
 
     return run
 
@@ -410,7 +436,7 @@ def _stars_of(labels: DataFrame) -> DataFrame:
 
 def _indexed(docs: DataFrame, ids: DataFrame, sent, plan: Plan, k: int, near: IdFilter | None = None) -> tuple[DataFrame, DataFrame]:
     """(links, members of large buckets) of the index with combinations of k, over the documents that `near` lets through."""
-    scan = docs.select("doc_id", "text").mapInArrow(_index_scan(plan, sent, k, near), f"part long, body binary, {FOUND}")
+    scan = docs.select("doc_id", "text").mapInArrow(_index_scan(plan, sent, k, near), "part long, body binary")
     found = cut(scan.groupBy("part").applyInArrow(_buckets(plan.small), FOUND), "buckets")
     named = found.filter("kind = 0").select("a", "b").distinct()
     side = lambda c: ids.select(F.col("class").alias(c), F.col("class_id").alias(f"i{c}"))

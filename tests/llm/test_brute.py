@@ -7,6 +7,7 @@ import hashlib
 import io
 import random
 import re
+import types
 import wave
 import zipfile
 
@@ -156,6 +157,30 @@ def test_tiles_by_members_find_every_link(spark):
     assert {(r.a, r.b) for r in ngram_join.between_components(docs, members, tile_members=32).collect()} == want
 
 
+@pytest.mark.parametrize("copies", [40, 80, 160])
+def test_crowds_in_a_scan_make_no_rows_of_their_own(copies):
+    """A flush is one row for each range at most, however large its groups are, with each star pair once and every member."""
+    rnd = random.Random(copies)
+    base = [f"w{k}" for k in range(80)]
+    texts = [" ".join(w if k != at else f"x{d}" for k, w in enumerate(base)) for d in range(copies) for at in [rnd.randrange(80)]]
+    sent = types.SimpleNamespace(value=b"\xff" * (1 << (ngram_join.SLOT_BITS - 3)))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(copies), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = pa.Table.from_batches(list(ngram_join._index_scan(ngram_join.Plan(16), sent)(iter([batch]))))
+    assert out.num_rows <= 16
+    pairs, members = [], set()
+    for body in out.column("body"):
+        f = ngram_join.fields(body.as_py())
+        pairs += zip(ngram_join.unpack_sorted(f[4]).tolist(), ngram_join.unpack(f[5]).tolist(), strict=True)
+        members |= set(zip(ngram_join.unpack_sorted(f[6]).tolist(), ngram_join.unpack(f[7]).tolist(), strict=True))
+    assert len(pairs) == len(set(pairs))
+    key = {}
+    for s in ngram_join.shingle_sets(pa.array(texts)):
+        cls = ngram_join.class_keys(s)[0] & (1 << 64) - 1
+        for k in ngram_join.index_keys(s, np.frombuffer(sent.value, np.uint8))[1] >> np.uint64(64 - ngram_join.KEY_BITS) | np.uint64(1):
+            key.setdefault(int(k), set()).add(cls)
+    assert members == {(c, k) for k, cs in key.items() if len(cs) > ngram_join.SMALL for c in cs}
+
+
 def brute_removed(rows, width=100):
     seen, out = set(), {}
     for d, t in sorted(rows):
