@@ -40,8 +40,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece_dropout(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_pieces, ids) of each row; null texts have no pieces."""
-    return encode_pieces(docs)
+    """(doc_id, n_pieces, ids) of each row; null texts have no pieces. Lots are small: the stages before left memory in use."""
+    return encode_pieces(docs, lot=1 << 19)
 
 
 STAGES = [

@@ -28,6 +28,8 @@ SEED = 13
 NAMELESS = 0x8000000000000001
 #: Units and segmentations that a worker remembers, some 400 bytes each.
 REMEMBERED = 1 << 18
+#: Characters of whole texts that are encoded side by side.
+LOT = 1 << 21
 SPACE = "▁"
 _UNIT = re.compile("▁*[^▁]+|▁+")
 _M = (1 << 64) - 1
@@ -413,7 +415,7 @@ def decode(ids: list[int], path: str = MODEL) -> str:
     return b"".join([raw[i] for i in ids]).decode()[1:]
 
 
-def _encode(path: str, dropout: float, seed: int, digest: bool, lot: int = 1 << 21):
+def _encode(path: str, dropout: float, seed: int, digest: bool, lot: int = LOT):
     names = ["doc_id", "n_pieces", *(["ids_sha256", "decoded_sha256"] if digest else ["ids"])]
     types = [pa.int64(), pa.int64(), *([pa.string(), pa.string()] if digest else [pa.list_(pa.int32())])]
 
@@ -438,18 +440,19 @@ def _encode(path: str, dropout: float, seed: int, digest: bool, lot: int = 1 <<
     return run
 
 
-def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, digest: bool = False) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, digest: bool = False, lot: int = LOT) -> DataFrame:
     """(doc_id, n_pieces, ids) for every row, or with `digest` (doc_id, n_pieces, ids_sha256, decoded_sha256).
 
     decoded_sha256 is over what the ids decode to, which is the text. Null texts count as empty and have no
     piece. Every occurrence of a word is cut on its own key of seed, document id and place in the document;
     null ids count as one id. Repeated rows give repeated rows; extra columns are not read. Texts of any length are read
-    whole, and an empty table gives an empty result.
+    whole, and an empty table gives an empty result. `lot` is the characters encoded side by side, of whole texts; it changes
+    no result.
     """
     lean_batches(docs.sparkSession)
     schema = "doc_id long, n_pieces long, " + ("ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>")
     rows = take(docs, doc_id="doc_id", text="text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return rows.mapInArrow(_encode(path, dropout, seed, digest), schema)
+    return rows.mapInArrow(_encode(path, dropout, seed, digest, lot), schema)
 
 
 def op8_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:

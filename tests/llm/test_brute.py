@@ -181,6 +181,13 @@ def test_crowds_in_a_scan_make_no_rows_of_their_own(copies):
     assert members == {(c, k) for k, cs in key.items() if len(cs) > ngram_join.SMALL for c in cs}
 
 
+def test_pieces_do_not_depend_on_lots(spark):
+    rows = [*near_copies(3, groups=2, copies=5), (900, None), (901, ""), (902, "▁ " * 9), (903, "long" * 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want, *others = [sorted(map(tuple, merge_dropout.encode_pieces(docs, lot=n).collect())) for n in (merge_dropout.LOT, 1, 300)]
+    assert len(want) == len(rows) and others == [want, want]
+
+
 def brute_removed(rows, width=100):
     seen, out = set(), {}
     for d, t in sorted(rows):
