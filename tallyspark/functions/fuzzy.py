@@ -6,7 +6,9 @@ import difflib
 import re
 import unicodedata
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,6 +45,73 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
+def _scorer(word: str) -> Callable[[str], float]:
+    """ratio(x, word) of any x; what it needs of the word is made once."""
+    m = difflib.SequenceMatcher(None, "", word)
+
+    def score(x: str) -> float:
+        m.set_seq1(x)
+        return m.ratio()
+
+    return score
+
+
+@lru_cache(8)
+def _ending_finder(words: tuple[tuple[str, str], ...], least: float):
+    asked = [(code, len(word), Counter(word), _scorer(word)) for word, code in words]
+
+    @lru_cache(1 << 14)
+    def find(text: str) -> str | None:
+        best, found = -1.0, None
+        for code, n, letters, score in asked:
+            left, common = dict(letters), 0
+            for k in range(1, len(text) + 1):
+                c = text[-k]
+                if left.get(c):
+                    left[c] -= 1
+                    common += 1
+                if k > 1 and best < (most := 2.0 * common / (k + n)) >= least and (got := score(text[-k:])) > best:
+                    best, found = got, code
+        return found if best >= least else None
+
+    return find
+
+
+def ending_code(x: Column, words: Sequence[tuple[str, str]], least: float) -> Column:
+    """The code of the word that an ending of a text, two letters at least, resembles most, of equals the first; null where
+    none comes near. An ending that has too few of a word's letters to win isn't aligned with it."""
+    words = tuple(words)
+
+    @F.pandas_udf(StringType())
+    def code(x: pd.Series) -> pd.Series:
+        return x.map(_ending_finder(words, least), na_action="ignore")
+
+    return code(x)
+
+
+@lru_cache(8)
+def _word_finder(words: tuple[tuple[str, str], ...]):
+    asked = [(_scorer(word), code) for word, code in words]
+    return lru_cache(1 << 14)(lambda x: max((score(x), code) for score, code in asked))
+
+
+def first_like(x: Column, words: Sequence[tuple[str, str]], least: float, sure: float) -> Column:
+    """struct(k, code) of the first text of an array that resembles a word, with the word's code, or '' where the likeness
+    is below `sure`; nulls where none does, and blank texts don't count."""
+    words = tuple(words)
+
+    @F.pandas_udf("k int, code string")
+    def first(x: pd.Series) -> pd.DataFrame:
+        like = _word_finder(words)
+        rows = []
+        for texts in x:
+            hits = ((k, like(t)) for k, t in enumerate(() if texts is None else texts) if t)
+            rows.append(next(((k, code if score >= sure else "") for k, (score, code) in hits if score >= least), (None, None)))
+        return pd.DataFrame(rows, columns=["k", "code"], dtype=object)
+
+    return first(x)
+
+
 def unlooped(text: str, least: int = 20, times: int = 3) -> str:
     """Text in which a stretch of `least` characters or more that repeats `times` times or more stands once.
 

@@ -1,7 +1,7 @@
 """Records out of printed lines: scored labels and words, lines to fields, fields to a row with its flags.
 
-Similarities are taken of tables of distinct candidates: each text is exploded into what it could mean, each candidate is
-scored once, and the best is a grouped maximum that is joined back.
+Similarities of a line's words are taken in the row that has the line, so that no table of candidates is made, joined or
+broadcast. The few labels of forms are scored as tables of distinct candidates, and the best is joined back.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyspark.functions import fuzzy
 from tallyspark.functions import text as T
 from tallyspark.functions.fuzzy import seq_ratio
 
@@ -34,29 +35,21 @@ def _score(candidates: DataFrame, seen: str, word: str) -> DataFrame:
     return candidates.join(scored, (candidates[seen] == scored["_seen"]) & (candidates[word] == scored["_word"])).drop("_seen", "_word")
 
 
-def ending_codes(df: DataFrame, column: str, words: Sequence[tuple[str, str]] = SEX_WORDS, least: float = 0.5, tail: int = 12, script: str = "ঀ-৿") -> DataFrame:
-    """(column, code) of the distinct texts whose end resembles a word: every ending of the last `tail` letters of the
-    script, two letters at least, is scored against every word; of equals the first word counts."""
-    texts = df.select(column).distinct().withColumn("_t", F.right(F.regexp_replace(T._text(column), f"[^{script}]", ""), F.lit(tail))).filter(F.length("_t") >= 2)
-    ends = texts.select(column, "_t", F.explode(F.sequence(F.lit(2), F.length("_t"))).alias("_k")).select(column, F.right("_t", F.col("_k")).alias("_e"), F.explode(_options(words)).alias("_o"))
-    scored = _score(ends.select(column, "_e", "_o.*"), "_e", "word")
-    best = scored.groupBy(column).agg(F.max(F.struct("score", (-F.col("place")).alias("first"), "code")).alias("_b"))
-    return best.filter(F.col("_b.score") >= least).select(column, F.col("_b.code").alias("code"))
+def ending_code(column: str, words: Sequence[tuple[str, str]] = SEX_WORDS, least: float = 0.5, tail: int = 12, script: str = "ঀ-৿") -> Column:
+    """The code of the word that a text's end resembles, or null: every ending of the last `tail` letters of the script, two
+    letters at least, is held against every word; of equals the first word counts."""
+    return fuzzy.ending_code(F.right(F.regexp_replace(T._text(column), f"[^{script}]", ""), F.lit(tail)), words, least)
 
 
-def relation_labels(df: DataFrame, column: str, relatives: Sequence[tuple[str, str]] = RELATIVES, shape: str = RELATION_SHAPE, within: int = 48, least: float = 0.5, sure: float = 0.7) -> DataFrame:
-    """(column, ends, kind) of the distinct texts with a relation label: the first place of the label's shape whose word
+def with_relation_label(df: DataFrame, column: str, relatives: Sequence[tuple[str, str]] = RELATIVES, shape: str = RELATION_SHAPE, within: int = 48, least: float = 0.5, sure: float = 0.7) -> DataFrame:
+    """df with ends and kind of a text's relation label, nulls without one: the first place of the label's shape whose word
     resembles a relative. ends: how many characters the label takes; kind is '' where the likeness is below `sure`."""
-    texts = df.select(column).distinct().withColumn("_h", F.substring(T._text(column), 1, within))
-    texts = texts.withColumns({"_hit": F.regexp_extract_all("_h", F.lit(shape), F.lit(0)), "_word": F.regexp_extract_all("_h", F.lit(shape), F.lit(1)), "_gap": F.split("_h", shape)})
-    zero = F.lit(0)
-    length = lambda a, k: F.aggregate(F.slice(a, 1, k), zero, lambda n, x: n + F.length(x))
-    places = texts.filter(F.size("_hit") > 0).select(column, "_hit", "_gap", F.posexplode("_word").alias("_k", "_w"))
-    places = places.select(column, "_k", F.regexp_replace("_w", "^[৷| ]+", "").alias("_w"), (length("_hit", F.col("_k") + 1) + length("_gap", F.col("_k") + 1)).alias("ends"))
-    asked = places.filter("_w <> ''").select(column, "_k", "_w", "ends", F.explode(_options(relatives)).alias("_o")).select(column, "_k", "_w", "ends", "_o.word", "_o.code")
-    best = _score(asked, "_w", "word").groupBy(column, "_k", "ends").agg(F.max(F.struct("score", "code")).alias("_b")).filter(F.col("_b.score") >= least)
-    first = best.groupBy(column).agg(F.min(F.struct("_k", "ends", "_b")).alias("_f"))
-    return first.select(column, F.col("_f.ends").alias("ends"), F.when(F.col("_f._b.score") >= sure, F.col("_f._b.code")).otherwise("").alias("kind"))
+    head, zero = F.substring(T._text(column), 1, within), F.lit(0)
+    words = F.transform(F.regexp_extract_all(head, F.lit(shape), F.lit(1)), lambda w: F.regexp_replace(w, "^[৷| ]+", ""))
+    length = lambda a: F.aggregate(F.slice(a, 1, F.col("_f.k") + 1), zero, lambda n, x: n + F.length(x))
+    ends = length(F.regexp_extract_all(head, F.lit(shape), F.lit(0))) + length(F.split(head, shape))
+    found = df.withColumn("_f", fuzzy.first_like(words, relatives, least, sure))
+    return found.withColumns({"ends": F.when(F.col("_f.k").isNotNull(), ends), "kind": F.col("_f.code")}).drop("_f")
 
 
 def relation_value(line: str, ends: str = "ends", least: int = 3) -> Column:
@@ -69,9 +62,9 @@ def relation_value(line: str, ends: str = "ends", least: int = 3) -> Column:
 
 def described_lines(lines: DataFrame, column: str = "line") -> DataFrame:
     """lines with ends, kind (of a relation label), sex, age and is_age: a line is an age line by either label, or by a
-    plausible age beside a sex."""
-    labels, codes = relation_labels(lines, column), ending_codes(lines, column).withColumnRenamed("code", "sex")
-    out = lines.join(labels, column, "left").join(codes, column, "left").withColumn("sex", F.coalesce("sex", F.lit("")))
+    plausible age beside a sex. Each line is described where it lies: dealt out by the key of bands(), it stays there."""
+    rows = lines.select(column, *(c for c in lines.columns if c != column)).withColumn("_code", ending_code(column))
+    out = with_relation_label(rows, column).withColumn("sex", F.coalesce("_code", F.lit(""))).drop("_code")
     ages = F.transform(F.regexp_extract_all(T.normalize_digits(column), F.lit("([0-9]{1,3})"), F.lit(1)), lambda x: x.cast("int"))
     plausible = F.exists(ages, lambda a: (a >= 18) & (a <= 120))
     is_age = F.col(column).contains(AGE_LABEL) | F.col(column).rlike(SEX_LABEL) | (plausible & (F.col("sex") != ""))

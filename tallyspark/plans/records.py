@@ -38,7 +38,7 @@ def _spelt(number):
 
 
 def _lines(spark, d, reading: int):
-    """box, k, line of one reading: name, relation, house and age bands, of which some are lost or damaged."""
+    """box, k, line of one reading: name, relation, house and age bands, of which some are lost or damaged; dealt out by box."""
     c = F.col("c_custkey")
     label = F.when(c % 4 == 0, "পিতাৰ").when(c % 4 == 1, "স্বামীৰ").when(c % 4 == 2, "স্সামাৰ").otherwise("মাতাৰ")
     sex = F.when(c % 3 == 0, "পুৰুষ").when(c % 3 == 1, "মহিল").otherwise("পৰম")
@@ -51,7 +51,7 @@ def _lines(spark, d, reading: int):
         F.when(c % 11 != 4, F.concat(F.lit("বয়স : "), age, F.lit(" লিঙ্গ : "), sex)),
     ]
     kept = F.array(*(lines if reading == 1 else lines[:2]))
-    return table(spark, d, "customer").select(F.col("c_custkey").alias("box"), F.posexplode(kept).alias("k", "line")).filter("line IS NOT NULL")
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("box"), F.posexplode(kept).alias("k", "line")).filter("line IS NOT NULL").repartition("box")
 
 
 def _bands(spark, d, reading: int):

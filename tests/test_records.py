@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import difflib
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyspark.functions import fuzzy
 from tallyspark.operators import records as R
 from tallyspark.plans import records as plans
 from tests.conftest import DATA
@@ -43,6 +46,31 @@ def test_labels_and_sexes(spark):
         assert r.sex == want_sex(r.line), r.line
 
 
+def test_likeness_in_place(spark):
+    """Endings and words of any letters: pruned alignments change no winner, equals go to the first word and the larger code."""
+    r, letters = random.Random(5), "পুৰষমহিলাতৃীয়ক"
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(13))) for _ in range(600)]
+    words = (*R.SEX_WORDS, ("ৰুষপু", "X"), ("পুৰুষ", "Y"))
+    got = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", fuzzy.ending_code(F.col("t"), words, 0.4).alias("code")).collect()
+    for t, code in got:
+        scores = [(max((like(t[-k:], w) for k in range(2, len(t) + 1)), default=0), -p, c) for p, (w, c) in enumerate(words)] if t else [(0, 0, None)]
+        assert code == (max(scores)[2] if max(scores)[0] >= 0.4 else None), t
+    arrays = [[t for t in (texts[k : k + 3])] for k in range(0, 600, 3)] + [[], ["", "পিতাৰ"], None]
+    rows = spark.createDataFrame([(k, a) for k, a in enumerate(arrays)], "n int, a array<string>").select("n", fuzzy.first_like(F.col("a"), R.RELATIVES, 0.3, 0.5).alias("f")).collect()
+    for n, f in rows:
+        best = [(k, *max((like(t, w), c) for w, c in R.RELATIVES)) for k, t in enumerate(arrays[n] or ()) if t]
+        assert tuple(f) == next(((k, c if s >= 0.5 else "") for k, s, c in best if s >= 0.3), (None, None)), arrays[n]
+
+
+NO_BROADCAST = ["bottom_up_bands"]
+
+
+@pytest.mark.parametrize("name", NO_BROADCAST)
+def test_no_lines_are_broadcast(spark, name):
+    """Spark's estimates leave out what explode adds, so that it broadcast rows in the number of the boxes."""
+    assert "Broadcast" not in getattr(plans, name)(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+
+
 BOXES = {
     # lines, what the bands are: name, relation, house, age
     1: (["নাম : ক", "পিতাৰ নাম : খ", "ঘৰ নং : 5", "বয়স : 44 লিঙ্গ : পুৰুষ"], (0, 1, 2, 3)),
