@@ -99,6 +99,13 @@ def bands(described: DataFrame, by: Sequence[str], order: str = "k", column: str
     return out.select(*by, "top", F.coalesce("_named", "_over", "_third", "_loose").alias("name"), "relation", "house", "age")
 
 
+def _same_band(name: Column, top: Column, other: Column, column: str) -> Column:
+    """The other reading's name where both begin with the same band, else ''; see second_name()."""
+    same = name.isNull() | (name[column] == top[column])
+    ok = same & other.isNotNull() & top["ends"].isNull() & other["ends"].isNull()
+    return F.when(ok, T.rest_after(other[column], NAME_LABEL)).otherwise("")
+
+
 def second_name(first: DataFrame, second: DataFrame, by: Sequence[str], column: str = "line") -> DataFrame:
     """by..., second_name: the other reading's name, where both readings begin with the same band: the first reading's name
     is its top line or missing, and neither top line is a relation."""
@@ -111,20 +118,19 @@ def second_name(first: DataFrame, second: DataFrame, by: Sequence[str], column:
 
 def differs(df: DataFrame, one: str, two: str, name: str = "differs", least: float = 0.9) -> DataFrame:
     """df with whether two filled readings differ by more than noise: a similarity under `least`."""
-    pairs = df.select(F.col(one).alias("_s"), F.col(two).alias("_w")).filter("_s <> '' AND _w <> ''").distinct()
-    scored = pairs.withColumn("_r", seq_ratio("_s", "_w"))
-    return df.join(scored, (df[one] == F.col("_s")) & (df[two] == F.col("_w")), "left").withColumn(name, F.coalesce(F.col("_r") < least, F.lit(False))).drop("_s", "_w", "_r")
+    filled = (F.col(one) != "") & (F.col(two) != "")
+    return df.withColumn("_r", seq_ratio(one, two)).withColumn(name, F.coalesce(filled & (F.col("_r") < least), F.lit(False))).drop("_r")
 
 
 def assemble(boxes: DataFrame, first: DataFrame, second: DataFrame, by: Sequence[str], id_strip: str, serial_strip: str, column: str = "line") -> DataFrame:
     """by..., name, relation_name, relation_type, house_no, age, sex, id, serial, flags: a record from two readings of its
     lines (see bands()) and the strips of its id and serial. Flags stand in a fixed order; a box without any field has none
     of the no_x flags, as the publisher left it blank."""
-    names = second_name(first, second, by, column)
-    one = first.select(*by, *(F.col(c).alias(f"{c}_1") for c in ("name", "relation", "house", "age")))
-    two = second.select(*by, *(F.col(c).alias(f"{c}_2") for c in ("name", "relation", "house", "age")))
-    rows = boxes.select(*by, id_strip, serial_strip).join(one, list(by), "left").join(two, list(by), "left").join(names, list(by), "left")
-    rows = rows.withColumns({"_own": T.rest_after(f"name_1.{column}", NAME_LABEL), "_other": F.coalesce("second_name", F.lit(""))})
+    one, two = (bands.select(*by, F.lit(True).alias(f"_read_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("top", "name", "relation", "house", "age"))) for k, bands in ((1, first), (2, second)))
+    # Spark's estimates don't know how many lines a box has, so that it would broadcast the bands of any number of boxes.
+    rows = boxes.select(*by, id_strip, serial_strip).join(one.hint("merge"), list(by), "left").join(two.hint("merge"), list(by), "left")
+    other = F.when(F.col("_read_1"), _same_band(F.col("name_1"), F.col("top_1"), F.col("top_2"), column)).otherwise("")
+    rows = rows.withColumns({"_own": T.rest_after(f"name_1.{column}", NAME_LABEL), "_other": other})
     rows = differs(rows, "_own", "_other", "_disagree")
     for k in (1, 2):
         rows = rows.withColumn(f"_ends{k}", F.col(f"relation_{k}.ends")).withColumn(f"_rel{k}", relation_value(f"relation_{k}.{column}", f"_ends{k}"))

@@ -62,7 +62,7 @@ def test_likeness_in_place(spark):
         assert tuple(f) == next(((k, c if s >= 0.5 else "") for k, s, c in best if s >= 0.3), (None, None)), arrays[n]
 
 
-NO_BROADCAST = ["bottom_up_bands"]
+NO_BROADCAST = ["bottom_up_bands", "record_assembly"]
 
 
 @pytest.mark.parametrize("name", NO_BROADCAST)
@@ -110,6 +110,14 @@ def test_assembly(spark):
     assert got[4].age == 52
 
 
+def test_assembly_of_one_reading(spark):
+    """A box of the second reading alone takes no name from it; one of the first alone keeps its own."""
+    of = lambda lines: R.bands(R.described_lines(spark.createDataFrame([(b, k, x) for b, xs in lines.items() for k, x in enumerate(xs)], "box long, k int, line string")), ["box"])
+    boxes = spark.createDataFrame([(1, None, None), (2, None, None)], "box long, id_strip string, serial_strip string")
+    got = {r.box: r for r in R.assemble(boxes, of({1: ["নাম : কমল", "পিতাৰ নাম : খ"]}), of({2: ["নাম : কমল", "পিতাৰ নাম : খগেন"]}), ["box"], "id_strip", "serial_strip").collect()}
+    assert (got[1].name, got[2].name, got[2].relation_name) == ("কমল", "", "খগেন")
+
+
 def test_struck_and_rows_by_label(spark):
     words = spark.createDataFrame([(1, "OELETFD"), (1, "x"), (2, "ABC1234567"), (2, "DEL"), (3, None), (4, "deleted.")], "box long, word string")
     assert {r.box: r.struck for r in R.struck_off(words, ["box"], "word").collect()} == {1: True, 2: False, 3: False, 4: True}
