@@ -106,14 +106,13 @@ def _same_band(name: Column, top: Column, other: Column, column: str) -> Column:
     return F.when(ok, T.rest_after(other[column], NAME_LABEL)).otherwise("")
 
 
-def second_name(first: DataFrame, second: DataFrame, by: Sequence[str], column: str = "line") -> DataFrame:
+def second_name(first: DataFrame, second: DataFrame, by: Sequence[str], column: str = "line", keep: Sequence[Column] = ()) -> DataFrame:
     """by..., second_name: the other reading's name, where both readings begin with the same band: the first reading's name
-    is its top line or missing, and neither top line is a relation."""
-    a = first.select(*by, F.col("name").alias("_a"), F.col("top").alias("_t"))
-    both = a.join(second.select(*by, F.col("top").alias("_u")), list(by), "left")
-    same = F.col("_a").isNull() | (F.col(f"_a.{column}") == F.col(f"_t.{column}"))
-    ok = same & F.col("_u").isNotNull() & F.col("_t.ends").isNull() & F.col("_u.ends").isNull()
-    return both.select(*by, F.when(ok, T.rest_after(f"_u.{column}", NAME_LABEL)).otherwise("").alias("second_name"))
+    is its top line or missing, and neither top line is a relation. keep: columns of the first reading to have with it."""
+    a = first.select(*by, F.col("name").alias("_a"), F.col("top").alias("_t"), *keep)
+    both = a.join(second.select(*by, F.col("top").alias("_u")).hint("merge"), list(by), "left")
+    kept = [c for c in a.columns if c not in (*by, "_a", "_t")]
+    return both.select(*by, *kept, _same_band(F.col("_a"), F.col("_t"), F.col("_u"), column).alias("second_name"))
 
 
 def differs(df: DataFrame, one: str, two: str, name: str = "differs", least: float = 0.9) -> DataFrame:

@@ -75,7 +75,7 @@ def bottom_up_bands(spark, d):
 def second_reading_gate(spark, d):
     """The second reading's name where it read the same band, and whether it differs from the first's by more than noise."""
     first, second = _bands(spark, d, 1), _bands(spark, d, 2)
-    rows = R.second_name(first, second, ["box"]).join(first.select("box", T.rest_after("name.line", R.NAME_LABEL).alias("first_name")), "box")
+    rows = R.second_name(first, second, ["box"], keep=[T.rest_after("name.line", R.NAME_LABEL).alias("first_name")])
     return R.differs(rows, "first_name", "second_name").select("box", "first_name", "second_name", "differs")
 
 

@@ -62,7 +62,7 @@ def test_likeness_in_place(spark):
         assert tuple(f) == next(((k, c if s >= 0.5 else "") for k, s, c in best if s >= 0.3), (None, None)), arrays[n]
 
 
-NO_BROADCAST = ["bottom_up_bands", "record_assembly", "relations_and_sexes"]
+NO_BROADCAST = ["bottom_up_bands", "record_assembly", "relations_and_sexes", "second_reading_gate"]
 
 
 @pytest.mark.parametrize("name", NO_BROADCAST)
