@@ -138,12 +138,35 @@ def group_lines(words: DataFrame, by: Sequence[str], least: float = 0.7) -> Data
     return rows.mapInPandas(fold, ", ".join(f"{c} {kinds[c]}" for c in by) + ", line long, text string, top double, bottom double")
 
 
+def _packed(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """Rows of equal `by` as one, with what else they have as structs in an array."""
+    rest = [c for c in df.columns if c not in by]
+    return df.groupBy(*by).agg(F.collect_list(F.struct(*rest) if rest else F.struct(F.lit(0).alias("_"))).alias(name))
+
+
+#: Lots in which words and rectangles of one place are packed, and how many ways the words of a grid cell are dealt.
+WORD_LOTS, RECT_LOTS, DEALT = 64, 8, 4
+
+
 def words_within(words: DataFrame, rects: DataFrame, key: Sequence[str], slack: float = 2.0, cell: float = 50.0) -> DataFrame:
     """Every (word, rectangle) of a key where the word lies between the rectangle's sides, give or take the slack, and its
-    middle height within it; words, by left side and middle, meet only the rectangles of their grid cell."""
+    middle height within it; words, by left side and middle, meet only the rectangles of their grid cell.
+
+    Words of one place, and rectangles of one place, are packed into arrays of a lot each, and places are joined: what lies
+    in many rectangles costs its result rows and no comparisons. The work of a cell can't be told by its bytes, so cells are
+    dealt over all shuffle partitions, each cell's words DEALT ways. No result depends on cells and lots.
+    """
+    n = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place, area, on = ["left", "right", "top", "bottom"], ["rect_left", "rect_right", "rect_top", "rect_bottom"], [*key, "_row", "_col", "_deal"]
+    lot = lambda df, by, lots: F.pmod(F.hash(F.lit(0), *(c for c, kind in df.dtypes if c not in by and "map<" not in kind)), F.lit(lots))
     middle = (F.col("top") + F.col("bottom")) / 2
-    w = words.withColumns({"_mid": middle, "_row": F.floor(middle / cell), "_col": F.floor(F.col("left") / cell)})
-    r = rects.withColumn("_row", F.explode(cells("rect_top", "rect_bottom", cell)))
+    w = words.withColumns({"_row": F.floor(middle / cell), "_col": F.floor(F.col("left") / cell), "_lot": lot(words, [*key, *place], WORD_LOTS)})
+    w = _packed(w.withColumn("_deal", F.col("_lot") % DEALT).repartition(n, *on), [*on, *place, "_lot"], "_ws")
+    r = _packed(rects.withColumn("_side", lot(rects, [*key, *area], RECT_LOTS)), [*key, *area, "_side"], "_rs")
+    r = r.withColumn("_row", F.explode(cells("rect_top", "rect_bottom", cell)))
     r = r.withColumn("_col", F.explode(cells(F.col("rect_left") - slack, F.col("rect_right") + slack, cell)))
-    inside = (F.col("left") >= F.col("rect_left") - slack) & (F.col("right") <= F.col("rect_right") + slack) & (F.col("_mid") >= F.col("rect_top")) & (F.col("_mid") < F.col("rect_bottom"))
-    return w.join(r, [*key, "_row", "_col"]).filter(inside).drop("_mid", "_row", "_col")
+    r = r.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)))).repartition(n, *on)
+    inside = (F.col("left") >= F.col("rect_left") - slack) & (F.col("right") <= F.col("rect_right") + slack) & (middle >= F.col("rect_top")) & (middle < F.col("rect_bottom"))
+    pairs = w.join(r.hint("merge"), on).filter(inside).withColumn("_w", F.explode("_ws")).withColumn("_r", F.explode("_rs"))
+    told = lambda df, by, of: [F.col(c if c in by else f"{of}.{c}").alias(c) for c in df.columns if c not in key]
+    return pairs.select(*key, *told(words, place, "_w"), *told(rects, area, "_r"))

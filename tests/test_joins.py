@@ -60,6 +60,21 @@ def test_words_within_rectangles(spark, cell):
     assert sorted((x.w, x.r) for x in got.select("w", "r").collect()) == want
 
 
+def test_words_and_rectangles_of_one_place(spark):
+    """Many words and rectangles at few places: every pair of rows, while the join meets places and broadcasts none."""
+    words = [(k % 2, i, (i % 3) * 40.0, (i % 3) * 40.0 + 9, 10.0, 16.0 + k) for k in range(3) for i in range(60)]
+    rects = [(k, i, None if i == 7 else (i % 2) * 30.0, 60.0 + (i % 2) * 40, 0.0, 40.0, {"a": i}) for k in range(2) for i in range(40)]
+    w = spark.createDataFrame([*words, (None, 1, 0.0, 9.0, 10.0, 16.0), (0, 2, None, 9.0, 10.0, 16.0)], "k int, w int, left double, right double, top double, bottom double")
+    r = spark.createDataFrame(rects, "k int, r int, rect_left double, rect_right double, rect_top double, rect_bottom double, note map<string,int>")
+    got = spatial.words_within(w, r, ["k"])
+    assert got.columns == ["k", "w", "left", "right", "top", "bottom", "r", "rect_left", "rect_right", "rect_top", "rect_bottom", "note"]
+    want = sorted((k, w, u, r) for k, w, a, b, t, u in words for j, r, x, y, s, e, _ in rects if j == k and x is not None and a >= x - 2 and b <= y + 2 and s <= (t + u) / 2 < e)
+    assert sorted((x.k, x.w, x.bottom, x.r) for x in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    assert spatial.words_within(w.drop("w"), r.drop("r", "note"), ["k"]).count() == len(want)
+
+
 def test_upper_medians(spark):
     rnd = random.Random(2)
     rows = [(rnd.choice(["a", "a", "a", "b", None]), rnd.choice([None, *range(12)])) for _ in range(400)] + [("n", None)]
