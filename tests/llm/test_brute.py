@@ -527,6 +527,54 @@ def test_cut_recordings_are_found(spark):
     assert len(got) >= 0.9 * len(want)
 
 
+def test_recordings_are_dealt_out(spark, tmp_path, monkeypatch):
+    """A table of one file isn't sounded in the few tasks that its bytes make."""
+    spark.range(3 * chroma.LOT).selectExpr("id AS vec_id", "array(float(id), 1f) AS embedding").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr(chroma, "search", lambda media, *a, **kw: media)
+    media = chroma.cut_recordings_aligned(spark, str(tmp_path))
+    assert media.rdd.getNumPartitions() == 6
+    assert media.count() == 6 * chroma.LOT
+
+
+@pytest.mark.parametrize("args", [(0.2, 0.6, 1), (1.0, 0.6, 1), (0.2, 0.3, 0)])
+def test_tries_counted_together(args, monkeypatch):
+    """Settling many pairs at once gives what bit_error() gives pair by pair."""
+    monkeypatch.setattr(chroma, "TRIED", 64)
+    rng, least, overlap, reach = np.random.default_rng(7), *args
+    rows = []
+    for k in range(300):
+        x, y = (rng.integers(0, 1 << 32, rng.integers(1, 40), dtype=np.uint32) for _ in range(2))
+        n = min(len(x), len(y) - 2)
+        if k % 3 and n > 0:
+            y[2 : n + 2] = x[:n]
+        rows.append((k, 1000 + k, [*map(int, rng.integers(-9, 9, k % 4)), 2], x, y))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[c] if c < 3 else r[c].tobytes() for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()))], names=["q", "m", "offsets", "x", "y"])
+    want = []
+    for q, m, offsets, x, y in rows:
+        tried = [(*chroma.bit_error(x, y, o), o) for o in {o + r for o in offsets for r in range(-reach, reach + 1)}]
+        tried = [(e, -n, abs(o), o) for e, n, o in tried if n >= overlap * min(len(x), len(y))]
+        if tried and min(tried)[0] <= least:
+            e, n, _, o = min(tried)
+            want.append((q, m, o, e, -n))
+    got = [tuple(r.values()) for b in chroma._settle(*args)(iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
+    assert got == want and len(want) > 30
+
+
+@pytest.mark.parametrize("far", [0, 1 << 60])
+def test_places_vote_once(far):
+    """Votes by recording and offset, also where places are too far apart for one number."""
+    rng = np.random.default_rng(3)
+    ids, k = np.unique(rng.integers(0, 9, 200), return_inverse=True)
+    at, offset = rng.integers(0, 12, 200), rng.integers(-5, 5, 200) + far * (k == 0)
+    m, o, least, count = chroma._votes(ids, k, at, offset, ids[k] % 2 + 1, 1)
+    cast = {(ids[j], p, t + r) for j, p, t in zip(k, at, offset, strict=True) for r in (-1, 0, 1)}
+    want = {}
+    for i, _, t in cast:
+        want[i, t] = want.get((i, t), 0) + 1
+    assert {(i, t): n for i, t, n in zip(m, o, count, strict=True)} == want
+    assert (least == m % 2 + 1).all()
+
+
 def test_held_tones_and_short_recordings_keep_their_links(spark):
     """One tone throughout has one key, three steps have one pair of steps: fewer keys than votes that are asked for."""
     t = np.arange(40 * chroma.HOP) / chroma.RATE
